@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from .bpe import bpe_round_trip
 from .quality import line_first_quality
+from .storage import shared_dir
 from .substring_dedup import remove_duplicate_spans
+from .token_store import read_store, store_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,14 +22,27 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_duplicate_spans(_table(spark, sf_dir, "documents"), digest=True)
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_first_quality(docs)
 
 
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    store_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path, end_id=1)
+    return read_store(spark, path, digest=True)
+
+
 QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_bpe": op6_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op10_token_store": op10_token_store,
 }
 
 ORACLE_SQL: dict[str, str] = {}
