@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
+from .embedding_dedup import near_duplicate_vectors
 from .license_scan import PHRASES, TEMPLATES, scan_licenses
 from .mixing import mix_schedule
+from .ngram_join import near_duplicates
 from .quality import line_first_quality
 from .storage import shared_dir
 from .substring_dedup import remove_duplicate_spans
@@ -72,6 +74,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_first_quality(docs)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
     store_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path, end_id=1)
@@ -85,6 +95,8 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_bpe": op6_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op8_ngram_join": op8_ngram_join,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_token_store": op10_token_store,
 }
 
