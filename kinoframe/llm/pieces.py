@@ -99,7 +99,7 @@ def cut(texts: list[bytes], joined_space: bool) -> tuple[np.ndarray, np.ndarray,
 class IdMemory:
     """Ids of pieces by hash; forgets all of them beyond ``most`` pieces."""
 
-    def __init__(self, most: int = 1_500_000):
+    def __init__(self, most: int = 1_000_000):
         self.most = most
         self._clear()
 

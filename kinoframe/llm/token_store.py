@@ -18,12 +18,14 @@ the id and the text are not stored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +52,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -73,15 +76,25 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Ids in the narrowest of two widths, compressed: how they travel between the parts of the job."""
+    narrow = not len(ids) or int(ids.max()) < 1 << 16
+    return bytes([narrow]) + zstandard.compress(ids.astype("<u2" if narrow else "<u4").tobytes(), 3)
+
+
+def unpack_ids(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(packed[1:]), "<u2" if packed[0] else "<u4").astype(np.uint32)
+
+
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids): each text's ids and the end id, as little-endian unsigned 32-bit integers."""
+    """(doc_id, ids): each text's ids and the end id, as ``pack_ids`` packs them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = end_id.to_bytes(4, "little")
+        end = np.array([end_id], np.uint32)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for at in text_groups(texts):
-                ids = [x.astype("<u4").tobytes() + end for x in word_encoder(vocabulary).encode(texts[at])]
+                ids = [pack_ids(np.r_[x, end]) for x in word_encoder(vocabulary).encode(texts[at])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at.start, len(ids)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, "doc_id long, ids binary")
@@ -173,13 +186,13 @@ _BLOCKS = "segment int, block int, n_ids long, lanes int, words binary, checkpoi
 
 
 def write_store(ids: DataFrame, path: str) -> None:
-    """Writes (doc_id, ids) as a store, which must not be there yet. ``ids`` is read twice."""
+    """Writes (doc_id, packed ids) as a store, which must not be there yet. ``ids`` is read twice."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for x in batch.column(0):
-                got = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
+                got = np.bincount(unpack_ids(x.as_py()))
                 if len(got) > len(total):
                     total = np.r_[total, np.zeros(len(got) - len(total), np.int64)]
                 total[: len(got)] += got
@@ -198,24 +211,24 @@ def write_store(ids: DataFrame, path: str) -> None:
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, segment, number = Coder(frequencies), TaskContext.get().partitionId(), 0
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         docs: list[int | None] = []
         size = 0
 
         def block() -> pa.RecordBatch:
-            flat = b"".join(held)
-            values = np.frombuffer(flat, "<u4")
+            values = np.concatenate(held)
+            flat = values.astype("<u4").tobytes()
             lanes = _lanes(len(values))
             words, marks = coder.encode(values, lanes, STEPS)
-            row = [segment, number, len(values), lanes, words, marks, zlib.crc32(flat), list(docs), [len(x) // 4 for x in held]]
+            row = [segment, number, len(values), lanes, words, marks, zlib.crc32(flat), list(docs), list(map(len, held))]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=[c.split()[0] for c in _BLOCKS.split(", ")])
 
         for batch in batches:
             for doc, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held.append(x.as_py())
+                held.append(unpack_ids(x.as_py()))
                 docs.append(doc)
-                size += len(held[-1]) // 4
+                size += len(held[-1])
                 if size >= BLOCK:
                     yield block()
                     held, docs, size, number = [], [], 0, number + 1
