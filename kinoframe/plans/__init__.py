@@ -1 +1,6 @@
+"""Queries by name, and the same rows as DuckDB SQL."""
 
+from . import extensions, media, motion
+
+QUERIES = media.QUERIES | motion.QUERIES | extensions.QUERIES
+ORACLE_SQL = media.SQL | motion.SQL | extensions.SQL

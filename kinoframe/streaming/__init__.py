@@ -1 +1 @@
-
+"""Incremental processing as streams."""
