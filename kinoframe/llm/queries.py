@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .embedding_dedup import near_duplicate_vectors
+from .language_id import held_out, learn_languages, predict_languages
 from .license_scan import PHRASES, TEMPLATES, scan_licenses
 from .mixing import mix_schedule
 from .ngram_join import near_duplicates
@@ -28,6 +29,13 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, vocabulary = _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    names, probabilities = learn_languages(docs.filter(~held_out()), vocabulary)
+    out = predict_languages(docs, vocabulary, names, probabilities)
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 #: Dated entries (list, rule, blocks, adds, day of 2024).
 URL_ENTRIES = (
     ("abuse", "spam-farm.example.org", True, True, 40),
@@ -90,6 +98,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_language_id": op2_language_id,
     "op3_url_filter": op3_url_filter,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_mixing": op5_mixing,
