@@ -24,7 +24,7 @@ from .storage import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a bucket of an order, about.
-BUCKET = 20_000
+BUCKET = 4_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
