@@ -125,7 +125,8 @@ def _cleaned(block: Block, failing: tuple[np.ndarray, np.ndarray]) -> dict[int,
     """Texts that lose lines, without them."""
     out: dict[int, str] = {}
     starts, texts = failing
-    for t, lo, hi in zip(*np.unique(texts, return_index=True), [*np.flatnonzero(np.diff(texts)) + 1, len(texts)], strict=True):
+    which, first = np.unique(texts, return_index=True)
+    for t, lo, hi in zip(which, first, [*first[1:], len(texts)], strict=False):
         gone, at, kept = set(starts[lo:hi].tolist()), int(block.at[t]), []
         for line in block.bytes[at : block.at[t + 1]].tobytes().split(b"\n"):
             if at not in gone:

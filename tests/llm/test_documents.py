@@ -83,7 +83,8 @@ def test_quality_counts(docs, rows, empty):
 
 
 def test_quality_removes_lines_and_keeps_clean_documents(spark):
-    clean = "\n".join("This sentence number %d has quite a few words in it, like any other sentence." % k for k in range(6))
+    rng = random.Random(9)
+    clean = "\n".join(" ".join("w%d" % rng.randrange(10**6) for _ in range(14)) + "." for _ in range(6))
     nav = "Home | About | News | Contact | Login"
     texts = [clean, clean + "\n" + nav, nav + "\n" + nav + "\n" + clean + "\nAll rights reserved.", "\n".join([nav + " %d" % k for k in range(20)])]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
