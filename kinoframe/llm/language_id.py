@@ -12,7 +12,7 @@ hash of their id; whole texts of them. What the driver gets is a row for each la
 
 Defined results: a null text and one without a letter are ``und`` with score 0; so are all if
 nothing could be learned; equal scores go to the language first in order of code points; rows
-that share an id are predicted each by its text. A run of letters is scored in parts of 32
+that share an id are predicted each by its text. A run of letters is scored in parts of 24
 bytes. Columns beside id, text and language are not kept.
 """
 
@@ -33,7 +33,7 @@ from .storage import written
 from .textblocks import BYTE_VALUE, U, span_hashes
 
 #: Bytes of a word that are scored together; words remembered with their scores.
-PART, REMEMBERED = 32, 500_000
+PART, REMEMBERED = 24, 500_000
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 _LOWER = bytes(range(256)).decode("latin-1").lower().encode("latin-1")

@@ -38,6 +38,13 @@ TEMPLATES = (
 )
 #: All of ASCII but digits and lower-case letters; applied to lower-case text.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _lower(text: Column) -> Column:
+    """A-Z in lower case, all other characters unchanged."""
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
 def _words(text: Column) -> Column:
@@ -58,7 +65,7 @@ def _blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
 def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line, block, label, containment) of every block and template that match; blocks are in lower case."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.lower(text).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), _lower(F.col(text)).alias("text"))
     sets = [(i, label, sorted(set(notice.split()))) for i, (label, notice) in enumerate(templates)]
     vocabulary = sorted({w for _, _, words in sets for w in words})
     rows = [(i, label, w, len(words), _need(len(words), threshold)) for i, label, words in sets for w in words]
@@ -101,7 +108,7 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     """
     found = matching_blocks(docs, templates, threshold, id_col=id_col, text=text)
     found = found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_score"))
-    words = docs.select(F.col(id_col).alias("doc_id"), _words(F.lower(F.coalesce(F.col(text), F.lit("")))).alias("words"))
+    words = docs.select(F.col(id_col).alias("doc_id"), _words(_lower(F.coalesce(F.col(text), F.lit("")))).alias("words"))
     at = None
     may = F.lit(False)
     for phrase, label in PHRASES:

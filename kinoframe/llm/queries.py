@@ -119,7 +119,7 @@ def _op1_sql() -> str:
     )
     return rf"""
 WITH t(label, ws) AS (VALUES {sets}),
-d AS (SELECT doc_id, coalesce(lower(text), '') AS text FROM documents),
+d AS (SELECT doc_id, coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM d),
 p AS (SELECT doc_id, i, CASE {marks} END AS label FROM (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM w)),
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list_distinct(list(label))) AS labels
