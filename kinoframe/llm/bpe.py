@@ -243,10 +243,10 @@ def _over_texts(df: DataFrame, text: str, own: dict[str, T.DataType], drop: set[
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            values = column.to_pylist()
-            for at in text_groups(values) if pa.types.is_string(column.type) else [slice(k, k + 256) for k in range(0, len(values), 256)]:
-                made = work(values[at])
-                arrays = [batch.column(batch.schema.get_field_index(n)).slice(at.start, len(values[at])) for n in names]
+            groups = text_groups(column) if pa.types.is_string(column.type) else ((slice(k, k + 256), column.slice(k, 256).to_pylist()) for k in range(0, len(column), 256))
+            for at, values in groups:
+                made = work(values)
+                arrays = [batch.column(batch.schema.get_field_index(n)).slice(at.start, len(values)) for n in names]
                 arrays += [pa.array(x, t) for x, t in zip(made, out_types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, *own])
 

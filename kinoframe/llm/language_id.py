@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,11 +170,9 @@ def _counts(path: str, model: dict[str, np.ndarray] | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, total = pieces(path), {}
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in sorted(set(langs)):
-                mine = [t for x, t in zip(langs, texts, strict=True) if x == lang]
-                for group in text_groups(mine):
-                    words, _, _, of = _words(mine[group])
+            for lang in batch.column(0).unique().to_pylist():
+                for _, mine in text_groups(batch.filter(pc.equal(batch.column(0), lang)).column(1)):
+                    words, _, _, of = _words(mine)
                     parts: dict[bytes, float] = {}
                     for w, n in zip(words, np.bincount(of, minlength=len(words)).tolist(), strict=True):
                         for x in _parts(w):
@@ -218,9 +217,7 @@ def predict_languages(docs: DataFrame, vocabulary: str, names: list[str], p: np.
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, scores = np.zeros(0, U), np.zeros((0, len(names)))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for group in text_groups(texts):
-                mine = texts[group]
+            for group, mine in text_groups(batch.column(1)):
                 words, hashes, text_of, of = _words(mine)
                 if names and len(words):
                     at = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))

@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .textblocks import BYTE_VALUE, U, span_hashes
 
@@ -24,13 +26,13 @@ CLASS[[*range(0x09, 0x0E), 0x20, 0x85, 0xA0]] = SPACE
 ONE_LETTER, TWO_LETTERS = np.frombuffer(b"stmd", np.uint8), (b"re", b"ve", b"ll")
 
 
-def text_groups(texts: list[str | None], limit: int = 1 << 20) -> Iterator[slice]:
-    """Slices of the list of about ``limit`` characters, or one longer text."""
+def text_groups(texts: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[slice, list[str | None]]]:
+    """(slice, its texts) over the column, each of about ``limit`` bytes or one longer text."""
     lo = 0
-    sizes = list(accumulate(len(t or "") for t in texts))
+    sizes = list(accumulate(n or 0 for n in pc.binary_length(texts).to_pylist()))
     for i in range(len(texts)):
         if i + 1 == len(texts) or sizes[i + 1] - (sizes[lo - 1] if lo else 0) > limit:
-            yield slice(lo, i + 1)
+            yield slice(lo, i + 1), texts.slice(lo, i + 1 - lo).to_pylist()
             lo = i + 1
 
 

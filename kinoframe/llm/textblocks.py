@@ -47,7 +47,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(20, int(n).bit_length()))
+    return _powers(1 << max(18, int(n).bit_length()))
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -107,7 +107,7 @@ class Block:
         return starts, mix(got[starts])
 
 
-def blocks(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, Block]]:
+def blocks(texts: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int, Block]]:
     """(from, to, block) over the column, each of about ``limit`` bytes or one longer text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()

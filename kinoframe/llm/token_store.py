@@ -92,9 +92,8 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int, *, id_col: str = "d
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in text_groups(texts):
-                ids = [pack_ids(np.r_[x, end]) for x in word_encoder(vocabulary).encode(texts[at])]
+            for at, texts in text_groups(batch.column(1)):
+                ids = [pack_ids(np.r_[x, end]) for x in word_encoder(vocabulary).encode(texts)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at.start, len(ids)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, "doc_id long, ids binary")
