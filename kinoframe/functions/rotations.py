@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def parts(v: Column, n: int) -> Vec:
     return [F.get(v, F.lit(i)) for i in range(n)]
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value made once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dot(a: Vec, b: Vec) -> Column:
     out = a[0] * b[0]
     for x, y in zip(a[1:], b[1:], strict=True):
@@ -33,25 +40,33 @@ def cross(a: Vec, b: Vec) -> Vec:
 
 def matrix_of_axis_angle(r: Column) -> Column:
     """Row-major 3x3 rotation of an axis-angle vector."""
-    x, y, z = parts(r, 3)
-    angle = norm([x, y, z])
-    small = angle < 1e-8
-    a, b = F.when(small, 1.0).otherwise(F.sin(angle) / angle), F.when(small, 0.5).otherwise((1 - F.cos(angle)) / (angle * angle))
-    return F.array(
-        1 - b * (y * y + z * z), b * x * y - a * z, b * x * z + a * y,
-        b * x * y + a * z, 1 - b * (x * x + z * z), b * y * z - a * x,
-        b * x * z - a * y, b * y * z + a * x, 1 - b * (x * x + y * y),
-    )
+
+    def made(v: Column) -> Column:
+        x, y, z, a, b = parts(v, 5)
+        return F.array(
+            1 - b * (y * y + z * z), b * x * y - a * z, b * x * z + a * y,
+            b * x * y + a * z, 1 - b * (x * x + z * z), b * y * z - a * x,
+            b * x * z - a * y, b * y * z + a * x, 1 - b * (x * x + y * y),
+        )
+
+    def scales(angle: Column) -> Column:
+        small = angle < 1e-8
+        return F.array(F.when(small, 1.0).otherwise(F.sin(angle) / angle), F.when(small, 0.5).otherwise((1 - F.cos(angle)) / (angle * angle)))
+
+    return bound(r, lambda v: bound(F.concat(v, bound(norm(parts(v, 3)), scales)), made))
 
 
 def quaternion_of_matrix(m: Column) -> Column:
     """(w, x, y, z), from the largest of the trace and the diagonal, so nothing small is divided by."""
+    return bound(m, _quaternion)
+
+
+def _quaternion(m: Column) -> Column:
     m00, m01, m02, m10, m11, m12, m20, m21, m22 = parts(m, 9)
     t = m00 + m11 + m22
 
     def of(square: Column, pick) -> Column:
-        s = 2 * F.sqrt(square)
-        return F.array(*pick(s))
+        return bound(2 * F.sqrt(square), lambda s: F.array(*pick(s)))
 
     w = of(1 + t, lambda s: (s / 4, (m21 - m12) / s, (m02 - m20) / s, (m10 - m01) / s))
     x = of(1 + m00 - m11 - m22, lambda s: ((m21 - m12) / s, s / 4, (m01 + m10) / s, (m02 + m20) / s))
@@ -61,7 +76,11 @@ def quaternion_of_matrix(m: Column) -> Column:
 
 
 def axis_angle_of_matrix(m: Column) -> Column:
-    w, x, y, z = parts(quaternion_of_matrix(m), 4)
+    return bound(quaternion_of_matrix(m), _axis_angle)
+
+
+def _axis_angle(q: Column) -> Column:
+    w, x, y, z = parts(q, 4)
     size = norm([x, y, z])
     sign = F.when(w < 0, -1.0).otherwise(1.0)
     angle = 2 * F.atan2(size, F.abs(w))
