@@ -19,10 +19,11 @@ the window is left whole. Further columns of ``docs`` are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +102,7 @@ def _windows_of(window: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column(3)))
             ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             spans = batch.column(3)
             for lo, hi, block in blocks(batch.column(2)):
@@ -118,11 +120,14 @@ def _windows_of(window: int):
     return run
 
 
-def duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): rows (doc_id, tag, text) of ``docs`` dealt by id, and duplicate
-    factors (doc_id, tag, begin, end) in words, which may overlap.
+def duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text: str = "text", rest: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(texts, spans): rows (doc_id, text, rest, tag) of ``docs``, and duplicate factors
+    (doc_id, tag, begin, end) in words, which may overlap.
+
+    Texts meet their spans by (doc_id, tag) here and at the caller; both joins take ``texts``
+    whole and keep its unmatched rows, so that Spark deals the texts once for both.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).withColumn("tag", _tag("text"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), *rest).withColumn("tag", _tag("text"))
     rows = texts.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "tag")
     index = (
         rows.mapInArrow(_index_rows(window, False), "anchor long, context long, doc_id long")
@@ -141,7 +146,7 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc
     whole = shared.filter("NOT mixed").select("doc_id", "tag", F.shiftright("at", 9).alias("begin"), (F.shiftright("at", 9) + F.col("at").bitwiseAND(511) + window).alias("end"))
     differing = shared.filter("mixed").groupBy("doc_id", "tag").agg(F.collect_list("at").alias("spans"))
     windows = (
-        rows.join(differing, ["doc_id", "tag"]).select("doc_id", "tag", "text", "spans")
+        texts.join(differing, ["doc_id", "tag"], "left").select("doc_id", "tag", "text", "spans", *rest)
         .mapInArrow(_windows_of(window), "window long, doc_id long, packed long")
     )
     firsts = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
@@ -167,12 +172,11 @@ def remove_duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str
     (the text itself if nothing is removed); with ``digest`` only the id, the counts and
     kept_sha256, of the words joined by one space in any case.
     """
-    texts, spans = duplicate_spans(docs, window, id_col=id_col, text=text)
+    rest = [] if digest else [c for c in docs.columns if c not in (id_col, text, "doc_id", "text", "n_words", "n_removed", "kept_text", "tag", "spans")]
+    texts, spans = duplicate_spans(docs, window, id_col=id_col, text=text, rest=rest)
     grouped = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     grouped = grouped.select("doc_id", "tag", F.flatten(F.transform("spans", lambda s: F.array(s["begin"], s["end"]))).alias("spans"))
-    rest = [] if digest else [c for c in docs.columns if c not in (id_col, text, "n_words", "n_removed", "kept_text", "tag", "spans")]
-    left = texts if digest else docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), *rest).withColumn("tag", _tag("text"))
-    joined = left.join(grouped, ["doc_id", "tag"], "left").select("doc_id", "text", "spans", *rest)
+    joined = texts.join(grouped, ["doc_id", "tag"], "left").select("doc_id", "text", "spans", *rest)
     fields = ["doc_id", *rest]
     types = dict(joined.dtypes)
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in fields), "n_words long", "n_removed long", "kept_sha256 string" if digest else "text string, kept_text string"])
