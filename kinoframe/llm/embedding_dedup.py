@@ -1,16 +1,20 @@
 """Embedding near-dedup by sorted projection passes.
 
 Equal vectors form a class and one of each goes on. In each pass a vector's code is the
-signs of its products with random directions, written one after the other; vectors are
+signs of its products with random directions, taken from its label's mean, so that a
+direction the label shares does not decide them, written one after the other; vectors are
 sorted by label and code, and each is compared with the next ``window`` vectors. Pairs
 at the threshold are links, of which a pass keeps a forest that spans the same components;
 components over all passes are the groups. Inside a group all pairs are then verified,
 tile by tile, so the number of links has no cap: the window bounds how groups are found.
 
-The number of passes comes from the target recall: two vectors at the threshold agree in
-a sign with probability 1 - angle / pi and meet if they agree in about as many signs as
-it takes to part a label's vectors into windows. Sorting deals vectors out by range, and
-neighbours on two sides of a border don't meet in that pass.
+The number of passes is measured. The first round has as many as evenly spread vectors
+would need for the target recall. Then a query set, ``queries`` vectors chosen by a hash,
+is held against all vectors of its labels: labels of which more links than the recall
+allows join two groups get twice the passes, and so on. A label no larger than passes
+times window is compared in full, tile by tile: that costs no more, and ends the rounds.
+Sorting deals vectors out by range, and neighbours on two sides of a border don't meet
+in that pass.
 
 Defined results: a vector that is null, empty, zero or holds null or non-finite parts, or
 has no label, links with nothing; vectors of different length never link; rows that share
@@ -35,7 +39,7 @@ SIGNS, TILE = 48, 512
 
 
 def passes_for(threshold: float, recall: float, rows: int, window: int) -> int:
-    """Passes that find a pair at the threshold with probability ``recall`` among ``rows`` vectors of a label."""
+    """Passes that find a pair at the threshold with probability ``recall`` among ``rows`` evenly spread vectors."""
     agree = 1 - math.acos(threshold) / math.pi
     meet = agree ** max(1.0, math.log2(max(2, rows) / window))
     return max(4, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
@@ -53,19 +57,45 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _codes(passes: int, seed: int):
+def _groups(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of each label and length, the first two columns, ``size`` at a time."""
+    keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1)], 1)
+    for key in np.unique(keys, axis=0):
+        part = batch.filter(pa.array((keys == key).all(1)))
+        for lo in range(0, len(part), size):
+            yield part.slice(lo, size)
+
+
+def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number and sum of the unit vectors of each label and length in a task."""
+    sums: dict[tuple, list] = {}
+    for batch in batches:
+        for rows in _groups(batch, 4096):
+            x = _unit(_rows(rows.column(2)))
+            one = sums.setdefault((rows.column(0)[0].as_py(), rows.column(1)[0].as_py()), [0, 0])
+            one[0] += len(x)
+            one[1] = one[1] + x.sum(0)
+    for (label, dims), (n, total) in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([label], pa.int64()), pa.array([dims], pa.int32()), pa.array([n], pa.int64()), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["label", "dims", "n", "total"])
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    """The rows of ``_sums`` of one label and length, one from each task, as its number and mean."""
+    n = sum(table.column("n").to_pylist())
+    mean = _rows(table.column("total")).sum(0) / n
+    return pa.table({"label": table.column("label").slice(0, 1), "dims": table.column("dims").slice(0, 1), "n": pa.array([n], pa.int64()), "centre": pa.array([mean.tolist()], pa.list_(pa.float64()))})
+
+
+def _codes(first: int, last: int, seed: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(1).to_numpy(zero_copy_only=False)
-            for d in np.unique(dims).tolist():
-                part = batch.filter(pa.array(dims == d))
-                for lo in range(0, len(part), 2048):
-                    rows = part.slice(lo, 2048)
-                    x = _unit(_rows(rows.column(3)))
-                    for p in range(passes):
-                        directions = np.random.default_rng([seed, p, d]).standard_normal((d, SIGNS))
-                        code = (x @ directions > 0) @ (1 << np.arange(SIGNS - 1, -1, -1, dtype=np.int64))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), p, np.int32)), *rows.columns[:2], pa.array(code), *rows.columns[2:]], names=["pass", "label", "dims", "code", "vec_id", "vector"])
+            for rows in _groups(batch, 2048):
+                d = rows.column(1)[0].as_py()
+                x = _unit(_rows(rows.column(3))) - _rows(rows.column(4).slice(0, 1))
+                for p in range(first, last):
+                    directions = np.random.default_rng([seed, p, d]).standard_normal((d, SIGNS))
+                    code = (x @ directions > 0) @ (1 << np.arange(SIGNS - 1, -1, -1, dtype=np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), p, np.int32)), *rows.columns[:2], pa.array(code), *rows.columns[2:4]], names=["pass", "label", "dims", "code", "vec_id", "vector"])
 
     return run
 
@@ -132,7 +162,93 @@ def _tile(threshold: float):
     return run
 
 
-def near_duplicate_vectors(vectors: DataFrame, *, threshold: float = 0.93, window: int = 32, recall: float = 0.999, seed: int = 7, id_col: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
+def _tile_forest(threshold: float):
+    """For each vector with links in the tile, the smallest one they reach."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, x = table.column("vec_id").to_numpy(), _unit(_rows(table.column("vector")))
+        order = np.argsort(ids)
+        ids, x = ids[order], x[order]
+        links, low, before = x @ x.T >= threshold, np.arange(len(ids)), None
+        np.fill_diagonal(links, True)
+        while before is None or (low != before).any():
+            before = low
+            low = np.where(links, low[None, :], len(ids)).min(1)
+        at = np.flatnonzero(low != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[at], pa.int64()), "b": pa.array(ids[low[at]], pa.int64())})
+
+    return run
+
+
+def _lost(threshold: float, queries: list):
+    """Links of the query set, and those among them that join two groups."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked: dict[tuple, list] = {}
+        for label, dims, *one in queries:
+            asked.setdefault((label, dims), []).append(one)
+        held = {k: (np.array([o[0] for o in v]), np.array([o[1] for o in v]), _unit(np.array([o[2] for o in v], np.float64))) for k, v in asked.items()}
+        for batch in batches:
+            for rows in _groups(batch, 2048):
+                key = (rows.column(0)[0].as_py(), rows.column(1)[0].as_py())
+                if key not in held:
+                    continue
+                ids, groups, q = held[key]
+                links = _unit(_rows(rows.column(4))) @ q.T >= threshold
+                links &= rows.column(2).to_numpy()[:, None] != ids[None, :]
+                apart = links & (rows.column(3).to_numpy()[:, None] != groups[None, :])
+                yield pa.RecordBatch.from_arrays([*(c.slice(0, 1) for c in rows.columns[:2]), pa.array([int(links.sum())], pa.int64()), pa.array([int(apart.sum())], pa.int64())], names=["label", "dims", "links", "lost"])
+
+    return run
+
+
+def _met(rows: DataFrame, by: list[str], tiles: DataFrame) -> DataFrame:
+    """``rows`` dealt into ``tiles`` of each group ``by``, every two of which meet once: side 0, 1, or 2 for a tile with itself."""
+    dealt = rows.join(tiles, by).withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.col("tiles")).cast("int"))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    side = F.when(F.col("tile") == F.col("other"), 2).when(F.col("tile") < F.col("other"), 0).otherwise(1)
+    return dealt.select(*by, F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), side.alias("side"), "vec_id", "copies", "vector")
+
+
+def _found_groups(reps: DataFrame, threshold: float, window: int, recall: float, queries: int, seed: int) -> DataFrame:
+    """(node, component) of vectors with links, by rounds of passes until the query set's recall holds."""
+    key = ["label", "dims"]
+    sums = reps.select(*key, "vector").mapInArrow(_sums, "label long, dims int, n long, total array<double>")
+    labels = written(sums.groupBy(*key).applyInArrow(_mean, "label long, dims int, n long, centre array<double>"), "centres")
+    asked = reps.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(queries).select(*key, "vec_id", "vector")
+    asked = written(asked, "queries")
+    order = ["pass", *key, "code", "vec_id"]
+    first, grouped = 0, None
+    # The largest label's size; one number.
+    passes = passes_for(threshold, recall, labels.agg(F.max("n")).first()[0] or 1, window)
+    while True:
+        small = labels.filter(F.col("n") <= passes * window)
+        large = labels.filter(F.col("n") > passes * window)
+        met = _met(reps, key, small.select(*key, F.ceil(F.col("n") / TILE).cast("int").alias("tiles")))
+        links = met.groupBy(*key, "t1", "t2").applyInArrow(_tile_forest(threshold), "a long, b long")
+        more = large.limit(1).count() > 0
+        if more:
+            coded = reps.join(large, key).select(*key, "vec_id", "vector", "centre")
+            coded = coded.mapInArrow(_codes(first, passes, seed), "pass int, label long, dims int, code long, vec_id long, vector array<double>")
+            near = coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(threshold, window), "a long, b long")
+            links = links.unionByName(near)
+        if grouped is not None:
+            links = links.unionByName(grouped.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        grouped = written(components(written(links, "vector-links")), "vector-groups")
+        if not more:
+            return grouped
+        group = F.coalesce("component", "vec_id").alias("group")
+        known = lambda rows: rows.join(grouped, F.col("vec_id") == F.col("node"), "left").select(*key, "vec_id", group, "vector")
+        held = [tuple(r) for r in known(asked.join(large.select(*key), key)).collect()]  # the query set
+        counted = known(reps.join(large.select(*key), key)).mapInArrow(_lost(threshold, held), "label long, dims int, links long, lost long")
+        counted = counted.groupBy(*key).agg(F.sum("links").alias("links"), F.sum("lost").alias("lost"))
+        labels = written(labels.join(counted.filter(F.col("lost") > (1 - recall) * F.col("links")).select(*key), key), "centres")
+        if not labels.limit(1).count():
+            return grouped
+        first, passes = passes, 2 * passes
+
+
+def near_duplicate_vectors(vectors: DataFrame, *, threshold: float = 0.93, window: int = 32, recall: float = 0.999, queries: int = 8192, seed: int = 7, id_col: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """One row for each vector: vec_id, n_links (others linked directly), component_id (the
     smallest id reachable by links) and kept, the one of each component with that id.
     """
@@ -146,20 +262,11 @@ def near_duplicate_vectors(vectors: DataFrame, *, threshold: float = 0.93, windo
     members = fit.select("vec_id", *key).join(classes, ["label", "h1", "h2", "dims"]).select("vec_id", "rep", "copies")
     reps = written(fit.join(classes.select(F.col("rep").alias("vec_id"), "copies"), "vec_id"), "classes")
 
-    # The largest label's size; one number.
-    largest = reps.groupBy("label", "dims").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
-    passes = passes_for(threshold, recall, largest, window)
-    coded = reps.select("label", "dims", "vec_id", "vector").mapInArrow(_codes(passes, seed), "pass int, label long, dims int, code long, vec_id long, vector array<double>")
-    order = ["pass", "label", "dims", "code", "vec_id"]
-    links = written(coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(threshold, window), "a long, b long"), "vector-links")
-    grouped = written(components(links), "vector-groups")
+    grouped = _found_groups(reps, threshold, window, recall, queries, seed)
 
     inside = reps.join(grouped, F.col("vec_id") == F.col("node")).drop("node")
-    inside = inside.join(grouped.groupBy("component").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("tiles")), "component")
-    inside = inside.withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.col("tiles")).cast("int"))
-    met = inside.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    side = F.when(F.col("tile") == F.col("other"), 2).when(F.col("tile") < F.col("other"), 0).otherwise(1)
-    met = met.select("component", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), side.alias("side"), "vec_id", "copies", "vector")
+    tiles = grouped.groupBy("component").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("tiles"))
+    met = _met(inside, ["component"], tiles)
     counts = met.groupBy("component", "t1", "t2").applyInArrow(_tile(threshold), "vec_id long, n long").groupBy(F.col("vec_id").alias("rep")).agg(F.sum("n").alias("n"))
     found = members.join(counts, "rep", "left").join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
     found = found.select("vec_id", F.coalesce("component", "rep").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))

@@ -69,6 +69,28 @@ def test_vectors(spark):
     assert near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("queries", [8192, 700])
+def test_vectors_that_share_a_direction(spark, queries):
+    """Mean cosine 0.88 inside one label, 0.8 in the other, and noisy copies: links lost by the target recall at most."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for label, (n, mean) in enumerate(((2200, 0.88), (1800, 0.8))):
+        shared = rng.standard_normal(64)
+        x = np.sqrt(mean) * shared / np.linalg.norm(shared) + np.sqrt(1 - mean) * rng.standard_normal((n, 64)) / 8
+        copies = x[:150] + 0.15 * np.sqrt(1 - mean) * rng.standard_normal((150, 64)) / 8
+        rows += [(10_000 * label + i, v.tolist(), label) for i, v in enumerate([*x, *copies])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in near_duplicate_vectors(df, queries=queries).collect()}
+    links = lost = 0
+    for label in (0, 1):
+        ids = np.array([r[0] for r in rows if r[2] == label])
+        x = np.array([r[1] for r in rows if r[2] == label])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        true = (x @ x.T >= 0.93).sum(1) - 1
+        links, lost = links + true.sum(), lost + (true - [got[i]["n_links"] for i in ids]).sum()
+    assert links > 600 and 0 <= lost <= 0.001 * links
+
+
 def test_passes_grow_with_the_rows_and_the_recall():
     assert passes_for(0.93, 0.99, 100, 32) <= passes_for(0.93, 0.99, 10**6, 32) <= passes_for(0.93, 0.9999, 10**6, 32)
 
