@@ -1,7 +1,9 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line, a template the set of a notice's words. A block matches when it
-holds at least ``threshold`` of the template's words. Words are ordered by how many
+A block is a line and the words that follow it in its paragraph, as many as the longest
+notice has, so that a notice wrapped over lines stands whole in the block of its first
+line; a template is the set of a notice's words. A block matches when it holds at least
+``threshold`` of the template's words. Words are ordered by how many
 blocks of the corpus hold them, rarest first. A match needs ``need`` common words, so
 one of the template's rarest ``size - need + 1`` is in the block (prefix filter), the
 block has ``need`` template words at all (length filter), and after the first common
@@ -55,10 +57,13 @@ def _need(size: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * size - 1e-9))
 
 
-def _blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(doc_id, line, block, held): every line, and the template words in it."""
+def _blocks(docs: DataFrame, vocabulary: list[str], following: int) -> DataFrame:
+    """(doc_id, line, block, held): every line with up to ``following`` more words of its paragraph, and the template words in it."""
     known = F.array(*map(F.lit, vocabulary))
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "block"))
+    gap = NO_WORD.replace("\\x00-\\x2F", "\\x00-\\x09\\x0B-\\x2F")[:-1] + "*+"
+    word = NO_WORD.replace("[", "[^")[:-1] + "++"
+    block = rf"(?md)^(?=([^\n]*+(?:{gap}\n?+{gap}{word}){{0,{following}}}+))"
+    lines = docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(block), 1)).alias("line", "block"))
     return lines.withColumn("held", F.array_intersect(known, _words(F.col("block"))))
 
 
@@ -69,7 +74,7 @@ def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TE
     sets = [(i, label, sorted(set(notice.split()))) for i, (label, notice) in enumerate(templates)]
     vocabulary = sorted({w for _, _, words in sets for w in words})
     rows = [(i, label, w, len(words), _need(len(words), threshold)) for i, label, words in sets for w in words]
-    blocks = _blocks(docs, vocabulary)
+    blocks = _blocks(docs, vocabulary, max((len(notice.split()) for _, notice in templates), default=0))
     if not rows:
         return blocks.select("doc_id", "line", "block", F.lit("").alias("label"), F.lit(0.0).alias("containment")).limit(0)
     counts = blocks.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))

@@ -203,6 +203,20 @@ def test_matching_blocks_lose_none_to_the_filters(docs, spark):
         assert got == want
 
 
+def test_wrapped_notices(spark):
+    texts = [
+        ("Copyright Some One\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:", "bsd"),
+        (" * This Source Code Form is subject to the terms of the Mozilla Public\r\n * License, v. 2.0. If a copy of the MPL was not distributed", "mpl-2.0"),
+        ("# this is free\n# and unencumbered\n# software\n# released into\n# the public\n# domain", "unlicense"),
+        ("a\n\nReleased under\nthe MIT\nlicense.\nLicensed under the Apache\nLicense, Version 2.0", "apache-2.0,mit"),
+        ("Released under the\n\nMIT license", ""),
+        ("", ""),
+        (None, ""),
+    ]
+    got = scan_licenses(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string"))
+    assert {r["doc_id"]: r["labels"] for r in got.collect()} == {i: label for i, (_, label) in enumerate(texts)}
+
+
 def test_mixing(docs, rows, empty):
     got = mix_schedule(docs).collect()
     assert len(got) == len(rows) and got
