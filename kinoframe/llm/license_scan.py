@@ -7,8 +7,10 @@ line; a template is the set of a notice's words. A block matches when it holds a
 blocks of the corpus hold them, rarest first. A match needs ``need`` common words, so
 one of the template's rarest ``size - need + 1`` is in the block (prefix filter), the
 block has ``need`` template words at all (length filter), and after the first common
-word enough are left on both sides (positional filter); what passes is counted in full.
-Words outside all templates can't be common and are left out before the join.
+word enough are left on both sides (positional filter); what passes is counted in full, in
+windows of at most ``SPAN`` times the template's words, so that a long line does not
+gather them from anywhere. A window must also hold what tells a label from its
+neighbours: the licence's own name and its version. Words outside all templates can't be common and are left out before the join.
 
 Phrases are found beside that, word by word, at every place of the text.
 
@@ -38,6 +40,46 @@ TEMPLATES = (
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
+#: Further notices, of licenses that differ from the above in a word or two.
+NEIGHBOURS = (
+    ("agpl-3.0", "this work is licensed under the gnu affero general public license version 3"),
+    ("apache-1.1", "licensed under the apache license version 1 1"),
+    ("cc-by-4.0", "licensed under cc by 4 0"),
+    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-nc-4.0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nc-nd-4.0", "licensed under cc by nc nd 4 0"),
+    ("cc-by-nc-nd-4.0", "this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license"),
+    ("cc-by-nc-sa-4.0", "licensed under cc by nc sa 4 0"),
+    ("cc-by-nc-sa-4.0", "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
+    ("cc-by-nd-4.0", "licensed under cc by nd 4 0"),
+    ("cc-by-nd-4.0", "this work is licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-sa-4.0", "licensed under cc by sa 4 0"),
+    ("gpl-2.0", "this work is licensed under the gnu general public license version 2"),
+    ("lgpl-2.1", "this work is licensed under the gnu lesser general public license version 2 1"),
+    ("lgpl-3.0", "this work is licensed under the gnu lesser general public license version 3"),
+    ("mpl-1.1", "this source code form is subject to the terms of the mozilla public license v 1 1"),
+)
+_CC = r" (?:by|attribution){} (?:(?:international|public|license|version|v) )*4 0 "
+#: What a block's words, joined by spaces, must hold to get the label.
+TELLING = {
+    "agpl-3.0": r" affero general public license (?:v|version) 3 ",
+    "apache-1.1": r" apache (?:software )?license (?:v|version) 1 1 ",
+    "apache-2.0": r" apache (?:software )?license (?:v |version )?2 ",
+    "cc-by-4.0": _CC.format(""),
+    "cc-by-nc-4.0": _CC.format(" (?:nc|noncommercial)"),
+    "cc-by-nc-nd-4.0": _CC.format(" (?:nc|noncommercial) (?:nd|noderivatives|noderivs)"),
+    "cc-by-nc-sa-4.0": _CC.format(" (?:nc|noncommercial) (?:sa|sharealike)"),
+    "cc-by-nd-4.0": _CC.format(" (?:nd|noderivatives|noderivs)"),
+    "cc-by-sa-4.0": _CC.format(" (?:sa|sharealike)"),
+    "gpl-2.0": r" gnu general public license (?:v|version) 2 ",
+    "gpl-3.0": r" gnu general public license (?:v|version) 3 ",
+    "lgpl-2.1": r" lesser general public license (?:v|version) 2 1 ",
+    "lgpl-3.0": r" lesser general public license (?:v|version) 3 ",
+    "mpl-1.1": r" mozilla public license (?:v|version) 1 1 ",
+    "mpl-2.0": r" mozilla public license (?:v|version) 2 0 ",
+}
+#: A match's words lie within so many times the template's number of words.
+SPAN = 3
 #: All of ASCII but digits and lower-case letters; applied to lower-case text.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -67,18 +109,18 @@ def _blocks(docs: DataFrame, vocabulary: list[str], following: int) -> DataFrame
     return lines.withColumn("held", F.array_intersect(known, _words(F.col("block"))))
 
 
-def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES + NEIGHBOURS, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line, block, label, containment) of every block and template that match; blocks are in lower case."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("doc_id"), _lower(F.col(text)).alias("text"))
     sets = [(i, label, sorted(set(notice.split()))) for i, (label, notice) in enumerate(templates)]
     vocabulary = sorted({w for _, _, words in sets for w in words})
-    rows = [(i, label, w, len(words), _need(len(words), threshold)) for i, label, words in sets for w in words]
+    rows = [(i, label, w, len(words), _need(len(words), threshold), TELLING.get(label, "")) for i, label, words in sets for w in words]
     blocks = _blocks(docs, vocabulary, max((len(notice.split()) for _, notice in templates), default=0))
     if not rows:
         return blocks.select("doc_id", "line", "block", F.lit("").alias("label"), F.lit(0.0).alias("containment")).limit(0)
     counts = blocks.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    wanted = spark.createDataFrame(rows, "template int, label string, word string, size int, need int")
+    wanted = spark.createDataFrame(rows, "template int, label string, word string, size int, need int, telling string")
     rarest = [F.coalesce("n", F.lit(0)), F.col("word")]
     in_template = Window.partitionBy("template").orderBy("n", "word")
     every = Window.partitionBy(F.lit(0))
@@ -91,15 +133,25 @@ def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TE
         .withColumn("order", F.transform("order", lambda s: s["word"]))
         .filter(F.col("place") <= F.col("size") - F.col("need") + 1)
     )
-    least = min(need for *_, need in rows)
+    least = min(need for *_, need, _ in rows)
     here = F.array_position(F.array_intersect("order", "held"), F.col("word"))
     left = F.least(F.col("size") - F.col("place"), F.size("held") - here)
-    common = F.size(F.array_intersect("notice", "held"))
+    words, span = F.col("words"), SPAN * F.col("size")
+    starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_contains("notice", F.element_at(words, i)))
+    starts = F.when(F.size(words) <= span, F.array(F.lit(1))).otherwise(starts)
+    windows = F.transform(starts, lambda i: F.slice(words, i, span))
+    enough = F.filter(windows, lambda w: F.size(F.array_intersect("notice", w)) >= F.col("need"))
+    told = F.filter("windows", lambda w: F.regexp_like(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), F.col("telling")))
+    common = F.array_max(F.transform(F.col("windows"), lambda w: F.size(F.array_intersect("notice", w))))
     return (
         blocks.filter(F.size("held") >= least)
         .select("*", F.explode("held").alias("word"))
         .join(F.broadcast(prefixes), "word")  # a few rows for each template
         .filter((F.size("held") >= F.col("need")) & (left + 1 >= F.col("need")))
+        .filter(F.size(F.array_intersect("notice", "held")) >= F.col("need"))
+        .withColumn("words", _words(F.col("block")))
+        .withColumn("windows", enough)
+        .withColumn("windows", told)
         .withColumn("common", common)
         .filter("common >= need")
         .groupBy("doc_id", "line", "label")
@@ -107,7 +159,7 @@ def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TE
     )
 
 
-def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES + NEIGHBOURS, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: doc_id, n_words, the places of phrases (n_base, first_word,
     last_word, base_labels), labels of phrases and templates, and score, the largest containment.
     """

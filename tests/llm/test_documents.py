@@ -217,6 +217,30 @@ def test_wrapped_notices(spark):
     assert {r["doc_id"]: r["labels"] for r in got.collect()} == {i: label for i, (_, label) in enumerate(texts)}
 
 
+def test_neighbouring_licenses_are_told_apart(spark):
+    cc, gnu = "This work is licensed under a Creative Commons", "This work is licensed under the GNU"
+    far = " ".join(f"{w} " + "x " * 30 for w in "released under the mit license".split())
+    texts = [
+        ("Licensed under CC BY 4.0.", {"cc-by-4.0"}),
+        ("Licensed under CC BY-SA 4.0.", {"cc-by-sa-4.0"}),
+        ("Licensed under CC BY-NC 4.0.", {"cc-by-nc-4.0"}),
+        ("Licensed under CC BY-NC-SA 4.0.", {"cc-by-nc-sa-4.0"}),
+        ("Licensed under CC BY-SA 4.0.\nLicensed under CC BY-NC 4.0.", {"cc-by-sa-4.0", "cc-by-nc-4.0"}),
+        (f"{cc} Attribution 4.0 International License", {"cc-by-4.0"}),
+        (f"{cc} Attribution-NonCommercial 4.0 International License", {"cc-by-nc-4.0"}),
+        (f"{cc} Attribution-ShareAlike 4.0 International License", {"cc-by-sa-4.0"}),
+        (f"{gnu} General Public License, version 2", {"gpl-2.0"}),
+        (f"{gnu} General Public License, version 3", {"gpl-3.0"}),
+        (f"{gnu} Lesser General Public License, version 3", {"lgpl-3.0"}),
+        (f"{far} and so on", set()),
+        ("x " * 600 + "Released under the MIT License. " + "x " * 600, {"mit"}),
+        ("x " * 600 + "Licensed under the Apache License, Version 2.0. " + "x " * 600, {"apache-2.0"}),
+    ]
+    got = scan_licenses(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string"))
+    labels = {r["doc_id"]: set(r["labels"].split(",")) - {"", *r["base_labels"].split(",")} for r in got.collect()}
+    assert labels == {i: label for i, (_, label) in enumerate(texts)}
+
+
 def test_mixing(docs, rows, empty):
     got = mix_schedule(docs).collect()
     assert len(got) == len(rows) and got
