@@ -295,13 +295,13 @@ def zscore(spark, d):
 @query()
 def kmeans_labels(spark, d):
     e = table(spark, d, "embeddings")
-    return vectors.nearest_center(e, "vec_id", "embedding", vectors.kmeans(e, "vec_id", "embedding", 10, iterations=10)).select("vec_id", "center")
+    return vectors.nearest_center(e, "vec_id", "embedding", vectors.kmeans(e, "vec_id", "embedding", 10)).select("vec_id", "center")
 
 
 @query()
 def minibatch_labels(spark, d):
     e = table(spark, d, "embeddings")
-    return vectors.nearest_center(e, "vec_id", "embedding", vectors.minibatch_kmeans(e, "vec_id", "embedding", 10, iterations=5)).select("vec_id", "center")
+    return vectors.nearest_center(e, "vec_id", "embedding", vectors.minibatch_kmeans(e, "vec_id", "embedding", 10)).select("vec_id", "center")
 
 
 @query()
