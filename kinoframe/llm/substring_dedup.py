@@ -1,19 +1,25 @@
 """Substring dedup by relative Lempel-Ziv parsing.
 
 The reference is the corpus itself. Its blocks are the phrases around content-chosen
-anchors: every window of ``window`` words has as its anchor the four-word
-gram with the smallest hash in the window (the leftmost of equals), and a block is all
-windows that choose one anchor. Every block of every document is indexed by anchor.
-Equal passages choose equal anchors, so a document parses greedily into the blocks
-that a document with a smaller id holds too: where all blocks of an anchor agree, the
-block is one factor; where they differ, at the boundaries of a factor, its windows
-are checked one by one. Factors are ``window`` words or longer, and overlapping ones
-join into duplicate spans.
+anchors: every window of ``window`` words has as its anchor the four-word gram with the
+smallest hash in the window (the leftmost of equals), and a block is all windows that
+choose one anchor. Every block of every document is indexed by its anchor: the first
+document that holds the anchor, the place of its block there, and a hash of the block's
+words. Equal passages choose equal anchors, so a document parses into factors: a factor
+starts at a block that equals its reference's block, in a document with a smaller id, and
+goes on, greedily, as long as the next block equals the next one of the same reference.
+Factors are ``window`` words or longer. Where a block differs from its reference though
+several documents hold its anchor, at the boundaries of factors, its windows are checked
+one by one against those of all other such blocks. Factors and windows found are the
+duplicate spans, which may overlap.
+
+Anchors and windows that a large part of all blocks share are split among tasks.
 
 Defined results: a null text has no words; rows with a null id are left whole and
 serve no other as reference; rows that share an id are no reference for each other
-and are cut each by its own text; repeated rows are cut alike; a text shorter than
-the window is left whole. Further columns of ``docs`` are not read.
+and are cut each by its own text (told apart by 30 bits of its hash); repeated rows are
+cut alike; a text shorter than the window is left whole. Further columns of ``docs`` are
+not read.
 """
 
 from __future__ import annotations
@@ -23,20 +29,23 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import salted
 from .storage import written
 from .textblocks import Block, U, blocks, mix, span_hashes
 
 WINDOW, ANCHOR = 13, 4
-_TAG_BITS = 20
+#: A block's place packed in 64 bits: its first window, its number of windows less one, its text's tag.
+_TAG_BITS, _SIZE_BITS = 30, 4
+_TAG = (1 << _TAG_BITS) - 1
+_OTHER = U(0x2545F4914F6CDD1D)
 
 
 def _tag(text: str):
     """Tells texts apart that share an id."""
-    return F.xxhash64(text).bitwiseAND((1 << _TAG_BITS) - 1)
+    return F.xxhash64(text).bitwiseAND(_TAG)
 
 
 def _anchored(block: Block, words: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -63,13 +72,8 @@ def _anchored(block: Block, words: np.ndarray, window: int) -> tuple[np.ndarray,
     return first[k], last, place[k], best[k]
 
 
-def _contexts(words: np.ndarray, s1: np.ndarray, s2: np.ndarray, place: np.ndarray, window: int) -> np.ndarray:
-    shape = ((place - s1) * 64 + (s2 - s1)).astype(U)
-    return mix(span_hashes(words, s1, s2 + window) + mix(shape + U(1)))
-
-
-def _index_rows(window: int, spans: bool):
-    """Python side of the two scans: anchor, and either its context or its place in the document."""
+def _block_rows(window: int):
+    """Every block of every text: anchor, hash of its words and shape, document, packed place."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,86 +81,99 @@ def _index_rows(window: int, spans: bool):
             ids, tags = ids.to_numpy(zero_copy_only=False), tags.to_numpy(zero_copy_only=False)
             for lo, hi, block in blocks(texts):
                 words = block.words()
-                s1, s2, place, h = _anchored(block, words, window)
-                if not len(h):
+                s1, s2, place, anchor = _anchored(block, words, window)
+                if not len(anchor):
                     continue
                 text = block.text_of[s1]
-                doc = ids[lo:hi][text]
-                if spans:
-                    begin = s1 - block.first[text]
-                    packed = (begin << 29) | ((s2 - s1) << _TAG_BITS) | tags[lo:hi][text]
-                    out = [h.view(np.int64), doc, packed]
-                    names = ["anchor", "doc_id", "packed"]
-                else:
-                    c = _contexts(words, s1, s2, place, window)
-                    key, keep = np.unique(mix(h) + c + mix(text.astype(U)), return_index=True)
-                    out = [h.view(np.int64)[keep], c.view(np.int64)[keep], doc[keep]]
-                    names = ["anchor", "context", "doc_id"]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
+                shape = ((place - s1) * 64 + (s2 - s1)).astype(U)
+                content = mix(span_hashes(words, s1, s2 + window) + mix(shape + U(1)))
+                packed = ((s1 - block.first[text]) << (_TAG_BITS + _SIZE_BITS)) | ((s2 - s1) << _TAG_BITS) | tags[lo:hi][text]
+                out = [anchor.view(np.int64), content.view(np.int64), ids[lo:hi][text], packed]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["anchor", "content", "doc_id", "packed"])
 
     return run
 
 
 def _windows_of(window: int):
-    """Windows of the blocks that differ between documents: key, and place in the document."""
+    """Windows of the stretches to check: two hashes, document, and packed place."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column(3)))
             ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            spans = batch.column(3)
+            stretches = batch.column(3)
             for lo, hi, block in blocks(batch.column(2)):
                 words = block.words()
-                part = spans.slice(lo, hi - lo)
-                packed = part.flatten().to_numpy(zero_copy_only=False)
-                text = np.repeat(np.arange(hi - lo), part.value_lengths().to_numpy(zero_copy_only=False))
-                n = (packed & 511) + 1
-                at = np.repeat((packed >> 9) + block.first[text], n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+                part = stretches.slice(lo, hi - lo)
+                ends = part.flatten().to_numpy(zero_copy_only=False)
+                text = np.repeat(np.arange(hi - lo), part.value_lengths().to_numpy(zero_copy_only=False) // 2)
+                begin, n = ends[::2], ends[1::2] - ends[::2] - window + 1
+                at = np.repeat(begin + block.first[text], n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
                 text = np.repeat(text, n)
-                key = span_hashes(words, at, at + window)
-                out = [key.view(np.int64), ids[lo:hi][text], (at - block.first[text]) << _TAG_BITS | tags[lo:hi][text]]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["window", "doc_id", "packed"])
+                keys = (span_hashes(w, at, at + window).view(np.int64) for w in (words, mix(words ^ _OTHER)))
+                out = [*keys, ids[lo:hi][text], (at - block.first[text]) << _TAG_BITS | tags[lo:hi][text]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["w1", "w2", "doc_id", "packed"])
 
     return run
 
 
+def parse_factors(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Factors of (doc_id, text, tag): one row for each stretch of words, its begin and end, with
+    its reference's id and begin; a stretch whose blocks differ from their references, which is
+    still to be checked, has none.
+    """
+    found = rows.mapInArrow(_block_rows(window), "anchor long, content long, doc_id long, packed long")
+    index = (
+        found.groupBy("anchor")
+        # Of rows with one id all of these take the same row.
+        .agg(F.min("doc_id").alias("ref_id"), F.min_by("content", "doc_id").alias("ref_content"), F.min_by(F.shiftrightunsigned("packed", _TAG_BITS + _SIZE_BITS), "doc_id").alias("ref_at"),
+             F.max("doc_id").alias("most"), (F.min("content") != F.max("content")).alias("mixed"), F.count("*").alias("n"))
+        .filter("ref_id < most").drop("most")
+    )
+    dealt, index = salted(found, written(index, "anchors"), ["anchor"], "doc_id")
+    at = F.shiftrightunsigned("packed", _TAG_BITS + _SIZE_BITS)
+    windows = F.shiftrightunsigned("packed", _TAG_BITS).bitwiseAND((1 << _SIZE_BITS) - 1) + 1
+    factor = (F.col("content") == F.col("ref_content")) & (F.col("ref_id") < F.col("doc_id"))
+    matched = (
+        dealt.join(index, ["anchor", "_salt"])
+        .select("doc_id", F.col("packed").bitwiseAND(_TAG).alias("tag"), at.alias("at"), windows.alias("n"), *(F.when(factor, F.col(c)).alias(c) for c in ("ref_id", "ref_at")), "mixed")
+        .filter("mixed OR ref_id IS NOT NULL")
+    )
+    along = Window.partitionBy("doc_id", "tag").orderBy("at")
+    goes_on = (
+        (F.lag(F.col("at") + F.col("n")).over(along) == F.col("at"))
+        & F.lag("ref_id").over(along).eqNullSafe(F.col("ref_id"))
+        & F.lag(F.col("ref_at") - F.col("at")).over(along).eqNullSafe(F.col("ref_at") - F.col("at"))
+    )
+    numbered = matched.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("factor", F.sum("new").over(along))
+    return numbered.groupBy("doc_id", "tag", "factor").agg(
+        F.min("at").alias("begin"), (F.max(F.col("at") + F.col("n")) + (window - 1)).alias("end"), F.first("ref_id").alias("ref_id"), F.min("ref_at").alias("ref_begin")
+    ).drop("factor")
+
+
+def _flat(spans: str):
+    return F.flatten(F.transform(spans, lambda s: F.array(s["begin"], s["end"])))
+
+
 def duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text: str = "text", rest: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): rows (doc_id, text, rest, tag) of ``docs``, and duplicate factors
+    """(texts, spans): rows (doc_id, text, rest, tag) of ``docs``, and duplicate spans
     (doc_id, tag, begin, end) in words, which may overlap.
-
-    Texts meet their spans by (doc_id, tag) here and at the caller; both joins take ``texts``
-    whole and keep its unmatched rows, so that Spark deals the texts once for both.
     """
+    if window - ANCHOR >= 1 << _SIZE_BITS:
+        raise ValueError(f"a window has at most {ANCHOR + (1 << _SIZE_BITS) - 1} words")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), *rest).withColumn("tag", _tag("text"))
     rows = texts.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "tag")
-    index = (
-        rows.mapInArrow(_index_rows(window, False), "anchor long, context long, doc_id long")
-        .groupBy("anchor")
-        .agg(*(f(c).alias(a) for c, lo, hi in (("context", "c1", "c2"), ("doc_id", "least", "most")) for f, a in ((F.min, lo), (F.max, hi))))
-        .filter("least < most")
-        .select("anchor", "least", (F.col("c1") != F.col("c2")).alias("mixed"))
-    )
-    shared = written(
-        rows.mapInArrow(_index_rows(window, True), "anchor long, doc_id long, packed long")
-        .join(index, "anchor")
-        .filter("mixed OR doc_id > least")
-        .select("doc_id", (F.col("packed").bitwiseAND((1 << _TAG_BITS) - 1)).alias("tag"), F.shiftright("packed", _TAG_BITS).alias("at"), "mixed"),
-        "anchors",
-    )
-    whole = shared.filter("NOT mixed").select("doc_id", "tag", F.shiftright("at", 9).alias("begin"), (F.shiftright("at", 9) + F.col("at").bitwiseAND(511) + window).alias("end"))
-    differing = shared.filter("mixed").groupBy("doc_id", "tag").agg(F.collect_list("at").alias("spans"))
-    windows = (
-        texts.join(differing, ["doc_id", "tag"], "left").select("doc_id", "tag", "text", "spans", *rest)
-        .mapInArrow(_windows_of(window), "window long, doc_id long, packed long")
+    factors = written(parse_factors(rows, window), "factors")
+    differing = factors.filter("ref_id IS NULL").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    windows = written(
+        rows.join(differing, ["doc_id", "tag"]).select("doc_id", "tag", "text", _flat("spans").alias("spans"))
+        .mapInArrow(_windows_of(window), "w1 long, w2 long, doc_id long, packed long"),
+        "windows",
     )
-    firsts = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    checked = (
-        windows.join(firsts, "window")
-        .filter("doc_id > least")
-        .select("doc_id", F.col("packed").bitwiseAND((1 << _TAG_BITS) - 1).alias("tag"), F.shiftright("packed", _TAG_BITS).alias("begin"))
-        .withColumn("end", F.col("begin") + window)
-    )
-    return texts, whole.unionByName(checked)
+    firsts = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n")).filter("least < most").drop("most")
+    dealt, firsts = salted(windows, written(firsts, "first-windows"), ["w1", "w2"], "doc_id")
+    begin = F.shiftrightunsigned("packed", _TAG_BITS)
+    checked = dealt.join(firsts, ["w1", "w2", "_salt"]).filter("doc_id > least").select("doc_id", F.col("packed").bitwiseAND(_TAG).alias("tag"), begin.alias("begin"), (begin + window).alias("end"))
+    return texts, factors.filter("ref_id IS NOT NULL").select("doc_id", "tag", "begin", "end").unionByName(checked)
 
 
 def _cut(spans: np.ndarray, n: int) -> np.ndarray:
@@ -174,8 +191,7 @@ def remove_duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str
     """
     rest = [] if digest else [c for c in docs.columns if c not in (id_col, text, "doc_id", "text", "n_words", "n_removed", "kept_text", "tag", "spans")]
     texts, spans = duplicate_spans(docs, window, id_col=id_col, text=text, rest=rest)
-    grouped = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    grouped = grouped.select("doc_id", "tag", F.flatten(F.transform("spans", lambda s: F.array(s["begin"], s["end"]))).alias("spans"))
+    grouped = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("spans")).withColumn("spans", _flat("spans"))
     joined = texts.join(grouped, ["doc_id", "tag"], "left").select("doc_id", "text", "spans", *rest)
     fields = ["doc_id", *rest]
     types = dict(joined.dtypes)
