@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .license_scan import PHRASES, TEMPLATES
+from .quality import BOILERPLATE, NAVIGATION, TERMINAL, UNSPACED
 
 #: Dated entries (list, rule, blocks, adds, day of 2024).
 URL_ENTRIES = (
@@ -88,9 +89,41 @@ k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)"""
 
+
+
+def _op7_sql() -> str:
+    quoted = lambda x: x.replace("'", "''")
+    inner = r"0-9a-z\x{80}-\x{10FFFF}"
+    whole = lambda p: rf"regexp_matches(low, '(?:^|[^{inner}]){p}(?:$|[^{inner}])')"
+    unspaced = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in UNSPACED)
+    notices, menu = " OR ".join(map(whole, BOILERPLATE)), " + ".join(f"CASE WHEN {whole(p)} THEN {p.count(' ') + 1} ELSE 0 END" for p in NAVIGATION)
+    n = lambda pattern: f"len(regexp_extract_all(line, '{pattern}'))"
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+g AS (SELECT doc_id, i, ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] AS g FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - 2)) AS i FROM d WHERE len(ws) >= 3)),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(3)) AS k FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1) GROUP BY doc_id),
+s AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM d),
+l AS (SELECT *, lower(line) AS low, regexp_extract_all(line, '{WORD}') AS lw, row_number() OVER (PARTITION BY doc_id, line ORDER BY line_no) > 1 AS dup FROM s),
+m AS (SELECT *, len(lw) AS n, len(lw) + {n(f"[{unspaced}]")} // 2 AS size, right(lw[len(lw)], 1) AS last FROM l WHERE len(lw) > 0),
+f AS (SELECT doc_id, n, dup,
+        dup OR ((NOT contains('{quoted(TERMINAL)}', last) OR last = '…' OR regexp_matches(line, '\.\.\.[\x20\x09-\x0D]*$')) AND size < 10)
+        OR {n("[#*$%&|<>]")} > 0.25 * size OR {n("[|]")} > 0.15 * size OR {n("!")} > 0.5 * size OR (({notices}) AND size < 20)
+        OR ({menu} > 0 AND 2 * ({menu}) >= n)
+        OR ({n("[A-Z]")} > 0.6 * {n("[A-Za-z]")} AND {n("[A-Za-z]")} >= 10 AND size < 20)
+        OR len(list_filter(lw, lambda x: regexp_matches(x, '[0-9]') AND NOT regexp_matches(x, '[A-Za-z\x{{80}}-\x{{10FFFF}}]'))) > 0.5 * n
+        OR len(list_filter(range(1, n), lambda i: lw[i] = lw[i + 1])) > 0.3 * size AS fails FROM m),
+t AS (SELECT doc_id, sum(CASE WHEN dup THEN 1 ELSE 0 END) AS dups, sum(CASE WHEN fails THEN n ELSE 0 END) AS lost FROM f GROUP BY doc_id),
+o AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, len(array_to_string(ws, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+        coalesce(dups, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(lost, 0)::BIGINT AS n_lost_words
+      FROM d LEFT JOIN r USING (doc_id) LEFT JOIN t USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_lost_words <= 0.5 * n_words AS kept FROM o"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": _op1_sql(),
     "op3_url_filter": _op3_sql(),
     "op4_substring_dedup": _OP4_SQL,
     "op5_mixing": _OP5_SQL,
+    "op7_quality_rules": _op7_sql(),
 }

@@ -94,6 +94,28 @@ def test_quality_removes_lines_and_keeps_clean_documents(spark):
     assert got[2]["n_lost_words"] == 9 + 9 + 3
 
 
+def line_verdicts(spark, lines):
+    """Which lines go, each in a document of twelve others that stay."""
+    rng = random.Random(11)
+    filler = "\n".join(" ".join("w%d" % rng.randrange(10**6) for _ in range(14)) + "." for _ in range(12))
+    got = line_first_quality(spark.createDataFrame([(i, filler + "\n" + x) for i, x in enumerate(lines)], "doc_id long, text string"), cleaned=True)
+    return {lines[r["doc_id"]]: r["clean_text"] == filler for r in got.collect()}
+
+
+def test_quality_of_single_lines(spark):
+    stay = [
+        "The design in question is an elegant one for its age.", "She found the dialog in the third act wanting.", "Он вчера это сделал и пошёл домой, а потом мы долго говорили.",
+        "Он вчера это делает.", "彼は昨日その仕事を終えて、家に帰った。", "これは長い日本語の文章で句読点がないまま続いていくものです", "He asked why she baked one cookie only.", "Она ушла…\u201d",
+        "You have to sign in at the desk before you may enter.", "เขาไปทำงานเมื่อวานนี้แล้วกลับบ้านตอนเย็นกับเพื่อนของเขา", "Why not?", "Was ist das！",
+    ]
+    go = [
+        "Home | About | News", "All rights reserved.", "Sign in to continue.", "Click here to read more!", "Он вчера это сделал", "en bæ", "Read the rest...", "日本語", "This site uses cookies to improve what you see.",
+        "BUY THIS GREAT THING NOW OR NEVER.", "123 456 789 1011 1213 1415 1617 1819 2021 2223.", "the the the the the the the the the the the the.", "#a #b #c #d #e #f #g #h #i #j #k.", "wow!! wow!! yes!! wow!!",
+    ]
+    got = line_verdicts(spark, stay + go)
+    assert [x for x in stay if got[x]] == [] and [x for x in go if not got[x]] == []
+
+
 def brute_spans(rows, n=13):
     first = {}
     for i, t in rows:
