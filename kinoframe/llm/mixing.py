@@ -1,13 +1,14 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Sources share a budget of words by weight, none beyond a multiple of its size. Each
-source's documents stand in a shuffled order and, where its target is larger than the
-source, stand there again. A copy's virtual finish time is the words of its source up
-to its end, divided by the source's target; all copies are sorted by that time, and
-the order is cut at the budget, inside a document if need be.
+source's documents stand in a shuffled order, all of them, and then stand there again.
+A copy's virtual finish time is the words of its source up to its end, divided by the
+source's target; the copies of all sources are sorted by that time, and the order is cut
+at the budget, inside a document if need be. At time 1 each source has its target, so
+that what it gets differs from it by a document at most.
 
-Running sums take two steps, so that no source and no stretch of time is one task's
-work: sums of buckets of the order first, then positions inside each bucket.
+Orders are ranges over many tasks. A running sum adds to a row's place in its range the
+sums of the ranges before, of which there is one row for each range (and source).
 
 Defined results: a null text has size 0 and is never taken; a null source is a source
 of its own, last in order; rows that share an id count each for themselves; equal rows
@@ -23,12 +24,10 @@ from pyspark.sql import functions as F
 from .storage import written
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows of a bucket of an order, about.
-BUCKET = 4_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
-    """(source, source_size, rows, target) of each (source, source_size, rows): level = the weight's worth at which the budget is used up.
+    """(source, source_size, target) of each (source, source_size): level = the weight's worth at which the budget is used up.
 
     One row for each source; the sources' order and running sums need them in one task.
     """
@@ -45,48 +44,22 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
         .withColumn("level", (F.col("budget") - F.sum("cap").over(by_ratio) + F.col("cap")) / (F.sum("weight").over(everything) - F.sum("weight").over(by_ratio) + F.col("weight")))
         .withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "place", "level"))).over(everything)["level"])
         .withColumn("target", F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))))
-        .select("source", "source_size", "rows", "target")
+        .select("source", "source_size", "target")
     )
 
 
-def _running(df: DataFrame, group: list[str], bucket: Column, order: list[Column | str], value: str, out: str) -> DataFrame:
-    """``df`` with the sum of ``value`` over the rows before each in its group's order, of which ``bucket`` is a coarse form."""
-    df = df.withColumn("_b", bucket)
-    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy(*group, "_b").agg(F.sum(value).alias("_s")).withColumn("_s", F.coalesce(F.sum("_s").over(before), F.lit(0)))
-    sums = sums.select(*(F.col(g).alias(f"_{g}") for g in group), F.col("_b").alias("_k"), "_s")
-    same = F.col("_b") == F.col("_k")
+def _running(df: DataFrame, group: list[str], order: list[Column | str], value: str, out: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows before each in ``order``, in its group (a prefix of the order)."""
+    ranged = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*group, "_range").agg(F.sum(value).alias("_s")).withColumn("_s", F.coalesce(F.sum("_s").over(before), F.lit(0)))
+    sums = sums.select(*(F.col(g).alias(f"_{g}") for g in group), F.col("_range").alias("_r"), "_s")
+    same = F.col("_range") == F.col("_r")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
-    inside = Window.partitionBy(*group, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = df.join(sums, same).withColumn(out, F.col("_s") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    return summed.drop("_b", "_k", "_s", *(f"_{g}" for g in group))
-
-
-def _copies(docs: DataFrame, weights: tuple[int, ...], share: float, most: float, seed: str, id_col: str, text: str, source: str) -> DataFrame:
-    """A row for each document and copy: what is taken of it, and its place in the mixture."""
-    if most > 2:
-        raise ValueError("a document stands in the order twice at most")
-    sized = written(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("shuffle"), F.xxhash64(text).alias("tag"),
-        ).withColumn("row", F.monotonically_increasing_id()),
-        "sizes",
-    )
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
-    sources = written(source_targets(sources, weights, share, most), "sources").withColumnRenamed("source", "_source")
-    docs_ = sized.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("quota", F.floor("target"))
-    place = F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    buckets = F.ceil(F.col("rows") / F.lit(BUCKET))
-    served = _running(docs_, ["source"], F.floor(place * buckets), ["shuffle", "size", "tag", "row"], "size", "done")
-    first = F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - F.col("done")))
-    again = F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - F.col("source_size") - F.col("done")))
-    copies = served.select("*", F.posexplode(F.array(first, again)).alias("copy", "served")).filter("copy = 0 OR served > 0")
-    finish = (F.col("copy") * F.col("source_size") + F.col("done") + F.col("served")) / F.col("target")
-    # Virtual time runs from 0 to 1; copies that get nothing stand after it, at 2.
-    copies = copies.withColumn("finish", F.when(F.col("served") > 0, finish).otherwise(F.lit(2.0)))
-    return written(copies, "copies")
+    inside = Window.partitionBy("_range", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_i", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(sums, same)
+    return summed.withColumn(out, F.col("_s") + F.col("_i")).drop("_range", "_r", "_s", "_i", *(f"_{g}" for g in group))
 
 
 def mix_schedule(
@@ -99,21 +72,36 @@ def mix_schedule(
     words is the budget; no target is over ``most`` times its source's size. Without
     ``by_row`` there is a row for each copy taken instead, with its tag and copy.
     """
-    copies = _copies(docs, weights, share, most, seed, id_col, text, source)
-    # The budget is the sum of the sources' quotas; one row.
-    total = copies.agg(F.count("*").alias("n"), F.coalesce(F.sum("served"), F.lit(0)).alias("words")).first()
-    buckets = -(-max(1, total["n"]) // BUCKET)
-    taken = copies.filter("served > 0")
-    placed = _running(taken, [], F.floor(F.col("finish") * buckets), ["finish", "source", "shuffle", "copy", "row"], "served", "mix_start")
-    placed = placed.filter(F.col("mix_start") < total["words"])
+    if most != int(most) or share > most:
+        raise ValueError("most is a whole number, and share not larger")
+    sized = written(
+        docs.select(
+            F.col(id_col).alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("shuffle"), F.xxhash64(text).alias("tag"),
+        ).withColumn("row", F.monotonically_increasing_id()),
+        "sizes",
+    )
+    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sources = written(source_targets(sources, weights, share, most), "sources").withColumnRenamed("source", "_source")
+    # The budget; one row.
+    budget = int((sized.agg(F.sum("size")).first()[0] or 0) * share)
+    served = _running(sized.filter("size > 0"), ["source"], [F.col("source"), "shuffle", "size", "tag", "row"], "size", "done")
+    finish = (F.col("copy") * F.col("source_size") + F.col("done") + F.col("size")) / F.col("target")
+    copies = (
+        served.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(int(most) - 1))))
+        .withColumn("finish", finish)
+        .drop("done", "source_size", "target")
+    )
+    placed = _running(copies, [], ["finish", "source", "shuffle", "copy", "tag", "row"], "size", "mix_start")
+    placed = placed.filter(F.col("mix_start") < budget).withColumn("served", F.least("size", F.lit(budget) - F.col("mix_start")))
     if not by_row:
         return placed.select("doc_id", "tag", "row", "copy", "size", "served", "mix_start")
-    none = copies.filter("copy = 0 AND served = 0").withColumn("mix_start", F.lit(None).cast("long"))
+    taken = placed.groupBy(F.col("row").alias("_row")).agg(F.sum("served").alias("taken"), F.min("mix_start").alias("mix_start"))
     return (
-        placed.unionByName(none)
-        .groupBy("row")
-        .agg(*(F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")), F.sum("served").alias("taken"), F.min("mix_start").alias("mix_start"))
-        .drop("row")
+        sized.join(taken, F.col("row") == F.col("_row"), "left")
+        .join(sources, F.col("source").eqNullSafe(F.col("_source")))
+        .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "mix_start")
     )
 
 

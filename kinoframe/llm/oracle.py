@@ -70,13 +70,13 @@ r AS (SELECT *, cap / weight AS ratio, sum(source_size) OVER ()::BIGINT * 1.5::D
 l AS (SELECT *, (budget - sum(cap) OVER o + cap) / (sum(weight) OVER () - sum(weight) OVER o + weight) AS level FROM r
       WINDOW o AS (ORDER BY ratio, source NULLS LAST)),
 t AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, ratio) FROM l WHERE level <= ratio) * weight, cap)) AS target FROM l),
-c AS (SELECT d.*, source_size, target, floor(target)::BIGINT AS quota, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY shuffle, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS done
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-x AS (SELECT *, greatest(0, least(size, quota - done)) AS a, greatest(0, least(size, quota - source_size - done)) AS b FROM c),
-y AS (SELECT doc_id, source, shuffle, copy, served, (copy * source_size + done + served) / target AS finish
-      FROM (SELECT *, unnest([0, 1]) AS copy, unnest([a, b]) AS served FROM x) WHERE served > 0),
-z AS (SELECT doc_id, sum(served) OVER (ORDER BY finish, source, shuffle, copy) - served AS pos FROM y)
-SELECT doc_id, size, source_size, target, (a + b)::BIGINT AS taken, (SELECT min(pos) FROM z WHERE z.doc_id = x.doc_id)::BIGINT AS mix_start FROM x"""
+c AS (SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source ORDER BY shuffle, size) AS done
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source WHERE size > 0),
+y AS (SELECT *, (copy * source_size + done) / target AS finish FROM (SELECT *, unnest([0, 1]) AS copy FROM c)),
+z AS (SELECT *, sum(size) OVER (ORDER BY finish, source NULLS FIRST, shuffle, copy) - size AS pos, (SELECT floor(sum(size) * 1.5::DOUBLE) FROM d)::BIGINT AS budget FROM y),
+x AS (SELECT doc_id, min(pos) AS mix_start, sum(least(size, budget - pos)) AS taken FROM z WHERE pos < budget GROUP BY doc_id)
+SELECT d.doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, mix_start::BIGINT AS mix_start
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN x USING (doc_id)"""
 
 _OP4_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS ws FROM documents),

@@ -288,7 +288,8 @@ def test_mixing(docs, rows, empty):
     for s in order:
         mine = [r for r in by_size[size[s]]]
         assert mine[0]["target"] == pytest.approx(target[s])
-    assert sum(r["taken"] for r in got) == sum(int(target[s] + 1e-6) for s in order)
+        assert abs(sum(r["taken"] for r in mine) - target[s]) <= max(r["size"] for r in mine)
+    assert sum(r["taken"] for r in got) == int(1.5 * total)
     assert sorted(map(str, got)) == sorted(map(str, mix_schedule(docs.repartition(5)).collect()))
     assert mix_schedule(empty).count() == 0
 
