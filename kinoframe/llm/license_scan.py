@@ -1,16 +1,17 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line and the words that follow it in its paragraph, as many as the longest
-notice has, so that a notice wrapped over lines stands whole in the block of its first
-line; a template is the set of a notice's words. A block matches when it holds at least
-``threshold`` of the template's words. Words are ordered by how many
-blocks of the corpus hold them, rarest first. A match needs ``need`` common words, so
-one of the template's rarest ``size - need + 1`` is in the block (prefix filter), the
-block has ``need`` template words at all (length filter), and after the first common
-word enough are left on both sides (positional filter); what passes is counted in full, in
-windows of at most ``SPAN`` times the template's words, so that a long line does not
-gather them from anywhere. A window must also hold what tells a label from its
-neighbours: the licence's own name and its version. Words outside all templates can't be common and are left out before the join.
+A block is a paragraph: lines up to one without a word. A template is the set of a notice's
+words. A block matches when a window in it, of at most ``SPAN`` times the template's words,
+holds at least ``threshold`` of them, and what tells the label from its neighbours: the
+license's own name and its version.
+
+One scan cuts all texts into words and keeps, of each document, the words that are in any
+template; the others can't be common. Words are ordered by how many documents hold them,
+rarest first. A match needs ``need`` common words, so one of the template's rarest
+``size - need + 1`` is there (prefix filter), there are ``need`` template words at all
+(length filter), and after the first common word enough are left on both sides (positional
+filter). Documents that pass with a template are cut into blocks, and windows round the
+places of the template's rarest words are counted in full.
 
 Phrases are found beside that, word by word, at every place of the text.
 
@@ -23,9 +24,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import written
+
 #: Phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 #: Labels and notices.
@@ -59,9 +62,31 @@ NEIGHBOURS = (
     ("lgpl-3.0", "this work is licensed under the gnu lesser general public license version 3"),
     ("mpl-1.1", "this source code form is subject to the terms of the mozilla public license v 1 1"),
 )
+#: Notices as the licenses' texts or headers give them, up to a sentence or paragraph.
+HEADERS = (
+    ("boost-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license to use reproduce display distribute execute and transmit the software"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("cc0-1.0", "to the extent possible under law the person who associated cc0 with this work has waived all copyright and related or neighboring rights to this work"),
+    ("epl-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0"),
+    ("gpl-2.0-or-later", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl-3.0-or-later", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("lgpl-2.1-or-later", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
+)
 _CC = r" (?:by|attribution){} (?:(?:international|public|license|version|v) )*4 0 "
 #: What a block's words, joined by spaces, must hold to get the label.
 TELLING = {
+    "boost-1.0": r" any person or organization obtaining ",
+    "cc0-1.0": r" cc0 ",
+    "epl-2.0": r" eclipse public license (?:v |version )?2 0 ",
+    "gpl-2.0-or-later": r" gnu general public license as published .*either version 2 of ",
+    "gpl-3.0-or-later": r" gnu general public license as published .*either version 3 of ",
+    "lgpl-2.1-or-later": r" gnu lesser general public license as published .*either version 2 1 of ",
+    "mit": r" (?:mit license|person obtaining a copy of this software|merge publish distribute sublicense) ",
+    "zlib": r" granted to anyone to use ",
     "agpl-3.0": r" affero general public license (?:v|version) 3 ",
     "apache-1.1": r" apache (?:software )?license (?:v|version) 1 1 ",
     "apache-2.0": r" apache (?:software )?license (?:v |version )?2 ",
@@ -78,10 +103,13 @@ TELLING = {
     "mpl-1.1": r" mozilla public license (?:v|version) 1 1 ",
     "mpl-2.0": r" mozilla public license (?:v|version) 2 0 ",
 }
+ALL_TEMPLATES = TEMPLATES + NEIGHBOURS + HEADERS
 #: A match's words lie within so many times the template's number of words.
 SPAN = 3
 #: All of ASCII but digits and lower-case letters; applied to lower-case text.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Between blocks: an end of line, and a line without a word.
+NO_LINE = r"\n[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]*\n"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -99,73 +127,88 @@ def _need(size: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * size - 1e-9))
 
 
-def _blocks(docs: DataFrame, vocabulary: list[str], following: int) -> DataFrame:
-    """(doc_id, line, block, held): every line with up to ``following`` more words of its paragraph, and the template words in it."""
-    known = F.array(*map(F.lit, vocabulary))
-    gap = NO_WORD.replace("\\x00-\\x2F", "\\x00-\\x09\\x0B-\\x2F")[:-1] + "*+"
-    word = NO_WORD.replace("[", "[^")[:-1] + "++"
-    block = rf"(?md)^(?=([^\n]*+(?:{gap}\n?+{gap}{word}){{0,{following}}}+))"
-    lines = docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(block), 1)).alias("line", "block"))
-    return lines.withColumn("held", F.array_intersect(known, _words(F.col("block"))))
-
-
-def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES + NEIGHBOURS, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, line, block, label, containment) of every block and template that match; blocks are in lower case."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("doc_id"), _lower(F.col(text)).alias("text"))
-    sets = [(i, label, sorted(set(notice.split()))) for i, (label, notice) in enumerate(templates)]
-    vocabulary = sorted({w for _, _, words in sets for w in words})
-    rows = [(i, label, w, len(words), _need(len(words), threshold), TELLING.get(label, "")) for i, label, words in sets for w in words]
-    blocks = _blocks(docs, vocabulary, max((len(notice.split()) for _, notice in templates), default=0))
-    if not rows:
-        return blocks.select("doc_id", "line", "block", F.lit("").alias("label"), F.lit(0.0).alias("containment")).limit(0)
-    counts = blocks.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    wanted = spark.createDataFrame(rows, "template int, label string, word string, size int, need int, telling string")
-    rarest = [F.coalesce("n", F.lit(0)), F.col("word")]
-    in_template = Window.partitionBy("template").orderBy("n", "word")
-    every = Window.partitionBy(F.lit(0))
-    prefixes = (
-        wanted.join(counts, "word", "left")
-        .withColumn("n", rarest[0])
-        .withColumn("place", F.row_number().over(in_template))
-        .withColumn("notice", F.collect_list("word").over(Window.partitionBy("template")))
-        .withColumn("order", F.array_sort(F.collect_set(F.struct("n", "word")).over(every)))
-        .withColumn("order", F.transform("order", lambda s: s["word"]))
-        .filter(F.col("place") <= F.col("size") - F.col("need") + 1)
+def _sets(templates: tuple[tuple[str, str], ...], threshold: float) -> list[tuple[int, str, list[str], int]]:
+    """(number, label, words, need) of each template."""
+    words = [(label, sorted(set(notice.split()))) for label, notice in templates]
+    return [(i, label, w, _need(len(w), threshold)) for i, (label, w) in enumerate(words)]
+
+
+def _held(words: Column, sets: list) -> Column:
+    """The words that are in any template."""
+    known = sorted({w for _, _, words_, _ in sets for w in words_})
+    return F.array_intersect(F.array(*map(F.lit, known)).cast("array<string>"), words)
+
+
+def _candidates(tokens: DataFrame, sets: list) -> tuple[DataFrame, dict[int, list[str]]]:
+    """(doc_id, templates) of documents that pass the filters with a template, and each template's prefix."""
+    spark = tokens.sparkSession
+    # One row for each word of the templates.
+    counts = {r["word"]: r["n"] for r in tokens.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
+    rarest = lambda w: (counts.get(w, 0), w)
+    rows, prefix = [], {}
+    for i, _, words, need in sets:
+        ordered = sorted(words, key=rarest)
+        prefix[i] = ordered[: len(words) - need + 1]
+        rows += [(w, i, place, len(words), need) for place, w in enumerate(prefix[i], 1)]
+    order = F.array(*map(F.lit, sorted({w for _, _, words, _ in sets for w in words}, key=rarest)))
+    prefixes = spark.createDataFrame(rows, "word string, template int, place int, size int, need int")
+    here = F.array_position("ordered", F.col("word"))
+    left = F.least(F.col("size") - F.col("place"), F.size("ordered") - here)
+    passed = (
+        tokens.filter(F.size("held") >= min(need for *_, need in sets))
+        .select("doc_id", F.array_intersect(order, F.col("held")).alias("ordered"))
+        .select("*", F.explode("ordered").alias("word"))
+        .join(F.broadcast(prefixes), "word")  # a few rows for each template
+        .filter((F.size("ordered") >= F.col("need")) & (left + 1 >= F.col("need")))
     )
-    least = min(need for *_, need, _ in rows)
-    here = F.array_position(F.array_intersect("order", "held"), F.col("word"))
-    left = F.least(F.col("size") - F.col("place"), F.size("held") - here)
-    words, span = F.col("words"), SPAN * F.col("size")
-    starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_contains("notice", F.element_at(words, i)))
-    starts = F.when(F.size(words) <= span, F.array(F.lit(1))).otherwise(starts)
+    return passed.groupBy("doc_id").agg(F.collect_set("template").alias("templates")), prefix
+
+
+def _verified(docs: DataFrame, candidates: DataFrame, sets: list, prefix: dict[int, list[str]]) -> DataFrame:
+    """(doc_id, at, block, label, containment) of the blocks of ``docs`` (doc_id, lower-case text) that match."""
+    rows = [(i, label, words, prefix[i], need, TELLING.get(label, "")) for i, label, words, need in sets]
+    notices = docs.sparkSession.createDataFrame(rows, "template int, label string, notice array<string>, prefix array<string>, need int, telling string")
+    words, size = F.col("words"), F.size("words")
+    span = SPAN * F.size("notice")
+    places = F.filter(F.sequence(F.lit(1), size), lambda i: F.array_contains("prefix", F.element_at(words, i)))
+    near = F.transform(places, lambda q: F.filter(F.sequence(F.greatest(F.lit(1), q - span + 1), q), lambda i: F.array_contains("notice", F.element_at(words, i))))
+    starts = F.when(size <= span, F.array(F.lit(1))).otherwise(F.array_distinct(F.flatten(near)))
+    common = lambda w: F.size(F.array_intersect("notice", w))
     windows = F.transform(starts, lambda i: F.slice(words, i, span))
-    enough = F.filter(windows, lambda w: F.size(F.array_intersect("notice", w)) >= F.col("need"))
-    told = F.filter("windows", lambda w: F.regexp_like(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), F.col("telling")))
-    common = F.array_max(F.transform(F.col("windows"), lambda w: F.size(F.array_intersect("notice", w))))
+    enough = F.filter(windows, lambda w: (common(w) >= F.col("need")) & F.regexp_like(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), F.col("telling")))
+    own = docs.join(candidates.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
     return (
-        blocks.filter(F.size("held") >= least)
-        .select("*", F.explode("held").alias("word"))
-        .join(F.broadcast(prefixes), "word")  # a few rows for each template
-        .filter((F.size("held") >= F.col("need")) & (left + 1 >= F.col("need")))
-        .filter(F.size(F.array_intersect("notice", "held")) >= F.col("need"))
+        own.select("doc_id", "templates", F.posexplode(F.split("text", NO_LINE)).alias("at", "block"))
         .withColumn("words", _words(F.col("block")))
-        .withColumn("windows", enough)
-        .withColumn("windows", told)
-        .withColumn("common", common)
-        .filter("common >= need")
-        .groupBy("doc_id", "line", "label")
-        .agg(F.first("block").alias("block"), F.max(F.col("common") / F.col("size")).alias("containment"))
-    )
+        .withColumn("held", _held(words, sets))
+        .select("*", F.explode("templates").alias("template")).drop("templates")
+        .join(F.broadcast(notices), "template")  # a row for each template
+        .filter(F.size(F.array_intersect("notice", "held")) >= F.col("need"))
+        .withColumn("most", F.array_max(F.transform(enough, common)))
+        .filter("most IS NOT NULL")
+        .groupBy("doc_id", "at", "label")
+        .agg(F.first("block").alias("block"), F.max(F.col("most") / F.size("notice")).alias("containment"))
+    )
+
+
+def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = ALL_TEMPLATES, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, at, block, label, containment) of every block and template that match: the block's
+    number in its text, and its text in lower case.
+    """
+    docs = docs.select(F.col(id_col).alias("doc_id"), _lower(F.col(text)).alias("text"))
+    sets = _sets(templates, threshold)
+    tokens = written(docs.select("doc_id", _held(_words(F.col("text")), sets).alias("held")), "license-words")
+    candidates, prefix = _candidates(tokens, sets)
+    return _verified(docs, candidates, sets, prefix)
 
 
-def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES + NEIGHBOURS, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = ALL_TEMPLATES, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: doc_id, n_words, the places of phrases (n_base, first_word,
     last_word, base_labels), labels of phrases and templates, and score, the largest containment.
     """
-    found = matching_blocks(docs, templates, threshold, id_col=id_col, text=text)
-    found = found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_score"))
-    words = docs.select(F.col(id_col).alias("doc_id"), _words(_lower(F.coalesce(F.col(text), F.lit("")))).alias("words"))
+    sets = _sets(templates, threshold)
+    lower = docs.select(F.col(id_col).alias("doc_id"), _lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
+    words = lower.select("doc_id", _words(F.col("text")).alias("words"))
     at = None
     may = F.lit(False)
     for phrase, label in PHRASES:
@@ -182,14 +225,22 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
         at = lambda w, i, was=was, starts=starts, label=label: F.when(starts(w, i), F.lit(label)).otherwise(was(w, i) if was else F.lit(None))
     marked = F.filter(F.transform("words", lambda w, i: F.struct(i.cast("long").alias("at"), at(w, i).alias("label"))), lambda s: s["label"].isNotNull())
     none = F.array().cast("array<struct<at: bigint, label: string>>")
-    base = words.select("doc_id", F.size("words").cast("long").alias("n_words"), F.when(may, marked).otherwise(none).alias("hits"))
+    base = words.select("doc_id", F.size("words").cast("long").alias("n_words"), F.when(may, marked).otherwise(none).alias("hits"), _held(F.col("words"), sets).alias("held"))
     places, names = F.transform("hits", lambda s: s["at"]), F.array_distinct(F.transform("hits", lambda s: s["label"]))
     base = base.select(
         "doc_id", "n_words", F.size("hits").cast("long").alias("n_base"), F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
-        F.array_sort(names).alias("_base"),
+        F.array_sort(names).alias("_base"), "held",
     )
+    base = written(base, "license-words")
+    if sets:
+        candidates, prefix = _candidates(base, sets)
+        found = _verified(lower, written(candidates, "license-candidates"), sets, prefix)
+        found = found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_score"))
+        base = base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    else:
+        base = base.withColumns({"_labels": F.lit(None).cast("array<string>"), "_score": F.lit(None).cast("double")})
     labels = F.array_sort(F.array_union("_base", F.coalesce("_labels", F.array().cast("array<string>"))))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("_score", F.lit(0.0)))
-    return base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
+    return base.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("_base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score")
     )
