@@ -2,14 +2,18 @@
 
 Each entry of a list adds a rule or takes it off at a time; ordered by time they become
 intervals, from an entry to the next of the same list and rule. A capture meets the
-rules of its host, of every domain above it, and of its host and first path segment,
-and of these the intervals that hold its fetch time: an as-of join on rule and time.
-Of the rules active, the longest decides, and of equals a blocking list.
+rules of its host, of every domain above it, and of its host and first path segment. The
+join on rule and time is as-of: captures and entries of a rule and list are sorted together
+by time, and each capture sees the entry before it, whose interval holds it. So a rule
+with many intervals costs no more than its entries. Of the rules active, the longest
+decides, and of equals a blocking list. Rules that a large part of all captures meet are
+split among tasks, each with all of the rule's entries.
 
 Defined results: a null or host-less url has a null host and meets no rule; a null
 fetch time meets none; entries of one list, rule and time count in the order remove,
-add, so that an add stays; repeated captures give a row each; empty lists leave every
-capture without verdict. Columns of ``captures`` beside the three named are not kept.
+add, so that an add stays; entries with a null are left out; repeated captures give a row
+each; empty lists leave every capture without verdict. Columns of ``captures`` beside the
+three named are not kept.
 """
 
 from __future__ import annotations
@@ -17,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Longest host name that DNS allows; a longer one has no domains above it.
-LONGEST_HOST = 253
+from .skew import salted
+from .storage import written
 
 
 def url_host(url: Column) -> Column:
@@ -27,12 +31,11 @@ def url_host(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def rule_keys(url: Column, host: Column) -> Column:
-    """Rules that may meet the url: the host, the domains above it, and host/first segment."""
-    labels = F.split(host, r"\.")
-    above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def rule_keys(url: Column, host: Column, labels: int) -> Column:
+    """Rules of at most ``labels`` labels that may meet the url: the host, the domains above it, and host/first segment."""
+    size = F.size(F.split(host, r"\."))
+    domains = F.transform(F.sequence(F.lit(1), F.least(size, F.lit(max(1, labels)))), lambda i: F.call_function("substring_index", host, F.lit("."), -i))
     segment = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)
-    domains = F.when(F.length(host) <= LONGEST_HOST, above).otherwise(F.array(host))
     with_path = F.when(segment != "", F.array(F.concat(host, F.lit("/"), segment))).otherwise(F.array().cast("array<string>"))
     return F.array_distinct(F.concat(domains, with_path))
 
@@ -41,25 +44,39 @@ def list_intervals(entries: DataFrame) -> DataFrame:
     """(rule, list, blocks, valid_from, valid_to) of entries (list, rule, blocks, adds, at); valid_to is null while a rule stands."""
     order = Window.partitionBy("list", "rule").orderBy("at", "adds")
     return (
-        entries.dropDuplicates(["list", "rule", "at", "adds"])
+        entries.dropna().dropDuplicates(["list", "rule", "at", "adds"])
         .withColumn("valid_to", F.lead("at").over(order))
         .filter("adds AND (valid_to IS NULL OR valid_to > at)")
         .select("rule", "list", "blocks", F.col("at").alias("valid_from"), "valid_to")
-    )
+    )
+
+
+def as_of(asked: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Rows (rule, list, _salt, at, ...) of ``asked`` with the interval that holds ``at``, if there is one: blocks."""
+    marks = intervals.select("rule", "list", "_salt", F.col("valid_from").alias("at"), F.struct("blocks", "valid_to").alias("entry"))
+    both = asked.withColumn("asks", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    along = Window.partitionBy("rule", "list", "_salt").orderBy("at", F.col("asks").asc_nulls_first())
+    seen = both.withColumn("entry", F.last("entry", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return seen.filter("asks AND entry IS NOT NULL AND (entry.valid_to IS NULL OR at < entry.valid_to)").withColumn("blocks", F.col("entry.blocks")).drop("entry", "asks")
 
 
 def url_verdicts(captures: DataFrame, entries: DataFrame, *, id_col: str = "page_id", url: str = "url", at: str = "fetched") -> DataFrame:
     """One row for each capture: its id, url, host, fetch time, n_active, verdict (block, allow or none) and rule."""
     own = captures.select(F.col(id_col).alias("_id"), F.col(url).alias("_url"), F.col(at).alias("_at")).groupBy("_id", "_url", "_at").agg(F.count("*").alias("_n"))
     own = own.withColumn("host", url_host(F.col("_url")))
+    intervals = written(list_intervals(entries), "intervals")
+    lists = intervals.groupBy("rule").agg(F.collect_set("list").alias("lists"))
+    # One number: no domain of more labels than the longest rule's can meet one.
+    labels = intervals.agg(F.max(F.size(F.split("rule", r"\.")))).first()[0] or 1
+    asked = own.filter("host IS NOT NULL AND _at IS NOT NULL").select("_id", "_url", F.col("_at").alias("at"), F.explode(rule_keys(F.col("_url"), F.col("host"), labels)).alias("rule"))
+    counted = written(asked.groupBy("rule").agg(F.count("*").alias("n")).join(lists, "rule"), "rules-met")
+    dealt, rules = salted(asked, counted, ["rule"], "_id")
+    spread = intervals.join(rules.select("rule", "_salt"), "rule")
     met = (
-        own.filter("host IS NOT NULL AND _at IS NOT NULL")
-        .select("_id", "_url", "_at", F.explode(rule_keys(F.col("_url"), F.col("host"))).alias("rule"))
-        .join(list_intervals(entries), "rule")
-        .filter((F.col("valid_from") <= F.col("_at")) & (F.col("valid_to").isNull() | (F.col("_at") < F.col("valid_to"))))
-        .groupBy("_id", "_url", "_at")
+        as_of(dealt.join(rules, ["rule", "_salt"]).select("_id", "_url", "at", "rule", "_salt", F.explode("lists").alias("list")), spread)
+        .groupBy("_id", "_url", "at")
         .agg(F.count("*").alias("n_active"), F.max(F.struct(F.length("rule").alias("length"), "blocks", "rule")).alias("top"))
-        .select(F.col("_id").alias("_i"), F.col("_url").alias("_u"), F.col("_at").alias("_a"), "n_active", "top")
+        .select(F.col("_id").alias("_i"), F.col("_url").alias("_u"), F.col("at").alias("_a"), "n_active", "top")
     )
     same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_url") == F.col("_u")) & (F.col("_at") == F.col("_a"))
     verdict = F.when(F.col("top").isNull(), "none").when(F.col("top.blocks"), "block").otherwise("allow")

@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 from kinoframe.llm.embedding_dedup import near_duplicate_vectors, passes_for
 from kinoframe.llm.graph import components
 from kinoframe.llm.language_id import Pieces, held_out, learn_languages, predict_languages
+from kinoframe.llm.quality import BOILERPLATE, NAVIGATION, TERMINAL
 from kinoframe.llm.url_filter import list_intervals, url_verdicts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -103,7 +104,7 @@ def test_urls(spark):
     rng = random.Random(2)
     hosts = ["a.example.com", "b.a.example.com", "example.org", "x.org", "A.Example.COM", "u:p@x.org:80"]
     captures = [(i, f"http://{rng.choice(hosts)}/{rng.choice(['', 'en/1', 'de?x=/y', 'en#t'])}", day(rng.randrange(40))) for i in range(300)]
-    captures += [captures[0], captures[0], (900, None, day(1)), (901, "no url", day(1)), (902, "http://x.org/", None), (None, "http://x.org/", day(3)), (903, "http://" + "a." * 200 + "example.com/", day(9))]
+    captures += [captures[0], captures[0], (900, None, day(1)), (901, "no url", day(1)), (902, "http://x.org/", None), (None, "http://x.org/", day(3)), (903, "http://" + "a." * 400 + "example.com/", day(9))]
     rules = ["example.com", "a.example.com", "a.example.com/en", "org", "x.org", "com"]
     entries = [(rng.choice("LM"), rng.choice(rules), None, rng.random() < 0.6, day(rng.randrange(40))) for _ in range(120)]
     entries = [(a, b, a == "L", c, d) for a, b, _, c, d in entries]
@@ -117,7 +118,7 @@ def test_urls(spark):
         if host is None or at is None:
             return host, 0, "none", None
         labels = host.split(".")
-        keys = {".".join(labels[k:]) for k in range(len(labels))} if len(host) <= 253 else {host}
+        keys = {".".join(labels[k:]) for k in range(len(labels))}
         seg = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", url)
         if seg:
             keys.add(f"{host}/{seg[1]}")
@@ -185,18 +186,24 @@ def brute_quality(text):
     cover = {k + j for k in range(len(w) - 2) if grams[tuple(w[k : k + 3])] > 1 for j in range(3)}
     if len(w) < 50 or 100 * len(cover) > 50 * len(w):
         return None
-    phrases = "all rights reserved|privacy policy|terms of use|terms of service|cookie|javascript|lorem ipsum|subscribe|sign in|log in|click here|read more"
     seen, kept, lost = set(), [], 0
     for line in text.split("\n"):
         x = word.findall(line)
         if not x:
             kept.append(line)
             continue
-        n = len(x)
-        fails = line in seen or (n < 10 and x[-1].encode()[-1] not in b".!?\"')]:;\xa6\x9d\xbb")
-        fails |= len(re.findall(r"[#*$%&|<>]", line)) > 0.25 * n or line.count("|") > 0.15 * n or line.count("!") > 0.5 * n
-        fails |= n < 20 and re.search(phrases, re.sub("[A-Z]", lambda m: m[0].lower(), line)) is not None
-        fails |= sum(a == b for a, b in zip(x, x[1:])) > 0.3 * n
+        n, low = len(x), line.lower()
+        size = n + len(re.findall("[\u0e00-\u0fff\u1000-\u107f\u1780-\u17ff\u3000-\u9fff\uf900-\ufaff\uff00-\uffff\U00020000-\U0002ffff]", line)) // 2
+        held = lambda phrases: [p for p in phrases if re.search(r"(?<![0-9a-z\x80-\U0010ffff])" + p + r"(?![0-9a-z\x80-\U0010ffff])", low)]  # noqa: E731, B023
+        fails = line in seen or (size < 10 and (x[-1][-1] not in TERMINAL or x[-1].endswith(("…", "..."))))
+        fails |= len(re.findall(r"[#*$%&|<>]", line)) > 0.25 * size or line.count("|") > 0.15 * size or line.count("!") > 0.5 * size
+        fails |= size < 20 and bool(held(BOILERPLATE))
+        menu = sum(len(p.split()) for p in held(NAVIGATION))
+        fails |= menu > 0 and 2 * menu >= n
+        letters = re.findall("[A-Za-z]", line)
+        fails |= len(letters) >= 10 and sum(c < "a" for c in letters) > 0.6 * len(letters) and size < 20
+        fails |= sum(bool(re.search("[0-9]", w)) and not re.search("[A-Za-z\x80-\U0010ffff]", w) for w in x) > 0.5 * n
+        fails |= sum(a == b for a, b in zip(x, x[1:])) > 0.3 * size
         seen.add(line)
         lost += n * fails
         if not fails:
