@@ -149,12 +149,79 @@ def test_all_segmentations_are_summed():
             return np.ones(2)
         return sum((p[index[word[:k]]] * brute(word[k:]) for k in range(1, len(word) + 1) if word[:k] in index), np.zeros(2))
 
-    words = [b" the", b" a", b" stra\xc3\x9fe", b" other", b" ing"]
+    words = [b" the", b" a", b" stra\xc3\x9fe", b" other", b" ing", b" houseandhome"]
     assert np.allclose(pieces.log_probability(words, p), np.log([brute(w) for w in words]))
     total = pieces.expected(words, np.ones(len(words)), p[:, 0])
     assert (total * [len(t) for t in pieces.tokens]).sum() == pytest.approx(sum(map(len, words)))
 
 
+def brute_forward(index, logp, word):
+    """Log of the sum over all segmentations, place by place."""
+    ahead = [0.0] + [-np.inf] * len(word)
+    for e in range(1, len(word) + 1):
+        for s in range(max(0, e - 40), e):
+            if word[s:e] in index:
+                ahead[e] = np.logaddexp(ahead[e], ahead[s] + logp[index[word[s:e]]])
+    return ahead
+
+
+def test_long_words_are_summed_whole():
+    pieces = Pieces(VOCABULARY)
+    index = {t: i for i, t in enumerate(pieces.tokens)}
+    assert pieces.longest <= 40
+    p = np.random.default_rng(2).random((len(pieces.tokens), 2)) * 1e-6
+    words = [(" " + w).encode() for w in ("достопримечательность", "donaudampfschifffahrtsgesellschaft", "x" * 700, "日本語のとても長い文章" * 9, "an", "antidisestablishmentarianism")]
+    want = [[brute_forward(index, np.log(p[:, k]), w)[-1] for k in range(2)] for w in words]
+    assert np.allclose(pieces.log_probability(words, p), want)
+    for w in words:
+        logp, ahead = np.log(p[:, 0]), brute_forward(index, np.log(p[:, 0]), w)
+        back = [-np.inf] * len(w) + [0.0]
+        for s in range(len(w) - 1, -1, -1):
+            for e in range(s + 1, min(len(w), s + 40) + 1):
+                if w[s:e] in index:
+                    back[s] = np.logaddexp(back[s], back[e] + logp[index[w[s:e]]])
+        expected = np.zeros(len(index))
+        for s in range(len(w)):
+            for e in range(s + 1, min(len(w), s + 40) + 1):
+                if w[s:e] in index:
+                    expected[index[w[s:e]]] += 3 * np.exp(ahead[s] + logp[index[w[s:e]]] + back[e] - ahead[-1])
+        assert np.allclose(pieces.expected([w], np.array([3.0]), p[:, 0]), expected)
+
+
+def test_languages_against_brute_force(spark):
+    """Learning and prediction in plain Python give the same languages and scores."""
+    import regex
+
+    rows = [(1, "the other one's here, 12 't", "en"), (2, "The and that. the", "en"), (3, "der und die nicht", "de"), (4, "Über die Straße", "de"), (5, "и другие слова", "ru"), (6, "'s", None), (7, "der the", None), (8, "?", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    pieces = Pieces(VOCABULARY)
+    index = {t: i for i, t in enumerate(pieces.tokens)}
+    cut = lambda t: [(" " + w).encode() for w in regex.findall(r"\p{L}+", t.lower())]
+    langs, models = sorted({r[2] for r in rows if r[2]}), {}
+    for lang in langs:
+        words = [w for _, t, k in rows if k == lang for w in cut(t)]
+        n = np.full(len(index), 0.1)
+        for w in words:
+            for s in range(len(w)):
+                for e in range(s + 1, len(w) + 1):
+                    if w[s:e] in index:
+                        n[index[w[s:e]]] += 1
+        p, n = n / n.sum(), np.full(len(index), 0.1)
+        for w in words:
+            n += pieces.expected([w], np.ones(1), p)
+        models[lang] = n / n.sum()
+    names, p = learn_languages(df, VOCABULARY)
+    assert names == langs and np.allclose(p, np.stack([models[k] for k in langs], 1))
+    for r in predict_languages(df, VOCABULARY, names, p).collect():
+        words = cut(dict((i, t) for i, t, _ in rows)[r["doc_id"]])
+        if not words:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        logs = np.array([sum(brute_forward(index, np.log(models[k]), w)[-1] for w in words) for k in langs])
+        share = np.exp(logs - logs.max())
+        assert r["lang_pred"] == langs[int(logs.argmax())] and r["score"] == pytest.approx(1 / share.sum())
+
+
 def test_languages(spark):
     rng = random.Random(6)
     vocabularies = {"en": "the and other that with from reading houses".split(), "de": "der und straße nicht über schön häuser".split(), "fr": "le été où français être maisons lire".split()}
