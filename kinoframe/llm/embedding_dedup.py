@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
+from .skew import salted
 from .storage import written
 
 #: Signs in a code; members of a tile.
@@ -229,7 +230,7 @@ def _found_groups(reps: DataFrame, threshold: float, window: int, recall: float,
         more = large.limit(1).count() > 0
         if more:
             coded = reps.join(large, key).select(*key, "vec_id", "vector", "centre")
-            coded = coded.mapInArrow(_codes(first, passes, seed), "pass int, label long, dims int, code long, vec_id long, vector array<double>")
+            coded = coded.mapInArrow(_codes(first, passes, seed), f"pass int, label long, dims int, code long, vec_id long, vector {dict(reps.dtypes)['vector']}")
             near = coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(threshold, window), "a long, b long")
             links = links.unionByName(near)
         if grouped is not None:
@@ -252,14 +253,17 @@ def near_duplicate_vectors(vectors: DataFrame, *, threshold: float = 0.93, windo
     """One row for each vector: vec_id, n_links (others linked directly), component_id (the
     smallest id reachable by links) and kept, the one of each component with that id.
     """
-    every = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"), F.col(label).cast("long").alias("label"))
+    # Single precision stays as it is until products are taken, in double precision.
+    kind = "array<float>" if dict(vectors.dtypes)[vector] == "array<float>" else "array<double>"
+    every = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector).cast(kind).alias("vector"), F.col(label).cast("long").alias("label"))
     bad = F.exists("vector", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     fit = every.filter("vec_id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL").filter(~bad & F.exists("vector", lambda v: v != 0))
     fit = fit.groupBy("vec_id").agg(F.min(F.struct("label", "vector")).alias("s")).select("vec_id", "s.*")
     fit = written(fit.withColumn("dims", F.size("vector")), "vectors")
     key = [F.col("label"), F.xxhash64("vector").alias("h1"), F.xxhash64(F.reverse("vector")).alias("h2"), F.col("dims")]
-    classes = fit.groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    members = fit.select("vec_id", *key).join(classes, ["label", "h1", "h2", "dims"]).select("vec_id", "rep", "copies")
+    classes = written(fit.groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
+    dealt, again = salted(fit.select("vec_id", *key), classes, ["label", "h1", "h2", "dims"], "vec_id", count="copies")
+    members = dealt.join(again, ["label", "h1", "h2", "dims", "_salt"]).select("vec_id", "rep", "copies")
     reps = written(fit.join(classes.select(F.col("rep").alias("vec_id"), "copies"), "vec_id"), "classes")
 
     grouped = _found_groups(reps, threshold, window, recall, queries, seed)

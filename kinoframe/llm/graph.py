@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import dropped, written
 
 
 def components(links: DataFrame, *, left: str = "a", right: str = "b") -> DataFrame:
@@ -30,8 +30,8 @@ def components(links: DataFrame, *, left: str = "a", right: str = "b") -> DataFr
     before = None
     while True:
         turned = links.select(F.col("v").alias("u"), F.col("u").alias("v"))
-        links = star(links.unionByName(turned), True)
-        links = written(star(links, False), "links")
+        old, links = links, written(star(star(links.unionByName(turned), True), False), "links")
+        dropped(old)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

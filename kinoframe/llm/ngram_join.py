@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
+from .skew import salted
 from .storage import written
 from .textblocks import Block, U, blocks, mix, span_hashes
 
 #: Members of a bucket that are listed as pairs; members of a tile, about.
-SMALL, TILE = 12, 384
+SMALL, TILE = 12, 1024
 
 
 def bands_for(threshold: float, recall: float, rows: int) -> int:
@@ -187,8 +188,9 @@ def near_duplicate_links(docs: DataFrame, *, n: int = 5, threshold: float = 0.8,
     signed = source.mapInArrow(_signatures(n, bands, rows), "doc_id long, key1 long, key2 long, size long, bands array<long>")
     signed = signed.groupBy("doc_id").agg(F.min(F.struct("key1", "key2", "size", "bands")).alias("s")).select("doc_id", "s.*")
     signed = written(signed, "signatures")
-    classes = signed.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    members = signed.select("doc_id", "key1", "key2").join(classes, ["key1", "key2"]).select("doc_id", "rep", "copies")
+    classes = written(signed.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "set-classes")
+    equal, again = salted(signed.select("doc_id", "key1", "key2"), classes, ["key1", "key2"], "doc_id", count="copies")
+    members = equal.join(again, ["key1", "key2", "_salt"]).select("doc_id", "rep", "copies")
     reps = signed.join(classes.select(F.col("rep").alias("doc_id"), "copies"), "doc_id")
 
     dealt = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))

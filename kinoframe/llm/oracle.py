@@ -123,10 +123,37 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_lost_words <= 0.5 * n_words AS kept FROM o"""
 
 
+#: Components of the links l(a, b) among the nodes n(id), and each node's number of links.
+_COMPONENTS = """e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, reached) AS (SELECT id, id FROM n UNION SELECT e.a, r.reached FROM r JOIN e ON e.b = r.id),
+c AS (SELECT id, min(reached) AS component FROM r GROUP BY id),
+k AS (SELECT a AS id, count(*) AS links FROM e GROUP BY a)"""
+
+_OP8_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id AS id, array_to_string(ws[i + 1:i + 5], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(0, greatest(len(ws) - 4, 1))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT id, count(*) AS size FROM g GROUP BY id),
+pairs AS (SELECT x.id AS a, y.id AS b, count(*) AS common FROM g x JOIN g y ON x.gram = y.gram AND x.id < y.id GROUP BY x.id, y.id),
+l AS (SELECT a, b FROM pairs JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE common >= 0.8 * (x.size + y.size - common) - 1e-9),
+{_COMPONENTS}
+SELECT doc_id, coalesce(component, doc_id) AS group_id, coalesce(links, 0)::BIGINT AS n_links, coalesce(component, doc_id) = doc_id AS kept
+FROM d LEFT JOIN c ON c.id = doc_id LEFT JOIN k ON k.id = doc_id"""
+
+_OP9_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT id FROM v),
+l AS (SELECT p.id AS a, q.id AS b FROM v p JOIN v q ON p.label = q.label AND len(p.x) = len(q.x) AND p.id < q.id WHERE list_cosine_similarity(p.x, q.x) >= 0.93),
+{_COMPONENTS}
+SELECT vec_id, coalesce(links, 0)::BIGINT AS n_links, coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN c ON c.id = vec_id LEFT JOIN k ON k.id = vec_id"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": _op1_sql(),
     "op3_url_filter": _op3_sql(),
     "op4_substring_dedup": _OP4_SQL,
     "op5_mixing": _OP5_SQL,
     "op7_quality_rules": _op7_sql(),
+    "op8_ngram_join": _OP8_SQL,
+    "op9_embedding_dedup": _OP9_SQL,
 }
