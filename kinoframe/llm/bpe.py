@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -153,17 +154,18 @@ class ByteBpe:
         return [out[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _merge_one(self, word: bytes) -> bytes:
-        """The same for one pretoken of any length."""
+        """The same for one pretoken of any length, in packed arrays: 40 to 56 bytes for each of its bytes."""
         width = 1 << max(1, (len(word) - 1).bit_length())
-        ids = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
-        n, size, rank_of, merged = len(ids), self.size, self._by_key, self.merged.tolist()
-        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        empty = (NONE, 0)
-        tree = [empty] * (2 * width)
+        ids = array("q", self.byte_id[np.frombuffer(word, np.uint8)].astype(np.int64).tobytes())
+        n, size, rank_of, merged = len(ids), self.size, self._by_key, self.merged
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        after[-1] = -1
+        none = 1 << 62
+        tree = array("q", [none]) * (2 * width)
 
         def put(i: int, j: int) -> None:
             rank = NONE if j < 0 else rank_of.get(ids[i] * size + ids[j], NONE)
-            tree[width + i] = empty if rank == NONE else (rank, i)
+            tree[width + i] = none if rank == NONE else rank * width + i
 
         def climb(i: int) -> None:
             node = (width + i) >> 1
@@ -176,11 +178,11 @@ class ByteBpe:
             put(i, after[i])
         for node in range(width - 1, 0, -1):
             tree[node] = min(tree[2 * node], tree[2 * node + 1])
-        while tree[1] != empty:
-            rank, i = tree[1]
+        while tree[1] != none:
+            rank, i = divmod(tree[1], width)
             j = after[i]
-            ids[i], ids[j], after[i] = merged[rank], -1, after[j]
-            tree[width + j] = empty
+            ids[i], ids[j], after[i] = int(merged[rank]), -1, after[j]
+            tree[width + j] = none
             climb(j)
             if after[i] >= 0:
                 before[after[i]] = i
@@ -189,7 +191,8 @@ class ByteBpe:
             if before[i] >= 0:
                 put(before[i], i)
                 climb(before[i])
-        return np.array([x for x in ids if x >= 0], "<u4").tobytes()
+        out = np.frombuffer(ids, np.int64)
+        return out[out >= 0].astype("<u4").tobytes()
 
     def merge(self, words: list[str]) -> list[bytes]:
         """Ids of each pretoken, as little-endian unsigned 32-bit integers."""

@@ -108,6 +108,8 @@ def frequency_table(counts: np.ndarray) -> np.ndarray:
     out = np.where(counts > 0, np.maximum(1, counts.astype(object) * (1 << BITS) // max(total, 1)), 0).astype(np.int64)
     if not total:
         return out
+    if (counts > 0).sum() > 1 << BITS:
+        raise ValueError(f"more than 2**{BITS} different symbols")
     order = np.argsort(-counts, kind="stable")
     rest = (1 << BITS) - int(out.sum())
     if rest > 0:
@@ -253,8 +255,8 @@ def _decoded(blocks: DataFrame, frequencies: np.ndarray, schema: str, make) -> D
     return blocks.mapInArrow(run, schema)
 
 
-def read_store(spark: SparkSession, path: str, *, digest: bool = False) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document, ids as array<int>; with ``digest`` their ids_crc32 instead."""
+def _opened(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """(blocks, (segment, block, ids of the segment before it b0, ids of segments before s0), frequencies)."""
     # One row for each symbol of the vocabulary at most.
     table = spark.read.schema("symbol long, frequency long").parquet(f"{path}/table").collect()
     frequencies = np.zeros(max([r["symbol"] + 1 for r in table], default=0), np.int64)
@@ -266,6 +268,12 @@ def read_store(spark: SparkSession, path: str, *, digest: bool = False) -> DataF
     before = Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     segments = blocks.groupBy("segment").agg(F.sum("n_ids").alias("n")).select("segment", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("s0"))
     starts = blocks.select("segment", "block", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("b0")).join(segments, "segment")
+    return blocks, starts, frequencies
+
+
+def read_store(spark: SparkSession, path: str, *, digest: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of every document, ids as array<int>; with ``digest`` their ids_crc32 instead."""
+    blocks, starts, frequencies = _opened(spark, path)
     last = "ids_crc32 long" if digest else "ids array<int>"
 
     def make(row: dict, flat: bytes) -> pa.RecordBatch:
@@ -285,6 +293,29 @@ def read_store(spark: SparkSession, path: str, *, digest: bool = False) -> DataF
     return docs.join(starts, ["segment", "block"]).select("doc_id", start, "n_tokens", last.split()[0])
 
 
+def read_span(spark: SparkSession, path: str, start: int, n: int) -> DataFrame:
+    """(at, ids) of ids ``start`` to ``start + n`` of the store, in pieces from one checkpoint to the
+    next: each is decoded by itself, and only those that the span touches. ``at`` is a piece's place.
+    """
+    blocks, starts, frequencies = _opened(spark, path)
+    touched = starts.select("segment", "block", (F.col("s0") + F.col("b0")).alias("b0")).join(blocks, ["segment", "block"])
+    touched = touched.filter((F.col("b0") < start + n) & (F.col("b0") + F.col("n_ids") > start))
+    piece = F.col("lanes") * STEPS
+    first, last = F.greatest(F.lit(0), F.lit(start) - F.col("b0")), F.least(F.col("n_ids"), F.lit(start + n) - F.col("b0")) - 1
+    parts = touched.withColumn("part", F.explode(F.sequence(F.floor(first / piece), F.floor(last / piece))))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(frequencies)
+        for batch in batches:
+            for row in batch.to_pylist():
+                values = coder.decode(row["words"], row["checkpoints"], row["n_ids"], row["lanes"], STEPS, part=row["part"])
+                at = row["b0"] + row["part"] * row["lanes"] * STEPS
+                lo, hi = max(0, start - at), min(len(values), start + n - at)
+                yield pa.RecordBatch.from_arrays([pa.array([at + lo], pa.int64()), pa.array([values[lo:hi].tolist()], pa.list_(pa.int32()))], names=["at", "ids"])
+
+    return parts.mapInArrow(run, "at long, ids array<int>")
+
+
 def store_documents(docs: DataFrame, vocabulary: str, path: str, end_id: int, *, id_col: str = "doc_id", text: str = "text") -> None:
     """Encodes all texts and writes them as a store; the ids are held in the shared folder meanwhile."""
     write_store(written(token_ids(docs, vocabulary, end_id, id_col=id_col, text=text), "token-ids"), path)

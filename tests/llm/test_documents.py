@@ -18,7 +18,7 @@ from kinoframe.llm.mixing import mix, mix_schedule
 from kinoframe.llm.ngram_join import bands_for, near_duplicates
 from kinoframe.llm.quality import line_first_quality
 from kinoframe.llm.substring_dedup import remove_duplicate_spans
-from kinoframe.llm.token_store import Coder, frequency_table, read_store, store_documents
+from kinoframe.llm.token_store import Coder, frequency_table, read_span, read_store, store_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, kept string, tag string, spans string, row string, size string, words string, copy string"
@@ -325,7 +325,7 @@ def test_bpe_of_any_characters():
     rng = random.Random(4)
     library, own = Tokenizer.from_file(BYTE), ByteBpe(BYTE)
     pool = [chr(c) for c in [*range(0x250), 0x2028, 0x3000, 0x1680, 0x4E00, 0x1F600, 0x301, 0x200B]]
-    texts = ["".join(rng.choices(pool, k=rng.randint(0, 40))) for _ in range(1500)] + ["ab" * 900, "'s", " 's", "\n's", "a  'll"]
+    texts = ["".join(rng.choices(pool, k=rng.randint(0, 40))) for _ in range(1500)] + ["ab" * 900, "abcdefghi" * 3000, "ж" * 9000, "'s", " 's", "\n's", "a  'll"]
     for t, ids in zip(texts, own.encode(texts), strict=True):
         assert ids.tolist() == library.encode(t, add_special_tokens=False).ids
         assert own.decode(ids) == t
@@ -341,6 +341,10 @@ def test_token_store(spark, docs, rows, empty, tmp_path):
     assert sorted((str(r["doc_id"]), r["ids"]) for r in got) == want
     digests = {r["start"]: r["ids_crc32"] for r in read_store(spark, f"{tmp_path}/store", digest=True).collect()}
     assert digests == {r["start"]: zlib.crc32(np.array(r["ids"], "<u4").tobytes()) for r in got}
+    flat = [x for r in got for x in r["ids"]]
+    for start, n in ((0, 10), (700, 5000), (len(flat) - 3, 100), (0, len(flat))):
+        pieces = sorted(read_span(spark, f"{tmp_path}/store", start, n).collect(), key=lambda r: r["at"])
+        assert [x for r in pieces for x in r["ids"]] == flat[start : start + n] and pieces[0]["at"] == start
     store_documents(empty, WORDS, f"{tmp_path}/none", end_id=1)
     assert read_store(spark, f"{tmp_path}/none").count() == 0
 
@@ -366,6 +370,8 @@ def test_coder_round_trip_and_checkpoints(n):
 
 
 def test_frequency_table_sums_up():
+    with pytest.raises(ValueError, match="symbols"):
+        frequency_table(np.ones((1 << 18) + 1, np.int64))
     for counts in ([0, 5, 0, 1], [10**12, 1, 1, 1], [1] * 50_000):
         f = frequency_table(np.array(counts))
         assert f.sum() == 1 << 18 and ((f > 0) == (np.array(counts) > 0)).all()
