@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The folder of each application that has none of its own.
+_OWN: dict[str, str] = {}
 #: Shuffle files of a query go when it ends; the table it has written stays.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -19,8 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="kinoframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _OWN.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="kinoframe-")
+        _OWN[spark.sparkContext.applicationId] = folder
     return folder.rstrip("/")
 
 

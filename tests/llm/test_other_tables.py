@@ -312,3 +312,27 @@ def test_pipeline_stages(spark, tmp_path):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = sorted((i, library.encode(t, add_special_tokens=False).ids) for i, t in pairs(out[3]))
     assert sorted((r["doc_id"], r["ids"]) for r in out[4].collect()) == want
+
+
+def test_pipeline_of_empty_and_null_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    line = lambda: " ".join("w%d" % rng.randrange(10**6) for _ in range(30)) + "."
+    text = "\n".join(line() for _ in range(3))
+    rows = [(None, text, "en", "a", 1), (None, line() * 1 + "\n" + line(), None, None, None), (1, text, "en", None, 1), (2, None, None, None, None), (3, "", "en", "a", 0), (1, line() + "\n" + line(), "en", "a", 2)]
+    for name, some in (("empty", []), ("odd", rows)):
+        docs = spark.createDataFrame(some, "doc_id long, text string, lang string, source string, n_chars long")
+        for stage, run in corpus_pipeline.STAGES:
+            run(spark, docs, "").write.parquet(f"{tmp_path}/{name}-{stage}")
+            docs = spark.read.parquet(f"{tmp_path}/{name}-{stage}")
+        ids = {r["doc_id"] for r in docs.collect()}
+        assert ids == (set() if name == "empty" else {None, 1})
+
+
+def test_pipeline_leaves_its_result_only(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(corpus_pipeline, "shared_dir", lambda _: str(tmp_path))
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+    assert [p.name.split("-", 1)[1] for p in tmp_path.glob("pipeline-*/*")] == ["bpe_encoding"]
