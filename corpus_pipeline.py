@@ -25,7 +25,7 @@ from kinoframe.llm.bpe import encode_bpe
 from kinoframe.llm.mixing import mix
 from kinoframe.llm.ngram_join import near_duplicates
 from kinoframe.llm.quality import line_first_quality
-from kinoframe.llm.storage import shared_dir
+from kinoframe.llm.storage import dropped, shared_dir
 from kinoframe.llm.substring_dedup import remove_duplicate_spans
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -78,5 +78,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{number}-{name}")
+        if number:
+            dropped(docs)
         docs = spark.read.parquet(f"{base}/{number}-{name}")
     return docs
