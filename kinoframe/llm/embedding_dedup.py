@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .skew import salted
+from .skew import salted, tiles_of
 from .storage import written
 
-#: Signs in a code; members of a tile.
-SIGNS, TILE = 48, 512
+#: Signs in a code; most members of a tile, about.
+SIGNS, TILE = 48, 1024
 
 
 def passes_for(threshold: float, recall: float, rows: int, window: int) -> int:
@@ -225,7 +225,7 @@ def _found_groups(reps: DataFrame, threshold: float, window: int, recall: float,
     while True:
         small = labels.filter(F.col("n") <= passes * window)
         large = labels.filter(F.col("n") > passes * window)
-        met = _met(reps, key, small.select(*key, F.ceil(F.col("n") / TILE).cast("int").alias("tiles")))
+        met = _met(reps, key, small.select(*key, tiles_of(F.col("n"), TILE).alias("tiles")))
         links = met.groupBy(*key, "t1", "t2").applyInArrow(_tile_forest(threshold), "a long, b long")
         more = large.limit(1).count() > 0
         if more:
@@ -269,7 +269,7 @@ def near_duplicate_vectors(vectors: DataFrame, *, threshold: float = 0.93, windo
     grouped = _found_groups(reps, threshold, window, recall, queries, seed)
 
     inside = reps.join(grouped, F.col("vec_id") == F.col("node")).drop("node")
-    tiles = grouped.groupBy("component").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("tiles"))
+    tiles = grouped.groupBy("component").agg(tiles_of(F.count("*"), TILE).alias("tiles"))
     met = _met(inside, ["component"], tiles)
     counts = met.groupBy("component", "t1", "t2").applyInArrow(_tile(threshold), "vec_id long, n long").groupBy(F.col("vec_id").alias("rep")).agg(F.sum("n").alias("n"))
     found = members.join(counts, "rep", "left").join(grouped.withColumnRenamed("node", "rep"), "rep", "left")

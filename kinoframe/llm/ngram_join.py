@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .skew import salted
+from .skew import salted, tiles_of
 from .storage import written
 from .textblocks import Block, U, blocks, mix, span_hashes
 
-#: Members of a bucket that are listed as pairs; members of a tile, about.
+#: Members of a bucket that are listed as pairs; most members of a tile, about.
 SMALL, TILE = 12, 1024
 
 
@@ -220,7 +220,7 @@ def near_duplicate_links(docs: DataFrame, *, n: int = 5, threshold: float = 0.8,
     )
     links = written(links, "pair-links")
 
-    large = candidates.filter(F.col("m") > SMALL).withColumn("tiles", F.ceil(F.col("m") / F.lit(TILE)).cast("int"))
+    large = candidates.filter(F.col("m") > SMALL).withColumn("tiles", tiles_of(F.col("m"), TILE))
     large = large.withColumn("tile", F.pmod(F.xxhash64("doc_id", "band"), F.col("tiles")).cast("int"))
     met = large.select("doc_id", "band", "bucket", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
     met = met.select("doc_id", "band", "bucket", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), F.when(F.col("tile") == F.col("other"), 2).when(F.col("tile") < F.col("other"), 0).otherwise(1).alias("side"))

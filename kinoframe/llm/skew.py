@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A key with more than 1/SHARE of the counted rows is split; so at most SHARE keys are.
@@ -29,3 +29,11 @@ def salted(left: DataFrame, right: DataFrame, on: list[str], spread: str, *, cou
     dealt = dealt.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int"), F.lit(0))).drop("_salts")
     again = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col(count) > most, salts - 1).otherwise(0))))
     return dealt, again
+
+
+def tiles_of(members: Column, most: int) -> Column:
+    """Tiles into which a group's members are dealt, every two of which meet in a task: about eight
+    of 64 members or more, so that one group is work for many tasks, and as many of ``most`` as it takes.
+    """
+    size = F.least(F.lit(most), F.greatest(F.lit(64), F.ceil(members / F.lit(8))))
+    return F.ceil(members / size).cast("int")
