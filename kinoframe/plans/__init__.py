@@ -1,6 +1,6 @@
 """Queries by name, and the same rows as DuckDB SQL."""
 
-from . import extensions, media, motion
+from . import extensions, media, motion, publication
 
-QUERIES = media.QUERIES | motion.QUERIES | extensions.QUERIES
-ORACLE_SQL = media.SQL | motion.SQL | extensions.SQL
+QUERIES = media.QUERIES | motion.QUERIES | extensions.QUERIES | publication.QUERIES
+ORACLE_SQL = media.SQL | motion.SQL | extensions.SQL | publication.SQL
