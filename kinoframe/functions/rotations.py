@@ -134,3 +134,53 @@ def export_pose(pose: Column, left_hand: Column, right_hand: Column) -> Column:
     """The 156 slots of the exchange format: 22 body joints, then both hands, zeros where a hand is null."""
     zeros = F.array_repeat(F.lit(0.0), 45)
     return F.concat(F.slice(pose, 1, 66), F.coalesce(left_hand, zeros), F.coalesce(right_hand, zeros))
+
+
+def axis_angle_of_six(v: Column) -> Column:
+    return axis_angle_of_matrix(matrix_of_six(v))
+
+
+def mirror_hand(hand: Column) -> Column:
+    """A hand's 15 joints seen in a mirror, where it is the other hand; null stays null."""
+    return F.transform(hand, lambda v, i: F.when(i % 3 == 0, v).otherwise(-v))
+
+
+def mirror_mask(valid: Column) -> Column:
+    """A mask of joints with left and right exchanged."""
+    swap = {a: b for pair in LEFT_RIGHT for a, b in (pair, pair[::-1])}
+    return F.when(valid.isNotNull(), F.transform(F.array(*(F.lit(swap.get(j, j)) for j in range(24))), lambda j: F.get(valid, j)))
+
+
+def axis_angles(block: Column, joints: int) -> Column:
+    """Axis-angles of so many joints out of axis-angles, 3x3 matrices or the 6-d form, told apart by their length."""
+    of = lambda size, use: F.flatten(F.transform(F.sequence(F.lit(0), F.lit(joints - 1)), lambda j: use(F.slice(block, j * size + 1, size))))
+    wrong = F.raise_error(F.concat(F.lit(f"no rotations of {joints} joints: length "), F.size(block).cast("string"))).cast("array<double>")
+    return F.when(F.size(block) == 3 * joints, block).when(F.size(block) == 9 * joints, of(9, axis_angle_of_matrix)).when(F.size(block) == 6 * joints, of(6, axis_angle_of_six)).otherwise(wrong)
+
+
+def body_pose(orient: Column, body: Column) -> Column:
+    """The 72 numbers of a body: its orientation, and 23 joints, or 21 and two hands at rest; each in any form of ``axis_angles``."""
+    full, short = (F.size(body).isin(3 * n, 6 * n, 9 * n) for n in (23, 21))
+    wrong = F.raise_error(F.concat(F.lit("neither 21 nor 23 joints: length "), F.size(body).cast("string"))).cast("array<double>")
+    rest = F.when(full, axis_angles(body, 23)).when(short, F.concat(axis_angles(body, 21), F.array_repeat(F.lit(0.0), 6))).otherwise(wrong)
+    return F.concat(axis_angles(orient, 1), rest)
+
+
+def hand_pose(hand: Column) -> Column:
+    """The 45 numbers of a hand, out of any form of ``axis_angles``."""
+    return axis_angles(hand, 15)
+
+
+def in_parent(parent: Column, world: Column) -> Column:
+    """A world rotation as the parent's frame has it: the parent's transpose times it, both 3x3."""
+
+    def product(both: Column) -> Column:
+        p, w = parts(both, 18)[:9], parts(both, 18)[9:]
+        return F.array(*(p[r] * w[c] + p[3 + r] * w[3 + c] + p[6 + r] * w[6 + c] for r in range(3) for c in range(3)))
+
+    return bound(F.concat(parent, world), product)
+
+
+def wrist_in_body(global_rotation: Column, joint: int, wrist: Column) -> Column:
+    """A wrist's world axis-angle in the frame of its forearm, given the world rotations of all joints (9 numbers each)."""
+    return axis_angle_of_matrix(in_parent(F.slice(global_rotation, 9 * PARENTS[joint] + 1, 9), matrix_of_axis_angle(wrist)))

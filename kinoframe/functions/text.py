@@ -103,3 +103,15 @@ def terms(text: Column) -> Column:
 def check_glob(pattern: str) -> str:
     """The pattern as the regular expression that ``glob_match`` uses."""
     return re.sub(r"\\Z", r"\\z", fnmatch.translate(pattern))
+
+
+def reply_label(text: Column) -> tuple[Column, Column]:
+    """(description, tags) of the JSON object in a model's reply, trimmed, empty tags dropped."""
+    label = F.from_json(first_json_object(text), "description string, tags array<string>")
+    tags = F.filter(F.transform(label["tags"], lambda t: F.trim(t)), lambda t: t != "")
+    return F.trim(F.coalesce(label["description"], F.lit(""))), F.coalesce(tags, F.array().cast("array<string>"))
+
+
+def utc_text(at: Column) -> Column:
+    """A timestamp in UTC to the second, as ISO text."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")

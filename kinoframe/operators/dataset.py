@@ -74,13 +74,26 @@ def risk_score(stats: DataFrame, num_steps: int, batch_size: int, resumed: bool
         - F.when(persons >= PERSONS[1], 2).when(persons >= PERSONS[0], 1).otherwise(0)
     )
     level = F.when(F.col("score") >= 3, "high").when(F.col("score") >= 1, "medium").otherwise("low")
-    return stats.withColumns({"exposures": e, "score": score}).withColumn("level", level)
+    return stats.withColumns({"exposures": e, "score": score, "resumed": F.lit(resumed), "low_rank": F.lit(low_rank)}).withColumn("level", level)
+
+
+def risk_reasons(scored: DataFrame) -> DataFrame:
+    """``risk_score``'s row with what stands behind it: reasons, an array of text."""
+    e, minutes, persons = F.col("exposures"), F.col("train_minutes"), F.col("n_persons")
+    rules = (
+        F.when(e > EXPOSURES[0], F.concat(F.lit("each training frame is seen about "), F.format_string("%.0f", e), F.lit(" times"))),
+        F.when(minutes < MINUTES[1], F.concat(F.lit("only "), F.format_string("%.1f", minutes), F.lit(" minutes of training motion"))),
+        F.when(F.col("resumed") == False, F.lit("training starts from nothing")),  # noqa: E712
+        F.when(F.col("low_rank"), F.lit("a low-rank adaptation resists overfitting")),
+        F.when(persons >= PERSONS[0], F.concat(persons.cast("string"), F.lit(" persons add variety"))),
+    )
+    return scored.withColumn("reasons", F.filter(F.array(*rules), lambda r: r.isNotNull()))
 
 
 def underrepresented(coverage: DataFrame) -> DataFrame:
     """Persons of a corpus of several who have too few minutes to matter."""
-    n = coverage.count()
-    return coverage.filter(F.lit(n > 1) & (F.col("minutes") < FEW_MINUTES))
+    n = coverage.agg(F.count("*").alias("_persons"))  # one row
+    return coverage.join(F.broadcast(n)).filter((F.col("_persons") > 1) & (F.col("minutes") < FEW_MINUTES)).drop("_persons")
 
 
 def training_plan(stats: DataFrame, batch_size: int) -> DataFrame:

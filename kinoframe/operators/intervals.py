@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .folds import fold_sorted
+from .folds import fold_sorted, packed_windows
 
 
 def merge_short(scenes: DataFrame, unit: str, min_seconds: float, start: str = "start", end: str = "end") -> DataFrame:
@@ -73,13 +73,7 @@ def slice_frames(frames: DataFrame, spans: DataFrame, unit: str, frame: str = "f
 def greedy_windows(rows: DataFrame, unit: str, seconds: float, start: str = "start", end: str = "end", out: str = "window") -> DataFrame:
     """Rows with the number of their window: a row joins while its end is within ``seconds`` of the window's start."""
 
-    def step(state, a, b):
-        if state is not None and b - state[0] <= seconds:
-            return state, state[1]
-        state = (a, 0 if state is None else state[1] + 1)
-        return state, state[1]
-
-    return fold_sorted(rows, unit, [start, end], [start, end], step, out, "long")
+    return fold_sorted(rows, unit, [start, end], [start, end], packed_windows(seconds), out, "long")
 
 
 def windows(rows: DataFrame, unit: str, seconds: float, entry: list[str], start: str = "start", end: str = "end") -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.rotations import mirror_hand, mirror_pose, mirror_position
 from .series import in_order
 
 #: Issues that no real movement has.
@@ -111,3 +114,47 @@ def hands_by_side(detections: DataFrame, frame: list[str], is_right: str, value:
 def graft(body: DataFrame, hands: DataFrame, key: list[str]) -> DataFrame:
     """Body rows with the hand columns of the same frame, null where there are none."""
     return body.join(hands, key, "left")
+
+
+def subject_frames(frames: DataFrame, unit: str, track: str, order: list[str]) -> DataFrame:
+    """Frames of each unit's most frequent track, numbered in order: ``place`` from 0."""
+    subject = dominant_track(frames, unit, track, order).select(unit, track)
+    return frames.join(subject, [unit, track]).withColumn("place", F.row_number().over(in_order(unit, order)) - 1)
+
+
+def stacked(frames: DataFrame, unit: str, order: list[str], value: str) -> DataFrame:
+    """(unit, frames): each unit's values in order, one array of a clip's frames."""
+    rows = F.array_sort(F.collect_list(F.struct(*order, value)))
+    return frames.groupBy(unit).agg(F.transform(rows, lambda r: r[value]).alias("frames"))
+
+
+def mirrored(motion: DataFrame) -> DataFrame:
+    """Motion (pose, trans, left_hand, right_hand) seen in a mirror: twice gives it back."""
+    return motion.withColumns({"pose": mirror_pose(F.col("pose")), "trans": mirror_position(F.col("trans")), "left_hand": mirror_hand(F.col("right_hand")), "right_hand": mirror_hand(F.col("left_hand"))})
+
+
+def activity(frames: DataFrame, unit: str, frame: str, pixels: str) -> DataFrame:
+    """(unit, activity): mean of the mean differences between neighbouring frames of grey pixels of 0 to 255; 0 below two frames."""
+    before = F.lag(pixels).over(in_order(unit, [frame]))
+    step = F.aggregate(F.zip_with(pixels, before, lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, x: s + x) / F.size(pixels)
+    return frames.withColumn("_d", F.when(before.isNotNull(), step)).groupBy(unit).agg((F.coalesce(F.avg("_d"), F.lit(0.0)) / 255.0).alias("activity"))
+
+
+def camera_shift(frames: DataFrame, unit: str, frame: str, pixels: str, width: int) -> DataFrame:
+    """(unit, shift): median length in pixels of the translation between neighbouring frames, by phase correlation; 0 below two frames."""
+
+    @F.pandas_udf("double")
+    def translation(before: pd.Series, now: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(before, now, strict=True):
+            if a is None or b is None:
+                out.append(None)
+                continue
+            spectrum = np.fft.fft2(np.reshape(a, (-1, width))) * np.fft.fft2(np.reshape(b, (-1, width))).conj()
+            peak = np.fft.ifft2(spectrum / (np.abs(spectrum) + 1e-8)).real
+            at = np.unravel_index(int(peak.argmax()), peak.shape)
+            out.append(float(np.hypot(*(k if 2 * k <= n else k - n for k, n in zip(at, peak.shape, strict=True)))))
+        return pd.Series(out, dtype="float64")
+
+    pairs = frames.withColumn("_b", F.lag(pixels).over(in_order(unit, [frame])))
+    return pairs.withColumn("_s", F.when(F.col("_b").isNotNull(), translation("_b", pixels))).groupBy(unit).agg(F.coalesce(F.median("_s"), F.lit(0.0)).alias("shift"))

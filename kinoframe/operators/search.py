@@ -2,21 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+from collections import Counter
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS, terms
+from ..sources.folders import kept
+
+_WORD = re.compile("[a-z]+")
 
 #: BM25's saturation and length weights.
 K1, B = 1.2, 0.75
 
 
 def keyword_tags(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """(key, rank, tag, n): the most frequent words of more than two letters, stop words aside; of equals the one seen first."""
-    words = docs.select(key, F.posexplode(terms(F.col(text))).alias("at", "tag")).filter((F.length("tag") > 2) & ~F.col("tag").isin(list(STOP_WORDS)))
-    counts = words.groupBy(key, "tag").agg(F.count("*").alias("n"), F.min("at").alias("_first"))
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "_first"))
-    return counts.withColumn("rank", rank).filter(F.col("rank") <= n).select(key, "rank", "tag", "n")
+    """(key, rank, tag, n): the most frequent words of more than two letters, stop words aside; of equals the one seen first.
+
+    A text's words are counted in its own row: nothing is shuffled.
+    """
+
+    @F.pandas_udf("array<struct<tag: string, n: long>>")
+    def most_common(texts: pd.Series) -> pd.Series:
+        def count(t: str | None) -> list[dict]:
+            words = Counter(w for w in _WORD.findall((t or "").lower()) if len(w) > 2 and w not in STOP_WORDS)
+            return [{"tag": w, "n": k} for w, k in words.most_common(n)]
+
+        return texts.map(count)
+
+    ranked = docs.select(key, F.posexplode(most_common(text)).alias("rank", "t"))
+    return ranked.select(key, (F.col("rank") + 1).alias("rank"), "t.tag", "t.n")
 
 
 def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -26,22 +43,45 @@ def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     return each.groupBy("term", key, "length").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("at")).alias("places"))
 
 
+def _scored(counted: DataFrame, stats: DataFrame, key: str, n_terms: int, k: int) -> DataFrame:
+    """The ``k`` best of (key, _len, _n0, ...) by BM25, all terms present; ``stats`` is one row of the corpus."""
+    score, hits = F.lit(0.0), counted
+    for i in range(n_terms):
+        n, d = F.col(f"_n{i}"), F.col(f"_d{i}")
+        idf = F.log(F.lit(1.0) + (F.col("_docs") - d + 0.5) / (d + 0.5))
+        score = score + idf * n * (K1 + 1) / (n + K1 * (1 - B + B * F.col("_len") / F.when(F.col("_mean") > 0, F.col("_mean")).otherwise(1.0)))
+        hits = hits.filter(n > 0)
+    return hits.join(F.broadcast(stats)).select(key, score.alias("score")).orderBy(F.desc("score"), key).limit(k)
+
+
+def _matches(query: str) -> list[str]:
+    return list(dict.fromkeys(query.lower().split()))
+
+
 def bm25(docs: DataFrame, key: str, text: str, query: str, k: int = 20) -> DataFrame:
-    """(key, score): the ``k`` best documents that hold all terms of the query; a last ``*`` makes a term a prefix."""
-    wanted = list(dict.fromkeys(query.lower().split()))
-    all_ = docs.select(key, terms(F.col(text)).alias("_t")).withColumn("_len", F.size("_t"))
+    """(key, score): the ``k`` best documents that hold all terms of the query; a last ``*`` makes a term a prefix.
+
+    One scan counts the query's terms in each text; for many queries write ``postings`` once and ask ``bm25_of_index``.
+    """
+    wanted = _matches(query)
     count = lambda q: F.size(F.filter("_t", (lambda x: x.startswith(q[:-1])) if q.endswith("*") else (lambda x: x == q)))
-    counted = all_.select(key, "_len", *(count(q).alias(f"_n{i}") for i, q in enumerate(wanted)))
-    # One row: the corpus's size, mean length and document frequencies.
-    stats = counted.agg(F.count("*").alias("n"), F.avg("_len").alias("mean"), *(F.count_if(F.col(f"_n{i}") > 0).alias(f"d{i}") for i in range(len(wanted)))).first()
-    score = F.lit(0.0)
-    for i in range(len(wanted)):
-        idf = F.log(F.lit(1.0) + (F.lit(stats["n"]) - F.lit(stats[f"d{i}"]) + 0.5) / (F.lit(stats[f"d{i}"]) + 0.5))
-        score = score + idf * F.col(f"_n{i}") * (K1 + 1) / (F.col(f"_n{i}") + K1 * (1 - B + B * F.col("_len") / F.lit(stats["mean"] or 1.0)))
-    hits = counted
-    for i in range(len(wanted)):
-        hits = hits.filter(F.col(f"_n{i}") > 0)
-    return hits.select(key, score.alias("score")).orderBy(F.desc("score"), key).limit(k)
+    all_ = docs.select(key, terms(F.col(text)).alias("_t"))
+    counted = kept(all_.select(key, F.size("_t").alias("_len"), *(count(q).alias(f"_n{i}") for i, q in enumerate(wanted))), "counted")
+    stats = counted.agg(F.count("*").alias("_docs"), F.avg("_len").alias("_mean"), *(F.count_if(F.col(f"_n{i}") > 0).alias(f"_d{i}") for i in range(len(wanted))))
+    return _scored(counted, stats, key, len(wanted), k)
+
+
+def bm25_of_index(index: DataFrame, lengths: DataFrame, key: str, query: str, k: int = 20) -> DataFrame:
+    """The same from written postings and (key, length) of all documents: only the query's terms are read."""
+    wanted = _matches(query)
+    hit = lambda q: F.col("term").startswith(q[:-1]) if q.endswith("*") else F.col("term") == q
+    some = hit(wanted[0])
+    for q in wanted[1:]:
+        some = some | hit(q)
+    counted = index.filter(some).groupBy(key).agg(F.max("length").alias("_len"), *(F.coalesce(F.sum(F.when(hit(q), F.col("n"))), F.lit(0)).alias(f"_n{i}") for i, q in enumerate(wanted)))
+    found = counted.agg(*(F.count_if(F.col(f"_n{i}") > 0).alias(f"_d{i}") for i in range(len(wanted))))
+    stats = lengths.agg(F.count("*").alias("_docs"), F.avg("length").alias("_mean")).join(found)  # one row each
+    return _scored(counted, stats, key, len(wanted), k)
 
 
 def _less(n: int):
@@ -62,9 +102,15 @@ def phrase_search(index: DataFrame, key: str, phrase: str) -> DataFrame:
     return hits.select(key, F.size(starts).alias("n")).filter("n > 0")
 
 
-def segment_label(captions: DataFrame, key: list[str], time: str, text: str) -> DataFrame:
-    """(key, n, first_text): a segment's number of captions and its first one."""
-    return captions.groupBy(*key).agg(F.count("*").alias("n"), F.min_by(text, F.struct(time, text)).alias("first_text"))
+def segment_label(captions: DataFrame, key: list[str], time: str, text: str, tags: int = 0) -> DataFrame:
+    """(key, n, first_text): a segment's number of captions and its first one; with ``tags`` also that many of all captions' most frequent words."""
+    label = captions.groupBy(*key).agg(F.count("*").alias("n"), F.min_by(text, F.struct(time, text)).alias("first_text"))
+    if not tags:
+        return label
+    words = captions.select(*key, time, text, F.posexplode(terms(F.col(text))).alias("_at", "tag")).filter((F.length("tag") > 2) & ~F.col("tag").isin(list(STOP_WORDS)))
+    counts = words.groupBy(*key, "tag").agg(F.count("*").alias("_n"), F.min(F.struct(time, text, "_at")).alias("_first"))
+    best = counts.groupBy(*key).agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("m"), "_first", "tag"))), 1, tags).alias("_b"))
+    return label.join(best, key, "left").withColumn("tags", F.coalesce(F.transform("_b", lambda b: b["tag"]), F.array().cast("array<string>"))).drop("_b")
 
 
 def caption_prompt(captions: DataFrame, key: list[str], time: str, text: str) -> DataFrame:

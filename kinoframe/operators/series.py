@@ -9,11 +9,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .folds import fold_sorted
+from .folds import fold_sorted, running_mean
 
 EPS = 1e-16
 WIDEST = 256
@@ -95,8 +95,7 @@ def ema(df: DataFrame, unit: str, order: list[str], value: str, alpha: float = 0
     """
     width = 1 if alpha >= 1 else math.ceil(math.log(EPS) / math.log(1 - alpha))
     if width > WIDEST:
-        step = lambda state, x: (y := x if state is None else alpha * x + (1 - alpha) * state, y)
-        return fold_sorted(df, unit, order, [value], step, out, "double")
+        return fold_sorted(df, unit, order, [value], running_mean(alpha), out, "double")
     w = in_order(unit, order)
     df = df.withColumns({"_i": F.row_number().over(w) - 1, "_near": F.collect_list(F.col(value).cast("double")).over(w.rowsBetween(-width, 0))})
     age = lambda k: F.size("_near") - 1 - k
@@ -163,33 +162,61 @@ def integrate(df: DataFrame, unit: str, order: list[str], value: str, out: str =
     return df.withColumn(out, F.sum(value).over(in_order(unit, order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def bending_smoother(n: int, strength: float) -> np.ndarray:
+    """Matrix that takes n samples to the least squares of their distance and ``strength`` times their second differences."""
+    normal = np.eye(n)
+    for row in range(n - 2):  # each second difference adds its own square
+        normal[row : row + 3, row : row + 3] += strength * np.outer((1, -2, 1), (1, -2, 1))
+    return np.linalg.inv(normal)
+
+
 def variational_smooth(df: DataFrame, unit: str, order: list[str], value: str, strength: float = 10.0, window: int = 128, out: str = "smooth") -> DataFrame:
-    """Least squares with a penalty on acceleration, solved in half-overlapping windows joined under a Hann taper.
+    """Least squares with a penalty on acceleration, in windows that overlap by half.
 
-    The solve needs a unit's samples together; a unit is a clip, some thousand rows.
+    A row goes to each window over it, every window is solved by itself, in a task of its own if
+    need be, and a row's solutions are averaged by a Hann taper. So a unit of any length is many
+    small groups. Units of fewer than five rows stay as they are.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
-
-    def solve(pdf):
-        pdf = pdf.sort_values(order, kind="stable")
-        x = pdf[value].to_numpy(np.float64)
-        t = len(x)
-        w = min(window, t)
-        if t < 5 or strength <= 0 or w < 5:
-            return pdf.assign(**{out: x})
-        bend = np.diff(np.eye(w), 2, axis=0)
-        smoother = np.linalg.inv(np.eye(w) + strength * bend.T @ bend)
-        taper = np.hanning(w) + 1e-6
-        total, weight = np.zeros(t), np.zeros(t)
-        for s in sorted({*range(0, t - w + 1, max(1, w // 2)), t - w}):
-            total[s : s + w] += taper * (smoother @ x[s : s + w])
-            weight[s : s + w] += taper
-        return pdf.assign(**{out: total / np.maximum(weight, 1e-8)})
-
-    return df.groupBy(unit).applyInPandas(solve, schema)
+    if strength <= 0 or window < 5:
+        return df.withColumn(out, F.col(value).cast("double"))
+    w = in_order(unit, order)
+    rows = df.withColumns({"_i": F.row_number().over(w) - 1, "_n": F.count("*").over(whole(unit))})
+    size = F.least(F.lit(window), F.col("_n")).cast("int")
+    half = F.greatest(F.lit(1), F.floor(size / 2)).cast("int")
+    last = (F.col("_n") - size).cast("int")
+    first = F.greatest(F.lit(0), F.ceil((F.col("_i") - size + 1) / half)).cast("int")
+    most = F.least(F.floor(F.col("_i") / half), F.floor(last / half)).cast("int")
+    regular = F.when(first <= most, F.transform(F.sequence(first, most), lambda k: (k * half).cast("int"))).otherwise(F.array().cast("array<int>"))
+    starts = F.when(F.col("_i") >= last, F.array_union(regular, F.array(last))).otherwise(regular)
+    dealt = rows.filter("_n >= 5").select(F.col(unit).alias("_u"), "_i", F.col(value).cast("double").alias("_x"), size.alias("_w"), F.explode(starts).alias("_s"))
+
+    def solve(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_i")
+        x = table.column("_x").to_numpy()
+        taper = np.hanning(len(x)) + 1e-6
+        return pa.table({"_u": table.column("_u"), "_i": table.column("_i"), "_y": taper * (bending_smoother(len(x), strength) @ x), "_t": taper})
+
+    kind = dict(df.dtypes)[unit]
+    solved = dealt.groupBy("_u", "_s").applyInArrow(solve, f"_u {kind}, _i int, _y double, _t double").groupBy("_u", "_i").agg((F.sum("_y") / F.sum("_t")).alias("_r"))
+    joined = rows.join(solved, (F.col(unit) == F.col("_u")) & (rows["_i"] == solved["_i"]), "left")
+    return joined.select(*(rows[c] for c in df.columns), F.coalesce("_r", F.col(value).cast("double")).alias(out))
 
 
 def blend(original: Column, refined: Column, strength: float) -> Column:
     """(1 - s) x + s y of two arrays; an error where their lengths differ."""
     mixed = F.zip_with(original, refined, lambda x, y: (1 - strength) * x + strength * y)
     return F.when(F.size(original) == F.size(refined), mixed).otherwise(F.raise_error(F.lit("refined array has another length")))
+
+
+#: Ways to refine a series by name; each takes (df, unit, order, value, out=...).
+REFINERS = {"savgol": savgol, "confidence": confidence_smooth, "variational": variational_smooth}
+
+
+def refine(df: DataFrame, method: str, unit: str, order: list[str], value: str, strength: float = 1.0, out: str = "refined", **options) -> DataFrame:
+    """``df`` with its value blended with a method's refined one; ``none`` leaves it as it is."""
+    if method == "none":
+        return df.withColumn(out, F.col(value))
+    if method not in REFINERS:
+        raise ValueError(f"no refiner {method}; there are none, {', '.join(REFINERS)}")
+    got = REFINERS[method](df, unit, order, value, out="_refined", **options)
+    return got.withColumn(out, (1 - strength) * F.col(value) + strength * F.col("_refined")).drop("_refined")

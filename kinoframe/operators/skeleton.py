@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.rotations import PARENTS
+from ..functions.rotations import PARENTS, euler_zyx_degrees, matrix_of_axis_angle, rotate
 
 #: Names of the joints, and bone names of two rigs.
 JOINTS = (
@@ -82,41 +82,59 @@ def global_rotations(frames: DataFrame, pose: str, out: str = "global_rotation")
     return frames.withColumn(out, turn(pose))
 
 
-def bvh_frames(frames: DataFrame, unit: str, frame: str, channels: str) -> DataFrame:
-    """(unit, motion): a line of numbers for each frame, in order, as motion capture text holds them."""
-    line = F.array_join(F.transform(channels, lambda v: F.format_string("%.6f", v)), " ")
-    lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(frame).alias("f"), line.alias("l")))), lambda s: s["l"])
-    return frames.groupBy(unit).agg(F.count("*").alias("frames"), F.array_join(lines, "\n").alias("motion"))
+def _children() -> dict[int, list[int]]:
+    out: dict[int, list[int]] = {}
+    for j, p in enumerate(PARENTS):
+        out.setdefault(p, []).append(j)
+    return out
 
 
-def bvh_hierarchy(offsets: dict[str, list[float]]) -> str:
-    """Header of the text: the joints depth first, children by number."""
-    children: dict[int, list[int]] = {}
-    for j, p in enumerate(PARENTS):
-        children.setdefault(p, []).append(j)
+def depth_first() -> list[int]:
+    """Joints from the root down, each before its children, as a hierarchy lists them and its channels follow."""
+    children, order, waiting = _children(), [], [0]
+    while waiting:
+        order.append(waiting.pop())
+        waiting += reversed(children.get(order[-1], []))
+    return order
+
+
+def bvh_hierarchy(offsets: dict[str, list[float]], scale: float = 100.0) -> str:
+    """Header of motion capture text: joints depth first with their offsets; a leaf's end lies as far on as its bone is long."""
+    children = _children()
 
     def block(j: int, depth: int) -> list[str]:
-        pad, x = "  " * depth, offsets[JOINTS[j]]
-        place = "OFFSET " + " ".join(f"{v:.6f}" for v in x)
+        pad, inner = "\t" * depth, "\t" * (depth + 1)
+        place = "OFFSET " + " ".join(f"{v * scale:.6f}" for v in ([0.0] * 3 if depth == 0 else offsets[JOINTS[j]]))
         channels = "CHANNELS 6 Xposition Yposition Zposition Zrotation Yrotation Xrotation" if depth == 0 else "CHANNELS 3 Zrotation Yrotation Xrotation"
-        lines = [f"{pad}{'ROOT' if depth == 0 else 'JOINT'} {JOINTS[j]}", f"{pad}{{", f"{pad}  {place}", f"{pad}  {channels}"]
+        lines = [f"{pad}{'JOINT' if depth else 'ROOT'} {JOINTS[j]}", pad + "{", inner + place, inner + channels]
         for c in children.get(j, []):
             lines += block(c, depth + 1)
         if j not in children:
-            lines += [f"{pad}  End Site", f"{pad}  {{", f"{pad}    OFFSET 0.000000 0.000000 0.000000", f"{pad}  }}"]
-        return [*lines, f"{pad}}}"]
+            lines += [inner + "End Site", inner + "{", inner + "\t" + place, inner + "}"]
+        return [*lines, pad + "}"]
 
     return "\n".join(["HIERARCHY", *block(0, 0)])
 
 
+def bvh_text(frames: DataFrame, unit: str, frame: str, pose: str, trans: str, offsets: dict[str, list[float]], fps: float, scale: float = 100.0) -> DataFrame:
+    """(unit, frames, text): each unit's motion capture text, metres times ``scale``: the hierarchy, then a line for
+    each frame with the root's place and the angles about Z, Y and X of every joint, depth first.
+    """
+    order = F.array(*map(F.lit, depth_first()))
+    turns = F.flatten(F.transform(order, lambda j: euler_zyx_degrees(matrix_of_axis_angle(F.slice(pose, 3 * j + 1, 3)))))
+    numbers = F.concat(F.transform(trans, lambda v: v * scale), turns)
+    line = F.array_join(F.transform(numbers, lambda v: F.format_string("%.6f", v)), " ")
+    each = frames.groupBy(unit).agg(F.count("*").alias("frames"), F.array_sort(F.collect_list(F.struct(F.col(frame).alias("f"), line.alias("l")))).alias("_r"))
+    head = F.concat(F.lit(bvh_hierarchy(offsets, scale) + "\nMOTION\nFrames: "), F.col("frames").cast("string"), F.lit(f"\nFrame Time: {1.0 / fps:.8f}\n"))
+    return each.select(unit, "frames", F.concat(head, F.array_join(F.transform("_r", lambda r: r["l"]), "\n"), F.lit("\n")).alias("text"))
+
+
 def feature_joints(frames: DataFrame, unit: str, frame: str, vector: str) -> DataFrame:
     """(unit, frame, joint, x, y, z) of 263-number frames: the root's turn and path integrated, then each joint turned and moved.
 
     The vector holds the root's turning speed, its velocity across the floor, its height,
     and 21 joints' places from the root.
     """
-    from ..functions.rotations import rotate
-
     w = Window.partitionBy(unit).orderBy(frame)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     v = lambda i: F.get(vector, F.lit(i))

@@ -15,17 +15,20 @@ def insert_new(store: DataFrame, rows: DataFrame, key: str = "clip_id") -> DataF
 
 
 def merge_json(old: Column, new: Column) -> Column:
-    """Keys of both objects, the new values where both have one; values stay JSON text."""
-    a, b = (F.coalesce(F.from_json(c, "map<string,string>"), F.create_map().cast("map<string,string>")) for c in (old, new))
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k)), b)))))
+    """Keys of both objects in order, the new values where both have one; values keep their types, nested ones whole."""
+    a, b = (F.coalesce(F.from_json(c, "map<string, variant>"), F.create_map().cast("map<string, variant>")) for c in (old, new))
+    merged = F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k)), b)
+    keys = F.array_sort(F.map_keys(merged))
+    return F.to_json(F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(merged, k))))
 
 
 def apply_updates(store: DataFrame, updates: DataFrame, key: str = "clip_id") -> DataFrame:
-    """Status, worker and time of the latest update of each key, its data merged over the stored."""
+    """Status and time of the latest update of each key, its worker if it names one, and its data merged over the stored."""
     latest = updates.groupBy(key).agg(F.max_by(F.struct("status", "worker", "updated", "data"), F.col("updated")).alias("u"))
     joined = store.join(latest, key, "left")
-    pick = {c: F.when(F.col("u").isNotNull(), F.col(f"u.{c}")).otherwise(F.col(c)) for c in ("status", "worker", "updated")}
-    data = F.when(F.col("u").isNotNull(), merge_json(F.col("data"), F.col("u.data"))).otherwise(F.col("data"))
+    new = F.col("u").isNotNull()
+    pick = {c: F.when(new, F.col(f"u.{c}")).otherwise(F.col(c)) for c in ("status", "updated")} | {"worker": F.coalesce("u.worker", "worker")}
+    data = F.when(new & F.col("u.data").isNotNull(), merge_json(F.col("data"), F.col("u.data"))).otherwise(F.col("data"))
     return joined.withColumns(pick | {"data": data}).drop("u")
 
 

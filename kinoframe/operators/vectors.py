@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.folders import kept
+
 #: Rows for exact k-means, and for a spanning tree; beyond, other ways are taken.
 EXACT_KMEANS, EXACT_TREE = 2000, 4000
 
@@ -23,8 +25,7 @@ def zscore(df: DataFrame, columns: list[str], group: list[str] | None = None) ->
     if group:
         joined = df.join(df.groupBy(*group).agg(*stats), group)
     else:
-        one = df.agg(*stats).first().asDict()  # two numbers for each column
-        joined = df.withColumns({k: F.lit(v).cast("double") for k, v in one.items()})
+        joined = df.join(F.broadcast(df.agg(*stats)))  # one row
     z = {f"{c}_z": (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") < 1e-8, 1.0).otherwise(F.col(f"_s_{c}")) for c in columns}
     return joined.withColumns(z).drop(*(f"_{k}_{c}" for c in columns for k in "ms"))
 
@@ -113,7 +114,8 @@ def _sums(df: DataFrame, key: str, vector: str, centers: list[list[float]]) -> d
 
 
 def kmeans(df: DataFrame, key: str, vector: str, k: int, iterations: int = 50, seed: int = 0) -> list[list[float]]:
-    """Lloyd's centres; a centre without vectors stays where it is."""
+    """Lloyd's centres; a centre without vectors stays where it is. The vectors are written once and read in each round."""
+    df = kept(df.select(key, vector), "vectors")
     centers = first_centers(df, key, vector, k, seed)
     for _ in range(iterations):
         got = _sums(df, key, vector, centers)
@@ -125,59 +127,85 @@ def kmeans(df: DataFrame, key: str, vector: str, k: int, iterations: int = 50, s
 
 
 def minibatch_kmeans(df: DataFrame, key: str, vector: str, k: int, batch: int = 256, iterations: int = 200, seed: int = 0) -> list[list[float]]:
-    """Centres that move towards samples at a rate of one over the vectors each has met."""
-    n, centers = df.count(), first_centers(df, key, vector, k, seed)
+    """Centres that move towards samples at a rate of one over the vectors each has met.
+
+    All batches come from one pass: rows in the order of a hash of their keys, ``batch`` at a
+    time, from the start again when they run out. The driver holds ``batch * iterations`` rows at most.
+    """
+    drawn = df.orderBy(F.xxhash64(F.lit(seed + 1), F.col(key)), key).limit(batch * iterations).select(F.col(vector).cast("array<double>")).collect()
+    rows, centers = np.array([r[0] for r in drawn], np.float64), np.array(first_centers(df, key, vector, k, seed), np.float64)
+    if not len(rows):
+        return []
     met = np.zeros(len(centers))
     for i in range(iterations):
-        sample = df.sample(fraction=min(1.0, batch / max(n, 1)), seed=seed + i)
-        for c, (total, m) in _sums(sample, key, vector, centers).items():
-            met[c] += m
-            centers[c] = (np.array(centers[c]) + (total - m * np.array(centers[c])) / met[c]).tolist()
-    return centers
-
-
-def spanning_tree_labels(df: DataFrame, key: str, vector: str, min_gap: float = 1.5) -> DataFrame:
+        x = rows[np.arange(i * batch, i * batch + min(batch, len(rows))) % len(rows)]
+        at = np.stack([((x - c) ** 2).sum(1) for c in centers], 1).argmin(1)
+        for c in np.unique(at).tolist():
+            mine = x[at == c]
+            met[c] += len(mine)
+            centers[c] += (mine.sum(0) - len(mine) * centers[c]) / met[c]
+    return centers.tolist()
+
+
+def _least_edges(table: pa.Table) -> pa.Table:
+    """The edges of the least spanning tree of a task's points: an edge of the whole tree is one of any part's that holds both its ends."""
+    ids, x = table.column("id").to_numpy(), _matrix(table.column("x"))
+    order = np.argsort(ids)
+    ids, x = ids[order], x[order]
+    near, link = np.full(len(x), np.inf), np.zeros(len(x), int)
+    waits, at, edges = np.ones(len(x), bool), 0, []
+    for _ in range(len(x) - 1):
+        waits[at] = False
+        d = np.sqrt(((x - x[at]) ** 2).sum(1))
+        closer = waits & (d < near)
+        near[closer], link[closer] = d[closer], at
+        at = int(np.where(waits, near, np.inf).argmin())
+        edges.append((int(ids[link[at]]), int(ids[at]), float(near[at])))
+    a, b, d = zip(*edges, strict=True) if edges else ((), (), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "d": pa.array(d, pa.float64())})
+
+
+def spanning_tree_labels(df: DataFrame, key: str, vector: str, min_gap: float = 1.5, tile: int = 256) -> DataFrame:
     """(key, cluster): single-linkage clusters, cut where the sorted tree's edges jump most.
 
-    The cut is at the largest ratio of an edge to the one before, if over ``min_gap``; else
-    there is one cluster. For ``EXACT_TREE`` rows at most, an error beyond: one task holds them.
+    Points are dealt into tiles, each two tiles' tree is a task of its own, and the driver makes
+    one tree of all their edges. The cut is at the largest ratio of an edge to the one before,
+    if over ``min_gap``; else there is one cluster. For ``EXACT_TREE`` rows at most, an error
+    beyond: distances of all pairs are their square.
     """
-    n = df.count()
+    points = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"))
+    n = points.count()
     if n > EXACT_TREE:
         raise ValueError(f"{n} rows; a spanning tree takes {EXACT_TREE} at most: give the number of clusters instead")
-
-    def label(pdf):
-        pdf = pdf.sort_values(key).reset_index(drop=True)
-        x = np.array(pdf[vector].tolist(), np.float64)
-        near, link = np.full(len(x), np.inf), np.zeros(len(x), int)
-        out, edges, at = np.zeros(len(x), bool), [], 0
-        for _ in range(len(x) - 1):
-            out[at] = True
-            d = np.sqrt(((x - x[at]) ** 2).sum(1))
-            closer = (d < near) & ~out
-            near[closer], link[closer] = d[closer], at
-            at = int(np.where(out, np.inf, near).argmin())
-            edges.append((near[at], at, link[at]))
-        edges.sort()
-        size = np.array([e[0] for e in edges])
-        ratio = size[1:] / np.maximum(size[:-1], 1e-12)
-        keep = len(edges) if not len(ratio) or ratio.max() < min_gap else int(ratio.argmax()) + 1
-        root = list(range(len(x)))
-
-        def find(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        for _, a, b in edges[:keep]:
-            a, b = find(a), find(b)
-            root[max(a, b)] = min(a, b)
-        names = {r: i for i, r in enumerate(sorted({find(i) for i in range(len(x))}))}
-        return pdf[[key]].assign(cluster=[names[find(i)] for i in range(len(x))])
-
-    one = df.select(key, F.col(vector).cast("array<double>").alias(vector)).groupBy(F.lit(0).alias("_all"))
-    return one.applyInPandas(lambda pdf: label(pdf), f"`{key}` long, cluster int")
+    tiles = max(1, -(-n // tile))
+    mine = F.pmod(F.xxhash64("id"), F.lit(tiles))
+    pairs = points.withColumn("_m", mine).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
+    met = pairs.select(F.least("_m", "_o").alias("t1"), F.greatest("_m", "_o").alias("t2"), "id", "x")
+    edges = sorted((r["d"], r["a"], r["b"]) for r in met.groupBy("t1", "t2").applyInArrow(_least_edges, "a long, b long, d double").distinct().collect())
+    ids = sorted(r["id"] for r in points.select("id").collect())
+    root = {i: i for i in ids}
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    tree = []
+    for d, a, b in edges:
+        p, q = find(a), find(b)
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            tree.append((d, a, b))
+    sizes = np.array([e[0] for e in tree])
+    ratio = sizes[1:] / np.maximum(sizes[:-1], 1e-12)
+    keep = len(tree) if not len(ratio) or ratio.max() < min_gap else int(ratio.argmax()) + 1
+    root = {i: i for i in ids}
+    for _, a, b in tree[:keep]:
+        p, q = find(a), find(b)
+        root[max(p, q)] = min(p, q)
+    names = {r: c for c, r in enumerate(sorted({find(i) for i in ids}))}
+    return df.sparkSession.createDataFrame([(i, names[find(i)]) for i in ids], f"`{key}` long, cluster int")
 
 
 def cluster_labels(df: DataFrame, key: str, vector: str, k: int | None = None, seed: int = 0) -> DataFrame:
@@ -197,27 +225,27 @@ def box_scores(vertices: DataFrame, asset: str) -> DataFrame:
     return out.withColumn("proportion", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.abs(tall - 3.5) / 3.5)))
 
 
-def symmetry_scores(vertices: DataFrame, asset: str, vid: str, sample: int = 800) -> DataFrame:
-    """(asset, symmetry): how near each of ``sample`` evenly chosen vertices has a mirrored one.
+def symmetry_scores(vertices: DataFrame, asset: str, vid: str, sample: int | None = 800) -> DataFrame:
+    """(asset, symmetry): 1 where each vertex has another one at its mirrored place, 0 where the nearest
+    is a tenth of the mesh's diagonal away on average.
 
-    A mesh's sample is at most ``sample`` rows, which one task holds.
+    The mirror stands across the second longest side, in the median. Of a mesh, ``sample``
+    evenly chosen vertices are taken, or all without it, and each meets the mirrored others of its mesh in a join.
     """
-    import pandas as pd
-
     numbered = vertices.withColumn("_i", F.row_number().over(Window.partitionBy(asset).orderBy(vid)) - 1)
-    stats = vertices.groupBy(asset).agg(F.count("*").alias("_n"), *(F.median(a).alias(f"_c{a}") for a in "xyz"), *((F.max(a) - F.min(a)).alias(f"_e{a}") for a in "xyz"))
-    m = F.least(F.lit(sample), F.col("_n"))
-    at = F.transform(F.sequence(F.lit(0).cast("long"), m - 1), lambda i: F.floor(F.when(m > 1, i * (F.col("_n") - 1) / (m - 1)).otherwise(0.0)))
-    chosen = stats.withColumn("_i", F.explode(F.array_distinct(at))).join(numbered.withColumn("_i", F.col("_i").cast("long")), [asset, "_i"])
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        p, e = pdf[["x", "y", "z"]].to_numpy(), pdf[["_ex", "_ey", "_ez"]].to_numpy()[0]
-        axis = int(np.argsort(e, kind="stable")[::-1][1])
-        q = p.copy()
-        q[:, axis] = 2 * pdf[["_cx", "_cy", "_cz"]].to_numpy()[0][axis] - q[:, axis]
-        near = np.concatenate([np.sqrt(((p[s : s + 256, None] - q[None]) ** 2).sum(2)).min(1) for s in range(0, len(p), 256)])
-        diag = float(np.sqrt((e**2).sum())) or 1.0
-        return pd.DataFrame({asset: [pdf[asset].iloc[0]], "symmetry": [float(np.clip(1 - near.mean() / (0.1 * diag), 0, 1))]})
-
-    kind = dict(vertices.dtypes)[asset]
-    return chosen.groupBy(asset).applyInPandas(score, f"`{asset}` {kind}, symmetry double")
+    mesh = vertices.groupBy(asset).agg(F.count("*").alias("_n"), *(F.median(a).alias(f"_c{a}") for a in "xyz"), *((F.max(a) - F.min(a)).alias(f"_e{a}") for a in "xyz"))
+    longest = F.array_sort(F.array(*(F.struct((-F.col(f"_e{a}")).alias("e"), F.lit(-k).alias("k")) for k, a in enumerate("xyz"))))
+    mesh = mesh.withColumn("_axis", -F.get(longest, F.lit(1))["k"])
+    if sample is not None:
+        m = F.least(F.lit(sample), F.col("_n"))
+        at = F.transform(F.sequence(F.lit(0).cast("long"), m - 1), lambda i: F.floor(F.when(m > 1, i * (F.col("_n") - 1) / (m - 1)).otherwise(0.0)))
+        chosen = mesh.select(asset, F.explode(F.array_distinct(at)).alias("_i"))
+        numbered = numbered.withColumn("_i", F.col("_i").cast("long")).join(chosen, [asset, "_i"])
+    points = numbered.join(mesh, asset)
+    turned = [F.when(F.col("_axis") == k, 2 * F.col(f"_c{a}") - F.col(a)).otherwise(F.col(a)).alias(f"_m{a}") for k, a in enumerate("xyz")]
+    apart = F.sqrt(sum(((F.col(a) - F.col(f"_m{a}")) ** 2 for a in "xyz"), F.lit(0.0)))
+    near = points.select(asset, "_i", *"xyz").join(points.select(asset, *turned), asset).groupBy(asset, "_i").agg(F.min(apart).alias("_d"))
+    diagonal = F.sqrt(F.col("_ex") ** 2 + F.col("_ey") ** 2 + F.col("_ez") ** 2)
+    mean = near.groupBy(asset).agg(F.avg("_d").alias("_d")).join(mesh, asset)
+    score = 1 - F.col("_d") / (0.1 * F.when(diagonal > 0, diagonal).otherwise(1.0))
+    return mean.select(asset, F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("symmetry"))

@@ -1,6 +1,7 @@
 """Queries by name, and the same rows as DuckDB SQL."""
 
-from . import extensions, media, motion, publication
+from . import extensions, further, media, motion, publication
 
-QUERIES = media.QUERIES | motion.QUERIES | extensions.QUERIES | publication.QUERIES
-ORACLE_SQL = media.SQL | motion.SQL | extensions.SQL | publication.SQL
+_PARTS = (media, motion, extensions, publication, further)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLE_SQL = {name: sql for part in _PARTS for name, sql in part.SQL.items()}

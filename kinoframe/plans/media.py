@@ -180,7 +180,7 @@ def next_pending(spark, d):
 
 
 @query("""WITH u AS (SELECT user_id, arg_max(event_type, event_id) AS status, arg_max(event_id, event_id) AS updated, arg_max(props, event_id) AS props FROM events GROUP BY 1)
-SELECT c_custkey AS clip_id, coalesce(u.status, 'pending') AS status, CASE WHEN u.status IS NULL THEN '{"a":1,"k":0}' ELSE '{"a":"1","k":"' || json_extract_string(props, '$.k') || '"}' END AS data
+SELECT c_custkey AS clip_id, coalesce(u.status, 'pending') AS status, CASE WHEN u.status IS NULL THEN '{"a":1,"k":0}' ELSE '{"a":1,"k":' || json_extract_string(props, '$.k') || '}' END AS data
 FROM customer LEFT JOIN u ON user_id = c_custkey""")
 def state_updates(spark, d):
     store = table(spark, d, "customer").select(F.col("c_custkey").alias("clip_id"), F.lit("pending").alias("status"), F.lit(None).cast("string").alias("worker"), F.lit(-1).cast("long").alias("updated"), F.lit('{"a":1,"k":0}').alias("data"))
@@ -217,9 +217,9 @@ def json_extract(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object(found, "$.k").cast("long").alias("k"))
 
 
-@query("SELECT event_id, '{\"a\":\"1\",\"k\":\"' || json_extract_string(props, '$.k') || '\"}' AS data FROM events")
+@query("""SELECT event_id, '{"a":1,"k":' || json_extract_string(props, '$.k') || ',"n":{"x":[1,"2",null]}}' AS data FROM events""")
 def json_merge(spark, d):
-    return table(spark, d, "events").select("event_id", state.merge_json(F.lit('{"a":1,"k":0}'), F.col("props")).alias("data"))
+    return table(spark, d, "events").select("event_id", state.merge_json(F.lit('{"n":{"x":[1,"2",null]},"a":1,"k":"0"}'), F.col("props")).alias("data"))
 
 
 _TAGS = """SELECT doc_id, tag, count(*) AS n, min(pos) AS f FROM (SELECT doc_id, unnest(w) AS tag, unnest(range(len(w))) AS pos FROM

@@ -324,11 +324,6 @@ def box_scores(spark, d):
     return vectors.box_scores(_vertices(spark, d), "asset").select("asset", *(F.round(c, 6).alias(c) for c in ("up", "width", "depth", "proportion")))
 
 
-@query()
-def symmetry_scores(spark, d):
-    return vectors.symmetry_scores(_vertices(spark, d), "asset", "vid")
-
-
 @query("""WITH x AS (SELECT l_orderkey, l_linenumber, max(l_discount) AS d FROM lineitem GROUP BY 1, 2), t AS (SELECT l_orderkey, l_linenumber, d * 10 AS s, coalesce(max(d * 10) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS was FROM x)
 SELECT l_orderkey, l_linenumber, round(s, 6)::DOUBLE AS score FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY s DESC, l_linenumber) AS r FROM t WHERE was < 0.8) WHERE r = 1""")
 def best_of_n(spark, d):

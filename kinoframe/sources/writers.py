@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import utc_text
 from ..operators.dataset import dataset_stats
 from ..operators.publish import split_lists
 
@@ -46,8 +47,7 @@ def write_lines(rows: DataFrame, path: str, line: str) -> None:
 
 def append_events(events: DataFrame, path: str) -> None:
     """Adds events to a log of JSON lines, each with the time it is written, in UTC to the second; what is there stays."""
-    at = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    stamped = events if "at" in events.columns else events.withColumn("at", at)
+    stamped = events if "at" in events.columns else events.withColumn("at", utc_text(F.current_timestamp()))
     stamped.write.mode("append").json(path)
 
 

@@ -6,8 +6,6 @@ that stops takes up where it was. ``availableNow`` drains what is there and ends
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,10 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-
-def work_dir(spark: SparkSession) -> str:
-    """A fresh folder in the session's checkpoint folder, a temporary one only where that is unset."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/stream-{uuid.uuid4().hex}"
+from ..operators.folds import packed_windows, running_mean
+from ..sources.folders import work_dir
 
 
 def file_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -38,9 +34,56 @@ def tumbling(stream: DataFrame, key: str, value: str, width: str, lateness: str
     return timed.groupBy(key, F.window("ts", width).alias("w")).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(key, F.col("w.start").alias("start"), "n", "total")
 
 
+def sliding(stream: DataFrame, key: str, value: str, width: str, slide: str, lateness: str = "1 hour") -> DataFrame:
+    """The same of windows that start every ``slide``, so that they overlap."""
+    timed = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+    return timed.groupBy(key, F.window("ts", width, slide).alias("w")).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(key, F.col("w.start").alias("start"), "n", "total")
+
+
+def first_events(spark: SparkSession, path: str, keys: list[str], lateness: str) -> DataFrame:
+    """Events of a stream without those that repeat an earlier one's keys within ``lateness``."""
+    base = work_dir(spark, "stream")
+    timed = file_stream(spark, path).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+    q = timed.dropDuplicatesWithinWatermark(keys).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(timed.schema).parquet(f"{base}/out")
+
+
+def label_rest(spark: SparkSession, path: str, key: list[str], labels: str, label: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Labels of all segments of a stream: a batch labels those that have none at ``labels`` yet, so a job
+    that stopped goes on at the first one without, and a batch that comes again adds nothing.
+    """
+
+    def resume(batch: DataFrame, number: int) -> None:
+        known = batch.sparkSession.read.parquet(labels).select(*key)
+        label(batch.join(known, key, "left_anti")).write.mode("append").parquet(labels)
+
+    q = file_stream(spark, path).writeStream.option("checkpointLocation", f"{work_dir(spark, 'stream')}/checkpoint").foreachBatch(resume).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(labels)
+
+
+def streamed_mean(spark: SparkSession, path: str, key: str, order: list[str], value: str, alpha: float) -> DataFrame:
+    """(order, mean): causal means of each key's values, the last one kept as state between batches, which come in order."""
+    base, run = work_dir(spark, "stream"), running_mean(alpha)
+    stream = file_stream(spark, path).select(key, *order, F.col(value).cast("double").alias("x"))
+    kinds = dict(stream.dtypes)
+
+    def fold(name: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(parts).sort_values(order)
+        last, got = run(state.get[0] if state.exists else None, rows["x"].to_numpy())
+        state.update((float(last),))
+        yield rows[order].assign(mean=got)
+
+    out = stream.groupBy(key).applyInPandasWithState(fold, ", ".join([*(f"{c} {kinds[c]}" for c in order), "mean double"]), "last double", "append", GroupStateTimeout.NoTimeout)
+    q = out.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
 def drained(spark: SparkSession, path: str, job: Callable[..., DataFrame], **options) -> DataFrame:
     """Result of an aggregating job over all of a stream: every batch's changes, the last of each key."""
-    base = work_dir(spark)
+    base = work_dir(spark, "stream")
     out = job(file_stream(spark, path), **options)
     keys = [c for c in out.columns if c not in ("n", "total")]
 
@@ -63,7 +106,7 @@ def upsert(batch: DataFrame, number: int, base: str, key: str, order: str) -> No
 
 def latest(spark: SparkSession, path: str, key: str, order: str, columns: dict[str, str]) -> DataFrame:
     """(key, order, columns): each key's row of the greatest order out of a stream of changes."""
-    base = work_dir(spark)
+    base = work_dir(spark, "stream")
     stream = file_stream(spark, path).select(key, order, *(F.col(v).alias(k) for k, v in columns.items()))
     q = stream.writeStream.option("checkpointLocation", f"{base}/checkpoint").foreachBatch(lambda b, n: upsert(b, n, base, key, order)).trigger(availableNow=True).start()
     q.awaitTermination()
@@ -73,20 +116,15 @@ def latest(spark: SparkSession, path: str, key: str, order: str, columns: dict[s
 
 def streamed_windows(spark: SparkSession, path: str, seconds: float) -> DataFrame:
     """(event_id, window): greedy windows of each user's events; a stream's batches must come in order of time."""
-    base = work_dir(spark)
+    base, run = work_dir(spark, "stream"), packed_windows(seconds)
     start = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("double")
     spans = file_stream(spark, path).select("user_id", "event_id", start.alias("a"), (start + F.col("value")).alias("b"))
 
     def pack(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        begin, number = state.get if state.exists else (None, -1)
-        rows = pd.concat(parts).sort_values(["a", "b", "event_id"])
-        out = []
-        for a, b in zip(rows["a"], rows["b"], strict=True):
-            if begin is None or b - begin > seconds:
-                begin, number = a, number + 1
-            out.append(number)
-        state.update((begin, number))
-        yield pd.DataFrame({"event_id": rows["event_id"].to_numpy(), "window": out})
+        rows = pd.concat(parts).sort_values(["a", "b", "event_id"])  # one key's rows of one batch
+        held, numbers = run(state.get if state.exists else None, rows["a"].to_numpy(), rows["b"].to_numpy())
+        state.update((float(held[0]), int(held[1])))
+        yield pd.DataFrame({"event_id": rows["event_id"].to_numpy(), "window": numbers})
 
     packed = spans.groupBy("user_id").applyInPandasWithState(pack, "event_id long, window long", "begin double, number long", "append", GroupStateTimeout.NoTimeout)
     q = packed.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()

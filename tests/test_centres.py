@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kinoframe import plans
 from kinoframe.operators import vectors
@@ -35,9 +36,11 @@ def test_kmeans_labels(spark, table):
 
 def test_minibatch_labels(spark, table):
     e, ids, x, c = table
-    n, met, at_row = len(ids), np.zeros(len(c)), {i: k for k, i in enumerate(ids)}
+    met, at_row = np.zeros(len(c)), {i: k for k, i in enumerate(ids)}
+    order = [r[0] for r in e.orderBy(F.xxhash64(F.lit(1), F.col("vec_id")), "vec_id").select("vec_id").collect()]
+    drawn = x[[at_row[i] for i in order]]
     for i in range(200):
-        sample = x[[at_row[r[0]] for r in e.select("vec_id").sample(fraction=min(1.0, 256 / n), seed=i).collect()]] if n > 256 else x
+        sample = drawn[[(i * 256 + k) % len(drawn) for k in range(min(256, len(drawn)))]]
         at = nearest(sample, c)
         for k in np.unique(at):
             m = (at == k).sum()
