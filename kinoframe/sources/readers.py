@@ -188,7 +188,7 @@ def read_motion(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.npz").load(path)
-    return files.select(stem(F.col("path")), "content").mapInArrow(run, _MOTION)
+    return files.select(stem(F.col("path")).alias("name"), "content").mapInArrow(run, _MOTION)
 
 
 def read_vertices(spark: SparkSession, path: str) -> DataFrame:
@@ -203,5 +203,5 @@ def read_vertices(spark: SparkSession, path: str) -> DataFrame:
 
     archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.npz").load(path)
     if archives.limit(1).count():
-        return archives.select(stem(F.col("path")), "content").mapInArrow(run, "asset_id string, vid int, x double, y double, z double")
+        return archives.select(stem(F.col("path")).alias("name"), "content").mapInArrow(run, "asset_id string, vid int, x double, y double, z double")
     return spark.read.parquet(path).select("asset_id", "vid", "x", "y", "z")
