@@ -151,19 +151,23 @@ def mirror_mask(valid: Column) -> Column:
     return F.when(valid.isNotNull(), F.transform(F.array(*(F.lit(swap.get(j, j)) for j in range(24))), lambda j: F.get(valid, j)))
 
 
-def axis_angles(block: Column, joints: int) -> Column:
-    """Axis-angles of so many joints out of axis-angles, 3x3 matrices or the 6-d form, told apart by their length."""
-    of = lambda size, use: F.flatten(F.transform(F.sequence(F.lit(0), F.lit(joints - 1)), lambda j: use(F.slice(block, j * size + 1, size))))
-    wrong = F.raise_error(F.concat(F.lit(f"no rotations of {joints} joints: length "), F.size(block).cast("string"))).cast("array<double>")
-    return F.when(F.size(block) == 3 * joints, block).when(F.size(block) == 9 * joints, of(9, axis_angle_of_matrix)).when(F.size(block) == 6 * joints, of(6, axis_angle_of_six)).otherwise(wrong)
+def axis_angles(block: Column, joints: int | Callable[[Column], Column]) -> Column:
+    """Axis-angles of so many joints out of axis-angles, 3x3 matrices or the 6-d form, told apart by their length; ``joints`` may depend on the block."""
+
+    def made(b: Column) -> Column:
+        n = joints(b) if callable(joints) else F.lit(joints)
+        of = lambda size, use: F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda j: use(F.slice(b, j * size + 1, size))))
+        wrong = F.raise_error(F.concat(F.lit("no rotations of these joints: length "), F.size(b).cast("string"))).cast("array<double>")
+        return F.when(F.size(b) == 3 * n, b).when(F.size(b) == 9 * n, of(9, axis_angle_of_matrix)).when(F.size(b) == 6 * n, of(6, axis_angle_of_six)).otherwise(wrong)
+
+    return bound(block, made)
 
 
 def body_pose(orient: Column, body: Column) -> Column:
     """The 72 numbers of a body: its orientation, and 23 joints, or 21 and two hands at rest; each in any form of ``axis_angles``."""
-    full, short = (F.size(body).isin(3 * n, 6 * n, 9 * n) for n in (23, 21))
-    wrong = F.raise_error(F.concat(F.lit("neither 21 nor 23 joints: length "), F.size(body).cast("string"))).cast("array<double>")
-    rest = F.when(full, axis_angles(body, 23)).when(short, F.concat(axis_angles(body, 21), F.array_repeat(F.lit(0.0), 6))).otherwise(wrong)
-    return F.concat(axis_angles(orient, 1), rest)
+    joints = lambda b: F.when(F.size(b).isin(69, 138, 207), 23).otherwise(21)
+    numbers = bound(axis_angles(body, joints), lambda b: F.when(F.size(b) == 69, b).otherwise(F.concat(b, F.array_repeat(F.lit(0.0), 6))))
+    return F.concat(axis_angles(orient, 1), numbers)
 
 
 def hand_pose(hand: Column) -> Column:

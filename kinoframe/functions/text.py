@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import fnmatch
-import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -100,11 +99,6 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"([a-z]+)"))
 
 
-def check_glob(pattern: str) -> str:
-    """The pattern as the regular expression that ``glob_match`` uses."""
-    return re.sub(r"\\Z", r"\\z", fnmatch.translate(pattern))
-
-
 def reply_label(text: Column) -> tuple[Column, Column]:
     """(description, tags) of the JSON object in a model's reply, trimmed, empty tags dropped."""
     label = F.from_json(first_json_object(text), "description string, tags array<string>")

@@ -81,12 +81,17 @@ def gate_videos(clips: DataFrame, activity: str, shift: str, min_activity: float
     })
 
 
-def occluded_joints(cameras: DataFrame, camera: str = "camera", region: str = "region") -> DataFrame:
-    """(camera, joints): union of the joints of each camera's hidden regions; an unknown region is an error."""
+def occluded_joints(cameras: DataFrame, camera: str = "camera", region: str = "region", partial: str | None = None) -> DataFrame:
+    """(camera, joints): union of the joints of each camera's hidden regions, and of the legs where ``partial`` is true; an unknown region is an error."""
     known = F.create_map(*(x for k, v in REGIONS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
     joints = F.get(F.array(known[F.lower(F.trim(F.col(region)))]), F.lit(0))
     checked = F.when(joints.isNotNull(), joints).otherwise(F.raise_error(F.concat(F.lit("unknown body region: "), F.col(region))))
-    return cameras.select(camera, F.explode(checked).alias("joint")).groupBy(camera).agg(F.array_sort(F.collect_set("joint")).alias("joints"))
+    none = F.array().cast("array<int>")
+    hidden = F.when(F.col(region).isNull(), none).otherwise(checked)
+    if partial is not None:
+        hidden = F.array_union(hidden, F.when(F.col(partial), F.array(*map(F.lit, REGIONS["legs"]))).otherwise(none))
+    each = cameras.select(camera, F.explode_outer(hidden).alias("joint"))
+    return each.groupBy(camera).agg(F.array_sort(F.collect_set("joint")).alias("joints"))
 
 
 def joint_mask(tagged: Column, inferred: Column, joints: int = 24) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rotations import export_pose
 from ..functions.text import clip_caption
-from .dataset import exact_split, is_train
+from .dataset import exact_split
 
 # --- units and attributes -----------------------------------------------------------------
 
@@ -148,7 +148,3 @@ def listed(files: DataFrame, entries: DataFrame, key: str = "clip_id") -> DataFr
 def stride_warning(fps: Column) -> Column:
     """A warning where a rate isn't a multiple of 20, so that every int(fps / 20)th frame has another speed; else null."""
     return F.when(fps % 20 != 0, F.concat(F.lit("fps "), fps.cast("string"), F.lit(" is not a multiple of 20: clips would train at the wrong speed")))
-
-
-def train_entries(entries: DataFrame) -> DataFrame:
-    return entries.filter(is_train(F.col("split")))

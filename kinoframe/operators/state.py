@@ -43,6 +43,12 @@ def release_stale(store: DataFrame, now: float, timeout: float) -> DataFrame:
     return store.withColumns({"worker": F.when(~stale, F.col("worker")), "status": F.when(stale, "pending").otherwise(F.col("status"))})
 
 
+def stale_counts(store: DataFrame, now: float, timeout: float) -> DataFrame:
+    """One row: keys in progress, and those of them that ``release_stale`` would give back."""
+    held = F.col("status") == "in_progress"
+    return store.agg(F.count_if(held).alias("in_progress"), F.count_if(held & (F.col("updated") < now - timeout)).alias("released"))
+
+
 def import_inventory(clips: DataFrame, path: str = "rel_path") -> DataFrame:
     return clips.select("clip_id", import_status(F.col("status")).alias("status"), F.col(path).alias("source"))
 

@@ -6,19 +6,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.folders import kept
+from .captions import evenly_spaced
 
 #: Rows for exact k-means, and for a spanning tree; beyond, other ways are taken.
 EXACT_KMEANS, EXACT_TREE = 2000, 4000
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-
-
 def zscore(df: DataFrame, columns: list[str], group: list[str] | None = None) -> DataFrame:
     """Columns less their mean over their population deviation, 1 where that is under 1e-8; named ``<column>_z``."""
     stats = [x for c in columns for x in (F.avg(c).alias(f"_m_{c}"), F.stddev_pop(c).alias(f"_s_{c}"))]
@@ -237,9 +234,7 @@ def symmetry_scores(vertices: DataFrame, asset: str, vid: str, sample: int | Non
     longest = F.array_sort(F.array(*(F.struct((-F.col(f"_e{a}")).alias("e"), F.lit(-k).alias("k")) for k, a in enumerate("xyz"))))
     mesh = mesh.withColumn("_axis", -F.get(longest, F.lit(1))["k"])
     if sample is not None:
-        m = F.least(F.lit(sample), F.col("_n"))
-        at = F.transform(F.sequence(F.lit(0).cast("long"), m - 1), lambda i: F.floor(F.when(m > 1, i * (F.col("_n") - 1) / (m - 1)).otherwise(0.0)))
-        chosen = mesh.select(asset, F.explode(F.array_distinct(at)).alias("_i"))
+        chosen = mesh.select(asset, F.explode(F.array_distinct(evenly_spaced(F.col("_n"), sample))).alias("_i"))
         numbered = numbered.withColumn("_i", F.col("_i").cast("long")).join(chosen, [asset, "_i"])
     points = numbered.join(mesh, asset)
     turned = [F.when(F.col("_axis") == k, 2 * F.col(f"_c{a}") - F.col(a)).otherwise(F.col(a)).alias(f"_m{a}") for k, a in enumerate("xyz")]

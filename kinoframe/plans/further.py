@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rotations as rot
 from ..functions import text as tx
-from ..operators import consent, dataset, inventory, motion, search, series, skeleton, state, vectors
+from ..operators import captions, consent, dataset, estimates, inventory, motion, search, series, skeleton, state, vectors
 from ..sources import readers
 from ..sources.folders import work_dir
 from ..streaming import jobs
@@ -220,6 +220,72 @@ def index_search(spark, d):
     return found.withColumn("score", F.round("score", 6))
 
 
+# --- captions and state -----------------------------------------------------------------------------
+
+
+@query("SELECT s.conv_id AS video_id, s.turn::INT AS seg_index, s.role, s.text AS description FROM conversations s WHERE s.turn % 2 = 1")
+def labelled_segments(spark, d):
+    turns = table(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").cast("int").alias("seg_index"), "role", "text")
+    labels = turns.filter("seg_index % 2 = 1").select("video_id", "seg_index", F.col("text").alias("description"))
+    return captions.labelled(turns.drop("text"), labels)
+
+
+@query("SELECT conv_id AS video_id, turn::INT AS seg_index FROM conversations WHERE turn % 2 = 0")
+def unlabelled_segments(spark, d):
+    turns = table(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").cast("int").alias("seg_index"))
+    return captions.unlabelled(turns, turns.filter("seg_index % 2 = 1"))
+
+
+@query("SELECT count(DISTINCT conv_id)::BIGINT AS videos, count(DISTINCT role)::BIGINT AS roles FROM conversations")
+def distinct_videos(spark, d):
+    return captions.distinct_counts(table(spark, d, "conversations"), videos=F.col("conv_id"), roles=F.col("role"))
+
+
+@query("""SELECT doc_id, i::BIGINT AS frame FROM (SELECT doc_id, CASE WHEN n_chars = 0 THEN []::BIGINT[] WHEN least(16, n_chars) = 1 THEN [0::BIGINT] ELSE list_transform(range(least(16, n_chars)), lambda k: floor(k * (n_chars - 1) / (least(16, n_chars) - 1))::BIGINT) END AS f FROM documents WHERE n_chars IS NOT NULL), unnest(f) x(i)""")
+def sampled_frames(spark, d):
+    """Sixteen evenly spaced frames of each clip; a document's characters stand for its frames."""
+    docs = table(spark, d, "documents").filter("n_chars IS NOT NULL")
+    return docs.select("doc_id", F.explode(captions.evenly_spaced(F.col("n_chars"), 16)).alias("frame"))
+
+
+@query("""SELECT count(*) FILTER (WHERE event_type = 'signup')::BIGINT AS in_progress, count(*) FILTER (WHERE event_type = 'signup' AND epoch(ts) < 1704585600 - 3600)::BIGINT AS released FROM events""")
+def stale_counts(spark, d):
+    store = table(spark, d, "events").select(F.when(F.col("event_type") == "signup", "in_progress").otherwise("done").alias("status"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("updated"))
+    return state.stale_counts(store, 1704585600.0, 3600.0)
+
+
+@query("""SELECT c_custkey AS camera, CASE WHEN c_nationkey % 2 = 0 AND c_acctbal > 0 THEN [1,2,4,5,7,8,10,11,12,15] WHEN c_nationkey % 2 = 0 THEN [12,15] WHEN c_acctbal > 0 THEN [1,2,4,5,7,8,10,11] ELSE [] END AS joints FROM customer""")
+def partial_cameras(spark, d):
+    """Hidden regions, and the legs where a camera sees a part of the body only."""
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("camera"), F.when(F.col("c_nationkey") % 2 == 0, " Head").alias("region"), (F.col("c_acctbal") > 0).alias("partial"))
+    return inventory.occluded_joints(rows, partial="partial")
+
+
+@query(f"""{_SUBJECT} SELECT user_id, place::INT AS frame_idx, round(value / 100, 5)::DOUBLE AS turn, round(value / 50, 5)::DOUBLE AS height FROM s""")
+def estimator_tracks(spark, d):
+    """Detections under an estimator's own names as the motion of the person seen most."""
+    f = _frames(spark, d)
+    rows = f.select("user_id", F.col("event_type").alias("subject_ids"), F.col("frame_idx").alias("frame_ids"), F.concat(F.array(F.col("value") / 100, F.lit(0.0), F.lit(0.0)), F.array_repeat(F.lit(0.1), 69)).alias("poses"), F.array(F.lit(0.0), F.col("value") / 50, F.lit(0.0)).alias("cam_trans"))
+    out = estimates.subject_motion(rows, "user_id")
+    return out.select("user_id", "frame_idx", F.round(F.get("pose", F.lit(0)), 5).alias("turn"), F.round(F.get("trans", F.lit(1)), 5).alias("height"))
+
+
+@query("""WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2), t AS (SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, event_type) AS r FROM c) WHERE r = 1)
+SELECT event_id FROM events JOIN t USING (user_id, event_type)""")
+def longest_tracks(spark, d):
+    return estimates.longest_track_motion(table(spark, d, "events"), "user_id", "event_type", "ts").select("event_id")
+
+
+@query(f"""WITH {_P} SELECT vec_id, list_transform(range(24), lambda j: {_SWAP}[j + 1] % 3 = vec_id % 3) AS valid, list_transform(e[1:45], lambda v: round(v, 5)) AS hand FROM p""")
+def hands_and_masks(spark, d):
+    """A mask of joints in a mirror, and a hand given as matrices."""
+    e = F.transform("embedding", lambda v: v.cast("double"))
+    valid = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda j: j % 3 == F.col("vec_id") % 3)
+    rows = table(spark, d, "embeddings").select("vec_id", F.slice(e, 1, 45).alias("h"), valid.alias("v"))
+    matrices = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(14)), lambda j: rot.matrix_of_axis_angle(F.slice("h", 3 * j + 1, 3))))
+    return rows.select("vec_id", rot.mirror_mask(F.col("v")).alias("valid"), F.transform(rot.hand_pose(matrices), lambda v: F.round(v, 5)).alias("hand"))
+
+
 # --- datasets ---------------------------------------------------------------------------------------
 
 

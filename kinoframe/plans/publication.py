@@ -50,13 +50,38 @@ def manifest_read(spark, d):
 
 @query("SELECT s_suppkey::VARCHAR AS person_id, s_name AS display_name, s_acctbal > 0 AS granted FROM supplier")
 def registry_read(spark, d):
+    """A registry of people written as JSON and read again."""
     base = work_dir(spark, "registry")
-    person = F.struct(F.col("s_name").alias("display_name"), F.struct((F.col("s_acctbal") > 0).alias("granted"), F.lit("all").alias("scope")).alias("consent"))
-    people = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.map_from_entries(F.collect_list(F.struct(F.col("s_suppkey").cast("string"), person))).alias("people"))
-    people.select(F.to_json(F.struct("people")).alias("value"), "s_nationkey").repartition("s_nationkey").write.partitionBy("s_nationkey").text(base)
+    writers.write_registry(table(spark, d, "supplier").select(F.col("s_suppkey").alias("person_id"), F.col("s_name").alias("display_name"), (F.col("s_acctbal") > 0).alias("granted")), base)
     return readers.read_registry(spark, base).select("person_id", "display_name", "granted")
 
 
+@query("SELECT vec_id::VARCHAR AS unit_id, vec_id % 2 = 0 AS has_left, embedding[1:3] AS trans FROM embeddings")
+def motion_store(spark, d):
+    """Stored motion: a hand that was never estimated is null, before and after."""
+    base = work_dir(spark, "motion")
+    frames = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("unit_id"), F.lit(0).alias("frame_idx"), F.slice("embedding", 1, 3).alias("trans"), F.when(F.col("vec_id") % 2 == 0, F.slice("embedding", 1, 45)).alias("left_hand"))
+    writers.write_motion(frames, base)
+    return spark.read.parquet(base).select("unit_id", F.col("left_hand").isNotNull().alias("has_left"), "trans")
+
+
+@query("SELECT p_brand AS asset_id, p_partkey::INT AS vid, p_size::DOUBLE AS x, p_retailprice AS y, 0.5::DOUBLE AS z FROM part")
+def vertices_read(spark, d):
+    base = work_dir(spark, "mesh")
+    table(spark, d, "part").select(F.col("p_brand").alias("asset_id"), F.col("p_partkey").cast("int").alias("vid"), F.col("p_size").cast("double").alias("x"), F.col("p_retailprice").alias("y"), F.lit(0.5).alias("z")).write.parquet(base)
+    return readers.read_vertices(spark, base)
+
+
+@query("SELECT 'customer=' || (c_custkey % 50) AS camera, count(*)::BIGINT AS n FROM (SELECT DISTINCT c_custkey % 50 AS c_custkey FROM customer) GROUP BY 1")
+def video_scan(spark, d):
+    """A file of video for each of fifty folders; the scan keeps no camera, only the path."""
+    base = work_dir(spark, "videos")
+    rows = table(spark, d, "customer").select((F.col("c_custkey") % 50).alias("customer")).distinct().withColumn("value", F.lit("x"))
+    rows.repartition("customer").write.partitionBy("customer").text(base)
+    found = readers.scan_videos(spark, base, [".txt"])
+    return found.groupBy(F.element_at(F.split("rel_path", "/"), 1).alias("camera")).agg(F.count("*").alias("n"))
+
+
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey = 7")
 def point_lookup(spark, d):
     return readers.lookup(table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", 7)

@@ -106,7 +106,10 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     person = "display_name:string, consent:struct<granted:boolean, scope:string, granted_on:string, method:string>"
     if not exists(spark, path):
         return spark.createDataFrame([], "person_id string, display_name string, granted boolean, scope string, granted_on string, method string")
-    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"people map<string, struct<{person}>>")["people"]).alias("person_id", "p"))
+    lines = spark.read.text(path)
+    pretty = lines.limit(1).filter("value LIKE '%{%}%'").count() == 0  # one object over many lines
+    source = spark.read.text(path, wholetext=True) if pretty else lines
+    rows = source.select(F.explode(F.from_json("value", f"people map<string, struct<{person}>>")["people"]).alias("person_id", "p"))
     return rows.select("person_id", "p.display_name", F.coalesce("p.consent.granted", F.lit(False)).alias("granted"), "p.consent.scope", "p.consent.granted_on", "p.consent.method")
 
 

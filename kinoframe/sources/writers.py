@@ -33,6 +33,15 @@ def write_json_rows(rows: DataFrame, path: str) -> None:
     rows.write.json(path)
 
 
+def write_registry(people: DataFrame, path: str) -> None:
+    """A registry of (person_id, display_name, granted, scope, granted_on, method) as ``read_registry`` reads it: a JSON object of people from each task."""
+    have = lambda n: F.col(n) if n in people.columns else F.lit(None).cast("string")
+    consent = F.struct(F.col("granted").alias("granted"), have("scope").alias("scope"), have("granted_on").alias("granted_on"), have("method").alias("method"))
+    person = F.struct(F.col("person_id").cast("string"), F.struct(have("display_name").alias("display_name"), consent.alias("consent")))
+    parts = people.withColumn("_part", F.spark_partition_id()).groupBy("_part").agg(F.map_from_entries(F.collect_list(person)).alias("people"))
+    parts.select(F.to_json(F.struct("people")).alias("value")).write.text(path)
+
+
 def write_search_index(rows: DataFrame, postings: DataFrame, path: str) -> None:
     """Caption rows with their tags as one text, and the postings by term, so that a query reads its terms' files."""
     rows.withColumn("tags", F.array_join("tags", " ")).write.parquet(f"{path}/captions")
