@@ -110,10 +110,10 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **option
     that is cut keeps its first words, joined by single spaces.
     """
     taken = mix_schedule(docs, id_col=id_col, text=text, by_row=False, **options)
-    plan = taken.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "copy", "served", F.col("size").alias("_size"), "mix_start")
+    plan = taken.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "copy", F.col("served").alias("_served"), F.col("size").alias("_size"), "mix_start")
     own = [c for c in docs.columns if c not in ("copy", "mix_start")]
     left = docs.select(*own).withColumn("_t", F.xxhash64(text)).dropDuplicates([id_col, "_t"])
     joined = left.join(plan, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_tag")))
-    words = F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})")), F.lit(1), F.col("served").cast("int"))
-    cut = F.when(F.col("served") < F.col("_size"), F.array_join(words, " ")).otherwise(F.col(text))
+    words = F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})")), F.lit(1), F.col("_served").cast("int"))
+    cut = F.when(F.col("_served") < F.col("_size"), F.array_join(words, " ")).otherwise(F.col(text))
     return joined.withColumn(text, cut).select(*own, "copy", "mix_start")

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kinoframe.llm import queries
@@ -151,6 +152,15 @@ def test_substring_dedup_of_a_few_words_in_many_orders(spark):
     assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in got) == sorted(x[:3] for x in brute_spans(rows))
 
 
+def test_substring_dedup_of_shared_passages_in_most_documents(spark):
+    """A passage in all documents, and rows that share an id: keys that are split among tasks."""
+    rng = random.Random(7)
+    passage = " ".join("p%d" % rng.randrange(10**6) for _ in range(40))
+    rows = [(i // 2 if i < 20 else i, " ".join("w%d" % rng.randrange(50) for _ in range(rng.randrange(30))) + " " + passage + " end") for i in range(400)]
+    got = remove_duplicate_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got if r["n_removed"]) == sorted(x for x in brute_spans(rows) if x[2])
+
+
 def brute_links(rows, threshold=0.8):
     sets = {}
     for i, t in rows:
@@ -176,6 +186,14 @@ def test_ngram_join(docs, rows, empty):
     assert near_duplicates(empty).count() == 0
 
 
+def test_ngram_join_beside_columns_of_its_own_names(spark):
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (3, "other words stand in this one here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ("rep", "copies", "band", "bucket", "n", "size", "grams", "bands", "m", "hot", "key1", "group_id", "n_links", "kept", "_salt")
+    got = near_duplicates(df.withColumns({c: F.lit("x") for c in names}))
+    assert sorted(map(tuple, got.select("doc_id", "group_id", "n_links", "kept").collect())) == [(1, 1, 1, True), (2, 1, 1, False), (3, 3, 0, True)]
+
+
 def test_ngram_join_in_large_buckets(spark):
     rng = random.Random(2)
     base = ["w%d" % rng.randint(0, 10**6) for _ in range(60)]
@@ -239,6 +257,12 @@ def test_wrapped_notices(spark):
     assert {r["doc_id"]: r["labels"] for r in got.collect()} == {i: label for i, (_, label) in enumerate(texts)}
 
 
+def test_licenses_of_very_long_words_and_texts(spark):
+    texts = [("x" * 300_000, ""), ("the of a in and " * 20_000 + "Released under the MIT License", "mit"), ("a" * 100_000 + " all rights reserved", "reserved"), ("\n" * 50_000 + "CC BY", "cc-by")]
+    got = scan_licenses(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string").withColumns({c: F.lit(1) for c in ("words", "held", "hits", "label", "templates")}))
+    assert {r["doc_id"]: r["labels"] for r in got.collect()} == {i: label for i, (_, label) in enumerate(texts)}
+
+
 def test_neighbouring_licenses_are_told_apart(spark):
     cc, gnu = "This work is licensed under a Creative Commons", "This work is licensed under the GNU"
     far = " ".join(f"{w} " + "x " * 30 for w in "released under the mit license".split())
@@ -294,6 +318,14 @@ def test_mixing(docs, rows, empty):
     assert mix_schedule(empty).count() == 0
 
 
+def test_mixture_of_null_ids(spark):
+    rows = [(None, "a b c", "s"), (None, "d e f g", "s"), (1, "h", None), (1, None, "s"), (None, "a b c", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit(0) for c in ("size", "row", "tag", "finish", "served", "_range")})
+    schedule, mixed = mix_schedule(df).collect(), mix(df).collect()
+    assert len(schedule) == 5 and sum(r["taken"] for r in schedule) == int(1.5 * 11)
+    assert sum(len(words(r["text"])) for r in mixed) == int(1.5 * 11)
+
+
 def test_mixture_texts(docs):
     taken = {}
     for r in mix_schedule(docs).collect():
@@ -350,8 +382,6 @@ def test_token_store(spark, docs, rows, empty, tmp_path):
 
 
 def test_damaged_blocks_are_found(spark, docs, tmp_path):
-    from pyspark.sql import functions as F
-
     store_documents(docs, WORDS, f"{tmp_path}/a", end_id=1)
     spark.read.parquet(f"{tmp_path}/a/table").write.parquet(f"{tmp_path}/b/table")
     spark.read.parquet(f"{tmp_path}/a/blocks").withColumn("crc32", F.col("crc32") + 1).write.parquet(f"{tmp_path}/b/blocks")
