@@ -44,6 +44,8 @@ SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 UPPER, LOWER, DIGITS = (np.isin(np.arange(256), np.frombuffer(x, np.uint8)) for x in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789"))
 #: Bytes that a phrase must not touch: ASCII letters and digits, and all of other characters.
 INNER = UPPER | LOWER | DIGITS | (np.arange(256) >= 0x80)
+#: Bit 1 for a digit, bit 2 for a letter.
+KIND = (DIGITS + 2 * (INNER & ~DIGITS)).astype(np.uint8)
 #: Characters of scripts that put no space between words (Thai, Lao, Tibetan, Burmese, Khmer, Kana, Han, full-width).
 UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x107F), (0x1780, 0x17FF), (0x3000, 0x9FFF), (0xF900, 0xFAFF), (0xFF00, 0xFFFF), (0x20000, 0x2FFFF))
 
@@ -101,10 +103,9 @@ def _last_characters(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return code
 
 
-def _phrases(block: Block, starts: np.ndarray, ends: np.ndarray, phrases: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+def _phrases(block: Block, lower: bytes, starts: np.ndarray, ends: np.ndarray, phrases: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
     """For each line the number of different phrases it holds as whole words, and the words of these."""
     count, words = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-    lower = block.bytes.tobytes().lower()
     for p in phrases:
         hits, i = [], lower.find(p.encode())
         while i >= 0:
@@ -150,9 +151,8 @@ def judge(block: Block, rules: LineRules) -> dict[str, np.ndarray]:
     out["n_repeat_words"] = np.bincount(block.text_of[covered], minlength=n_texts)
 
     def of_line(flags: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(flags) + 1, np.int64)
-        np.cumsum(flags, out=total[1:])
-        return total[ends] - total[starts]
+        """Sum over each line: what stands between its end and the next line with a word is white space, which none of the flags marks."""
+        return np.add.reduceat(flags, starts, dtype=np.int64) if len(starts) else np.zeros(0, np.int64)
 
     raw = block.bytes
     n_line = hi - lo
@@ -161,14 +161,15 @@ def judge(block: Block, rules: LineRules) -> dict[str, np.ndarray]:
     np.cumsum(np.r_[False, words[1:] == words[:-1]][: len(words)], out=stutter[1:])
     last = _last_characters(raw, block.ends[hi - 1])
     upper, lower = of_line(UPPER[raw]), of_line(LOWER[raw])
-    digit, letter = (np.r_[0, np.cumsum(k)] for k in (DIGITS[raw], (INNER & ~DIGITS)[raw]))
-    number = np.r_[0, np.cumsum((digit[block.ends] > digit[block.starts]) & (letter[block.ends] == letter[block.starts]))]
+    kinds = np.bitwise_or.reduceat(KIND[raw], block.starts) if len(words) else np.zeros(0, np.uint8)
+    number = np.r_[0, np.cumsum(kinds == 1)]
     dots = last == 0x2026
     full = np.flatnonzero(block.ends[hi - 1] - starts >= 3)
     end = block.ends[hi[full] - 1]
     dots[full] |= (raw[end - 1] == ord(".")) & (raw[end - 2] == ord(".")) & (raw[end - 3] == ord("."))
-    notices, _ = _phrases(block, starts, ends, BOILERPLATE)
-    _, menu = _phrases(block, starts, ends, NAVIGATION)
+    lowered = raw.tobytes().lower()
+    notices, _ = _phrases(block, lowered, starts, ends, BOILERPLATE)
+    _, menu = _phrases(block, lowered, starts, ends, NAVIGATION)
     fails = earlier.copy()
     fails |= (~np.isin(last, _TERMINAL) | dots) & (size < rules.short_line)
     fails |= of_line(SYMBOLS[raw]) > rules.max_symbol_rate * size
