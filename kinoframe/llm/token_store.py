@@ -37,6 +37,8 @@ from .storage import written
 BITS, LOW, WORD = 18, np.uint64(1 << 31), np.uint64(32)
 #: Ids after which a block ends with its document; most lanes; steps between checkpoints.
 BLOCK, LANES, STEPS = 1 << 19, 2048, 64
+#: Pieces in a line for the library.
+LINE = 64
 #: Lower case of each Latin-1 character.
 LOWER = bytes(range(256)).decode("latin-1").lower().encode("latin-1")
 
@@ -59,10 +61,24 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.memory = IdMemory()
 
     def _new(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        """Ids of pieces, which the library gets by the line: a piece ends with the token that ends a word."""
+        lines = [pieces[i : i + LINE] for i in range(0, len(pieces), LINE)]
+        out: list[bytes] = []
+        for line, got in zip(lines, self.library.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = np.array(got.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(line) and (not len(ids) or ends[-1] == len(ids)):
+                flat, ends = ids.tobytes(), (4 * ends).tolist()
+                out += [flat[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+            else:  # a piece of several words: one by one
+                out += [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(line, add_special_tokens=False)]
+        return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit integers."""
