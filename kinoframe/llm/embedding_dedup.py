@@ -225,7 +225,7 @@ def _found_groups(reps: DataFrame, threshold: float, window: int, recall: float,
     while True:
         small = labels.filter(F.col("n") <= passes * window)
         large = labels.filter(F.col("n") > passes * window)
-        met = _met(reps, key, small.select(*key, tiles_of(F.col("n"), TILE).alias("tiles")))
+        met = _met(reps, key, small.select(*key, tiles_of(F.col("n"), TILE, 20).alias("tiles")))
         links = met.groupBy(*key, "t1", "t2").applyInArrow(_tile_forest(threshold), "a long, b long")
         more = large.limit(1).count() > 0
         if more:
@@ -262,18 +262,20 @@ def near_duplicate_vectors(vectors: DataFrame, *, threshold: float = 0.93, windo
     fit = written(fit.withColumn("dims", F.size("vector")), "vectors")
     key = [F.col("label"), F.xxhash64("vector").alias("h1"), F.xxhash64(F.reverse("vector")).alias("h2"), F.col("dims")]
     classes = written(fit.groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
-    dealt, again = salted(fit.select("vec_id", *key), classes, ["label", "h1", "h2", "dims"], "vec_id", count="copies")
-    members = dealt.join(again, ["label", "h1", "h2", "dims", "_salt"]).select("vec_id", "rep", "copies")
     reps = written(fit.join(classes.select(F.col("rep").alias("vec_id"), "copies"), "vec_id"), "classes")
 
     grouped = _found_groups(reps, threshold, window, recall, queries, seed)
 
     inside = reps.join(grouped, F.col("vec_id") == F.col("node")).drop("node")
-    tiles = grouped.groupBy("component").agg(tiles_of(F.count("*"), TILE).alias("tiles"))
+    tiles = grouped.groupBy("component").agg(tiles_of(F.count("*"), TILE, 20).alias("tiles"))
     met = _met(inside, ["component"], tiles)
     counts = met.groupBy("component", "t1", "t2").applyInArrow(_tile(threshold), "vec_id long, n long").groupBy(F.col("vec_id").alias("rep")).agg(F.sum("n").alias("n"))
-    found = members.join(counts, "rep", "left").join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
-    found = found.select("vec_id", F.coalesce("component", "rep").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    # What holds for a class is joined once, and only then dealt to its members.
+    names = ["label", "h1", "h2", "dims"]
+    found = classes.join(counts, "rep", "left").join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
+    found = found.select(*names, "copies", F.coalesce("component", "rep").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    dealt, found = salted(fit.select("vec_id", *key), written(found, "class-links"), names, "vec_id", count="copies")
+    found = dealt.join(found, [*names, "_salt"]).select("vec_id", "component_id", "n_links")
     out = every.select("vec_id").join(found, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))

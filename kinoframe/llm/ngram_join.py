@@ -176,8 +176,9 @@ def _tiles(threshold: float):
     return run
 
 
-def near_duplicate_links(docs: DataFrame, *, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, rows: int = 5, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, counts, links): (doc_id, rep, copies) of every document with grams; (rep, n) in
+def near_duplicate_links(docs: DataFrame, *, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, rows: int = 5, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(members, classes, counts, links): (doc_id, key1, key2) of every document with grams; the classes
+    of equal keys (key1, key2, rep, copies); (rep, n) in
     parts of the links of a class to other classes, copies of those counted; (a, b) of links
     between classes that span their components, those of small buckets complete.
     """
@@ -189,8 +190,7 @@ def near_duplicate_links(docs: DataFrame, *, n: int = 5, threshold: float = 0.8,
     signed = signed.groupBy("doc_id").agg(F.min(F.struct("key1", "key2", "size", "bands")).alias("s")).select("doc_id", "s.*")
     signed = written(signed, "signatures")
     classes = written(signed.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "set-classes")
-    equal, again = salted(signed.select("doc_id", "key1", "key2"), classes, ["key1", "key2"], "doc_id", count="copies")
-    members = equal.join(again, ["key1", "key2", "_salt"]).select("doc_id", "rep", "copies")
+    members = signed.select("doc_id", "key1", "key2")
     reps = signed.join(classes.select(F.col("rep").alias("doc_id"), "copies"), "doc_id")
 
     dealt = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
@@ -232,18 +232,21 @@ def near_duplicate_links(docs: DataFrame, *, n: int = 5, threshold: float = 0.8,
     tiled = written(tiled, "tile-links")
     counts = links.select(F.col("a").alias("rep"), F.col("copies_b").alias("n")).unionByName(links.select(F.col("b").alias("rep"), F.col("copies_a").alias("n")))
     counts = counts.unionByName(tiled.filter("NOT tree").select(F.col("a").alias("rep"), "n"))
-    return members, counts, links.select("a", "b").unionByName(tiled.filter("tree").select("a", "b"))
+    return members, classes, counts, links.select("a", "b").unionByName(tiled.filter("tree").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row for each document: doc_id, group_id (the smallest id linked with it, directly or
     not), n_links (other documents at the threshold or over it) and kept, one in each group.
     """
-    members, counts, links = near_duplicate_links(docs, id_col=id_col, text=text, **options)
+    members, classes, counts, links = near_duplicate_links(docs, id_col=id_col, text=text, **options)
     grouped = components(links).withColumnRenamed("node", "rep")
     total = counts.groupBy("rep").agg(F.sum("n").alias("n"))
-    found = members.join(total, "rep", "left").join(grouped, "rep", "left")
-    found = found.select("doc_id", F.coalesce("component", "rep").alias("group_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    # What holds for a class is joined once, and only then dealt to its members.
+    found = classes.join(total, "rep", "left").join(grouped, "rep", "left")
+    found = found.select("key1", "key2", "copies", F.coalesce("component", "rep").alias("group_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    dealt, found = salted(members, written(found, "class-links"), ["key1", "key2"], "doc_id", count="copies")
+    found = dealt.join(found, ["key1", "key2", "_salt"]).select("doc_id", "group_id", "n_links")
     every = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     out = every.join(found, "doc_id", "left")
     group = F.coalesce("group_id", "doc_id")

@@ -31,9 +31,9 @@ def salted(left: DataFrame, right: DataFrame, on: list[str], spread: str, *, cou
     return dealt, again
 
 
-def tiles_of(members: Column, most: int) -> Column:
-    """Tiles into which a group's members are dealt, every two of which meet in a task: about eight
+def tiles_of(members: Column, most: int, parts: int = 8) -> Column:
+    """Tiles into which a group's members are dealt, every two of which meet in a task: about ``parts``
     of 64 members or more, so that one group is work for many tasks, and as many of ``most`` as it takes.
     """
-    size = F.least(F.lit(most), F.greatest(F.lit(64), F.ceil(members / F.lit(8))))
+    size = F.least(F.lit(most), F.greatest(F.lit(64), F.ceil(members / F.lit(parts))))
     return F.ceil(members / size).cast("int")
