@@ -380,7 +380,11 @@ def rotation_round_trip(spark, d):
     return back.select("vec_id", *(F.round(F.get("r", F.lit(i)), 5).alias(n) for i, n in enumerate("xyz")))
 
 
-@query()
+@query("""WITH p AS (SELECT vec_id, list_concat(embedding::DOUBLE[], embedding[1:8]::DOUBLE[]) AS pose FROM embeddings),
+j AS (SELECT vec_id, j, pose[3 * j + 1] AS x, pose[3 * j + 2] AS y, pose[3 * j + 3] AS z FROM p, (VALUES (0), (3), (6), (9), (12), (15)) t(j)), t AS (SELECT *, sqrt(x * x + y * y + z * z) AS th FROM j),
+u AS (SELECT *, CASE WHEN th < 1e-8 THEN 1 ELSE sin(th) / th END AS a, CASE WHEN th < 1e-8 THEN 0.5 ELSE (1 - cos(th)) / (th * th) END AS b FROM t),
+m AS (SELECT vec_id, list([1 - b * (y * y + z * z), b * x * y - a * z, b * x * z + a * y, b * x * y + a * z, 1 - b * (x * x + z * z), b * y * z - a * x, b * x * z - a * y, b * y * z + a * x, 1 - b * (x * x + y * y)] ORDER BY j) AS ms FROM u GROUP BY 1)
+SELECT vec_id, round(list_reduce(ms, lambda s, r: list_transform(range(9), lambda k: s[3 * (k // 3) + 1] * r[k % 3 + 1] + s[3 * (k // 3) + 2] * r[k % 3 + 4] + s[3 * (k // 3) + 3] * r[k % 3 + 7]))[1], 6)::DOUBLE AS head00 FROM m""")
 def global_rotations(spark, d):
     out = skeleton.global_rotations(_pose(spark, d), "pose")
     return out.select("vec_id", F.round(F.get("global_rotation", F.lit(9 * 15)), 6).alias("head00"))
