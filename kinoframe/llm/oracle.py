@@ -148,6 +148,35 @@ l AS (SELECT p.id AS a, q.id AS b FROM v p JOIN v q ON p.label = q.label AND len
 SELECT vec_id, coalesce(links, 0)::BIGINT AS n_links, coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN c ON c.id = vec_id LEFT JOIN k ON k.id = vec_id"""
 
+_OP11_SQL = rf"""
+WITH f(x, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits FROM f a, f b, f c, f d, f e
+      WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+s AS (SELECT filter_order, k::INT AS step, bits[k] AS bit, coalesce(list_sum(bits[:k - 1]), 0)::INT AS before FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS k FROM o)),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+m AS (SELECT doc_id, part, CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+r AS (SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r"""
+
+_OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS ws, sha256('1:' || doc_id) AS h FROM documents),
+x AS (SELECT doc_id, text, ws, len(ws)::BIGINT AS n, [('0x' || substr(h, 8 * k + 1, 8))::BIGINT FOR k IN range(4)] AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS lo, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS hi,
+        CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x),
+p AS (SELECT doc_id, text, n, form, coalesce(array_to_string(ws[1:lo], ''), '') AS prefix, coalesce(array_to_string(ws[lo + 1:hi], ''), '') AS middle, coalesce(array_to_string(ws[hi + 1:], ''), '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(prefix)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN len(middle)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM p"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": _op1_sql(),
     "op3_url_filter": _op3_sql(),
@@ -156,4 +185,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_quality_rules": _op7_sql(),
     "op8_ngram_join": _OP8_SQL,
     "op9_embedding_dedup": _OP9_SQL,
+    "op11_filter_audit": _OP11_SQL,
+    "op13_fill_in_middle": _OP13_SQL,
 }

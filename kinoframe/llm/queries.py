@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .embedding_dedup import near_duplicate_vectors
+from .fill_in_middle import fill_in_middle, restored
+from .filter_audit import filter_audit
 from .language_id import held_out, learn_languages, predict_languages
 from .license_scan import scan_licenses
 from .mixing import mix_schedule
@@ -85,6 +87,16 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_store(spark, path, digest=True)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(_table(spark, sf_dir, "documents"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {
@@ -98,4 +110,6 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_token_store": op10_token_store,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
