@@ -15,7 +15,7 @@ second time for what is left: against the hashes of the parts left where these f
 ``BROADCAST_ROWS`` rows, else by a shuffle, which Spark's run-time Bloom filter thins out.
 
 Defined results: a null text is empty; a null lang is the part ""; a null doc_id is no smaller
-id and has none, so it is no duplicate; rows that share id and text are no duplicates of each
+id, has none and no labels, so it is no duplicate; rows that share id and text are no duplicates of each
 other and count one by one; a document with several rows in ``labels`` is good or toxic if one
 says so; an empty table gives no rows. Only doc_id, text and lang are read.
 """
@@ -104,7 +104,8 @@ def audit(masks: DataFrame) -> DataFrame:
 
     One row for each part, order and step; every part has all of them, with zeros.
     """
-    bit = lambda letter: F.shiftleft(F.lit(1), F.instr(F.lit(FILTERS), letter) - 1)
+    bits = F.create_map(*(F.lit(x) for pair in BIT.items() for x in pair))
+    bit = lambda letter: bits[letter]
     letters = F.split("filter_order", "")
     before = F.aggregate(F.slice(letters, 1, F.col("step") - 1), F.lit(0), lambda sum_, x: sum_ + bit(x))
     # 32 masks at most in a part, 600 steps for each.

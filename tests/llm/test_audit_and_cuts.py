@@ -21,7 +21,7 @@ def audited(rows, labels):
     for i, text, _ in rows:
         if i is not None:
             least[text or ""] = min(i, least.get(text or "", i))
-    good, toxic = ({d for d, *x in labels if x[k] == 1} for k in (0, 1))
+    good, toxic = ({d for d, *x in labels if d is not None and x[k] == 1} for k in (0, 1))
     masks = []
     for i, text, lang in rows:
         t = text or ""
