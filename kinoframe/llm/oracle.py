@@ -167,6 +167,13 @@ r AS (SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (bit | before)
       FROM c, s GROUP BY part, filter_order, step, bit)
 SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r"""
 
+#: All pages of the tables mark their text as the one article, of h1, p, b and br.
+_OP12_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS body FROM pages),
+b AS (SELECT page_id, url, list_transform(string_split_regex(body, '</?(?:h1|p)>'), lambda x: trim(regexp_replace(regexp_replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts FROM a),
+t AS (SELECT page_id, url, coalesce(array_to_string(list_filter(parts, lambda x: x <> ''), chr(10) || chr(10)), '') AS text FROM b)
+SELECT page_id, url, text, len(text)::BIGINT AS n_chars FROM t"""
+
 _OP13_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS ws, sha256('1:' || doc_id) AS h FROM documents),
 x AS (SELECT doc_id, text, ws, len(ws)::BIGINT AS n, [('0x' || substr(h, 8 * k + 1, 8))::BIGINT FOR k IN range(4)] AS h FROM d),
@@ -186,5 +193,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_ngram_join": _OP8_SQL,
     "op9_embedding_dedup": _OP9_SQL,
     "op11_filter_audit": _OP11_SQL,
+    "op12_html_extraction": _OP12_SQL,
     "op13_fill_in_middle": _OP13_SQL,
 }

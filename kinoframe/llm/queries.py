@@ -12,6 +12,7 @@ from .bpe import bpe_round_trip
 from .embedding_dedup import near_duplicate_vectors
 from .fill_in_middle import fill_in_middle, restored
 from .filter_audit import filter_audit
+from .html_extraction import extract_main_text
 from .language_id import held_out, learn_languages, predict_languages
 from .license_scan import scan_licenses
 from .mixing import mix_schedule
@@ -91,6 +92,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fill_in_middle(_table(spark, sf_dir, "documents"))
     digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
@@ -111,5 +116,6 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_token_store": op10_token_store,
     "op11_filter_audit": op11_filter_audit,
+    "op12_html_extraction": op12_html_extraction,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
