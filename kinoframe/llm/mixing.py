@@ -12,7 +12,7 @@ sums of the ranges before, of which there is one row for each range (and source)
 
 Defined results: a null text has size 0 and is never taken; a null source is a source
 of its own, last in order; rows that share an id count each for themselves; equal rows
-are interchangeable; an empty table gives no rows. Columns of ``docs`` other than the
+are interchangeable, and rows of one id that differ in any column are told apart; an empty table gives no rows. Columns of ``docs`` other than the
 id, the text and the source are not read by ``mix_schedule`` and kept by ``mix``.
 """
 
@@ -63,21 +63,22 @@ def _running(df: DataFrame, group: list[str], order: list[Column | str], value:
 
 
 def mix_schedule(
-    docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: str = "mix", id_col: str = "doc_id", text: str = "text", source: str = "source", by_row: bool = True
+    docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: str = "mix", id_col: str = "doc_id", text: str = "text", source: str = "source", by_row: bool = True, tag: Column | None = None
 ) -> DataFrame:
     """One row for each document: doc_id, size, source_size, target, taken and mix_start, the
     words of the mixture before its first copy (null if it isn't taken).
 
     ``weights`` go to the sources in order of code points again and again; ``share`` times all
     words is the budget; no target is over ``most`` times its source's size. Without
-    ``by_row`` there is a row for each copy taken instead, with its tag and copy.
+    ``by_row`` there is a row for each copy taken instead, with its copy and ``tag``, a hash by
+    which rows that share an id are told apart.
     """
     if most != int(most) or share > most:
         raise ValueError("most is a whole number, and share not larger")
     sized = written(
         docs.select(
             F.col(id_col).alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("shuffle"), F.xxhash64(text).alias("tag"),
+            F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("shuffle"), (F.xxhash64(text) if tag is None else tag).alias("tag"),
         ).withColumn("row", F.monotonically_increasing_id()),
         "sizes",
     )
@@ -109,10 +110,12 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **option
     """The mixture: ``docs`` once for each copy taken, with copy (0 or 1) and mix_start; a copy
     that is cut keeps its first words, joined by single spaces.
     """
-    taken = mix_schedule(docs, id_col=id_col, text=text, by_row=False, **options)
-    plan = taken.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "copy", F.col("served").alias("_served"), F.col("size").alias("_size"), "mix_start")
     own = [c for c in docs.columns if c not in ("copy", "mix_start")]
-    left = docs.select(*own).withColumn("_t", F.xxhash64(text)).dropDuplicates([id_col, "_t"])
+    # Rows are told apart by all columns but those with maps in them, which have no hash; what is equal then is one row.
+    tag = F.xxhash64(*(F.col(c) for c, kind in docs.select(*own).dtypes if "map<" not in kind))
+    taken = mix_schedule(docs, id_col=id_col, text=text, by_row=False, tag=tag, **options)
+    plan = taken.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "copy", F.col("served").alias("_served"), F.col("size").alias("_size"), "mix_start")
+    left = docs.select(*own).withColumn("_t", tag).dropDuplicates([id_col, "_t"])
     joined = left.join(plan, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_tag")))
     words = F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})")), F.lit(1), F.col("_served").cast("int"))
     cut = F.when(F.col("_served") < F.col("_size"), F.array_join(words, " ")).otherwise(F.col(text))

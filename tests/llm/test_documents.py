@@ -409,3 +409,17 @@ def test_frequency_table_sums_up():
 
 def test_queries_are_numbered():
     assert {int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES} == set(range(1, 11))
+
+
+def test_mix_tells_rows_of_one_id_and_text_apart(spark):
+    """Two sources hold one id and text: each copy carries the source whose share it is."""
+    rows = [(1, "a b c d", "x", {"k": 1}), (1, "a b c d", "y", {"k": 1}), (2, "e f", "x", None), (2, "e f", "x", None), (3, "g", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,int>")
+    taken = collections.Counter()
+    for r in mix_schedule(df).collect():
+        taken[r["doc_id"], r["size"], r["source_size"]] += r["taken"]
+    mixed = collections.Counter()
+    size = {"x": 8, "y": 4, None: 1}
+    for r in mix(df).collect():
+        mixed[r["doc_id"], {1: 4, 2: 2, 3: 1}[r["doc_id"]], size[r["source"]]] += len(r["text"].split())
+    assert mixed == +taken
