@@ -11,10 +11,14 @@ tile by tile, so the number of links has no cap: the window bounds how groups ar
 The number of passes is measured. The first round has as many as evenly spread vectors
 would need for the target recall. Then a query set, ``queries`` vectors chosen by a hash,
 is held against all vectors of its labels: labels of which more links than the recall
-allows join two groups get twice the passes, and so on. A label no larger than passes
-times window is compared in full, tile by tile: that costs no more, and ends the rounds.
-Sorting deals vectors out by range, and neighbours on two sides of a border don't meet
-in that pass.
+allows join two groups get twice the passes, and so on, ``ROUNDS`` times. Labels of any size
+go through the passes alike. Sorting deals vectors out by range, and neighbours on two sides
+of a border don't meet in that pass.
+
+A label of which that recall does not hold after the last round is finished exactly: its
+vectors, in the order of the first pass's codes, make tiles, each with its mean direction and
+largest angle from it, and two tiles meet unless these and the threshold's angle say by the
+triangle inequality that no pair of theirs can be a link.
 
 Defined results: a vector that is null, empty, zero or holds null or non-finite parts, or
 has no label, links with nothing; vectors of different length never link; rows that share
@@ -35,8 +39,8 @@ from .graph import components
 from .skew import salted, tiles_of
 from .storage import written
 
-#: Signs in a code; most members of a tile, about.
-SIGNS, TILE = 48, 1024
+#: Signs in a code; most members of a tile, about; rounds of passes before a label is finished exactly.
+SIGNS, TILE, ROUNDS = 48, 1024, 4
 
 
 def passes_for(threshold: float, recall: float, rows: int, window: int) -> int:
@@ -211,6 +215,41 @@ def _met(rows: DataFrame, by: list[str], tiles: DataFrame) -> DataFrame:
     return dealt.select(*by, F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), side.alias("side"), "vec_id", "copies", "vector")
 
 
+def _balls(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows in tiles of ``TILE`` at most, numbered in the task, with each tile's mean direction and largest angle from it."""
+    tile = -1
+    for batch in batches:
+        for rows in _groups(batch, TILE):
+            tile += 1
+            x = _unit(_rows(rows.column(5)))
+            mean = x.sum(0)
+            length = np.sqrt(mean @ mean)
+            mean = mean / length if length > 0 else np.eye(1, x.shape[1])[0]
+            radius = float(np.arccos(np.clip((x @ mean).min(), -1, 1)))
+            n = len(rows)
+            extra = [pa.array(np.full(n, tile, np.int64)), pa.array([mean.tolist()] + [None] * (n - 1), pa.list_(pa.float64())), pa.array(np.full(n, radius))]
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(4), rows.column(5), *extra], names=["label", "dims", "vec_id", "vector", "tile", "mean", "radius"])
+
+
+def _exact_links(coded: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) that span the same components as all links of the rows of one pass, by tiles that may hold links with each other."""
+    key, kind = ["label", "dims"], dict(coded.dtypes)["vector"]
+    order = [*key, "code", "vec_id"]
+    rows = coded.select(*key, F.lit(0).alias("_"), "code", "vec_id", "vector")
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_balls, f"label long, dims int, vec_id long, vector {kind}, tile long, mean array<double>, radius double")
+    rows = written(rows.withColumn("tile", F.shiftleft(F.spark_partition_id().cast("long"), 32) + F.col("tile")), "tiles")
+    balls = rows.filter("mean IS NOT NULL").select(*key, "tile", "mean", "radius")
+    other = balls.select(*key, F.col("tile").alias("t2"), F.col("mean").alias("m2"), F.col("radius").alias("r2"))
+    cosine = F.aggregate(F.zip_with("mean", "m2", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    apart = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
+    # A row for each tile on both sides: the square of the label's size over TILE.
+    pairs = balls.join(other, key).filter(F.col("tile") <= F.col("t2")).filter(apart <= F.col("radius") + F.col("r2") + math.acos(threshold) + 1e-6)
+    pairs = pairs.select(*key, F.col("tile").alias("t1"), "t2")
+    sides = pairs.select(*key, F.col("t1").alias("tile"), "t1", "t2").unionByName(pairs.filter("t1 < t2").select(*key, F.col("t2").alias("tile"), "t1", "t2"))
+    met = rows.select(*key, "tile", "vec_id", "vector").join(sides, [*key, "tile"])
+    return met.groupBy(*key, "t1", "t2").applyInArrow(_tile_forest(threshold), "a long, b long")
+
+
 def _found_groups(reps: DataFrame, threshold: float, window: int, recall: float, queries: int, seed: int) -> DataFrame:
     """(node, component) of vectors with links, by rounds of passes until the query set's recall holds."""
     key = ["label", "dims"]
@@ -222,31 +261,32 @@ def _found_groups(reps: DataFrame, threshold: float, window: int, recall: float,
     first, grouped = 0, None
     # The largest label's size; one number.
     passes = passes_for(threshold, recall, labels.agg(F.max("n")).first()[0] or 1, window)
-    while True:
-        small = labels.filter(F.col("n") <= passes * window)
-        large = labels.filter(F.col("n") > passes * window)
-        met = _met(reps, key, small.select(*key, tiles_of(F.col("n"), TILE, 20).alias("tiles")))
-        links = met.groupBy(*key, "t1", "t2").applyInArrow(_tile_forest(threshold), "a long, b long")
-        more = large.limit(1).count() > 0
-        if more:
-            coded = reps.join(large, key).select(*key, "vec_id", "vector", "centre")
-            coded = coded.mapInArrow(_codes(first, passes, seed), f"pass int, label long, dims int, code long, vec_id long, vector {dict(reps.dtypes)['vector']}")
-            near = coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(threshold, window), "a long, b long")
-            links = links.unionByName(near)
+    coded_as = f"pass int, label long, dims int, code long, vec_id long, vector {dict(reps.dtypes)['vector']}"
+
+    def coded(low: int, high: int) -> DataFrame:
+        return reps.join(labels, key).select(*key, "vec_id", "vector", "centre").mapInArrow(_codes(low, high, seed), coded_as)
+
+    for number in range(ROUNDS + 1):
+        if number < ROUNDS:
+            near = coded(first, passes).repartitionByRange(*order).sortWithinPartitions(*order)
+            links = near.mapInArrow(_neighbours(threshold, window), "a long, b long")
+        else:
+            links = _exact_links(coded(0, 1), threshold)
         if grouped is not None:
             links = links.unionByName(grouped.select(F.col("node").alias("a"), F.col("component").alias("b")))
         grouped = written(components(written(links, "vector-links")), "vector-groups")
-        if not more:
-            return grouped
+        if number == ROUNDS:
+            break
         group = F.coalesce("component", "vec_id").alias("group")
         known = lambda rows: rows.join(grouped, F.col("vec_id") == F.col("node"), "left").select(*key, "vec_id", group, "vector")
-        held = [tuple(r) for r in known(asked.join(large.select(*key), key)).collect()]  # the query set
-        counted = known(reps.join(large.select(*key), key)).mapInArrow(_lost(threshold, held), "label long, dims int, links long, lost long")
+        held = [tuple(r) for r in known(asked.join(labels.select(*key), key)).collect()]  # the query set
+        counted = known(reps.join(labels.select(*key), key)).mapInArrow(_lost(threshold, held), "label long, dims int, links long, lost long")
         counted = counted.groupBy(*key).agg(F.sum("links").alias("links"), F.sum("lost").alias("lost"))
         labels = written(labels.join(counted.filter(F.col("lost") > (1 - recall) * F.col("links")).select(*key), key), "centres")
         if not labels.limit(1).count():
-            return grouped
+            break
         first, passes = passes, 2 * passes
+    return grouped
 
 
 def near_duplicate_vectors(vectors: DataFrame, *, threshold: float = 0.93, window: int = 32, recall: float = 0.999, queries: int = 8192, seed: int = 7, id_col: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from kinoframe.llm import embedding_dedup
 from kinoframe.llm.embedding_dedup import near_duplicate_vectors, passes_for
 from kinoframe.llm.graph import components
 from kinoframe.llm.language_id import Pieces, held_out, learn_languages, predict_languages
@@ -119,6 +120,22 @@ def test_vectors_that_share_a_direction(spark, queries):
     assert links > 600 and 0 <= lost <= 0.001 * links
 
 
+def test_every_label_goes_through_the_passes(spark, monkeypatch):
+    """No label is compared all against all: what the passes find is the result."""
+    monkeypatch.setattr(embedding_dedup, "_exact_links", None)
+    monkeypatch.setattr(embedding_dedup, "_tile_forest", None)
+    df = spark.createDataFrame(vector_rows(), "vec_id long, embedding array<float>, label int")
+    assert near_duplicate_vectors(df).filter("n_links > 0").count() > 100
+
+
+@pytest.mark.parametrize("tile", [7, 1024])
+def test_labels_finished_exactly(spark, monkeypatch, tile):
+    """Without rounds of passes the pruned tiles alone find all links."""
+    monkeypatch.setattr(embedding_dedup, "ROUNDS", 0)
+    monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    test_vectors(spark)
+
+
 def test_passes_grow_with_the_rows_and_the_recall():
     assert passes_for(0.93, 0.99, 100, 32) <= passes_for(0.93, 0.99, 10**6, 32) <= passes_for(0.93, 0.9999, 10**6, 32)
 
