@@ -2,8 +2,9 @@
 
 A block is a paragraph: lines up to one without a word. A template is the set of a notice's
 words. A block matches when a window in it, of at most ``SPAN`` times the template's words,
-holds at least ``threshold`` of them, and what tells the label from its neighbours: the
-license's own name and its version.
+holds at least ``threshold`` of them. Every match counts in n_matches and score; where notices of
+one family match the same block, its words tell which labels it gets (the license's own name
+and version), and if they tell none, it gets those of the largest containment.
 
 One scan cuts all texts into words and keeps, of each document, the words that are in any
 template; the others can't be common. Words are ordered by how many documents hold them,
@@ -77,7 +78,9 @@ HEADERS = (
     ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
 )
 _CC = r" (?:by|attribution){} (?:(?:international|public|license|version|v) )*4 0 "
-#: What a block's words, joined by spaces, must hold to get the label.
+#: Licenses that share a family's wording, so that a block may match the notices of several.
+FAMILIES = {"gnu": ("agpl", "gpl", "lgpl"), "permission": ("boost", "isc", "mit", "zlib")}
+#: What a block's words, joined by spaces, hold if they tell this label from the others of its family.
 TELLING = {
     "boost-1.0": r" any person or organization obtaining ",
     "cc0-1.0": r" cc0 ",
@@ -113,6 +116,12 @@ NO_LINE = r"\n[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]*\n"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def family(label: str) -> str:
+    """The licenses with which a label can be confused: its first part, or the family of that."""
+    first = label.split("-")[0]
+    return next((name for name, members in FAMILIES.items() if first in members), first)
+
+
 def _lower(text: Column) -> Column:
     """A-Z in lower case, all other characters unchanged."""
     ascii_only = F.octet_length(text) == F.char_length(text)
@@ -165,9 +174,13 @@ def _candidates(tokens: DataFrame, sets: list) -> tuple[DataFrame, dict[int, lis
 
 
 def _verified(docs: DataFrame, candidates: DataFrame, sets: list, prefix: dict[int, list[str]]) -> DataFrame:
-    """(doc_id, at, block, label, containment) of the blocks of ``docs`` (doc_id, lower-case text) that match."""
-    rows = [(i, label, words, prefix[i], need, TELLING.get(label, "")) for i, label, words, need in sets]
-    notices = docs.sparkSession.createDataFrame(rows, "template int, label string, notice array<string>, prefix array<string>, need int, telling string")
+    """(doc_id, at, block, stay, most, matches) of the blocks of ``docs`` (doc_id, lower-case text) that match, by family.
+
+    ``matches`` notices are at the threshold, ``most`` is the largest containment, and ``stay`` are those whose
+    label the block tells from the family's others; if it tells none, those it contains most of.
+    """
+    rows = [(i, label, family(label), words, prefix[i], need, TELLING.get(label, "")) for i, label, words, need in sets]
+    notices = docs.sparkSession.createDataFrame(rows, "template int, label string, family string, notice array<string>, prefix array<string>, need int, telling string")
     words, size = F.col("words"), F.size("words")
     span = SPAN * F.size("notice")
     places = F.filter(F.sequence(F.lit(1), size), lambda i: F.array_contains("prefix", F.element_at(words, i)))
@@ -175,20 +188,25 @@ def _verified(docs: DataFrame, candidates: DataFrame, sets: list, prefix: dict[i
     starts = F.when(size <= span, F.array(F.lit(1))).otherwise(F.array_distinct(F.flatten(near)))
     common = lambda w: F.size(F.array_intersect("notice", w))
     windows = F.transform(starts, lambda i: F.slice(words, i, span))
-    enough = F.filter(windows, lambda w: (common(w) >= F.col("need")) & F.regexp_like(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), F.col("telling")))
+    enough = F.filter(windows, lambda w: common(w) >= F.col("need"))
+    tells = lambda w: F.regexp_like(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), F.col("telling"))
     own = docs.join(candidates.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return (
+    found = (
         own.select("doc_id", "templates", F.posexplode(F.split("text", NO_LINE)).alias("at", "block"))
         .withColumn("words", _words(F.col("block")))
         .withColumn("held", _held(words, sets))
         .select("*", F.explode("templates").alias("template")).drop("templates")
         .join(F.broadcast(notices), "template")  # a row for each template
         .filter(F.size(F.array_intersect("notice", "held")) >= F.col("need"))
-        .withColumn("most", F.array_max(F.transform(enough, common)))
-        .filter("most IS NOT NULL")
-        .groupBy("doc_id", "at", "label")
-        .agg(F.first("block").alias("block"), F.max(F.col("most") / F.size("notice")).alias("containment"))
+        .withColumn("enough", enough)
+        .filter(F.size("enough") > 0)
+        .select("doc_id", "at", "family", "block", F.struct((F.array_max(F.transform("enough", common)) / F.size("notice")).alias("containment"), F.exists("enough", tells).alias("told"), "label").alias("match"))
+        # One array holds the templates of a family at most.
+        .groupBy("doc_id", "at", "family").agg(F.first("block").alias("block"), F.collect_list("match").alias("all"))
     )
+    told, most = F.filter("all", lambda m: m["told"]), F.array_max(F.transform("all", lambda m: m["containment"]))
+    stay = F.when(F.size(told) > 0, told).otherwise(F.filter("all", lambda m: m["containment"] == most))
+    return found.select("doc_id", "at", "block", stay.alias("stay"), most.alias("most"), F.size("all").alias("matches"))
 
 
 def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = ALL_TEMPLATES, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -199,12 +217,14 @@ def matching_blocks(docs: DataFrame, templates: tuple[tuple[str, str], ...] = AL
     sets = _sets(templates, threshold)
     tokens = written(docs.select("doc_id", _held(_words(F.col("text")), sets).alias("held")), "license-words")
     candidates, prefix = _candidates(tokens, sets)
-    return _verified(docs, candidates, sets, prefix)
+    found = _verified(docs, candidates, sets, prefix).select("doc_id", "at", "block", F.explode("stay").alias("match"))
+    return found.groupBy("doc_id", "at", F.col("match.label").alias("label")).agg(F.first("block").alias("block"), F.max("match.containment").alias("containment"))
 
 
 def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = ALL_TEMPLATES, threshold: float = 0.85, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: doc_id, n_words, the places of phrases (n_base, first_word,
-    last_word, base_labels), labels of phrases and templates, and score, the largest containment.
+    last_word, base_labels), labels of phrases and templates, score, the largest containment, and
+    n_matches, the blocks and notices that meet the threshold.
     """
     sets = _sets(templates, threshold)
     lower = docs.select(F.col(id_col).alias("doc_id"), _lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
@@ -235,12 +255,16 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = ALL_
     if sets:
         candidates, prefix = _candidates(base, sets)
         found = _verified(lower, written(candidates, "license-candidates"), sets, prefix)
-        found = found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_score"))
+        found = found.groupBy(F.col("doc_id").alias("_id")).agg(
+            # A document's matches, of which there are few beside its blocks.
+            F.array_distinct(F.flatten(F.collect_set(F.transform("stay", lambda m: m["label"])))).alias("_labels"), F.max("most").alias("_score"), F.sum("matches").alias("_matches"),
+        )
         base = base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     else:
-        base = base.withColumns({"_labels": F.lit(None).cast("array<string>"), "_score": F.lit(None).cast("double")})
+        base = base.withColumns({"_labels": F.lit(None).cast("array<string>"), "_score": F.lit(None).cast("double"), "_matches": F.lit(None).cast("long")})
     labels = F.array_sort(F.array_union("_base", F.coalesce("_labels", F.array().cast("array<string>"))))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("_score", F.lit(0.0)))
     return base.select(
-        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("_base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score")
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("_base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score"),
+        F.coalesce("_matches", F.lit(0)).cast("long").alias("n_matches"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .license_scan import ALL_TEMPLATES, NO_LINE, PHRASES, SPAN, TELLING
+from .license_scan import ALL_TEMPLATES, NO_LINE, PHRASES, SPAN, TELLING, family
 from .quality import BOILERPLATE, NAVIGATION, TERMINAL, UNSPACED
 
 #: Dated entries (list, rule, blocks, adds, day of 2024).
@@ -19,28 +19,30 @@ URL_ENTRIES = (
 WORD = r"[^\x20\x09-\x0D]+"
 
 def _op1_sql() -> str:
-    sets = ", ".join("('{}', [{}], '{}')".format(label, ", ".join(f"'{w}'" for w in sorted(set(notice.split()))), TELLING.get(label, "")) for label, notice in ALL_TEMPLATES)
+    sets = ", ".join("({}, '{}', '{}', [{}], '{}')".format(k, label, family(label), ", ".join(f"'{w}'" for w in sorted(set(notice.split()))), TELLING.get(label, "")) for k, (label, notice) in enumerate(ALL_TEMPLATES))
     marks = " ".join(
         "WHEN " + " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(), 1)) + f" THEN '{label}'" for phrase, label in PHRASES
     )
     return rf"""
-WITH t(label, notice, telling) AS (VALUES {sets}),
+WITH t(k, label, family, notice, telling) AS (VALUES {sets}),
 d AS (SELECT doc_id, coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM d),
 p AS (SELECT doc_id, i, CASE {marks} END AS label FROM (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM w)),
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list_distinct(list(label))) AS labels
          FROM p WHERE label IS NOT NULL GROUP BY doc_id),
-blocks AS (SELECT doc_id, regexp_extract_all(block, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
-           FROM (SELECT doc_id, unnest(string_split_regex(text, '{NO_LINE}')) AS block FROM d)),
-near AS (SELECT doc_id, ws, t.* FROM blocks, t WHERE len(ws) > 0 AND len(list_intersect(ws, notice)) >= 0.85 * len(notice) - 1e-9),
-m AS (SELECT doc_id, label, notice, telling, unnest(CASE WHEN len(ws) <= {SPAN} * len(notice) THEN [ws]
+blocks AS (SELECT doc_id, block_no, regexp_extract_all(block, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+           FROM (SELECT doc_id, unnest(string_split_regex(text, '{NO_LINE}')) AS block, generate_subscripts(string_split_regex(text, '{NO_LINE}'), 1) AS block_no FROM d)),
+near AS (SELECT doc_id, block_no, ws, t.* FROM blocks, t WHERE len(ws) > 0 AND len(list_intersect(ws, notice)) >= 0.85 * len(notice) - 1e-9),
+m AS (SELECT doc_id, block_no, k, label, family, notice, telling, unnest(CASE WHEN len(ws) <= {SPAN} * len(notice) THEN [ws]
         ELSE [ws[i:i + {SPAN} * len(notice) - 1] FOR i IN range(1, len(ws) + 1) IF list_contains(notice, ws[i])] END) AS part FROM near),
-found AS (SELECT doc_id, list_distinct(list(label)) AS labels, max(len(list_intersect(part, notice)) / len(notice)::DOUBLE) AS c FROM m
-          WHERE len(list_intersect(part, notice)) >= 0.85 * len(notice) - 1e-9 AND regexp_matches(' ' || array_to_string(part, ' ') || ' ', telling) GROUP BY doc_id)
+hits AS (SELECT doc_id, block_no, k, label, family, max(len(list_intersect(part, notice)) / len(notice)::DOUBLE) AS c, max(regexp_matches(' ' || array_to_string(part, ' ') || ' ', telling)::INT) AS told
+         FROM m WHERE len(list_intersect(part, notice)) >= 0.85 * len(notice) - 1e-9 GROUP BY doc_id, block_no, k, label, family),
+best AS (SELECT *, max(told) OVER f AS any_told, max(c) OVER f AS most FROM hits WINDOW f AS (PARTITION BY doc_id, block_no, family)),
+found AS (SELECT doc_id, list_distinct(list(label) FILTER (told = 1 OR (any_told = 0 AND c = most))) AS labels, max(c) AS c, count(*) AS matches FROM best GROUP BY doc_id)
 SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
        coalesce(array_to_string(base.labels, ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ','), '') AS labels,
-       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(found.c, 0.0) END::DOUBLE AS score
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(found.c, 0.0) END::DOUBLE AS score, coalesce(matches, 0)::BIGINT AS n_matches
 FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 

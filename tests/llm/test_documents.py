@@ -279,6 +279,9 @@ def test_neighbouring_licenses_are_told_apart(spark):
         (f"{gnu} General Public License, version 3", {"gpl-3.0"}),
         (f"{gnu} Lesser General Public License, version 3", {"lgpl-3.0"}),
         (f"{far} and so on", set()),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this program", {"mit"}),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license to use, reproduce, display, distribute, execute, and transmit the Software", {"boost-1.0"}),
+        (f"{gnu} General Public License, version 9", {"gpl-2.0", "gpl-3.0"}),
         ("x " * 600 + "Released under the MIT License. " + "x " * 600, {"mit"}),
         ("x " * 600 + "Licensed under the Apache License, Version 2.0. " + "x " * 600, {"apache-2.0"}),
     ]
