@@ -19,13 +19,28 @@ def hash_split(key: Column, fraction: float, seed: str = "0") -> Column:
 
 
 def exact_split(keys: DataFrame, key: str, fraction: float, seed: str = "0") -> DataFrame:
-    """(key, split) with exactly ``max(1, int(n * fraction))`` validation keys, those of the smallest hashes; none for a fraction of 0."""
+    """(key, split) with exactly ``max(1, int(n * fraction))`` validation keys, those of the smallest hashes; none for a fraction of 0.
+
+    The last chosen hash is found by selection: keys are counted by the hash's first four digits, then
+    those of the bucket it falls in by the next four, and so on; what is below it is a filter. A null key isn't split.
+    """
     place = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    distinct = keys.select(key).distinct().withColumn("_h", place)
+    distinct = keys.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_h", place)
     n = distinct.count()
-    m = max(1, int(n * fraction)) if n and fraction > 0 else 0
-    chosen = distinct.orderBy("_h", key).limit(m).select(key, F.lit("val").alias("_v"))
-    return distinct.join(chosen, key, "left").select(key, F.coalesce("_v", F.lit("train")).alias("split"))
+    rest = max(1, int(n * fraction)) if n and fraction > 0 else 0
+    upto = ""
+    while rest and len(upto) < 32:
+        digits = F.substring("_h", len(upto) + 1, 4)
+        counts = distinct.filter(F.col("_h").startswith(upto)).groupBy(digits.alias("d")).count().collect()  # 65,536 rows at most
+        for d, count in sorted(map(tuple, counts)):
+            if rest <= count:
+                break
+            rest -= count
+        upto += d
+        if rest == count:
+            break
+    chosen = F.substring("_h", 1, len(upto)) <= upto if upto else F.lit(False)
+    return distinct.select(key, F.when(chosen, "val").otherwise("train").alias("split"))
 
 
 def is_train(split: Column) -> Column:

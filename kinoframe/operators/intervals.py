@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranges
 from .folds import fold_sorted, packed_windows
 
 
@@ -70,9 +71,13 @@ def slice_frames(frames: DataFrame, spans: DataFrame, unit: str, frame: str = "f
     return dealt.join(bins, [unit, "_bin"]).filter(F.col(frame).between(F.col("_i0"), F.col("_i1") - 1)).drop("_bin", "_i0", "_i1")
 
 
-def greedy_windows(rows: DataFrame, unit: str, seconds: float, start: str = "start", end: str = "end", out: str = "window") -> DataFrame:
-    """Rows with the number of their window: a row joins while its end is within ``seconds`` of the window's start."""
+def greedy_windows(rows: DataFrame, unit: str, seconds: float, start: str = "start", end: str = "end", out: str = "window", spread: bool = False) -> DataFrame:
+    """Rows with the number of their window: a row joins while its end is within ``seconds`` of the window's start.
 
+    With ``spread`` a unit's rows are dealt out by ranges.
+    """
+    if spread:
+        return ranges.packed_windows(rows, unit, [start, end], start, end, seconds, out)
     return fold_sorted(rows, unit, [start, end], [start, end], packed_windows(seconds), out, "long")
 
 

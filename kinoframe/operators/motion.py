@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rotations import mirror_hand, mirror_pose, mirror_position
+from . import ranges
 from .series import in_order
 
 #: Issues that no real movement has.
@@ -53,14 +55,19 @@ def handedness(energies: DataFrame, unit: str, channel: str, left: list[str], ri
     return energies.groupBy(unit).agg(r.alias("_r"), l.alias("_l")).select(unit, F.coalesce(F.try_divide(F.col("_r") - F.col("_l"), F.col("_r") + F.col("_l")), F.lit(0.0)).alias("score"))
 
 
-def mirror_flags(scores: DataFrame, group: list[str], score: str = "score", margin: float = 0.15, least: int = 3) -> DataFrame:
+def mirror_flags(scores: DataFrame, group: list[str], score: str = "score", margin: float = 0.15, least: int = 3, spread: list[str] | None = None) -> DataFrame:
     """Rows that lean against their group's median by the margin; none in groups of fewer than ``least``.
 
-    The group's median and count come from an aggregate that joins back, so a large group is no single task.
+    The group's median and count come from an aggregate that joins back. Where a group may hold a large part
+    of all rows, ``spread`` names columns that tell rows apart, and the median is found by ranges of the scores.
     """
     key = group or [F.lit(0).alias("_all")]
     names = group or ["_all"]
-    of_group = scores.groupBy(*key).agg(F.median(score).alias("_med"), F.count("*").alias("_n"))
+    if spread:
+        keyed = scores if group else scores.withColumn("_all", F.lit(0))
+        of_group = ranges.median(keyed, names, score, spread, "_med").select(*names, "_med").join(keyed.groupBy(*names).agg(F.count("*").alias("_n")), names)
+    else:
+        of_group = scores.groupBy(*key).agg(F.median(score).alias("_med"), F.count("*").alias("_n"))
     side = F.when(F.col("_med") >= 0, 1.0).otherwise(-1.0)
     against = (F.signum(F.col(score)) == -side) & (F.abs(F.col(score)) >= margin)
     joined = (scores if group else scores.withColumn("_all", F.lit(0))).join(of_group, names)
@@ -143,18 +150,23 @@ def activity(frames: DataFrame, unit: str, frame: str, pixels: str) -> DataFrame
 def camera_shift(frames: DataFrame, unit: str, frame: str, pixels: str, width: int) -> DataFrame:
     """(unit, shift): median length in pixels of the translation between neighbouring frames, by phase correlation; 0 below two frames."""
 
-    @F.pandas_udf("double")
-    def translation(before: pd.Series, now: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(before, now, strict=True):
-            if a is None or b is None:
-                out.append(None)
-                continue
-            spectrum = np.fft.fft2(np.reshape(a, (-1, width))) * np.fft.fft2(np.reshape(b, (-1, width))).conj()
-            peak = np.fft.ifft2(spectrum / (np.abs(spectrum) + 1e-8)).real
-            at = np.unravel_index(int(peak.argmax()), peak.shape)
-            out.append(float(np.hypot(*(k if 2 * k <= n else k - n for k, n in zip(at, peak.shape, strict=True)))))
-        return pd.Series(out, dtype="float64")
+    @F.arrow_udf("double")
+    def translation(before: pa.Array, now: pa.Array) -> pa.Array:
+        """Batches of pictures of one size are transformed together."""
+        sizes = np.where(pc.is_valid(before).to_numpy(zero_copy_only=False) & pc.is_valid(now).to_numpy(zero_copy_only=False), pc.fill_null(pc.list_value_length(now), 0).to_numpy(zero_copy_only=False), 0)
+        sizes = np.where(sizes == pc.fill_null(pc.list_value_length(before), 0).to_numpy(zero_copy_only=False), sizes, 0)
+        out = np.full(len(now), np.nan)
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            at = np.flatnonzero(sizes == size)
+            for lo in range(0, len(at), 1024):
+                part = pa.array(at[lo : lo + 1024])
+                a, b = (x.take(part).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(part), -1, width) for x in (before, now))
+                spectrum = np.fft.fft2(a) * np.fft.fft2(b).conj()
+                peak = np.fft.ifft2(spectrum / (np.abs(spectrum) + 1e-8)).real
+                y, x = np.unravel_index(peak.reshape(len(part), -1).argmax(1), peak.shape[1:])
+                y, x = (np.where(2 * k <= n, k, k - n) for k, n in zip((y, x), peak.shape[1:], strict=True))
+                out[at[lo : lo + 1024]] = np.hypot(y, x)
+        return pa.array(out, mask=np.isnan(out))
 
     pairs = frames.withColumn("_b", F.lag(pixels).over(in_order(unit, [frame])))
-    return pairs.withColumn("_s", F.when(F.col("_b").isNotNull(), translation("_b", pixels))).groupBy(unit).agg(F.coalesce(F.median("_s"), F.lit(0.0)).alias("shift"))
+    return pairs.withColumn("_s", translation("_b", pixels)).groupBy(unit).agg(F.coalesce(F.median("_s"), F.lit(0.0)).alias("shift"))

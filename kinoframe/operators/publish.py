@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rotations import export_pose
 from ..functions.text import clip_caption
 from .dataset import exact_split
+from .ranges import numbered
 
 # --- units and attributes -----------------------------------------------------------------
 
@@ -116,12 +117,14 @@ def with_split(entries: DataFrame, by: str = "clip_id", fraction: float = 0.05,
 
 
 def with_own_split(entries: DataFrame, person: str = "person_id", fraction: float = 0.05, seed: str = "0") -> DataFrame:
-    """Entries of known persons, each person's clips split by themselves: ``max(1, int(n * fraction))`` of the smallest hashes are validation."""
+    """Entries of known persons, each person's clips split by themselves: ``max(1, int(n * fraction))`` of the smallest hashes are
+    validation. A person's clips are ranked by ranges, so one with very many is work for many tasks.
+    """
     place = F.md5(F.concat(F.lit(f"{seed}:"), F.col("clip_id").cast("string")))
-    rank = F.row_number().over(Window.partitionBy(person).orderBy(place, "clip_id"))
-    n = F.count("*").over(Window.partitionBy(person))
-    val = rank <= F.greatest(F.lit(1), F.floor(n * F.lit(fraction)))
-    return entries.filter(F.col(person).isNotNull() & (F.col(person).cast("string") != "")).withColumn("split", F.when(val, "val").otherwise("train"))
+    known = entries.filter(F.col(person).isNotNull() & (F.col(person).cast("string") != "")).withColumn("_h", place)
+    n = known.groupBy(F.col(person).alias("_p")).agg(F.greatest(F.lit(1), F.floor(F.count("*") * F.lit(fraction))).alias("_m"))
+    ranked = numbered(known, [person], ["_h", "clip_id"], "_at").join(n, F.col(person) == F.col("_p"))
+    return ranked.withColumn("split", F.when(F.col("_at") < F.col("_m"), "val").otherwise("train")).select(*dict.fromkeys([*entries.columns, "split"]))
 
 
 # --- hand-off to training -------------------------------------------------------------------------

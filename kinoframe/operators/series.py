@@ -1,7 +1,8 @@
 """Time series in long form: one row for each unit and frame.
 
 Neighbours are windows over (unit, order), so a unit is one sort run; every function
-adds columns and keeps the rest.
+adds columns and keeps the rest. Where a unit may hold a large part of all rows, ``spread``
+deals its rows out by ranges, at the cost of writing them once.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranges
 from .folds import fold_sorted, running_mean
 
 EPS = 1e-16
@@ -87,12 +89,14 @@ def confidence_smooth(df: DataFrame, unit: str, order: list[str], value: str, wi
     return df.withColumn(out, (1 - weight) * F.col(value) + weight * F.col("_fit")).drop("_fit", "_acc")
 
 
-def ema(df: DataFrame, unit: str, order: list[str], value: str, alpha: float = 0.4, out: str = "ema") -> DataFrame:
+def ema(df: DataFrame, unit: str, order: list[str], value: str, alpha: float = 0.4, out: str = "ema", spread: bool = False) -> DataFrame:
     """Causal mean y[i] = alpha x[i] + (1 - alpha) y[i-1], from y[0] = x[0].
 
     Weights below 1e-16 don't change a double, so a window of bounded width gives the
     whole sum; where that would be wide, a fold over sorted rows does.
     """
+    if spread:
+        return ranges.running_mean(df, unit, order, value, alpha, out)
     width = 1 if alpha >= 1 else math.ceil(math.log(EPS) / math.log(1 - alpha))
     if width > WIDEST:
         return fold_sorted(df, unit, order, [value], running_mean(alpha), out, "double")
@@ -104,8 +108,10 @@ def ema(df: DataFrame, unit: str, order: list[str], value: str, alpha: float = 0
     return df.withColumn(out, total).drop("_i", "_near")
 
 
-def carry_forward(df: DataFrame, unit: str, order: list[str], value: str, valid: Column, out: str = "filled") -> DataFrame:
+def carry_forward(df: DataFrame, unit: str, order: list[str], value: str, valid: Column, out: str = "filled", spread: bool = False) -> DataFrame:
     """Last valid value so far; rows before the first valid one keep their own."""
+    if spread:
+        return ranges.last_valid(df, [unit], order, value, valid, out).withColumn(out, F.coalesce(out, value))
     last = F.last(F.when(valid, F.col(value)), ignorenulls=True).over(in_order(unit, order).rowsBetween(Window.unboundedPreceding, 0))
     return df.withColumn(out, F.coalesce(last, F.col(value)))
 
@@ -129,15 +135,24 @@ def runs(df: DataFrame, unit: str, order: list[str], mask: Column, min_len: int)
     return marked.filter("_run IS NOT NULL").groupBy(unit, "_run").agg(F.min("_i").cast("long").alias("run_start"), (F.max("_i") + 1).cast("long").alias("run_end")).drop("_run")
 
 
-def anti_drift(df: DataFrame, unit: str, order: list[str], values: list[str], fps: float, speed_limit: float = 0.02, seconds: float = 0.2, damping: float = 0.7) -> DataFrame:
-    """Rows of a standing run pulled towards the run's median, in columns named ``<value>_held``."""
+def anti_drift(df: DataFrame, unit: str, order: list[str], values: list[str], fps: float, speed_limit: float = 0.02, seconds: float = 0.2, damping: float = 0.7, spread: bool = False) -> DataFrame:
+    """Rows of a standing run pulled towards the run's median, in columns named ``<value>_held``.
+
+    Medians are taken over rows in runs only; with ``spread`` a run's median is found by ranges of its values.
+    """
     moving = speed(df, unit, order, values, fps, "_speed")
     min_len = max(2, round(seconds * fps))
     marked = mark_runs(moving, unit, order, F.col("_speed") < speed_limit, min_len, "_run")
-    span = Window.partitionBy(unit, "_run")
+    held = marked.filter("_run IS NOT NULL")
     for v in values:
-        held = (1 - damping) * F.col(v) + damping * F.median(v).over(span)
-        marked = marked.withColumn(f"{v}_held", F.when(F.col("_run").isNotNull(), held).otherwise(F.col(v)))
+        if spread:
+            middle = ranges.median(held, [unit, "_run"], v, order, "_med")
+        else:
+            middle = held.groupBy(unit, "_run").agg(F.median(v).alias("_med"))
+        middle = middle.select(F.col(unit).alias("_u"), F.col("_run").alias("_r"), "_med")
+        marked = marked.join(middle, F.col(unit).eqNullSafe(F.col("_u")) & (F.col("_run") == F.col("_r")), "left")
+        pulled = (1 - damping) * F.col(v) + damping * F.col("_med")
+        marked = marked.withColumn(f"{v}_held", F.when(F.col("_run").isNotNull(), pulled).otherwise(F.col(v))).drop("_u", "_r", "_med")
     return marked.drop("_speed", "_run")
 
 
@@ -157,8 +172,10 @@ def resample(df: DataFrame, unit: str, order: list[str], values: list[str], fps:
     return grid.join(rows, [unit, "_i"]).select(unit, "frame_idx", *mixed)
 
 
-def integrate(df: DataFrame, unit: str, order: list[str], value: str, out: str = "path") -> DataFrame:
+def integrate(df: DataFrame, unit: str, order: list[str], value: str, out: str = "path", spread: bool = False) -> DataFrame:
     """Running sum from the unit's first row."""
+    if spread:
+        return ranges.running_sum(df, [unit], order, value, out)
     return df.withColumn(out, F.sum(value).over(in_order(unit, order).rowsBetween(Window.unboundedPreceding, 0)))
 
 

@@ -1,4 +1,8 @@
-"""Feature vectors: distances, nearest centres and neighbours, clusterings."""
+"""Feature vectors: distances, nearest centres and neighbours, clusterings.
+
+A vector fits if it is not null and all its parts are finite. Others, and those of another length
+than the centres, have no centre (null) and no share in one; vectors of different length are no neighbours.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +10,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.folders import kept
+from ..sources.folders import dropped, kept
 from .captions import evenly_spaced
+from .ranges import numbered, previous
 
-#: Rows for exact k-means, and for a spanning tree; beyond, other ways are taken.
-EXACT_KMEANS, EXACT_TREE = 2000, 4000
+#: Rows for exact k-means; beyond, small batches are taken.
+EXACT_KMEANS = 2000
+#: Rows of a group from which pivots are chosen, about; most pivots, and rows for each at least.
+SAMPLE, PIVOTS, PER_PIVOT = 1024, 64, 64
 
 
 def zscore(df: DataFrame, columns: list[str], group: list[str] | None = None) -> DataFrame:
@@ -27,66 +35,168 @@ def zscore(df: DataFrame, columns: list[str], group: list[str] | None = None) ->
     return joined.withColumns(z).drop(*(f"_{k}_{c}" for c in columns for k in "ms"))
 
 
+def fitting(df: DataFrame, vector: str, dims: int | None = None) -> DataFrame:
+    """The rows whose vector fits, of ``dims`` parts if given."""
+    v = F.col(vector)
+    fit = v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
+    return df.filter(fit if dims is None else fit & (F.size(v) == dims))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
+    """Equally long vectors that fit as a matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _fits(column: pa.Array, dims: int) -> np.ndarray:
+    """Which vectors of an Arrow column fit and have ``dims`` parts."""
+    ok = pc.equal(pc.fill_null(pc.list_value_length(column), -1), dims).to_numpy(zero_copy_only=False).copy()
+    at = np.flatnonzero(ok)
+    if len(at):
+        parts = column.take(pa.array(at)).flatten()
+        x = parts.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(at), dims)
+        ok[at[~np.isfinite(x).all(1)]] = False
+    return ok
+
+
 def nearest_center(df: DataFrame, key: str, vector: str, centers: list[list[float]]) -> DataFrame:
-    """(key, center, distance): the nearest centre by squared distance, of equals the first."""
+    """(key, center, distance): the nearest centre by squared distance, of equals the first; nulls for a vector that doesn't fit."""
     c = np.array(centers, np.float64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
                 part = batch.slice(lo, 4096)
-                x = _matrix(part.column(1))
-                d = np.stack([((x - row) ** 2).sum(1) for row in c], 1)
-                at = d.argmin(1)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(at.astype(np.int32)), pa.array(d[np.arange(len(at)), at])], names=[key, "center", "distance"])
-
-    return df.select(key, F.col(vector).cast("array<double>")).mapInArrow(run, f"`{key}` long, center int, distance double")
+                ok = _fits(part.column(1), c.shape[1]) if len(c) else np.zeros(part.num_rows, bool)
+                at, least = np.zeros(part.num_rows, np.int32), np.zeros(part.num_rows)
+                if ok.any():
+                    x = _matrix(part.column(1).filter(pa.array(ok)))
+                    d = np.stack([((x - row) ** 2).sum(1) for row in c], 1)
+                    at[ok] = d.argmin(1)
+                    least[ok] = d.min(1)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(at, mask=~ok), pa.array(least, mask=~ok)], names=[key, "center", "distance"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, F.col(vector).cast("array<double>")).mapInArrow(run, f"`{key}` {kind}, center int, distance double")
+
+
+def _far_apart(most: int):
+    """Pivots of a group's sampled vectors: the first one, then again and again the one farthest from those chosen."""
+
+    def choose(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_id")
+        x = _matrix(table.column("_x"))
+        n = table.column("_n")[0].as_py()
+        at, near = [0], ((x - x[0]) ** 2).sum(1)
+        for _ in range(min(most, max(1, n // PER_PIVOT), len(x)) - 1):
+            at.append(int(near.argmax()))
+            near = np.minimum(near, ((x - x[at[-1]]) ** 2).sum(1))
+        return pa.table({"_g": table.column("_g").slice(0, 1), "_d": table.column("_d").slice(0, 1), "_pivots": pa.array([x[at].tolist()], pa.list_(pa.list_(pa.float64())))})
+
+    return choose
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances of two sets of vectors, a few rows at a time so that differences stay small in memory."""
+    out = np.empty((len(x), len(y)))
+    step = max(1, (1 << 22) // max(1, y.size))
+    for lo in range(0, len(x), step):
+        out[lo : lo + step] = np.sqrt(((x[lo : lo + step, None, :] - y[None, :, :]) ** 2).sum(2))
+    return out
+
+
+def _placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (_g, _d, _id, _x, _pivots) with the nearest pivot and the distance to it; the pivots go."""
+    for batch in batches:
+        keys = [batch.column(k).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) for k in (0, 1)]
+        for group in np.unique(np.stack(keys, 1), axis=0):
+            rows = batch.filter(pa.array((np.stack(keys, 1) == group).all(1)))
+            pivots = np.array(rows.column(4)[0].as_py())
+            d = _distances(_matrix(rows.column(3)), pivots)
+            at = d.argmin(1)
+            yield pa.RecordBatch.from_arrays([*rows.columns[:4], pa.array(at.astype(np.int32)), pa.array(d[np.arange(len(at)), at])], names=["_g", "_d", "_id", "_x", "_cell", "_r"])
+
+
+def _best(ids: np.ndarray, x: np.ndarray, others: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each vector's nearest of the others (sorted by id) that isn't itself, of equals the smallest id, and the distance; inf without any."""
+    if not len(others):
+        return np.zeros(len(ids), np.int64), np.full(len(ids), np.inf)
+    d = _distances(x, y)
+    d[ids[:, None] == others[None, :]] = np.inf
+    at = d.argmin(1)
+    return others[at], d[np.arange(len(at)), at]
 
 
 def nearest_neighbors(df: DataFrame, key: str, vector: str, group: str, tile: int = 1024) -> DataFrame:
     """(key, neighbor, distance): each vector's nearest other of its group, of equals the smallest key.
 
-    Groups are dealt into tiles and every two tiles meet once in a task of their own, which
-    returns a row for each of their vectors.
+    A metric index: of each group a sample gives pivots that lie far apart, each vector belongs to its
+    nearest pivot's cell, and a cell knows how far its vectors are from the pivot. Cells are dealt into
+    tiles. A vector first looks in its own tile; with the distance found there it then asks only the cells
+    where the triangle inequality leaves room for a nearer one. So every pair that could be the answer is
+    compared, in tasks of bounded size, and how many others are depends on how the vectors cluster.
     """
-    sizes = df.groupBy(F.col(group).alias("_g")).agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("_t"))
-    tiled = df.select(F.col(key).alias("id"), F.col(group).alias("_g"), F.col(vector).cast("array<double>").alias("x")).join(sizes, "_g")
-    tiled = tiled.withColumn("_mine", F.pmod(F.xxhash64("id"), F.col("_t")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_t") - 1)))
-    side = F.when(F.col("_mine") == F.col("_other"), 2).when(F.col("_mine") < F.col("_other"), 0).otherwise(1)
-    met = tiled.select("_g", F.least("_mine", "_other").alias("_a"), F.greatest("_mine", "_other").alias("_b"), side.alias("side"), "id", "x")
-
-    def closest(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
-        side, ids, x = table.column("side").to_numpy(), table.column("id").to_numpy(), _matrix(table.column("x"))
-        out = []
-        for mine, other in ((side != 1, side != 0),) if (side == 2).all() else ((side == 0, side == 1), (side == 1, side == 0)):
-            a, b = np.flatnonzero(mine), np.flatnonzero(other)
-            for lo in range(0, len(a), 128):
-                part = a[lo : lo + 128]
-                if not len(b):
-                    continue
-                d = ((x[part][:, None, :] - x[b][None, :, :]) ** 2).sum(2)
-                d[ids[part][:, None] == ids[b][None, :]] = np.inf
-                at = d.argmin(1)
-                out.append((ids[part], ids[b][at], np.sqrt(d[np.arange(len(part)), at])))
-        a, b, d = (np.concatenate([o[k] for o in out]) if out else np.zeros(0) for k in range(3))
-        ok = np.isfinite(d)
-        return pa.table({"id": pa.array(a[ok].astype(np.int64)), "neighbor": pa.array(b[ok].astype(np.int64)), "distance": pa.array(d[ok].astype(np.float64))})
-
-    each = met.groupBy("_g", "_a", "_b").applyInArrow(closest, "id long, neighbor long, distance double")
-    best = each.groupBy("id").agg(F.min(F.struct("distance", "neighbor")).alias("b"))
-    return best.select(F.col("id").alias(key), F.col("b.neighbor").alias("neighbor"), F.col("b.distance").alias("distance"))
+    rows = fitting(df.select(F.col(group).alias("_g"), F.size(vector).alias("_d"), F.col(key).cast("long").alias("_id"), F.col(vector).cast("array<double>").alias("_x")), "_x").filter("_id IS NOT NULL AND _g IS NOT NULL")
+    names = ["_g", "_d"]
+    head = ", ".join(f"{c} {k}" for c, k in rows.dtypes if c in names)
+    sizes = rows.groupBy(*names).agg(F.count("*").alias("_n"))
+    sampled = rows.join(sizes, names).filter(F.pmod(F.xxhash64("_id"), F.col("_n")) < SAMPLE)
+    # A group of few rows may have none in the sample: its first row is always there.
+    first = rows.groupBy(*names).agg(F.min_by(F.struct("_id", "_x"), "_id").alias("s"), F.count("*").alias("_n")).select(*names, "s._id", "s._x", "_n")
+    sampled = sampled.unionByName(first).dropDuplicates([*names, "_id"])
+    pivots = kept(sampled.groupBy(*names).applyInArrow(_far_apart(PIVOTS), f"{head}, _pivots array<array<double>>"), "pivots")
+    placed = kept(rows.join(pivots, names).select(*names, "_id", "_x", "_pivots").mapInArrow(_placed, f"{head}, _id long, _x array<double>, _cell int, _r double"), "cells")
+    cells = kept(placed.groupBy(*names, "_cell").agg(F.min("_r").alias("_lo"), F.max("_r").alias("_hi"), F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("_parts")), "cell-bounds")
+    tiled = placed.join(cells.select(*names, "_cell", "_parts"), [*names, "_cell"]).withColumn("_part", F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int")).drop("_parts", "_r")
+    # One row for each tile tells its task the group's pivots and the cells' rings, PIVOTS at most.
+    rings = cells.groupBy(*names).agg(F.collect_list(F.struct("_cell", "_lo", "_hi")).alias("_rings")).join(pivots, names)
+    heads = cells.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select(*names, "_cell", "_part").join(rings, names)
+
+    def look(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_id")
+        told = table.filter(pc.is_valid(table.column("_pivots")))
+        table = table.filter(pc.is_valid(table.column("_id")))
+        ids, x = table.column("_id").to_numpy(), _matrix(table.column("_x")) if len(table) else np.zeros((0, 1))
+        near, d = _best(ids, x, ids, x)
+        rings = told.column("_rings")[0].as_py()
+        apart = _distances(x, np.array(told.column("_pivots")[0].as_py())) if len(ids) else np.zeros((0, 1))
+        ask = []
+        for k in range(len(ids)):
+            # A hair more than the distance, for rounding.
+            reach = d[k] * (1 + 1e-9)
+            ask.append([r["_cell"] for r in rings if max(apart[k, r["_cell"]] - r["_hi"], r["_lo"] - apart[k, r["_cell"]]) <= reach])
+        found = np.isfinite(d)
+        return pa.table({**{c: table.column(c) for c in (*names, "_cell", "_part", "_id", "_x")}, "_near": pa.array(near, mask=~found), "_dist": pa.array(d, mask=~found), "_ask": pa.array(ask, pa.list_(pa.int32()))})
+
+    looked = tiled.unionByName(heads, allowMissingColumns=True).groupBy(*names, "_cell", "_part").applyInArrow(look, f"{head}, _cell int, _part int, _id long, _x array<double>, _near long, _dist double, _ask array<int>")
+    looked = kept(looked, "looked")
+    asks = looked.select(*names, "_id", F.col("_cell").alias("_c"), F.col("_part").alias("_p"), "_x", F.explode("_ask").alias("_cell")).join(cells.select(*names, "_cell", "_parts"), [*names, "_cell"])
+    asks = asks.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).filter(~((F.col("_cell") == F.col("_c")) & (F.col("_part") == F.col("_p"))))
+    # A tile that many ask is there for each few thousand of them.
+    asked = asks.groupBy(*names, "_cell", "_part").agg(F.ceil(F.count("*") / F.lit(4 * tile)).cast("int").alias("_copies"))
+    there = tiled.join(asked, [*names, "_cell", "_part"]).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    come = asks.join(asked, [*names, "_cell", "_part"]).withColumn("_copy", F.pmod(F.xxhash64("_id", "_cell"), F.col("_copies")).cast("int"))
+    columns = [*names, "_cell", "_part", "_copy", "_id", "_x"]
+    met = there.select(*columns, F.lit(False).alias("_asks")).unionByName(come.select(*columns, F.lit(True).alias("_asks")))
+
+    def answer(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_id")
+        asks = table.column("_asks").to_numpy()
+        ids, x = table.column("_id").to_numpy(), _matrix(table.column("_x"))
+        near, d = _best(ids[asks], x[asks], ids[~asks], x[~asks])
+        found = np.isfinite(d)
+        return pa.table({"_id": ids[asks][found], "_near": near[found].astype(np.int64), "_dist": d[found]})
+
+    answers = met.groupBy(*names, "_cell", "_part", "_copy").applyInArrow(answer, "_id long, _near long, _dist double")
+    every = answers.unionByName(looked.filter("_near IS NOT NULL").select("_id", "_near", "_dist"))
+    best = every.groupBy("_id").agg(F.min(F.struct("_dist", "_near")).alias("b"))
+    return best.select(F.col("_id").alias(key), F.col("b._near").alias("neighbor"), F.col("b._dist").alias("distance"))
 
 
 def first_centers(df: DataFrame, key: str, vector: str, k: int, seed: int = 0) -> list[list[float]]:
     """``k`` vectors picked by a hash of their keys: the same ones in every run."""
-    rows = df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(k).select(F.col(vector).cast("array<double>")).collect()
+    rows = fitting(df, vector).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(k).select(F.col(vector).cast("array<double>")).collect()
     return [list(r[0]) for r in rows]
 
 
@@ -104,7 +214,7 @@ def _sums(df: DataFrame, key: str, vector: str, centers: list[list[float]]) -> d
         for k in np.flatnonzero(n).tolist():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([n[k]], pa.int64()), pa.array([total[k].tolist()], pa.list_(pa.float64()))], names=["k", "n", "s"])
 
-    rows = df.select(F.col(vector).cast("array<double>")).mapInArrow(run, "k int, n long, s array<double>")
+    rows = fitting(df, vector, c.shape[1]).select(F.col(vector).cast("array<double>")).mapInArrow(run, "k int, n long, s array<double>")
     dims = len(centers[0])
     added = rows.groupBy("k").agg(F.sum("n").alias("n"), F.array(*(F.sum(F.get("s", F.lit(i))) for i in range(dims))).alias("s"))
     return {r["k"]: (np.array(r["s"]), r["n"]) for r in added.collect()}  # k rows
@@ -112,9 +222,9 @@ def _sums(df: DataFrame, key: str, vector: str, centers: list[list[float]]) -> d
 
 def kmeans(df: DataFrame, key: str, vector: str, k: int, iterations: int = 50, seed: int = 0) -> list[list[float]]:
     """Lloyd's centres; a centre without vectors stays where it is. The vectors are written once and read in each round."""
-    df = kept(df.select(key, vector), "vectors")
+    df = kept(fitting(df.select(key, vector), vector), "vectors")
     centers = first_centers(df, key, vector, k, seed)
-    for _ in range(iterations):
+    for _ in range(iterations if centers else 0):
         got = _sums(df, key, vector, centers)
         new = [(got[i][0] / got[i][1]).tolist() if i in got else c for i, c in enumerate(centers)]
         if np.allclose(new, centers):
@@ -145,8 +255,8 @@ def minibatch_kmeans(df: DataFrame, key: str, vector: str, k: int, batch: int =
 
 
 def _least_edges(table: pa.Table) -> pa.Table:
-    """The edges of the least spanning tree of a task's points: an edge of the whole tree is one of any part's that holds both its ends."""
-    ids, x = table.column("id").to_numpy(), _matrix(table.column("x"))
+    """The edges of a least spanning tree of a task's points."""
+    ids, x = table.column("_id").to_numpy(), _matrix(table.column("_x"))
     order = np.argsort(ids)
     ids, x = ids[order], x[order]
     near, link = np.full(len(x), np.inf), np.zeros(len(x), int)
@@ -157,52 +267,83 @@ def _least_edges(table: pa.Table) -> pa.Table:
         closer = waits & (d < near)
         near[closer], link[closer] = d[closer], at
         at = int(np.where(waits, near, np.inf).argmin())
-        edges.append((int(ids[link[at]]), int(ids[at]), float(near[at])))
+        a, b = sorted((int(ids[link[at]]), int(ids[at])))
+        edges.append((a, b, float(near[at])))
     a, b, d = zip(*edges, strict=True) if edges else ((), (), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "d": pa.array(d, pa.float64())})
 
 
-def spanning_tree_labels(df: DataFrame, key: str, vector: str, min_gap: float = 1.5, tile: int = 256) -> DataFrame:
-    """(key, cluster): single-linkage clusters, cut where the sorted tree's edges jump most.
+def _joined_up(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(labels of the nodes (id, root), the edges (a, b, d) of a least spanning forest), by Boruvka's rounds.
 
-    Points are dealt into tiles, each two tiles' tree is a task of its own, and the driver makes
-    one tree of all their edges. The cut is at the largest ratio of an edge to the one before,
-    if over ``min_gap``; else there is one cluster. For ``EXACT_TREE`` rows at most, an error
-    beyond: distances of all pairs are their square.
+    In each round every component takes its least edge to another one, and the components that hang
+    together by these become one, their pointers jumping on until all point at roots. Each round
+    halves the components at least, and edges inside one go.
+    """
+    nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
+    labels, forest = kept(nodes.select("id", F.col("id").alias("root")), "labels"), None
+    open_ = kept(edges.select("a", "b", "d", F.col("a").alias("p"), F.col("b").alias("q")), "edges")
+    while open_.limit(1).count():
+        both = open_.unionByName(open_.select("a", "b", "d", F.col("q").alias("p"), F.col("p").alias("q")))
+        least = kept(both.groupBy("p").agg(F.min(F.struct("d", "a", "b", "q")).alias("e")).select("p", "e.*"), "least")
+        taken = least.select("a", "b", "d").distinct()
+        forest = taken if forest is None else forest.unionByName(taken)
+        # Two that chose each other: the smaller one is the root.
+        back = least.select(F.col("p").alias("p2"), F.col("q").alias("q2"))
+        up = least.select("p", "q").join(back, F.col("q") == F.col("p2"), "left").select("p", F.when((F.col("q2") == F.col("p")) & (F.col("p") < F.col("q")), F.col("p")).otherwise(F.col("q")).alias("q"))
+        moved = True
+        while moved:  # twice as far in each jump, two jumps at a time
+            for _ in range(2):
+                on = up.select(F.col("p").alias("p2"), F.col("q").alias("q2"))
+                up = up.join(on, F.col("q") == F.col("p2"), "left").select("p", F.coalesce("q2", "q").alias("q"), (F.col("q") != F.coalesce("q2", "q")).alias("moved"))
+            up = kept(up, "pointers")
+            moved = up.filter("moved").limit(1).count()
+        to = up.select(F.col("p").alias("_p"), F.col("q").alias("_q"))
+        labels = labels.join(to, F.col("root") == F.col("_p"), "left").select("id", F.coalesce("_q", "root").alias("root"))
+        left = open_.join(to, F.col("p") == F.col("_p"), "left").withColumn("p", F.coalesce("_q", "p")).drop("_p", "_q")
+        left = left.join(to, F.col("q") == F.col("_p"), "left").withColumn("q", F.coalesce("_q", "q")).drop("_p", "_q")
+        old, open_ = open_, kept(left.filter("p <> q"), "edges")
+        dropped(old)
+    return labels, edges.limit(0).select("a", "b", "d") if forest is None else forest
+
+
+def spanning_tree(points: DataFrame, tile: int = 1024) -> DataFrame:
+    """(a, b, d): the edges of a least spanning tree of the points (_id, _x).
+
+    Points are dealt into tiles, and each two tiles' own tree is a task: an edge that isn't in it is no
+    shorter than all of a path that is, so these trees together span what all edges span. Of them the whole tree is
+    made. Distances of all pairs are worked out once, in tasks of two tiles.
     """
-    points = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"))
     n = points.count()
-    if n > EXACT_TREE:
-        raise ValueError(f"{n} rows; a spanning tree takes {EXACT_TREE} at most: give the number of clusters instead")
     tiles = max(1, -(-n // tile))
-    mine = F.pmod(F.xxhash64("id"), F.lit(tiles))
+    mine = F.pmod(F.xxhash64("_id"), F.lit(tiles))
     pairs = points.withColumn("_m", mine).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
-    met = pairs.select(F.least("_m", "_o").alias("t1"), F.greatest("_m", "_o").alias("t2"), "id", "x")
-    edges = sorted((r["d"], r["a"], r["b"]) for r in met.groupBy("t1", "t2").applyInArrow(_least_edges, "a long, b long, d double").distinct().collect())
-    ids = sorted(r["id"] for r in points.select("id").collect())
-    root = {i: i for i in ids}
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    tree = []
-    for d, a, b in edges:
-        p, q = find(a), find(b)
-        if p != q:
-            root[max(p, q)] = min(p, q)
-            tree.append((d, a, b))
-    sizes = np.array([e[0] for e in tree])
-    ratio = sizes[1:] / np.maximum(sizes[:-1], 1e-12)
-    keep = len(tree) if not len(ratio) or ratio.max() < min_gap else int(ratio.argmax()) + 1
-    root = {i: i for i in ids}
-    for _, a, b in tree[:keep]:
-        p, q = find(a), find(b)
-        root[max(p, q)] = min(p, q)
-    names = {r: c for c, r in enumerate(sorted({find(i) for i in ids}))}
-    return df.sparkSession.createDataFrame([(i, names[find(i)]) for i in ids], f"`{key}` long, cluster int")
+    met = pairs.select(F.least("_m", "_o").alias("t1"), F.greatest("_m", "_o").alias("t2"), "_id", "_x")
+    edges = met.groupBy("t1", "t2").applyInArrow(_least_edges, "a long, b long, d double").groupBy("a", "b").agg(F.min("d").alias("d"))
+    return _joined_up(kept(edges, "tile-trees"))[1]
+
+
+def spanning_tree_labels(df: DataFrame, key: str, vector: str, min_gap: float = 1.5, tile: int = 1024) -> DataFrame:
+    """(key, cluster): single-linkage clusters, cut where the sorted tree's edges jump most.
+
+    The cut is at the largest ratio of an edge to the one before, if it is ``min_gap`` or more; else there is
+    one cluster. Clusters are numbered by their smallest key. Only the gap comes to the driver. Keys
+    are whole numbers; vectors that don't fit, or of another length than most, have no cluster (null).
+    """
+    every = df.select(F.col(key).cast("long").alias("_id"), F.col(vector).cast("array<double>").alias("_x"))
+    fit = fitting(every.filter("_id IS NOT NULL"), "_x").groupBy("_id").agg(F.min("_x").alias("_x"))
+    lengths = fit.groupBy(F.size("_x").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    points = kept(fit.filter(F.size("_x") == (lengths["d"] if lengths else 0)), "points")
+    tree = kept(spanning_tree(points, tile), "tree")
+    steps = previous(tree, [], ["d", "a", "b"], "d", "_before").filter("_before IS NOT NULL")
+    gap = steps.select("d", "_before", (F.col("d") / F.greatest("_before", F.lit(1e-12))).alias("ratio")).orderBy(F.desc("ratio"), "d").first()
+    short = tree if gap is None or gap["ratio"] < min_gap else tree.filter(F.col("d") <= gap["_before"])
+    joined, _ = _joined_up(short)
+    roots = points.select("_id").join(joined, F.col("_id") == F.col("id"), "left").select("_id", F.coalesce("root", "_id").alias("root"))
+    roots = kept(roots, "roots")
+    names = numbered(roots.groupBy("root").agg(F.min("_id").alias("_least")), [], ["_least"], "cluster").select("root", F.col("cluster").cast("int").alias("cluster"))
+    found = roots.join(names, "root").select("_id", "cluster")
+    return every.select("_id").join(found, "_id", "left").select(F.col("_id").alias(key), "cluster")
 
 
 def cluster_labels(df: DataFrame, key: str, vector: str, k: int | None = None, seed: int = 0) -> DataFrame:

@@ -12,7 +12,7 @@ from ..sources import readers
 from ..sources.folders import work_dir
 from ..streaming import jobs
 from .media import table
-from .motion import _CS, _E, _SIX, _SWAP, ORDER, _frames, _index, _pose
+from .motion import _CS, _E, _FIT, _SIX, _SWAP, ORDER, _events, _frames, _index, _pose
 
 QUERIES, SQL = {}, {}
 
@@ -128,11 +128,11 @@ def frame_activity(spark, d):
     return motion.activity(rows, "label", "vec_id", "e").withColumn("activity", F.round("activity", 8))
 
 
-@query("""SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN 0.0 ELSE round(sqrt((vec_id % 3) * (vec_id % 3) + (vec_id % 2) * (vec_id % 2)), 6) END::DOUBLE AS shift FROM embeddings WHERE vec_id < 200""")
+@query("""SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN 0.0 ELSE round(sqrt((vec_id % 3) * (vec_id % 3) + (vec_id % 2) * (vec_id % 2)), 6) END::DOUBLE AS shift FROM embeddings""")
 def camera_shift(spark, d):
     """Each vector as a picture of 8 by 8, and the same moved round by some rows and columns."""
     e = F.transform("embedding", lambda v: v.cast("double"))
-    rows = table(spark, d, "embeddings").filter("vec_id < 200").select("vec_id", e.alias("p"), (F.col("vec_id") % 3).cast("int").alias("dy"), (F.col("vec_id") % 2).cast("int").alias("dx"))
+    rows = table(spark, d, "embeddings").select("vec_id", e.alias("p"), (F.col("vec_id") % 3).cast("int").alias("dy"), (F.col("vec_id") % 2).cast("int").alias("dx"))
     moved = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.get("p", (F.pmod(F.floor(i / 8) - F.col("dy"), F.lit(8)) * 8 + F.pmod(i % 8 - F.col("dx"), F.lit(8))).cast("int")))
     both = rows.select("vec_id", F.lit(0).alias("frame"), F.col("p")).unionByName(rows.filter("vec_id % 4 <> 0").select("vec_id", F.lit(1).alias("frame"), moved.alias("p")))
     return motion.camera_shift(both, "vec_id", "frame", "p", 8).withColumn("shift", F.round("shift", 6))
@@ -152,11 +152,15 @@ def blended(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.transform(series.blend(e, k, 0.25), lambda v: F.round(v, 5)).alias("v"))
 
 
-@query(f"""WITH {_E}, s AS (SELECT event_id, i, n, value, CASE WHEN n > 9 THEN true ELSE false END AS ok FROM e) SELECT event_id, round(value, 5)::DOUBLE AS refined FROM s WHERE NOT ok""")
+_WEEKS = "FROM (SELECT * REPLACE (user_id * 1000 + (epoch(ts)::BIGINT - 1704067200) // 172800 AS user_id) FROM events)"
+
+
+@query(f"WITH {_FIT} SELECT event_id, round(0.5 * value + 0.5 * coalesce(fit, value), 5)::DOUBLE AS refined FROM e LEFT JOIN f USING (user_id, i)".replace("FROM events", _WEEKS).replace("epoch(ts)::BIGINT", "floor(epoch(ts))::BIGINT"))
 def refined_short(spark, d):
-    """A refiner by its name; units no longer than its window stay as they are."""
-    counted = _frames(spark, d).withColumn("n", F.count("*").over(Window.partitionBy("user_id"))).filter("n <= 9")
-    return series.refine(counted, "savgol", "user_id", ORDER, "value", 0.5).select("event_id", F.round("refined", 5).alias("refined"))
+    """A refiner by its name over units of two days; those no longer than its window stay as they are."""
+    second = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    units = _events(spark, d).withColumn("user_id", F.col("user_id") * 1000 + F.floor((second - 1704067200) / 172800))
+    return series.refine(units, "savgol", "user_id", ORDER, "value", 0.5).select("event_id", F.round("refined", 5).alias("refined"))
 
 
 @query("SELECT vec_id, [0.0, 0.0, 0.0]::DOUBLE[] AS trans FROM embeddings")
@@ -297,10 +301,11 @@ def risk_reasons(spark, d):
     return dataset.risk_reasons(dataset.risk_score(stats, 600_000, 64)).select(F.array_join("reasons", "; ").alias("reasons"))
 
 
-@query("SELECT source AS person, sum(len(text))::BIGINT AS frames FROM documents WHERE doc_id < 100 GROUP BY 1 HAVING sum(len(text)) / 20.0 / 60 < 3")
+@query("SELECT doc_id::VARCHAR AS person, sum(len(text))::BIGINT AS frames FROM documents GROUP BY 1 HAVING sum(len(text)) / 20.0 / 60 < 3")
 def underrepresented(spark, d):
-    docs = table(spark, d, "documents").filter("doc_id < 100").withColumn("frames", F.length("text").cast("long"))
-    return dataset.underrepresented(dataset.person_coverage(docs, "source", "frames")).select("person", "frames")
+    """Each document as a person's clip."""
+    docs = table(spark, d, "documents").withColumn("frames", F.length("text").cast("long"))
+    return dataset.underrepresented(dataset.person_coverage(docs, "doc_id", "frames")).select("person", "frames")
 
 
 _NEAR = """WITH v AS (SELECT p_brand AS asset, p_partkey AS vid, p_size::DOUBLE AS x, p_retailprice AS y, (p_partkey % 97)::DOUBLE AS z FROM part), n AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY vid) - 1 AS i FROM v),

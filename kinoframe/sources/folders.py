@@ -30,6 +30,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``kept`` made and nothing reads any longer."""
+    for table in tables:
+        for file in table.inputFiles()[:1]:
+            fs, path = qualified(table.sparkSession, file.rsplit("/", 1)[0])
+            fs.delete(path, True)
+
+
 def qualified(spark: SparkSession, path: str):
     """(file system, path with its scheme) as Hadoop has them."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
