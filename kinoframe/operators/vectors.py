@@ -42,6 +42,13 @@ def fitting(df: DataFrame, vector: str, dims: int | None = None) -> DataFrame:
     return df.filter(fit if dims is None else fit & (F.size(v) == dims))
 
 
+def of_usual_length(df: DataFrame, vector: str) -> DataFrame:
+    """The rows whose vector fits and has the most frequent length, of equals the smallest."""
+    fit = fitting(df, vector)
+    lengths = fit.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
+    return fit.filter(F.size(vector) == (lengths["d"] if lengths else 0))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Equally long vectors that fit as a matrix."""
     if isinstance(column, pa.ChunkedArray):
@@ -222,7 +229,7 @@ def _sums(df: DataFrame, key: str, vector: str, centers: list[list[float]]) -> d
 
 def kmeans(df: DataFrame, key: str, vector: str, k: int, iterations: int = 50, seed: int = 0) -> list[list[float]]:
     """Lloyd's centres; a centre without vectors stays where it is. The vectors are written once and read in each round."""
-    df = kept(fitting(df.select(key, vector), vector), "vectors")
+    df = kept(of_usual_length(df.select(key, vector), vector), "vectors")
     centers = first_centers(df, key, vector, k, seed)
     for _ in range(iterations if centers else 0):
         got = _sums(df, key, vector, centers)
@@ -332,8 +339,7 @@ def spanning_tree_labels(df: DataFrame, key: str, vector: str, min_gap: float =
     """
     every = df.select(F.col(key).cast("long").alias("_id"), F.col(vector).cast("array<double>").alias("_x"))
     fit = fitting(every.filter("_id IS NOT NULL"), "_x").groupBy("_id").agg(F.min("_x").alias("_x"))
-    lengths = fit.groupBy(F.size("_x").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    points = kept(fit.filter(F.size("_x") == (lengths["d"] if lengths else 0)), "points")
+    points = kept(of_usual_length(fit, "_x"), "points")
     tree = kept(spanning_tree(points, tile), "tree")
     steps = previous(tree, [], ["d", "a", "b"], "d", "_before").filter("_before IS NOT NULL")
     gap = steps.select("d", "_before", (F.col("d") / F.greatest("_before", F.lit(1e-12))).alias("ratio")).orderBy(F.desc("ratio"), "d").first()

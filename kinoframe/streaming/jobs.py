@@ -17,10 +17,11 @@ from ..operators.folds import packed_windows, running_mean
 from ..sources.folders import work_dir
 
 
-def file_stream(spark: SparkSession, path: str) -> DataFrame:
-    """A stream of the Parquet files at a path: a folder, or one file by its name in its folder."""
+def file_stream(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
+    """A stream of the Parquet files at a path: a folder, or one file by its name in its folder; ``files`` at most in a batch."""
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
+    reader = reader if files is None else reader.option("maxFilesPerTrigger", files)
     folder, name = path.rsplit("/", 1)
     files = {f.rsplit("/", 1)[0] for f in spark.read.parquet(path).inputFiles()[:1]}
     if any(f.endswith(f"/{name}") for f in files):  # a folder of files
