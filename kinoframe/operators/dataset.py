@@ -105,6 +105,26 @@ def risk_reasons(scored: DataFrame) -> DataFrame:
     return scored.withColumn("reasons", F.filter(F.array(*rules), lambda r: r.isNotNull()))
 
 
+#: Generators by name, all of them large; other methods run no such risk.
+GENERATORS = ("momask", "mdm", "closd")
+
+
+def risk_advice(scored: DataFrame, method: str, num_steps: int, conditioning: str = "none") -> DataFrame:
+    """``risk_score``'s row with applicable and recommendations, an array of text; a method that is no generator has
+    neither level nor recommendations.
+    """
+    known = F.lit(method.lower() in GENERATORS)
+    minutes, persons = F.col("train_minutes"), F.col("n_persons")
+    rules = (
+        F.when(~F.col("resumed") & (persons < PERSONS[0]), F.lit("start from a trained checkpoint: a large model learns little from so few persons")),
+        F.when(~F.col("low_rank") & (minutes < MINUTES[0]) & F.lit(method.lower() == "mdm"), F.lit("adapt at low rank: it keeps what the model knows")),
+        F.when(minutes < MINUTES[1], F.lit(f"take fewer steps than {num_steps} or more footage, and watch the validation curve")),
+        F.when((persons > 1) & F.lit(conditioning != "person"), F.concat(F.lit("condition on the person: "), persons.cast("string"), F.lit(" persons would average into one"))),
+    )
+    advice = F.filter(F.array(*rules), lambda r: r.isNotNull())
+    return scored.withColumns({"applicable": known, "recommendations": F.when(known, advice).otherwise(F.array().cast("array<string>")), "level": F.when(known, F.col("level"))})
+
+
 def underrepresented(coverage: DataFrame) -> DataFrame:
     """Persons of a corpus of several who have too few minutes to matter."""
     n = coverage.agg(F.count("*").alias("_persons"))  # one row

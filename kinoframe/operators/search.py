@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS, terms
 from ..sources.folders import kept
 
-_WORD = re.compile("[a-z]+")
-
 #: BM25's saturation and length weights.
 K1, B = 1.2, 0.75
 
@@ -21,21 +18,36 @@ K1, B = 1.2, 0.75
 def keyword_tags(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """(key, rank, tag, n): the most frequent words of more than two letters, stop words aside; of equals the one seen first.
 
-    A text's words are counted in its own row: nothing is shuffled.
+    A text's words are counted in its own row: nothing is shuffled. Batches of texts are counted together.
     """
+    words = F.filter(terms(F.col(text)), lambda w: (F.length(w) > 2) & ~w.isin(list(STOP_WORDS)))
+    tag = pa.list_(pa.struct([("tag", pa.string()), ("n", pa.int64())]))
 
-    @F.pandas_udf("array<struct<tag: string, n: long>>")
-    def most_common(texts: pd.Series) -> pd.Series:
-        def count(t: str | None) -> list[dict]:
-            words = Counter(w for w in _WORD.findall((t or "").lower()) if len(w) > 2 and w not in STOP_WORDS)
-            return [{"tag": w, "n": k} for w, k in words.most_common(n)]
-
-        return texts.map(count)
+    @F.arrow_udf("array<struct<tag: string, n: long>>")
+    def most_common(texts: pa.Array) -> pa.Array:
+        out = [_most_common(texts.slice(lo, 512), n) for lo in range(0, len(texts), 512)]
+        return pa.concat_arrays([a.cast(tag) for a in out]) if out else pa.array([], tag)
 
-    ranked = docs.select(key, F.posexplode(most_common(text)).alias("rank", "t"))
+    ranked = docs.select(key, F.posexplode(most_common(F.coalesce(words, F.array().cast("array<string>")))).alias("rank", "t"))
     return ranked.select(key, (F.col("rank") + 1).alias("rank"), "t.tag", "t.n")
 
 
+def _most_common(texts: pa.Array, n: int) -> pa.Array:
+    """The ``n`` most frequent words of each list, as lists of (tag, n)."""
+    flat = texts.flatten().dictionary_encode()
+    names = flat.dictionary
+    code = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), pc.list_value_length(texts).to_numpy(zero_copy_only=False))
+    both, first, count = np.unique(row * max(1, len(names)) + code, return_index=True, return_counts=True)
+    row, code = both // max(1, len(names)), both % max(1, len(names))
+    order = np.lexsort((first, -count, row))
+    row, code, count = row[order], code[order], count[order]
+    edge = np.searchsorted(row, np.arange(len(texts) + 1))
+    kept_ = np.flatnonzero(np.arange(len(row)) - edge[row] < n)
+    ends = np.concatenate([[0], np.cumsum(np.minimum(np.diff(edge), n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([names.take(pa.array(code[kept_])), pa.array(count[kept_], pa.int64())], names=["tag", "n"]))
+
+
 def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(term, key, n, places, length): the inverted index; write it bucketed or partitioned by term."""
     all_ = docs.select(key, terms(F.col(text)).alias("_t")).withColumn("length", F.size("_t"))

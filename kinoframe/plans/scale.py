@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from ..functions import estimators
 from ..functions.text import STOP_WORDS
-from ..operators import aggregators, intervals, motion, publish, series, vectors
+from ..operators import aggregators, dataset, intervals, matching, motion, publish, series, vectors
 from ..operators.attempts import AttemptLog, attempt
 from ..sources.folders import work_dir
+from ..streaming import ordered
 from .media import table
-from .motion import _SC, _SP, ORDER, SQL as _MOTION_SQL, _events, _scores, _spans
+from .motion import _CS, _SC, _SP, ORDER, _events, _index, _scores, _spans
+from .motion import SQL as _MOTION_SQL
 
 QUERIES, SQL = {}, {}
 
@@ -196,3 +198,87 @@ def identity_clusters(spark, d):
     labels = vectors.cluster_labels(e, "vec_id", "embedding", 10).withColumnRenamed("vec_id", "unit_id")
     tracks, people = publish.assigned(e.select(F.col("vec_id").alias("unit_id")), labels, registry)
     return tracks.join(people, "person_id", "left").select("unit_id", "person_id", "granted")
+
+
+# --- search expressions -------------------------------------------------------------------------------
+
+def _expression(spark, d, expression, k=None):
+    base = work_dir(spark, "index")
+    docs = table(spark, d, "documents").select("doc_id", "text", F.concat(F.lit("from "), "lang", F.lit(" press "), F.regexp_replace("source", "[0-9]+", "")).alias("place"))
+    matching.write_postings(docs, "doc_id", ["text", "place"], base)
+    read = spark.read.parquet
+    return matching.found(read(f"{base}/postings"), read(f"{base}/lengths"), "doc_id", ["text", "place"], expression, k)
+
+
+_TP = "d AS (SELECT doc_id, coalesce(regexp_extract_all(lower(text), '[a-z]+'), []) AS t, coalesce(regexp_extract_all('from ' || lang || ' press ' || regexp_replace(source, '[0-9]+', '', 'g'), '[a-z]+'), []) AS p FROM documents)"
+
+
+@query(f"""WITH {_TP}, c AS (SELECT *, (len(t) + len(p))::DOUBLE AS l, len(list_filter(list_concat(t, p), lambda x: x = 'license')) AS a, len(list_filter(list_concat(t, p), lambda x: starts_with(x, 'reserv'))) AS b FROM d),
+s AS (SELECT count(*) AS n, avg(l) AS m, count(*) FILTER (WHERE a > 0) AS da, count(*) FILTER (WHERE b > 0) AS db FROM c),
+r AS (SELECT doc_id, ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * l / m)) + ln(1 + (n - db + 0.5) / (db + 0.5)) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * l / m)) AS score FROM c, s WHERE a > 0 OR b > 0)
+SELECT doc_id, round(score, 6)::DOUBLE AS score FROM r""")
+def search_any(spark, d):
+    """Either of a word and a prefix, ranked."""
+    return _expression(spark, d, matching.Any(matching.Word("license"), matching.Word("reserv*"))).withColumn("score", F.round("score", 6))
+
+
+@query(f"""WITH {_TP} SELECT doc_id FROM d WHERE list_contains(list_concat(t, p), 'the') AND NOT list_contains(list_concat(t, p), 'that') AND NOT len(list_filter(range(1, len(t)), lambda i: t[i] = 'of' AND t[i + 1] = 'the')) > 0""")
+def search_not(spark, d):
+    m = matching
+    return _expression(spark, d, m.All(m.Word("the"), m.Not(m.Word("that")), m.Not(m.Phrase("of the")))).select("doc_id")
+
+
+@query(f"""WITH {_TP} SELECT doc_id FROM d WHERE len(list_filter(range(1, len(t) + 1), lambda i: t[i] = 'licensed' AND (list_contains(t[greatest(i - 4, 1):greatest(i - 1, 0)], 'license') OR list_contains(t[i + 1:i + 4], 'license')))) > 0""")
+def search_near(spark, d):
+    """Two words with at most three between them, in any order."""
+    return _expression(spark, d, matching.Near("licensed", "license", 3)).select("doc_id")
+
+
+@query(f"""WITH {_TP} SELECT doc_id FROM d WHERE list_contains(p, 'en') AND (list_contains(t, 'rights') OR list_contains(t, 'en'))""")
+def search_column(spark, d):
+    """Words of one column, beside words of the other."""
+    m = matching
+    return _expression(spark, d, m.All(m.In("place", m.Phrase("from en")), m.In("text", m.Any(m.Word("rights"), m.Word("en"))))).select("doc_id")
+
+
+# --- streams in any order -------------------------------------------------------------------------------
+
+
+def _shuffled(spark, d, columns):
+    """Events as seven files in which each user's events are out of order."""
+    base = work_dir(spark, "shuffled")
+    _events(spark, d).select(*columns).repartition(7, F.xxhash64("event_id")).write.parquet(base)
+    return base
+
+
+@query("""SELECT event_id, coalesce(last_value(CASE WHEN event_type <> 'error' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), value) AS filled FROM events""")
+def stream_fill(spark, d):
+    """Carry-forward over a stream whose files come in any order."""
+    path = _shuffled(spark, d, ["event_id", "ts", "user_id", "event_type", "value"])
+    prepare = lambda s: s.withColumn("id", F.col("event_id")).withColumn("valid", F.col("event_type") != "error")
+    out = ordered.folded(spark, path, "user_id", "ts", "event_id", ["id", "value", "valid"], ordered.CarryForward(), "400 days", files=4, prepare=prepare)
+    return out.select(F.col("id").alias("event_id"), "filled")
+
+
+@query("""WITH e AS (SELECT user_id, epoch_us(ts) AS us, event_id, CASE event_type WHEN 'click' THEN 'in_progress' WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'failed' ELSE 'in_progress' END AS status FROM events),
+n AS (SELECT *, lead(us) OVER (PARTITION BY user_id ORDER BY us, event_id) AS after FROM e)
+SELECT user_id AS clip_id, status, us AS at_us, false AS released FROM n UNION ALL SELECT user_id, 'pending', us + 7200000000, true FROM n WHERE status = 'in_progress' AND (after IS NULL OR after > us + 7200000000)""")
+def stream_leases(spark, d):
+    """Claims that no heartbeat follows within two hours come back as pending, whatever order the files come in."""
+    path = _shuffled(spark, d, ["event_id", "ts", "user_id", "event_type"])
+    status = F.when(F.col("event_type") == "purchase", "done").when(F.col("event_type") == "error", "failed").otherwise("in_progress")
+    out = ordered.folded(spark, path, "user_id", "ts", "event_id", ["status"], ordered.Leases(7200), "400 days", files=4, prepare=lambda s: s.withColumn("status", status))
+    return out.withColumnRenamed("user_id", "clip_id")
+
+
+# --- advice -------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {_CS} SELECT true AS applicable, array_to_string(list_filter([CASE WHEN n_persons < 5 THEN 'start from a trained checkpoint: a large model learns little from so few persons' END, CASE WHEN train_minutes < 15 THEN 'adapt at low rank: it keeps what the model knows' END,
+CASE WHEN train_minutes < 60 THEN 'take fewer steps than 600000 or more footage, and watch the validation curve' END, CASE WHEN n_persons > 1 THEN 'condition on the person: ' || n_persons || ' persons would average into one' END], lambda x: x IS NOT NULL), '; ') AS recommendations FROM cs
+UNION ALL SELECT false, ''""")
+def risk_advice(spark, d):
+    """What would lower the risk, for a generator and for a method that is none."""
+    scored = dataset.risk_score(dataset.corpus_stats(_index(spark, d), "person_id", "n_frames", "fps", "split"), 600_000, 64)
+    rows = dataset.risk_advice(scored, "MDM", 600_000).unionByName(dataset.risk_advice(scored, "tracker", 600_000))
+    return rows.select("applicable", F.array_join("recommendations", "; ").alias("recommendations"))
