@@ -214,18 +214,27 @@ def _words(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray
     return words, np.r_[keys, mine], np.r_[text_of, np.array(t2, np.int64)], np.r_[back, np.array(w2, np.int64)]
 
 
+def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, n) of a task's texts, a group of texts at a time."""
+    for batch in batches:
+        for lang in batch.column(0).unique().to_pylist():
+            for _, mine in text_groups(batch.filter(pc.equal(batch.column(0), lang)).column(1)):
+                words, _, _, of = _words(mine)
+                n = np.bincount(of, minlength=len(words))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), pa.array(words, pa.binary()), pa.array(n.astype(np.int64))], names=["lang", "word", "n"])
+
+
 def _counts(path: str, model: dict[str, np.ndarray] | None):
-    """(lang, piece, n) of a task's texts: occurrences, or expected numbers under a model."""
+    """(lang, piece, n) of a task's different words and their numbers: occurrences, or expected numbers under a model."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, total = pieces(path), {}
         for batch in batches:
             for lang in batch.column(0).unique().to_pylist():
-                for _, mine in text_groups(batch.filter(pc.equal(batch.column(0), lang)).column(1)):
-                    words, _, _, of = _words(mine)
-                    n = np.bincount(of, minlength=len(words)).astype(float)
-                    got = vocabulary.occurrences(words, n) if model is None else vocabulary.expected(words, n, model[lang])
-                    total[lang] = total.get(lang, 0) + got
+                mine = batch.filter(pc.equal(batch.column(0), lang))
+                words, n = mine.column(1).to_pylist(), mine.column(2).to_numpy().astype(float)
+                got = vocabulary.occurrences(words, n) if model is None else vocabulary.expected(words, n, model[lang])
+                total[lang] = total.get(lang, 0) + got
         for lang, n in total.items():
             seen = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen)), pa.array(seen.astype(np.int32)), pa.array(n[seen])], names=["lang", "piece", "n"])
@@ -244,7 +253,8 @@ def learn_languages(labelled: DataFrame, vocabulary: str, *, sample_rows: int =
         raise ValueError(f"{len(sizes)} languages, more than {MOST_LANGUAGES}")
     share = F.create_map(*(x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample_rows / n)))))
     place = F.shiftrightunsigned("_h", 1).cast("double") / float(1 << 63)
-    sample = written(rows.filter(place < share[F.col("lang")]).select("lang", "text"), "language-sample")
+    sample = rows.filter(place < share[F.col("lang")]).select("lang", "text").mapInArrow(_word_counts, "lang string, word binary, n long")
+    sample = written(sample.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
     size, model = len(pieces(vocabulary).tokens), None
     for _ in range(2):
         # One row for each language and piece of the vocabulary at most.
