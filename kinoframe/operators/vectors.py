@@ -6,6 +6,7 @@ than the centres, have no centre (null) and no share in one; vectors of differen
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -369,25 +370,56 @@ def box_scores(vertices: DataFrame, asset: str) -> DataFrame:
     return out.withColumn("proportion", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.abs(tall - 3.5) / 3.5)))
 
 
+def nearest_in_space(points: DataFrame, others: DataFrame, asset: str, index: str) -> DataFrame:
+    """(asset, index, distance) of each point's nearest other one of its asset; rows are (asset, index, x, y, z, edge) and (asset, x, y, z).
+
+    A grid's cells are ``edge`` wide at first, and a point meets the others of its own and the 26 cells
+    round it: what is no farther than an edge is the nearest. Points that found nothing so near go on
+    with cells twice as wide, until cells are as wide as an asset.
+    """
+    cell = lambda edge: [F.floor(F.col(a) / edge).cast("long").alias(f"_c{a}") for a in "xyz"]
+    near = F.explode(F.array(*(F.struct(*(F.lit(v).alias(a) for v, a in zip(o, "xyz", strict=True))) for o in itertools.product((-1, 0, 1), repeat=3)))).alias("_o")
+    # The same edges for both sides: each asset's own.
+    edges = points.groupBy(F.col(asset).alias("_a")).agg(F.first("edge").alias("_edge"))
+    placed = others.join(edges, F.col(asset) == F.col("_a")).drop("_a")
+    waiting, found, wide = points, None, 1
+    while True:
+        asked = waiting.select(asset, index, *"xyz", "edge", *cell(F.col("edge") * wide)).select("*", near).select(asset, index, *"xyz", "edge", *((F.col(f"_c{a}") + F.col(f"_o.{a}")).alias(f"_c{a}") for a in "xyz"))
+        there = placed.select(asset, *(F.col(a).alias(f"_{a}") for a in "xyz"), *cell(F.col("_edge") * wide))
+        apart = F.sqrt(sum(((F.col(a) - F.col(f"_{a}")) ** 2 for a in "xyz"), F.lit(0.0)))
+        met = asked.join(there, [asset, "_cx", "_cy", "_cz"]).groupBy(asset, index).agg(F.min(apart).alias("distance"))
+        known = kept(waiting.join(met, [asset, index], "left"), "grid")
+        done = (F.col("distance") <= F.col("edge") * wide) | (F.col("edge") * wide > F.col("_most"))
+        new = known.filter(done & F.col("distance").isNotNull()).select(asset, index, "distance")
+        found = new if found is None else found.unionByName(new)
+        waiting = known.filter(~F.coalesce(done, F.lit(False)) | F.col("distance").isNull()).filter(F.col("edge") * wide <= F.col("_most")).drop("distance")
+        if not waiting.limit(1).count():
+            return found
+        wide *= 2
+
+
 def symmetry_scores(vertices: DataFrame, asset: str, vid: str, sample: int | None = 800) -> DataFrame:
     """(asset, symmetry): 1 where each vertex has another one at its mirrored place, 0 where the nearest
     is a tenth of the mesh's diagonal away on average.
 
     The mirror stands across the second longest side, in the median. Of a mesh, ``sample``
-    evenly chosen vertices are taken, or all without it, and each meets the mirrored others of its mesh in a join.
+    evenly chosen vertices are taken, or all without it, and each looks for the nearest mirrored other in a grid.
     """
-    numbered = vertices.withColumn("_i", F.row_number().over(Window.partitionBy(asset).orderBy(vid)) - 1)
+    numbered_ = vertices.withColumn("_i", F.row_number().over(Window.partitionBy(asset).orderBy(vid)) - 1)
     mesh = vertices.groupBy(asset).agg(F.count("*").alias("_n"), *(F.median(a).alias(f"_c{a}") for a in "xyz"), *((F.max(a) - F.min(a)).alias(f"_e{a}") for a in "xyz"))
     longest = F.array_sort(F.array(*(F.struct((-F.col(f"_e{a}")).alias("e"), F.lit(-k).alias("k")) for k, a in enumerate("xyz"))))
-    mesh = mesh.withColumn("_axis", -F.get(longest, F.lit(1))["k"])
+    diagonal = F.sqrt(F.col("_ex") ** 2 + F.col("_ey") ** 2 + F.col("_ez") ** 2)
+    mesh = mesh.withColumn("_axis", -F.get(longest, F.lit(1))["k"]).withColumn("_diagonal", diagonal)
     if sample is not None:
         chosen = mesh.select(asset, F.explode(F.array_distinct(evenly_spaced(F.col("_n"), sample))).alias("_i"))
-        numbered = numbered.withColumn("_i", F.col("_i").cast("long")).join(chosen, [asset, "_i"])
-    points = numbered.join(mesh, asset)
-    turned = [F.when(F.col("_axis") == k, 2 * F.col(f"_c{a}") - F.col(a)).otherwise(F.col(a)).alias(f"_m{a}") for k, a in enumerate("xyz")]
-    apart = F.sqrt(sum(((F.col(a) - F.col(f"_m{a}")) ** 2 for a in "xyz"), F.lit(0.0)))
-    near = points.select(asset, "_i", *"xyz").join(points.select(asset, *turned), asset).groupBy(asset, "_i").agg(F.min(apart).alias("_d"))
-    diagonal = F.sqrt(F.col("_ex") ** 2 + F.col("_ey") ** 2 + F.col("_ez") ** 2)
-    mean = near.groupBy(asset).agg(F.avg("_d").alias("_d")).join(mesh, asset)
-    score = 1 - F.col("_d") / (0.1 * F.when(diagonal > 0, diagonal).otherwise(1.0))
+        numbered_ = numbered_.withColumn("_i", F.col("_i").cast("long")).join(chosen, [asset, "_i"])
+    points = kept(numbered_.join(mesh, asset), "points")
+    taken = F.col("_n") if sample is None else F.least(F.col("_n"), F.lit(sample))
+    edge = F.when(F.col("_diagonal") > 0, F.col("_diagonal") / F.cbrt(taken)).otherwise(1.0)
+    turned = [F.when(F.col("_axis") == k, 2 * F.col(f"_c{a}") - F.col(a)).otherwise(F.col(a)).alias(a) for k, a in enumerate("xyz")]
+    # Points and their mirrored images lie within three diagonals.
+    own = points.select(asset, "_i", *"xyz", edge.alias("edge"), (3 * F.col("_diagonal") + 1.0).alias("_most"))
+    near = nearest_in_space(own, points.select(asset, *turned), asset, "_i")
+    mean = near.groupBy(asset).agg(F.avg("distance").alias("_d")).join(mesh, asset)
+    score = 1 - F.col("_d") / (0.1 * F.when(F.col("_diagonal") > 0, F.col("_diagonal")).otherwise(1.0))
     return mean.select(asset, F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("symmetry"))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions import estimators
 from ..functions.text import STOP_WORDS
-from ..operators import aggregators, dataset, intervals, matching, motion, publish, series, vectors
+from ..operators import aggregators, dataset, intervals, matching, motion, publish, ranges, series, vectors
 from ..operators.attempts import AttemptLog, attempt
+from ..sources import archives
 from ..sources.folders import work_dir
 from ..streaming import ordered
 from .media import table
@@ -282,3 +283,16 @@ def risk_advice(spark, d):
     scored = dataset.risk_score(dataset.corpus_stats(_index(spark, d), "person_id", "n_frames", "fps", "split"), 600_000, 64)
     rows = dataset.risk_advice(scored, "MDM", 600_000).unionByName(dataset.risk_advice(scored, "tracker", 600_000))
     return rows.select("applicable", F.array_join("recommendations", "; ").alias("recommendations"))
+
+
+# --- archives -----------------------------------------------------------------------------------------
+
+
+@query("SELECT 'label' || label AS unit, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1)::INT AS frame, vec_id::BIGINT AS place, embedding[1:3] AS trans FROM embeddings")
+def archives_back(spark, d):
+    """Vectors as archives of a label each, and two of their four members read back."""
+    e = table(spark, d, "embeddings").withColumn("unit", F.concat(F.lit("label"), "label"))
+    rows = ranges.numbered(e, ["unit"], ["vec_id"], "frame").withColumn("frame", F.col("frame").cast("int"))
+    base = work_dir(spark, "archives")
+    archives.write_archives(rows.select("unit", "frame", F.col("vec_id").alias("place"), F.slice("embedding", 1, 3).alias("trans"), F.col("embedding").alias("pose"), F.lit(30.0).alias("fps")), base)
+    return archives.read_archives(spark, base, "unit string, frame int, place long, trans array<float>")
