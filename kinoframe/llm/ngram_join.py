@@ -34,6 +34,8 @@ from .textblocks import Block, U, blocks, mix, span_hashes
 
 #: Members of a bucket that are listed as pairs; most members of a tile, about.
 SMALL, TILE = 12, 1024
+#: Grams of a tile, about: some 32 MB.
+MOST_GRAMS = 1 << 22
 
 
 def bands_for(threshold: float, recall: float, rows: int) -> int:
@@ -193,9 +195,9 @@ def near_duplicate_links(docs: DataFrame, *, n: int = 5, threshold: float = 0.8,
     members = signed.select("doc_id", "key1", "key2")
     reps = signed.join(classes.select(F.col("rep").alias("doc_id"), "copies"), "doc_id")
 
-    dealt = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
-    counted = dealt.groupBy("band", "bucket").agg(F.count("*").alias("m")).filter("m > 1")
-    candidates = written(dealt.join(counted, ["band", "bucket"]), "candidates")
+    dealt = reps.select("doc_id", "size", F.posexplode("bands").alias("band", "bucket"))
+    counted = dealt.groupBy("band", "bucket").agg(F.count("*").alias("m"), F.sum("size").alias("weight")).filter("m > 1")
+    candidates = written(dealt.drop("size").join(counted, ["band", "bucket"]), "candidates")
     large = F.when(F.col("m") > SMALL, F.expr("shiftleft(1L, band)")).otherwise(F.lit(0).cast("long"))
     wanted = reps.join(candidates.groupBy("doc_id").agg(F.sum(large).alias("hot")), "doc_id")
     texts = source.join(wanted.select("doc_id"), "doc_id", "left_semi")
@@ -220,7 +222,9 @@ def near_duplicate_links(docs: DataFrame, *, n: int = 5, threshold: float = 0.8,
     )
     links = written(links, "pair-links")
 
-    large = candidates.filter(F.col("m") > SMALL).withColumn("tiles", tiles_of(F.col("m"), TILE))
+    # Tiles are bounded by members and by what their sets weigh.
+    by_weight = F.least(F.col("m"), F.ceil(F.col("weight") / F.lit(MOST_GRAMS))).cast("int")
+    large = candidates.filter(F.col("m") > SMALL).withColumn("tiles", F.greatest(tiles_of(F.col("m"), TILE), by_weight))
     large = large.withColumn("tile", F.pmod(F.xxhash64("doc_id", "band"), F.col("tiles")).cast("int"))
     met = large.select("doc_id", "band", "bucket", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
     met = met.select("doc_id", "band", "bucket", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), F.when(F.col("tile") == F.col("other"), 2).when(F.col("tile") < F.col("other"), 0).otherwise(1).alias("side"))

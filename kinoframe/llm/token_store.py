@@ -291,6 +291,8 @@ def read_store(spark: SparkSession, path: str, *, digest: bool = False) -> DataF
     """(doc_id, start, n_tokens, ids) of every document, ids as array<int>; with ``digest`` their ids_crc32 instead."""
     blocks, starts, frequencies = _opened(spark, path)
     last = "ids_crc32 long" if digest else "ids array<int>"
+    if not digest:  # a block learns its start before it is decoded, so that no ids are shuffled
+        blocks = blocks.join(starts.select("segment", "block", (F.col("s0") + F.col("b0")).alias("first")), ["segment", "block"])
 
     def make(row: dict, flat: bytes) -> pa.RecordBatch:
         sizes = np.array(row["doc_sizes"], np.int64)
@@ -301,10 +303,12 @@ def read_store(spark: SparkSession, path: str, *, digest: bool = False) -> DataF
             out = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(np.frombuffer(flat, "<i4")))
         n = len(sizes)
         arrays = [pa.array(np.full(n, row[k], np.int32)) for k in ("segment", "block")]
-        arrays += [pa.array(row["doc_ids"], pa.int64()), pa.array(ends - sizes), pa.array(sizes), out]
+        arrays += [pa.array(row["doc_ids"], pa.int64()), pa.array(ends - sizes + row.get("first", 0)), pa.array(sizes), out]
         return pa.RecordBatch.from_arrays(arrays, names=["segment", "block", "doc_id", "inner", "n_tokens", last.split()[0]])
 
     docs = _decoded(blocks, frequencies, f"segment int, block int, doc_id long, inner long, n_tokens long, {last}", make)
+    if not digest:
+        return docs.select("doc_id", F.col("inner").alias("start"), "n_tokens", "ids")
     start = (F.col("s0") + F.col("b0") + F.col("inner")).alias("start")
     return docs.join(starts, ["segment", "block"]).select("doc_id", start, "n_tokens", last.split()[0])
 

@@ -426,3 +426,33 @@ def test_mix_tells_rows_of_one_id_and_text_apart(spark):
     for r in mix(df).collect():
         mixed[r["doc_id"], {1: 4, 2: 2, 3: 1}[r["doc_id"]], size[r["source"]]] += len(r["text"].split())
     assert mixed == +taken
+
+
+def test_groups_of_very_long_texts_make_many_tiles(spark, monkeypatch):
+    """Tiles are bounded by the grams of their members, whatever their number; the links are the same."""
+    from kinoframe.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "MOST_GRAMS", 4000)
+    real = ngram_join._tiles
+
+    def watched(threshold):
+        run = real(threshold)
+
+        def watch(table):
+            if len(table) > 200_000 // 4000:
+                raise AssertionError("a tile of more members than its grams allow")
+            return run(table)
+
+        return watch
+
+    monkeypatch.setattr(ngram_join, "_tiles", watched)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(600)]
+    rows = []
+    for i in range(40):
+        w = list(base)
+        for _ in range(rng.randint(0, 12)):
+            w[rng.randrange(600)] = f"x{rng.randint(0, 9)}"
+        rows.append((i, " ".join(w)))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: (r["group_id"], r["n_links"]) for r in got.collect()} == brute_links(rows)
