@@ -152,3 +152,22 @@ def feature_joints(frames: DataFrame, unit: str, frame: str, vector: str) -> Dat
     body = each.select(unit, frame, (F.col("_j") + 1).alias("joint"), (F.get("_r", F.lit(0)) + F.col("_x")).alias("x"), F.get("_r", F.lit(1)).alias("y"), (F.get("_r", F.lit(2)) + F.col("_z")).alias("z"))
     root = moved.select(unit, frame, F.lit(0).alias("joint"), F.col("_x").alias("x"), v(3).alias("y"), F.col("_z").alias("z"))
     return root.unionByName(body)
+
+
+def bvh_lines(frames: DataFrame, unit: str, frame: str, pose: str, trans: str, offsets: dict[str, list[float]], fps: float, scale: float = 100.0) -> DataFrame:
+    """(unit, no, line): the same text a line a row, ``no`` in order: a unit of any length is many rows."""
+    order = F.array(*map(F.lit, depth_first()))
+    turns = F.flatten(F.transform(order, lambda j: euler_zyx_degrees(matrix_of_axis_angle(F.slice(pose, 3 * j + 1, 3)))))
+    numbers = F.concat(F.transform(trans, lambda v: v * scale), turns)
+    line = F.array_join(F.transform(numbers, lambda v: F.format_string("%.6f", v)), " ")
+    head = bvh_hierarchy(offsets, scale).split("\n")
+    start = [*head, "MOTION"]
+    n = frames.groupBy(unit).agg(F.count("*").alias("_n"))
+    lines = F.concat(F.array(*map(F.lit, start)), F.array(F.concat(F.lit("Frames: "), F.col("_n").cast("string")), F.lit(f"Frame Time: {1.0 / fps:.8f}")))
+    top = n.select(unit, F.posexplode(lines).alias("no", "line")).select(unit, F.col("no").cast("long").alias("no"), "line")
+    return top.unionByName(frames.select(unit, (F.col(frame) + len(start) + 2).cast("long").alias("no"), line.alias("line")))
+
+
+def write_bvh(lines: DataFrame, unit: str, path: str) -> None:
+    """``bvh_lines`` as text, a folder for each unit; a long unit's files follow each other by name."""
+    lines.repartitionByRange(unit, "no").sortWithinPartitions(unit, "no").select(unit, "line").write.partitionBy(unit).text(path)

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions import estimators
 from ..functions.text import STOP_WORDS
-from ..operators import aggregators, dataset, intervals, matching, motion, publish, ranges, series, vectors
+from ..operators import aggregators, dataset, intervals, matching, motion, publish, ranges, series, skeleton, vectors
 from ..operators.attempts import AttemptLog, attempt
 from ..sources import archives
 from ..sources.folders import work_dir
-from ..streaming import ordered
+from ..streaming import jobs, ordered
 from .media import table
 from .motion import _CS, _SC, _SP, ORDER, _events, _index, _scores, _spans
 from .motion import SQL as _MOTION_SQL
@@ -296,3 +296,36 @@ def archives_back(spark, d):
     base = work_dir(spark, "archives")
     archives.write_archives(rows.select("unit", "frame", F.col("vec_id").alias("place"), F.slice("embedding", 1, 3).alias("trans"), F.col("embedding").alias("pose"), F.lit(30.0).alias("fps")), base)
     return archives.read_archives(spark, base, "unit string, frame int, place long, trans array<float>")
+
+
+# --- motion capture text, new files -------------------------------------------------------------------
+
+
+@query("""WITH p AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i, embedding::DOUBLE[] AS e FROM embeddings)
+SELECT label, 'frame' AS kind, count(*)::BIGINT AS lines, round(sum(round(e[1] * 100, 6)), 3)::DOUBLE AS x, 75::BIGINT AS numbers FROM p GROUP BY 1
+UNION ALL SELECT label, 'Frames: ' || count(*), 1, 0, 0 FROM p GROUP BY 1 UNION ALL SELECT DISTINCT label, 'Frame Time: 0.03333333', 1, 0.0, 0 FROM p UNION ALL SELECT DISTINCT label, 'MOTION', 1, 0.0, 0 FROM p""")
+def motion_text(spark, d):
+    """Motion capture text written by label and read back, line by line."""
+    e = F.transform("embedding", lambda v: v.cast("double"))
+    rows = table(spark, d, "embeddings").select("label", "vec_id", F.slice(e, 1, 3).alias("trans"), F.concat(e, F.slice(e, 1, 8)).alias("pose"))
+    frames = ranges.numbered(rows, ["label"], ["vec_id"], "frame")
+    base = work_dir(spark, "bvh")
+    skeleton.write_bvh(skeleton.bvh_lines(frames, "label", "frame", "pose", "trans", {n: [0.0, 0.1, 0.0] for n in skeleton.JOINTS}, 30.0), "label", base)
+    lines = spark.read.schema("value string, label int").text(base)
+    is_frame = F.col("value").rlike("^-?[0-9]+[.]")
+    told = lines.filter(is_frame | F.col("value").rlike("^(Frame|MOTION)"))
+    numbers = F.split("value", " ")
+    kind = F.when(is_frame, "frame").otherwise(F.col("value"))
+    x, size = F.when(is_frame, F.get(numbers, F.lit(0)).cast("double")).otherwise(0.0), F.when(is_frame, F.size(numbers)).otherwise(0)
+    return told.groupBy("label", kind.alias("kind")).agg(F.count("*").alias("lines"), F.round(F.sum(x), 3).alias("x"), F.max(size).cast("long").alias("numbers"))
+
+
+@query("SELECT event_type AS folder, 1::BIGINT AS files, true AS sized FROM events GROUP BY 1")
+def stream_files(spark, d):
+    """A stream of files as they appear, by path and size, their content not read."""
+    base = work_dir(spark, "files")
+    _events(spark, d).select("event_type", "value").repartition(1, "event_type").write.partitionBy("event_type").parquet(f"{base}/in")
+    out = jobs.new_files(spark, f"{base}/in").writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()
+    out.awaitTermination()
+    seen = spark.read.parquet(f"{base}/out").filter(F.col("path").endswith(".parquet"))
+    return seen.groupBy(F.regexp_extract("path", "event_type=([^/]*)/", 1).alias("folder")).agg(F.count("*").alias("files"), F.bool_and(F.col("length") > 0).alias("sized"))
