@@ -6,18 +6,9 @@ from pyspark.sql import functions as F
 
 from ..streaming import jobs
 from .media import table
+from .registry import registry
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, SQL, query = registry()
 
 
 @query("""SELECT l_returnflag, l_linestatus, count(*)::BIGINT AS n, sum(l_quantity)::DOUBLE AS quantity FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""")

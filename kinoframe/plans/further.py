@@ -13,18 +13,9 @@ from ..sources.folders import work_dir
 from ..streaming import jobs
 from .media import table
 from .motion import _CS, _E, _FIT, _SIX, _SWAP, ORDER, _events, _frames, _index, _pose
+from .registry import registry
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, SQL, query = registry()
 
 
 # --- poses ----------------------------------------------------------------------------------

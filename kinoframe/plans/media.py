@@ -7,23 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import consent, inventory, search, state
+from .registry import registry
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, SQL, query = registry()
 
 
 # --- inventory ------------------------------------------------------------------------

@@ -9,21 +9,12 @@ from ..functions import rotations as rot
 from ..functions.text import clip_caption
 from ..operators import dataset, intervals, motion, series, skeleton, vectors
 from .media import table
+from .registry import registry
 
-QUERIES, SQL = {}, {}
+QUERIES, SQL, query = registry()
 ORDER = ["ts", "event_id"]
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 def _events(spark, d) -> DataFrame:
     return table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
 

@@ -8,18 +8,9 @@ from ..operators import consent, intervals, publish, search, state
 from ..sources import readers, synthetic, writers
 from ..sources.folders import work_dir
 from .media import table
+from .registry import registry
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, SQL, query = registry()
 
 
 # --- inventories and registries ---------------------------------------------------------

@@ -16,18 +16,9 @@ from ..streaming import jobs, ordered
 from .media import table
 from .motion import _CS, _SC, _SP, ORDER, _events, _index, _scores, _spans
 from .motion import SQL as _MOTION_SQL
+from .registry import registry
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, SQL, query = registry()
 
 
 # --- attempts ----------------------------------------------------------------------------------
