@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import estimators
 from ..functions.text import STOP_WORDS
-from ..operators import aggregators, dataset, intervals, matching, motion, publish, ranges, series, skeleton, vectors
+from ..operators import aggregators, dataset, estimates, intervals, matching, motion, publish, ranges, series, skeleton, vectors
 from ..operators.attempts import AttemptLog, attempt
 from ..sources import archives
 from ..sources.folders import work_dir
@@ -320,3 +320,17 @@ def stream_files(spark, d):
     out.awaitTermination()
     seen = spark.read.parquet(f"{base}/out").filter(F.col("path").endswith(".parquet"))
     return seen.groupBy(F.regexp_extract("path", "event_type=([^/]*)/", 1).alias("folder")).agg(F.count("*").alias("files"), F.bool_and(F.col("length") > 0).alias("sized"))
+
+
+# --- estimators' own forms ----------------------------------------------------------------------------
+
+
+@query("""WITH e AS (SELECT label, vec_id, vec_id % 3 AS track, list_concat(embedding::DOUBLE[], embedding[1:8]::DOUBLE[]) AS pose, embedding[2:4]::DOUBLE[] AS trans FROM embeddings),
+c AS (SELECT label, track, row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, track) AS r FROM e GROUP BY 1, 2)
+SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_idx, list_transform(pose, lambda v: round(v, 5)) AS pose, list_transform(trans, lambda v: round(v, 5)) AS trans FROM e JOIN c USING (label, track) WHERE r = 1""")
+def estimator_forms(spark, d):
+    """Tracks in one estimator's form: the longest one's world pose and place."""
+    e = F.transform("embedding", lambda v: v.cast("double"))
+    rows = table(spark, d, "embeddings").select("label", "vec_id", (F.col("vec_id") % 3).alias("track"), F.concat(e, F.slice(e, 1, 8)).alias("pose_world"), F.array_repeat(F.lit(0.0), 72).alias("pose"), F.slice(e, 2, 3).alias("trans_world"), F.slice(e, 1, 3).alias("trans"))
+    rounded = lambda c: F.transform(c, lambda v: F.round(v, 5) + F.lit(0.0)).alias(c)
+    return estimates.motion_of("wham", rows, "label", "vec_id", "track").select("label", "frame_idx", rounded("pose"), rounded("trans"))
