@@ -3,14 +3,15 @@
 The reference is the corpus itself. Its blocks are the phrases around content-chosen
 anchors: every window of ``window`` words has as its anchor the four-word gram with the
 smallest hash in the window (the leftmost of equals), and a block is all windows that
-choose one anchor. Every block of every document is indexed by its anchor: the first
-document that holds the anchor, the place of its block there, and a hash of the block's
-words. Equal passages choose equal anchors, so a document parses into factors: a factor
-starts at a block that equals its reference's block, in a document with a smaller id, and
-goes on, greedily, as long as the next block equals the next one of the same reference.
-Factors are ``window`` words or longer. Where a block differs from its reference though
-several documents hold its anchor, at the boundaries of factors, its windows are checked
-one by one against those of all other such blocks. Factors and windows found are the
+choose one anchor. Every block of every document is indexed twice: by its anchor, with the
+first document that holds it, and where blocks of one anchor differ by a hash of its words,
+with the first document that holds the same block; both with the place there. Equal passages
+choose equal anchors, so a document parses into factors: a factor starts at a block that an
+indexed one in a document with a smaller id equals, and goes on, greedily, as long as the next
+block equals the next one of the same reference. Factors are ``window`` words or longer. What
+is left are blocks that no earlier document holds whole, at the boundaries of factors: their
+windows are checked one by one against those of all other such blocks, and as every different
+block is there once, against those of all documents. Factors and windows found are the
 duplicate spans, which may overlap.
 
 Anchors and windows that a large part of all blocks share are split among tasks.
@@ -135,9 +136,17 @@ def parse_factors(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     factor = (F.col("content") == F.col("ref_content")) & (F.col("ref_id") < F.col("doc_id"))
     matched = (
         dealt.join(index, ["anchor", "_salt"])
-        .select("doc_id", F.col("packed").bitwiseAND(_TAG).alias("tag"), at.alias("at"), windows.alias("n"), *(F.when(factor, F.col(c)).alias(c) for c in ("ref_id", "ref_at")), "mixed")
+        .select("doc_id", F.col("packed").bitwiseAND(_TAG).alias("tag"), at.alias("at"), windows.alias("n"), *(F.when(factor, F.col(c)).alias(c) for c in ("ref_id", "ref_at")), "mixed", "content")
         .filter("mixed OR ref_id IS NOT NULL")
     )
+    matched = written(matched, "shared-blocks")
+    # A block unlike its anchor's first one has the first document that holds the same block as its reference.
+    unlike = matched.filter("ref_id IS NULL").drop("ref_id", "ref_at")
+    others = unlike.groupBy("content").agg(F.min("doc_id").alias("ref_id"), F.min_by("at", "doc_id").alias("ref_at"), F.max("doc_id").alias("most"), F.count("*").alias("copies")).filter("ref_id < most").drop("most")
+    dealt, others = salted(unlike, written(others, "other-blocks"), ["content"], "doc_id", count="copies")
+    later = F.col("ref_id") < F.col("doc_id")
+    unlike = dealt.join(others, ["content", "_salt"], "left").select("doc_id", "tag", "at", "n", *(F.when(later, F.col(c)).alias(c) for c in ("ref_id", "ref_at")))
+    matched = matched.filter("ref_id IS NOT NULL").select("doc_id", "tag", "at", "n", "ref_id", "ref_at").unionByName(unlike)
     along = Window.partitionBy("doc_id", "tag").orderBy("at")
     goes_on = (
         (F.lag(F.col("at") + F.col("n")).over(along) == F.col("at"))
