@@ -275,20 +275,41 @@ def _away(name: str, words: set) -> bool:
     return name in AWAY_NAMES or (name not in ("html", "body", "main") and bool(AWAY & words))
 
 
-def _passed(node: Node) -> bool:
-    """Whether an element says of itself that it is no part of the text."""
-    if node.hidden or node.name in AWAY_NAMES:
+def _passed(node: Node, whole: Node) -> bool:
+    """Whether an element says of itself that it is no part of the text.
+
+    A form round the article, or a frame of the whole page that is called after a part of it (menu-open,
+    sidebar-left), is none of these.
+    """
+    if node.hidden or (node.name in AWAY_NAMES and node.name != "form"):
         return True
-    if node.name in ("html", "body", "main", "") or not (AWAY & {*node.words, node.role}):
+    words = AWAY & {*node.words, node.role}
+    if node.name != "form" and (node.name in ("html", "body", "main", "") or not words):
         return False
-    return not any(_marked(x) for x in _nodes(node) if x is not node)
+    if any(_marked(x) for x in _nodes(node) if x is not node):
+        return False
+    if words <= FRAMES and 4 * _paragraphs(node) > 3 * _paragraphs(whole):
+        inside = {id(x) for x in _nodes(node)}
+        return any(_content(x) for x in _nodes(whole) if id(x) not in inside and not any(y is node for y in _nodes(x)))
+    return True
+
+
+def _paragraphs(node: Node) -> int:
+    """Characters of text in paragraphs."""
+    own = sum(len(c[0]) for c in node.children if type(c) is tuple) if node.name == "p" else 0
+    return own + sum(_paragraphs(c) for c in node.children if type(c) is Node)
+
+
+def _content(node: Node) -> bool:
+    return _marked(node) or bool(CONTENT & set(node.words) and not AWAY & set(node.words))
 
 
 def _marked(node: Node) -> bool:
     return (node.name in ("article", "main") or node.role in ("main", "article", "articlebody")) and not AWAY & set(node.words)
 
 
-# Class words of the element that holds the text.
+# Words of parts of a page after which its whole frame may be called; class words of the element that holds the text.
+FRAMES = frozenset("sidebar sidebars menu menus nav navbar navigation topbar toolbar rail footer search form banner".split())
 CONTENT = frozenset("article articlebody content maincontent main entry post story body text prose".split())
 
 
@@ -310,17 +331,18 @@ def page_blocks(root: Node, wrapper: list) -> list[str]:
                 follow(child, slot[2].get(child.signature) or slot[2].get(_bare(child.signature)) or NOWHERE)
 
     follow(root, wrapper)
-    away = {id(x) for x in _nodes(root) if _passed(x)}
+    away = {id(x) for x in _nodes(root) if _passed(x, root)}
+    headers = {id(x) for x in _nodes(root) if x.name == "header" or ("header" in x.words and x.name not in HEADINGS and not any(map(_content, _nodes(x))) and 4 * _paragraphs(x) <= 3 * _paragraphs(root))}
+    lengths: dict[tuple[int, bool], int] = {}
 
     def blocks(node: Node, marked: bool, headings: bool = False) -> Iterator[str]:
         slot = slots[id(node)]
         if id(node) in away or (slot[0] == 2 and not marked):
             return
-        header = node.name == "header" or ("header" in node.words and node.name not in HEADINGS)
-        if header and not marked:
+        if id(node) in headers and not marked:
             return
         template = slot[2].get(TEXT, NOWHERE)[0] == 1 and node.name not in HEADINGS
-        headings = headings or header
+        headings = headings or id(node) in headers
         for child in node.children:
             if type(child) is Node:
                 yield from blocks(child, marked, headings)
@@ -328,7 +350,18 @@ def page_blocks(root: Node, wrapper: list) -> list[str]:
                 yield child[0]
 
     def length(node: Node, marked: bool = True) -> int:
-        return sum(map(len, blocks(node, marked)))
+        """Characters of the blocks, each node worked out once."""
+        key = id(node), marked
+        if key not in lengths:
+            slot = slots[id(node)]
+            if id(node) in away or (not marked and (slot[0] == 2 or id(node) in headers)):
+                lengths[key] = 0
+            elif id(node) in headers:
+                lengths[key] = sum(map(len, blocks(node, marked)))
+            else:
+                template = slot[2].get(TEXT, NOWHERE)[0] == 1 and node.name not in HEADINGS
+                lengths[key] = sum(length(c, marked) if type(c) is Node else 0 if template else len(c[0]) for c in node.children)
+        return lengths[key]
 
     def outermost(node: Node, test) -> Iterator[Node]:
         if id(node) in away:
@@ -433,7 +466,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row for each page: page_id, url, text (blocks joined by an empty line) and n_chars."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host.alias("host"))
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host.alias("host"))
     wrappers = written(infer_wrappers(rows), "wrappers")
     size = wrappers.agg(F.sum(F.length("wrapper") + F.length("host"))).first()[0] or 0  # one number
     if size <= BROADCAST_BYTES:

@@ -38,6 +38,10 @@ def text_of(html, wrapper=ex.NOWHERE):
         ("<body><div class='has-sidebar page'><main><p>m</p></main><div class='sidebar'>s</div></div>", ["m"]),
         ("<main><article><p>" + "long " * 30 + "</p></article><section><h2>More</h2></section></main>", [("long " * 30).strip()]),
         ("<article>" + "<div>" * 300 + "deep" + "</div>" * 300 + "<p>end</p></article>", ["deep", "end"]),
+        ("<body><form id=page><nav>n</nav><main><p>m</p><form>mail</form></main></form>", ["m"]),
+        ("<body><div class='menu-open'><h1>T</h1><p>a long text</p><p>of two parts</p><div class='menu'><p>x</p></div></div>", ["T", "a long text", "of two parts"]),
+        ("<body><div class='sidebar'><p>more text here than there</p></div><div class='content'><p>c</p></div>", ["c"]),
+        ("<body><div class='page-header'><h1>Site</h1></div><p>one</p><p>two</p>", ["one", "two"]),
         ("<article><p>one</p></article><article><p>two</p></article><article><p>six</p></article>", ["one", "two", "six"]),
     ],
 )
