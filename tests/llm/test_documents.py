@@ -456,3 +456,18 @@ def test_groups_of_very_long_texts_make_many_tiles(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"]: (r["group_id"], r["n_links"]) for r in got.collect()} == brute_links(rows)
+
+
+def test_encoders_beside_columns_of_their_own_names_and_on_empty_tables(spark, tmp_path):
+    from kinoframe.llm.bpe import bpe_round_trip
+
+    plain = spark.createDataFrame([(1, "all rights"), (2, None), (None, "x")], "doc_id long, text string")
+    odd = plain.withColumns({c: F.lit("x") for c in ("ids", "n_tokens", "ids_sha256", "decoded_sha256", "segment", "block", "start", "words", "crc32", "inner", "first")})
+    columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    rows = lambda d, *c: sorted(map(repr, d.select(*c).collect()))
+    assert rows(bpe_round_trip(odd, BYTE), *columns) == rows(bpe_round_trip(plain, BYTE), *columns)
+    assert rows(encode_bpe(odd, BYTE), "doc_id", "ids", "n_tokens") == rows(encode_bpe(plain, BYTE), "doc_id", "ids", "n_tokens")
+    assert bpe_round_trip(plain.limit(0), BYTE).count() == encode_bpe(plain.limit(0), BYTE).count() == 0
+    for name, docs_ in (("odd", odd), ("plain", plain)):
+        store_documents(docs_, WORDS, f"{tmp_path}/{name}", end_id=1)
+    assert rows(read_store(spark, f"{tmp_path}/odd"), "doc_id", "start", "n_tokens", "ids") == rows(read_store(spark, f"{tmp_path}/plain"), "doc_id", "start", "n_tokens", "ids")
