@@ -117,10 +117,11 @@ def _windows_of(window: int):
     return run
 
 
-def parse_factors(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+def parse_factors(rows: DataFrame, window: int = WINDOW, by_content: bool = True) -> DataFrame:
     """Factors of (doc_id, text, tag): one row for each stretch of words, its begin and end, with
     its reference's id and begin; a stretch whose blocks differ from their references, which is
-    still to be checked, has none.
+    still to be checked, has none. Without ``by_content`` a block's only reference is the first
+    document that holds its anchor: more windows are left to check, with fewer tables in between.
     """
     found = rows.mapInArrow(_block_rows(window), "anchor long, content long, doc_id long, packed long")
     index = (
@@ -139,14 +140,15 @@ def parse_factors(rows: DataFrame, window: int = WINDOW) -> DataFrame:
         .select("doc_id", F.col("packed").bitwiseAND(_TAG).alias("tag"), at.alias("at"), windows.alias("n"), *(F.when(factor, F.col(c)).alias(c) for c in ("ref_id", "ref_at")), "mixed", "content")
         .filter("mixed OR ref_id IS NOT NULL")
     )
-    matched = written(matched, "shared-blocks")
-    # A block unlike its anchor's first one has the first document that holds the same block as its reference.
-    unlike = matched.filter("ref_id IS NULL").drop("ref_id", "ref_at")
-    others = unlike.groupBy("content").agg(F.min("doc_id").alias("ref_id"), F.min_by("at", "doc_id").alias("ref_at"), F.max("doc_id").alias("most"), F.count("*").alias("copies")).filter("ref_id < most").drop("most")
-    dealt, others = salted(unlike, written(others, "other-blocks"), ["content"], "doc_id", count="copies")
-    later = F.col("ref_id") < F.col("doc_id")
-    unlike = dealt.join(others, ["content", "_salt"], "left").select("doc_id", "tag", "at", "n", *(F.when(later, F.col(c)).alias(c) for c in ("ref_id", "ref_at")))
-    matched = matched.filter("ref_id IS NOT NULL").select("doc_id", "tag", "at", "n", "ref_id", "ref_at").unionByName(unlike)
+    if by_content:
+        matched = written(matched, "shared-blocks")
+        # A block unlike its anchor's first one has the first document that holds the same block as its reference.
+        unlike = matched.filter("ref_id IS NULL").drop("ref_id", "ref_at")
+        others = unlike.groupBy("content").agg(F.min("doc_id").alias("ref_id"), F.min_by("at", "doc_id").alias("ref_at"), F.max("doc_id").alias("most"), F.count("*").alias("copies")).filter("ref_id < most").drop("most")
+        dealt, others = salted(unlike, written(others, "other-blocks"), ["content"], "doc_id", count="copies")
+        later = F.col("ref_id") < F.col("doc_id")
+        unlike = dealt.join(others, ["content", "_salt"], "left").select("doc_id", "tag", "at", "n", *(F.when(later, F.col(c)).alias(c) for c in ("ref_id", "ref_at")))
+        matched = matched.filter("ref_id IS NOT NULL").select("doc_id", "tag", "at", "n", "ref_id", "ref_at").unionByName(unlike)
     along = Window.partitionBy("doc_id", "tag").orderBy("at")
     goes_on = (
         (F.lag(F.col("at") + F.col("n")).over(along) == F.col("at"))
@@ -163,7 +165,7 @@ def _flat(spans: str):
     return F.flatten(F.transform(spans, lambda s: F.array(s["begin"], s["end"])))
 
 
-def duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text: str = "text", rest: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text: str = "text", rest: Sequence[str] = (), by_content: bool = True) -> tuple[DataFrame, DataFrame]:
     """(texts, spans): rows (doc_id, text, rest, tag) of ``docs``, and duplicate spans
     (doc_id, tag, begin, end) in words, which may overlap.
     """
@@ -171,7 +173,7 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc
         raise ValueError(f"a window has at most {ANCHOR + (1 << _SIZE_BITS) - 1} words")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), *rest).withColumn("tag", _tag("text"))
     rows = texts.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "tag")
-    factors = written(parse_factors(rows, window), "factors")
+    factors = written(parse_factors(rows, window, by_content), "factors")
     differing = factors.filter("ref_id IS NULL").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     windows = written(
         rows.join(differing, ["doc_id", "tag"]).select("doc_id", "tag", "text", _flat("spans").alias("spans"))
@@ -193,13 +195,13 @@ def _cut(spans: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def remove_duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+def remove_duplicate_spans(docs: DataFrame, window: int = WINDOW, *, id_col: str = "doc_id", text: str = "text", digest: bool = False, by_content: bool = True) -> DataFrame:
     """``docs`` with n_words, n_removed and kept_text, the words left joined by one space
     (the text itself if nothing is removed); with ``digest`` only the id, the counts and
     kept_sha256, of the words joined by one space in any case.
     """
     rest = [] if digest else [c for c in docs.columns if c not in (id_col, text, "doc_id", "text", "n_words", "n_removed", "kept_text", "tag", "spans")]
-    texts, spans = duplicate_spans(docs, window, id_col=id_col, text=text, rest=rest)
+    texts, spans = duplicate_spans(docs, window, id_col=id_col, text=text, rest=rest, by_content=by_content)
     grouped = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("spans")).withColumn("spans", _flat("spans"))
     joined = texts.join(grouped, ["doc_id", "tag"], "left").select("doc_id", "text", "spans", *rest)
     fields = ["doc_id", *rest]

@@ -137,8 +137,9 @@ def brute_spans(rows, n=13):
 
 def test_substring_dedup(docs, rows, empty):
     want = sorted((str(i), n, g, hashlib.sha256(k.encode()).hexdigest()) for i, n, g, k in brute_spans([(r[0], r[1]) for r in rows]))
-    got = remove_duplicate_spans(docs, digest=True)
-    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()) == want
+    for by_content in (True, False):
+        got = remove_duplicate_spans(docs, digest=True, by_content=by_content)
+        assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()) == want
     full = remove_duplicate_spans(docs.select("doc_id", "text", "source", "tag", "n_words")).collect()
     assert len(full) == len(rows)
     assert all(r["kept_text"] == r["text"] for r in full if not r["n_removed"])
