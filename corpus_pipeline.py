@@ -46,7 +46,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = remove_duplicate_spans(docs.select(*COLUMNS))
+    # The same words go either way; beside the other stages the smaller index keeps executors small.
+    cut = remove_duplicate_spans(docs.select(*COLUMNS), by_content=False)
     return _documents(cut.filter("n_words > n_removed").withColumn("text", F.col("kept_text")))
 
 
