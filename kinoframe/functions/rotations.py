@@ -23,6 +23,14 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """A number to so many digits with its sign: what is negative becomes a negative zero, if any, and a zero a positive one.
+
+    Twelve digits are taken first: what was worked out by matrices misses zeros and halves in the last ones.
+    """
+    return bound(F.round(value, 12), lambda v: F.round(F.abs(v), digits) * F.when(v < 0, -1.0).otherwise(1.0))
+
+
 def dot(a: Vec, b: Vec) -> Column:
     out = a[0] * b[0]
     for x, y in zip(a[1:], b[1:], strict=True):

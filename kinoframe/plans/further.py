@@ -48,7 +48,7 @@ def assembled_pose(spark, d):
     rows = table(spark, d, "embeddings").select("vec_id", F.slice(e, 1, 3).alias("orient"), F.when(F.col("vec_id") % 2 == 0, F.concat(F.slice(e, 1, 63), F.slice(e, 1, 6))).otherwise(F.slice(e, 1, 63)).alias("body"))
     as_matrices = F.flatten(F.transform(F.sequence(F.lit(0), (F.size("body") / 3 - 1).cast("int")), lambda j: rot.matrix_of_axis_angle(F.slice("body", 3 * j + 1, 3))))
     rows = rows.withColumn("body", F.when(F.col("vec_id") % 3 == 0, as_matrices).otherwise(F.col("body")))
-    return rows.select("vec_id", F.transform(rot.body_pose(F.col("orient"), F.col("body")), lambda v: F.round(v, 5) + F.lit(0.0)).alias("pose"))
+    return rows.select("vec_id", F.transform(rot.body_pose(F.col("orient"), F.col("body")), lambda v: rot.rounded(v, 5)).alias("pose"))
 
 
 @query("SELECT vec_id, round(embedding[1]::DOUBLE, 5) AS x, round(embedding[2]::DOUBLE, 5) AS y, round(embedding[3]::DOUBLE, 5) AS z FROM embeddings")
@@ -57,7 +57,7 @@ def wrist_round_trip(spark, d):
     poses = _pose(spark, d).withColumn("pose", F.concat(F.slice("pose", 1, 60), F.slice("pose", 1, 12)))
     world = skeleton.global_rotations(poses, "pose")
     own = rot.wrist_in_body(F.col("global_rotation"), 20, rot.axis_angle_of_matrix(F.slice("global_rotation", 9 * 20 + 1, 9)))
-    return world.select("vec_id", own.alias("r")).select("vec_id", *(F.round(F.get("r", F.lit(i)), 5).alias(n) for i, n in enumerate("xyz")))
+    return world.select("vec_id", own.alias("r")).select("vec_id", *(rot.rounded(F.get("r", F.lit(i)), 5).alias(n) for i, n in enumerate("xyz")))
 
 
 @query("""SELECT vec_id, round(v[1] * (1 - 2 * (q[3] * q[3] + q[4] * q[4])) + v[2] * 2 * (q[2] * q[3] - q[1] * q[4]) + v[3] * 2 * (q[2] * q[4] + q[1] * q[3]), 6)::DOUBLE AS x FROM
@@ -278,7 +278,7 @@ def hands_and_masks(spark, d):
     valid = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda j: j % 3 == F.col("vec_id") % 3)
     rows = table(spark, d, "embeddings").select("vec_id", F.slice(e, 1, 45).alias("h"), valid.alias("v"))
     matrices = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(14)), lambda j: rot.matrix_of_axis_angle(F.slice("h", 3 * j + 1, 3))))
-    return rows.select("vec_id", rot.mirror_mask(F.col("v")).alias("valid"), F.transform(rot.hand_pose(matrices), lambda v: F.round(v, 5)).alias("hand"))
+    return rows.select("vec_id", rot.mirror_mask(F.col("v")).alias("valid"), F.transform(rot.hand_pose(matrices), lambda v: rot.rounded(v, 5)).alias("hand"))
 
 
 # --- datasets ---------------------------------------------------------------------------------------

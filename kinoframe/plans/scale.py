@@ -7,6 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from ..functions import estimators
+from ..functions import rotations as rot
 from ..functions.text import STOP_WORDS
 from ..operators import aggregators, dataset, estimates, intervals, matching, motion, publish, ranges, series, skeleton, vectors
 from ..operators.attempts import AttemptLog, attempt
@@ -332,5 +333,5 @@ def estimator_forms(spark, d):
     """Tracks in one estimator's form: the longest one's world pose and place."""
     e = F.transform("embedding", lambda v: v.cast("double"))
     rows = table(spark, d, "embeddings").select("label", "vec_id", (F.col("vec_id") % 3).alias("track"), F.concat(e, F.slice(e, 1, 8)).alias("pose_world"), F.array_repeat(F.lit(0.0), 72).alias("pose"), F.slice(e, 2, 3).alias("trans_world"), F.slice(e, 1, 3).alias("trans"))
-    rounded = lambda c: F.transform(c, lambda v: F.round(v, 5) + F.lit(0.0)).alias(c)
+    rounded = lambda c: F.transform(c, lambda v: rot.rounded(v, 5)).alias(c)
     return estimates.motion_of("wham", rows, "label", "vec_id", "track").select("label", "frame_idx", rounded("pose"), rounded("trans"))

@@ -1,8 +1,10 @@
 """Every estimator's form gives the motion that was put into it."""
 
+import duckdb
 import numpy as np
 import pytest
 
+from kinoframe import plans
 from kinoframe.operators import estimates
 
 
@@ -61,3 +63,17 @@ def test_errors(spark):
     two = df.selectExpr("unit", "frame", "slice(pred_thetas, 1, 3) AS root_pose", "slice(pred_thetas, 1, 63) AS body_pose")
     with pytest.raises(Exception, match="2 smplx_frames detections"):
         estimates.motion_of("smplx_frames", two, "unit", "frame").collect()
+
+
+def test_tiny_numbers_keep_their_sign(spark, tmp_path):
+    """What rounds to nothing keeps its sign as in SQL, a zero is positive, and a half worked out by matrices goes up."""
+    base = [0.01 * (k + 1) for k in range(64)]
+    rows = [(i, 1, [-4e-6 if k in (i, 18) else 0.0 if k in (i + 1, 21) else 0.015625 if k == 24 else v for k, v in enumerate(base)]) for i in range(12)]
+    spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    for name in ("estimator_forms", "assembled_pose", "hands_and_masks", "wrist_round_trip"):
+        connection = duckdb.connect()
+        connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+        want = connection.execute(plans.ORACLE_SQL[name])
+        names = [c[0] for c in want.description]
+        got = plans.QUERIES[name](spark, str(tmp_path)).select(*names).collect()
+        assert sorted(repr(tuple(r)) for r in got) == sorted(repr(r) for r in want.fetchall()), name
