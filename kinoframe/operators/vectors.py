@@ -23,6 +23,8 @@ from .ranges import numbered, previous
 EXACT_KMEANS = 2000
 #: Rows of a group from which pivots are chosen, about; most pivots, and rows for each at least.
 SAMPLE, PIVOTS, PER_PIVOT = 1024, 64, 64
+#: Shares of points for a spanning tree, whose pairs are tasks, if they come to a tile each.
+FEWEST_SHARES = 16
 
 
 def zscore(df: DataFrame, columns: list[str], group: list[str] | None = None) -> DataFrame:
@@ -262,23 +264,91 @@ def minibatch_kmeans(df: DataFrame, key: str, vector: str, k: int, batch: int =
     return centers.tolist()
 
 
-def _least_edges(table: pa.Table) -> pa.Table:
-    """The edges of a least spanning tree of a task's points."""
-    ids, x = table.column("_id").to_numpy(), _matrix(table.column("_x"))
-    order = np.argsort(ids)
-    ids, x = ids[order], x[order]
-    near, link = np.full(len(x), np.inf), np.zeros(len(x), int)
-    waits, at, edges = np.ones(len(x), bool), 0, []
-    for _ in range(len(x) - 1):
-        waits[at] = False
-        d = np.sqrt(((x - x[at]) ** 2).sum(1))
-        closer = waits & (d < near)
-        near[closer], link[closer] = d[closer], at
-        at = int(np.where(waits, near, np.inf).argmin())
-        a, b = sorted((int(ids[link[at]]), int(ids[at])))
-        edges.append((a, b, float(near[at])))
-    a, b, d = zip(*edges, strict=True) if edges else ((), (), ())
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "d": pa.array(d, pa.float64())})
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances of all pairs, by a matrix product; those small beside the vectors' lengths are worked out from differences."""
+    sizes = (x * x).sum(1)[:, None] + (y * y).sum(1)
+    out = x @ y.T
+    out *= -2
+    out += sizes
+    i, k = np.nonzero(out <= 1e-3 * sizes)
+    for lo in range(0, len(i), 1 << 16):
+        at = i[lo : lo + (1 << 16)], k[lo : lo + (1 << 16)]
+        out[at] = ((x[at[0]] - y[at[1]]) ** 2).sum(1)
+    return out
+
+
+def _prim(squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of the edges of a least spanning tree, out of all pairs' squared distances."""
+    n = len(squares)
+    near, link = squares[0].copy(), np.zeros(n, int)
+    near[0], waits = np.inf, np.ones(n, bool)
+    waits[0], ends = False, np.empty((2, max(0, n - 1)), int)
+    for step in range(n - 1):
+        at = int(near.argmin())
+        if not waits[at]:  # all that wait are infinitely far away
+            at = int(waits.argmax())
+        ends[:, step] = link[at], at
+        waits[at], near[at] = False, np.inf
+        closer = squares[at] < near
+        closer &= waits
+        near[closer], link[closer] = squares[at][closer], at
+    return ends[0], ends[1]
+
+
+def _least(a: np.ndarray, b: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
+    """Which edges are in a least spanning forest of ``n`` nodes, by Boruvka's rounds; of equals the first in order."""
+    order = np.argsort(d, kind="stable")
+    root, kept_, open_ = np.arange(n), np.zeros(len(d), bool), order
+    while len(open_):
+        p, q = root[a[open_]], root[b[open_]]
+        open_, p, q = open_[p != q], p[p != q], q[p != q]
+        if not len(open_):
+            break
+        low, up = np.full(n, len(open_)), np.arange(n)
+        # Each component's first edge in order.
+        np.minimum.at(low, p, np.arange(len(open_)))
+        np.minimum.at(low, q, np.arange(len(open_)))
+        mine = np.flatnonzero(low < len(open_))
+        kept_[open_[np.unique(low[mine])]] = True
+        up[mine] = np.where(p[low[mine]] == mine, q[low[mine]], p[low[mine]])
+        back = (up[up] == np.arange(n)) & (np.arange(n) < up)
+        up[back] = np.flatnonzero(back)
+        while (up[up] != up).any():
+            up = up[up]
+        root = up[root]
+    return kept_
+
+
+def _least_edges(tile: int):
+    """A task's function: the edges of a least spanning tree of its points, made of the trees of every two tiles of them."""
+
+    def made(table: pa.Table) -> pa.Table:
+        ids, x = table.column("_id").to_numpy(), _matrix(table.column("_x"))
+        order = np.argsort(ids)
+        ids, x = ids[order], x[order]
+        # Of a size and about a centre that a product is exact in; distances themselves are worked out from the vectors.
+        most = float(np.abs(x).max(initial=0.0)) or 1.0
+        y = x / most
+        y = y - y.mean(0)
+        parts, a, b = np.array_split(np.arange(len(x)), max(1, -(-len(x) // tile))), [], []
+        own = [_squares(y[p], y[p]) for p in parts] if len(parts) > 1 else []
+        for i, k in itertools.combinations(range(len(parts)), 2):
+            cross_ = _squares(y[parts[i]], y[parts[k]])
+            both = np.concatenate([parts[i], parts[k]])
+            one, other = _prim(np.block([[own[i], cross_], [cross_.T, own[k]]]))
+            a.append(both[one])
+            b.append(both[other])
+        if len(parts) == 1:
+            one, other = _prim(_squares(y, y))
+            a, b = [one], [other]
+        one, other = np.unique(np.sort(np.stack([np.concatenate(a), np.concatenate(b)]), axis=0), axis=1)
+        d = np.sqrt(((x[one] - x[other]) ** 2).sum(1))
+        if len(parts) > 2:
+            chosen = _least(one, other, d, len(x))
+            one, other, d = one[chosen], other[chosen], d[chosen]
+        return pa.table({"a": pa.array(ids[one], pa.int64()), "b": pa.array(ids[other], pa.int64()), "d": pa.array(d, pa.float64())})
+
+    return made
 
 
 def _joined_up(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -318,16 +388,19 @@ def _joined_up(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 def spanning_tree(points: DataFrame, tile: int = 1024) -> DataFrame:
     """(a, b, d): the edges of a least spanning tree of the points (_id, _x).
 
-    Points are dealt into tiles, and each two tiles' own tree is a task: an edge that isn't in it is no
+    Points are dealt into shares, and each two shares' own tree is a task: an edge that isn't in it is no
     shorter than all of a path that is, so these trees together span what all edges span. Of them the whole tree is
-    made. Distances of all pairs are worked out once, in tasks of two tiles.
+    made. A task makes its tree in the same way out of tiles of ``tile`` points, whose distances are one matrix product, so its
+    memory is bounded by a share and two tiles; a share is eight tiles, or less where that would leave few tasks.
     """
     n = points.count()
-    tiles = max(1, -(-n // tile))
-    mine = F.pmod(F.xxhash64("_id"), F.lit(tiles))
-    pairs = points.withColumn("_m", mine).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
+    shares = max(-(-n // (8 * tile)), min(-(-n // tile), FEWEST_SHARES), 1)
+    mine = F.pmod(F.xxhash64("_id"), F.lit(shares))
+    pairs = points.withColumn("_m", mine).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+    if shares > 1:
+        pairs = pairs.filter("_m <> _o")  # a share's own pairs are in its tasks with others
     met = pairs.select(F.least("_m", "_o").alias("t1"), F.greatest("_m", "_o").alias("t2"), "_id", "_x")
-    edges = met.groupBy("t1", "t2").applyInArrow(_least_edges, "a long, b long, d double").groupBy("a", "b").agg(F.min("d").alias("d"))
+    edges = met.groupBy("t1", "t2").applyInArrow(_least_edges(tile), "a long, b long, d double").groupBy("a", "b").agg(F.min("d").alias("d"))
     return _joined_up(kept(edges, "tile-trees"))[1]
 
 

@@ -277,3 +277,30 @@ def test_pictures_of_several_sizes(spark):
     df = spark.createDataFrame(rows, "unit long, frame int, p array<double>")
     got = {r["unit"]: round(r["shift"], 6) for r in motion.camera_shift(df, "unit", "frame", "p", 8).collect()}
     assert got == {0: round(5**0.5, 6), 1: round(10**0.5, 6), 2: 0.0, 3: 0.0, 4: 0.0, 5: 0.0}
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e140])
+def test_trees_of_tiles(scale):
+    """A task's tree out of its tiles' trees is as short as one out of all distances, copies and far numbers too."""
+    import pyarrow as pa
+
+    from kinoframe.operators import vectors
+
+    rng = np.random.default_rng(5)
+    x = (np.concatenate([np.repeat(rng.standard_normal((4, 3)), 8, 0), rng.integers(0, 5, (30, 3))]) + 70) * scale
+    points = pa.table({"_id": pa.array(range(len(x)), pa.int64()), "_x": pa.array(x.tolist(), pa.list_(pa.float64()))})
+    want = [d for d, _, _ in shortest([*range(len(x))], x)]
+    for tile in (4, 9, 31, 99):
+        got = vectors._least_edges(tile)(points)
+        assert np.allclose(np.sort(got["d"].to_numpy()) / scale, np.array(want) / scale, rtol=1e-9)
+
+
+def shortest(nodes, x):
+    """The edges (d, a, b) of a least spanning tree, shortest first."""
+    near, edges = {k: (float(np.linalg.norm((x[k] - x[0]) / x.max()) * x.max()), 0) for k in nodes[1:]}, []
+    while near:
+        k = min(near, key=near.get)
+        edges.append((near[k][0], near.pop(k)[1], k))
+        for o in near:
+            near[o] = min(near[o], (float(np.linalg.norm((x[o] - x[k]) / x.max()) * x.max()), k))
+    return sorted(edges)
