@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import terms
-from .search import B, K1
+from .search import B, K1, _counted
 
 #: Places of a column's words are its number times this and their own.
 SPAN = 1 << 40
@@ -145,16 +145,18 @@ def _bucket(term: Column) -> Column:
 def write_postings(docs: DataFrame, key: str, columns: list[str], path: str) -> None:
     """``postings`` (term, key, place of its column, n, places) partitioned by bucket, and ``lengths`` (key, length) of all documents."""
     words = [terms(F.col(c)) for c in columns]
+    spark = docs.sparkSession
 
     def placed(column: int):
-        return lambda term, i: F.struct(term.alias("term"), (i + F.lit(column * SPAN)).alias("at"))
-
-    every = [F.transform(w, placed(k)) for k, w in enumerate(words)]
-    each = docs.select(key, F.explode(F.concat(*(F.coalesce(e, F.array().cast("array<struct<term:string,at:bigint>>")) for e in every))).alias("w"))
-    rows = each.groupBy(F.col("w.term").alias("term"), key).agg(F.count("*").alias("n"), F.array_sort(F.collect_list("w.at")).alias("places"))
-    rows = rows.withColumn("bucket", _bucket(F.col("term")))
-    # By ranges of terms: a bucket is few files, a very frequent word several of its own, and row groups without a term are passed over.
-    rows.repartitionByRange("bucket", "term", key).sortWithinPartitions("bucket", "term", key).write.partitionBy("bucket").parquet(f"{path}/postings")
+        return lambda w: F.struct(w["term"].alias("term"), w["n"].alias("n"), _shifted(w["places"], -column * SPAN).alias("places"))
+
+    # A column's words are brought together in their row, those of several columns by the reader.
+    every = [F.transform(_counted(w), placed(k)) for k, w in enumerate(words)]
+    rows = docs.select(key, F.explode(F.concat(*every)).alias("w")).select("w.term", key, "w.n", "w.places").withColumn("bucket", _bucket(F.col("term")))
+    # Buckets in parts, about two a task, so that a very frequent word is in several; in a file, row groups without a term are passed over.
+    parts = max(1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) // BUCKETS)
+    dealt = rows.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(parts)))
+    dealt.sortWithinPartitions("bucket", "term", key).write.partitionBy("bucket").parquet(f"{path}/postings")
     length = sum((F.coalesce(F.size(w), F.lit(0)) for w in words), F.lit(0))
     docs.select(key, F.greatest(length, F.lit(0)).cast("long").alias("length")).write.parquet(f"{path}/lengths")
 

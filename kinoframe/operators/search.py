@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS, terms
@@ -48,11 +48,45 @@ def _most_common(texts: pa.Array, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([names.take(pa.array(code[kept_])), pa.array(count[kept_], pa.int64())], names=["tag", "n"]))
 
 
+def _counted(words: Column) -> Column:
+    """A text's different words, each with its number and its places: array of (term, n, places). Nothing is shuffled."""
+    kind = pa.list_(pa.struct([("term", pa.string()), ("n", pa.int64()), ("places", pa.list_(pa.int64()))]))
+
+    @F.arrow_udf("array<struct<term: string, n: long, places: array<long>>>")
+    def grouped(texts: pa.Array) -> pa.Array:
+        out = [_places(texts.slice(lo, 512)) for lo in range(0, len(texts), 512)]
+        return pa.concat_arrays([a.cast(kind) for a in out]) if out else pa.array([], kind)
+
+    return grouped(F.coalesce(words, F.array().cast("array<string>")))
+
+
+def _places(texts: pa.Array) -> pa.Array:
+    """Each list's different words, as lists of (term, n, places)."""
+    flat = texts.flatten().dictionary_encode()
+    names = flat.dictionary
+    code = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    size = pc.list_value_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), size)
+    both = row * max(1, len(names)) + code
+    order = np.argsort(both, kind="stable")
+    starts = np.flatnonzero(np.diff(both[order], prepend=-1))
+    ends = np.append(starts[1:], len(order))
+    at = (np.arange(len(both)) - np.repeat(np.cumsum(size) - size, size))[order]
+    of = order[starts]
+    places = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), pa.array(at))
+    words = pa.StructArray.from_arrays([names.take(pa.array(code[of])), pa.array(ends - starts), places], names=["term", "n", "places"])
+    edge = np.searchsorted(row[of], np.arange(len(texts) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(edge), words)
+
+
 def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(term, key, n, places, length): the inverted index; write it bucketed or partitioned by term."""
+    """(term, key, n, places, length): the inverted index, a document a row; write it bucketed or partitioned by term.
+
+    A document's words are brought together in its own row: nothing is shuffled.
+    """
     all_ = docs.select(key, terms(F.col(text)).alias("_t")).withColumn("length", F.size("_t"))
-    each = all_.select(key, "length", F.posexplode("_t").alias("at", "term"))
-    return each.groupBy("term", key, "length").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("at")).alias("places"))
+    each = all_.select(key, "length", F.explode(_counted(F.col("_t"))).alias("w"))
+    return each.select("w.term", key, "length", "w.n", F.transform("w.places", lambda p: p.cast("int")).alias("places"))
 
 
 def _scored(counted: DataFrame, stats: DataFrame, key: str, n_terms: int, k: int) -> DataFrame:
@@ -119,8 +153,10 @@ def segment_label(captions: DataFrame, key: list[str], time: str, text: str, tag
     label = captions.groupBy(*key).agg(F.count("*").alias("n"), F.min_by(text, F.struct(time, text)).alias("first_text"))
     if not tags:
         return label
-    words = captions.select(*key, time, text, F.posexplode(terms(F.col(text))).alias("_at", "tag")).filter((F.length("tag") > 2) & ~F.col("tag").isin(list(STOP_WORDS)))
-    counts = words.groupBy(*key, "tag").agg(F.count("*").alias("_n"), F.min(F.struct(time, text, "_at")).alias("_first"))
+    # A word's first place is its caption's time, then its text: of those at one time, texts are told by their rank.
+    ranked = captions.withColumn("_tie", F.dense_rank().over(Window.partitionBy(*key, time).orderBy(text)))
+    words = ranked.select(*key, F.struct(time, "_tie").alias("_c"), F.explode(_counted(terms(F.col(text)))).alias("w")).select(*key, "_c", "w.*").filter((F.length("term") > 2) & ~F.col("term").isin(list(STOP_WORDS)))
+    counts = words.groupBy(*key, F.col("term").alias("tag")).agg(F.sum("n").alias("_n"), F.min(F.struct("_c", F.get("places", F.lit(0)))).alias("_first"))
     best = counts.groupBy(*key).agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("m"), "_first", "tag"))), 1, tags).alias("_b"))
     return label.join(best, key, "left").withColumn("tags", F.coalesce(F.transform("_b", lambda b: b["tag"]), F.array().cast("array<string>"))).drop("_b")
 

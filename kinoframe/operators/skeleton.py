@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.rotations import PARENTS, euler_zyx_degrees, matrix_of_axis_angle, rotate
@@ -129,29 +129,40 @@ def bvh_text(frames: DataFrame, unit: str, frame: str, pose: str, trans: str, of
     return each.select(unit, "frames", F.concat(head, F.array_join(F.transform("_r", lambda r: r["l"]), "\n"), F.lit("\n")).alias("text"))
 
 
+def _root_path(frames: DataFrame, unit: str, frame: str, vector: str, *carried: Column) -> DataFrame:
+    """(unit, frame, _q, _x, _h, _z, carried): a root's turn and path out of 263-number frames.
+
+    Sorted are the root's four numbers and what is carried, not the vectors.
+    """
+    w = Window.partitionBy(unit).orderBy(frame)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    narrow = frames.select(unit, frame, *(F.get(vector, F.lit(i)).alias(n) for i, n in enumerate(("_turn", "_vx", "_vz", "_h"))), *carried)
+    turned = narrow.withColumns({"_a": F.coalesce(F.sum("_turn").over(before), F.lit(0.0)), "_px": F.coalesce(F.lag("_vx").over(w), F.lit(0.0)), "_pz": F.coalesce(F.lag("_vz").over(w), F.lit(0.0))}).drop("_turn", "_vx", "_vz")
+    turned = turned.withColumn("_q", F.array(F.cos("_a"), F.lit(0.0) * F.col("_a"), F.sin("_a"), F.lit(0.0) * F.col("_a"))).drop("_a")
+    step = rotate(F.col("_q"), F.array(F.col("_px"), F.lit(0.0), F.col("_pz")), inverse=True)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    stepped = turned.withColumns({"_sx": F.get(step, F.lit(0)), "_sz": F.get(step, F.lit(2))}).drop("_px", "_pz")
+    return stepped.withColumns({"_x": F.sum("_sx").over(run), "_z": F.sum("_sz").over(run)}).drop("_sx", "_sz")
+
+
+def feature_root(frames: DataFrame, unit: str, frame: str, vector: str) -> DataFrame:
+    """(unit, frame, x, y, z) of the root alone, out of 263-number frames; no joint's places are sorted or worked out."""
+    return _root_path(frames, unit, frame, vector).select(unit, frame, F.col("_x").alias("x"), F.col("_h").alias("y"), F.col("_z").alias("z"))
+
+
 def feature_joints(frames: DataFrame, unit: str, frame: str, vector: str) -> DataFrame:
     """(unit, frame, joint, x, y, z) of 263-number frames: the root's turn and path integrated, then each joint turned and moved.
 
     The vector holds the root's turning speed, its velocity across the floor, its height,
     and 21 joints' places from the root.
     """
-    w = Window.partitionBy(unit).orderBy(frame)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    v = lambda i: F.get(vector, F.lit(i))
-    turned = frames.withColumn("_a", F.coalesce(F.sum(v(0)).over(before), F.lit(0.0)))
-    q = F.array(F.cos("_a"), F.lit(0.0) * F.col("_a"), F.sin("_a"), F.lit(0.0) * F.col("_a"))
-    turned = turned.withColumn("_q", q)
-    step = rotate(F.col("_q"), F.array(F.coalesce(F.lag(v(1)).over(w), F.lit(0.0)), F.lit(0.0), F.coalesce(F.lag(v(2)).over(w), F.lit(0.0))), inverse=True)
-    moved = turned.withColumn("_s", step)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    moved = moved.withColumns({"_x": F.sum(F.get("_s", F.lit(0))).over(run), "_z": F.sum(F.get("_s", F.lit(2))).over(run)})
-    joints = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda j: F.array(F.get(vector, 4 + 3 * j), F.get(vector, 5 + 3 * j), F.get(vector, 6 + 3 * j)))
-    each = moved.select(unit, frame, "_q", "_x", "_z", v(3).alias("_h"), F.posexplode(joints).alias("_j", "_p"))
-    turned_back = rotate(F.col("_q"), F.col("_p"), inverse=True)
-    each = each.withColumn("_r", turned_back)
-    body = each.select(unit, frame, (F.col("_j") + 1).alias("joint"), (F.get("_r", F.lit(0)) + F.col("_x")).alias("x"), F.get("_r", F.lit(1)).alias("y"), (F.get("_r", F.lit(2)) + F.col("_z")).alias("z"))
-    root = moved.select(unit, frame, F.lit(0).alias("joint"), F.col("_x").alias("x"), v(3).alias("y"), F.col("_z").alias("z"))
-    return root.unionByName(body)
+    moved = _root_path(frames, unit, frame, vector, F.slice(vector, 5, 63).alias("_v"))
+    place = lambda j: F.array(*(F.get("_v", 3 * j + c) for c in range(3)))
+    # The root is joint 0, at its own place whatever way it has turned.
+    joints = F.transform(F.sequence(F.lit(0), F.lit(20)), place)
+    each = moved.select(unit, frame, "_q", "_x", "_h", "_z", F.posexplode(F.concat(F.array(F.lit(None).cast("array<double>")), joints)).alias("joint", "_p"))
+    turned = each.withColumn("_r", F.when(F.col("joint") > 0, rotate(F.col("_q"), F.col("_p"), inverse=True)).otherwise(F.array(F.lit(0.0), F.col("_h"), F.lit(0.0))))
+    return turned.select(unit, frame, "joint", (F.get("_r", F.lit(0)) + F.col("_x")).alias("x"), F.get("_r", F.lit(1)).alias("y"), (F.get("_r", F.lit(2)) + F.col("_z")).alias("z"))
 
 
 def bvh_lines(frames: DataFrame, unit: str, frame: str, pose: str, trans: str, offsets: dict[str, list[float]], fps: float, scale: float = 100.0) -> DataFrame:

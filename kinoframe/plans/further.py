@@ -83,7 +83,7 @@ SELECT user_id, i::INT AS frame_idx, round(sum(dx) OVER (PARTITION BY user_id OR
 def feature_root(spark, d):
     """The root's path out of its turning speed and its velocity across the floor."""
     f = _frames(spark, d).withColumn("v", F.concat(F.array(F.col("value") / 1000, F.col("value") / 100, F.lit(0.0), F.col("value") / 50), F.array_repeat(F.lit(0.0), 63)))
-    out = skeleton.feature_joints(f.select("user_id", "frame_idx", "v"), "user_id", "frame_idx", "v").filter("joint = 0")
+    out = skeleton.feature_root(f.select("user_id", "frame_idx", "v"), "user_id", "frame_idx", "v")
     return out.select("user_id", "frame_idx", *(F.round(c, 4).alias(c) for c in "xyz"))
 
 

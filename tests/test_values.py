@@ -250,3 +250,13 @@ def test_leases_come_back(spark, tmp_path):
     finally:
         query.stop()
     assert sorted(rows) == [("a", "in_progress"), ("a", "pending"), ("b", "done")]
+
+
+def test_feature_root_sorts_no_vectors(spark):
+    """The root alone is joint 0 of all, and neither joints nor vectors are in its plan."""
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i % 2, i, rng.normal(size=67).tolist()) for i in range(20)], "u int, f int, v array<double>")
+    want = {tuple(r) for r in skeleton.feature_joints(df, "u", "f", "v").filter("joint = 0").drop("joint").collect()}
+    assert {tuple(r) for r in skeleton.feature_root(df, "u", "f", "v").collect()} == want and len(want) == 20
+    plan = plans.QUERIES["feature_root"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Union" not in plan and "array_repeat" not in plan
