@@ -81,3 +81,26 @@ def test_streams_in_any_order(spark, tmp_path, name):
             want[i] = number
     assert len(got) == len(want) and {r["id"]: r[2] for r in got} == pytest.approx(want) if name == "packing" else all((want[r["id"]] is None and r[2] is None) or abs(r[2] - want[r["id"]]) < 1e-9 for r in got)
     assert len(got) == len(want)
+
+
+def test_segment_tags_shuffle_no_texts_with_words(spark):
+    """Of words equally frequent the first one leads, by time, then text, then place; texts are no part of what is counted."""
+    import re
+
+    rows = [(1, 0.0, "zebra apple apple zebra of"), (1, 0.0, "mango pear pear"), (1, 0.0, "mango pear pear"), (1, None, "quince"), (2, 1.0, None), (3, 1.0, "plum fig fig"), (3, 2.0, "plum date")]
+    df = spark.createDataFrame(rows, "k int, t double, text string")
+    out = search.segment_label(df, ["k"], "t", "text", tags=4)
+    assert {r["k"]: (r["n"], r["tags"]) for r in out.collect()} == {1: (4, ["pear", "mango", "zebra", "apple"]), 2: (1, []), 3: (2, ["plum", "fig", "date"])}
+    assert not re.search(r"min\(struct\([^)]*text", out._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_postings_need_no_shuffle(spark):
+    """A text's words are brought together in its own row, in any number of batches."""
+    df = spark.createDataFrame([(i, None if i == 3 else "" if i == 4 else f"b a{chr(97 + i % 5)} b" if i % 2 else "a b a") for i in range(1100)], "id long, text string").coalesce(1)
+    out = search.postings(df, "id", "text")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    want = set()
+    for i, text in df.collect():
+        words = (text or "").split()
+        want |= {(w, i, words.count(w), tuple(k for k, x in enumerate(words) if x == w), len(words)) for w in words}
+    assert {(r["term"], r["id"], r["n"], tuple(r["places"]), r["length"]) for r in out.collect()} == want
