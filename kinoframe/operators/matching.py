@@ -146,12 +146,8 @@ def write_postings(docs: DataFrame, key: str, columns: list[str], path: str) ->
     """``postings`` (term, key, place of its column, n, places) partitioned by bucket, and ``lengths`` (key, length) of all documents."""
     words = [terms(F.col(c)) for c in columns]
     spark = docs.sparkSession
-
-    def placed(column: int):
-        return lambda w: F.struct(w["term"].alias("term"), w["n"].alias("n"), _shifted(w["places"], -column * SPAN).alias("places"))
-
     # A column's words are brought together in their row, those of several columns by the reader.
-    every = [F.transform(_counted(w), placed(k)) for k, w in enumerate(words)]
+    every = [_counted(w, k * SPAN) for k, w in enumerate(words)]
     rows = docs.select(key, F.explode(F.concat(*every)).alias("w")).select("w.term", key, "w.n", "w.places").withColumn("bucket", _bucket(F.col("term")))
     # Buckets in parts, about two a task, so that a very frequent word is in several; in a file, row groups without a term are passed over.
     parts = max(1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) // BUCKETS)

@@ -48,19 +48,19 @@ def _most_common(texts: pa.Array, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([names.take(pa.array(code[kept_])), pa.array(count[kept_], pa.int64())], names=["tag", "n"]))
 
 
-def _counted(words: Column) -> Column:
-    """A text's different words, each with its number and its places: array of (term, n, places). Nothing is shuffled."""
+def _counted(words: Column, first: int = 0) -> Column:
+    """A text's different words, each with its number and its places from ``first`` on: array of (term, n, places). Nothing is shuffled."""
     kind = pa.list_(pa.struct([("term", pa.string()), ("n", pa.int64()), ("places", pa.list_(pa.int64()))]))
 
     @F.arrow_udf("array<struct<term: string, n: long, places: array<long>>>")
     def grouped(texts: pa.Array) -> pa.Array:
-        out = [_places(texts.slice(lo, 512)) for lo in range(0, len(texts), 512)]
+        out = [_places(texts.slice(lo, 512), first) for lo in range(0, len(texts), 512)]
         return pa.concat_arrays([a.cast(kind) for a in out]) if out else pa.array([], kind)
 
     return grouped(F.coalesce(words, F.array().cast("array<string>")))
 
 
-def _places(texts: pa.Array) -> pa.Array:
+def _places(texts: pa.Array, first: int) -> pa.Array:
     """Each list's different words, as lists of (term, n, places)."""
     flat = texts.flatten().dictionary_encode()
     names = flat.dictionary
@@ -73,7 +73,7 @@ def _places(texts: pa.Array) -> pa.Array:
     ends = np.append(starts[1:], len(order))
     at = (np.arange(len(both)) - np.repeat(np.cumsum(size) - size, size))[order]
     of = order[starts]
-    places = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), pa.array(at))
+    places = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), pa.array(at + first))
     words = pa.StructArray.from_arrays([names.take(pa.array(code[of])), pa.array(ends - starts), places], names=["term", "n", "places"])
     edge = np.searchsorted(row[of], np.arange(len(texts) + 1)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(edge), words)
