@@ -27,6 +27,8 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: The time of the row that closes a stream.
 END = datetime.datetime(9000, 1, 1)
+#: Rows of a state's entry at most.
+BLOCK = 4096
 
 
 class Fold:
@@ -114,23 +116,30 @@ class Leases(Fold):
         return None if state is None else state[0] + self.timeout
 
 
+def _blocks(rows: list[tuple]) -> list[tuple]:
+    """Rows as blocks of ``BLOCK`` at most, a list for each column."""
+    return [tuple(map(list, zip(*rows[lo : lo + BLOCK], strict=True))) for lo in range(0, len(rows), BLOCK)]
+
+
 class _Ordered(StatefulProcessor):
     def __init__(self, fold: Fold, key: str, row_type: T.StructType, state_type: T.StructType, output_type: T.StructType):
-        self.fold, self.key, self.row_type, self.state_type, self.names = fold, key, row_type, state_type, output_type.names
+        self.fold, self.key, self.row_type, self.state_type, self.output = fold, key, row_type, state_type, Row(*output_type.names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        # Rows lie in blocks, a column a list: a state's entry is a message to Spark, whatever it holds.
         place = [T.StructField("_at", T.LongType()), T.StructField("_tie", T.LongType())]
-        self.waiting = handle.getListState("waiting", T.StructType([*place, *self.row_type.fields]))
+        self.waiting = handle.getListState("waiting", T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in [*place, *self.row_type.fields]]))
         self.held = handle.getValueState("held", self.state_type)
         self.next = handle.getValueState("next", T.StructType([T.StructField("ms", T.LongType())]))
 
-    def _wake(self, at: int | None) -> None:
-        """One timer, at the first of the times asked for."""
+    def _wake(self, at: int | None, fresh: bool = False) -> None:
+        """One timer, at the first of the times asked for; ``fresh`` if none is set."""
         if at is None:
             return
         ms = at // 1000 + 1
-        before = self.next.get()[0] if self.next.exists() else None
+        held = None if fresh else self.next.get()
+        before = None if held is None else held[0]
         if before is None or ms < before:
             if before is not None:
                 self.handle.deleteTimer(before)
@@ -140,38 +149,42 @@ class _Ordered(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(row["_at"], row["_tie"], *(row[c] for c in self.row_type.names)) for row in rows if row["_at"] is not None]
         if new:
-            self.waiting.appendList(new)
+            self.waiting.appendList(_blocks(new))
             self._wake(min(row[0] for row in new))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = timerValues.getCurrentWatermarkInMs() * 1000
-        self.next.clear()
         # What came again waits once: the last of the same place.
-        waiting = {(row[0], row[1]): tuple(row) for row in self.waiting.get()} if self.waiting.exists() else {}
+        waiting = {(row[0], row[1]): row for block in self.waiting.get() for row in zip(*block, strict=True)}
         ordered = sorted(waiting, key=lambda p: (p[0], p[1] is not None, p[1] or 0))
         due = [p for p in ordered if p[0] < until]
         rest = [waiting[p] for p in ordered[len(due) :]]
         if rest:
-            self.waiting.put(rest)
-        else:
+            self.waiting.put(_blocks(rest))
+        elif waiting:
             self.waiting.clear()
-        state = tuple(self.held.get()) if self.held.exists() else None
+        held = self.held.get()
+        state = before = None if held is None else tuple(held)
         first = rest[0][0] if rest else None
+        names = self.row_type.names
         for place in due:
-            state, out = self.fold.take(state, place[0], dict(zip(self.row_type.names, waiting[place][2:], strict=True)))
+            state, out = self.fold.take(state, place[0], dict(zip(names, waiting[place][2:], strict=True)))
             yield from (self._row(key, o) for o in out)
         state, out = self.fold.idle(state, until)
         yield from (self._row(key, o) for o in out)
-        if state is None:
-            self.held.clear()
-        else:
+        if state is not None and state != before:
             self.held.update(state)
+        elif state is None and before is not None:
+            self.held.clear()
         wakes = [t for t in (first, self.fold.wakes(state)) if t is not None]
-        self._wake(min(wakes, default=None))
+        if wakes:
+            self._wake(min(wakes), fresh=True)
+        else:
+            self.next.clear()
 
     def _row(self, key, out: tuple) -> Row:
-        return Row(*self.names)(key[0], *out)
+        return self.output(key[0], *out)
 
     def close(self) -> None:
         pass

@@ -104,3 +104,10 @@ def test_postings_need_no_shuffle(spark):
         words = (text or "").split()
         want |= {(w, i, words.count(w), tuple(k for k, x in enumerate(words) if x == w), len(words)) for w in words}
     assert {(r["term"], r["id"], r["n"], tuple(r["places"]), r["length"]) for r in out.collect()} == want
+
+
+def test_waiting_rows_lie_in_blocks():
+    """A state's entries are as many as blocks, not as rows, and hold all of them in order."""
+    rows = [(i, None if i % 3 else i, f"v{i}") for i in range(2 * ordered.BLOCK + 5)]
+    blocks = ordered._blocks(rows)
+    assert len(blocks) == 3 and [r for b in blocks for r in zip(*b, strict=True)] == rows and ordered._blocks([]) == []
