@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import STOP_WORDS, terms
 from ..sources.folders import kept
 
 #: BM25's saturation and length weights.
 K1, B = 1.2, 0.75
+#: Words counted at a time, and characters of a text by which captions of one time are parted.
+WORDS, PREFIX = 1 << 20, 32
 
 
 def keyword_tags(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -153,14 +158,50 @@ def segment_label(captions: DataFrame, key: list[str], time: str, text: str, tag
     label = captions.groupBy(*key).agg(F.count("*").alias("n"), F.min_by(text, F.struct(time, text)).alias("first_text"))
     if not tags:
         return label
-    # A word's first place is its caption's time, then its text: of those at one time, texts are told by their rank.
-    ranked = captions.withColumn("_tie", F.dense_rank().over(Window.partitionBy(*key, time).orderBy(text)))
-    words = ranked.select(*key, F.struct(time, "_tie").alias("_c"), F.explode(_counted(terms(F.col(text)))).alias("w")).select(*key, "_c", "w.*").filter((F.length("term") > 2) & ~F.col("term").isin(list(STOP_WORDS)))
-    counts = words.groupBy(*key, F.col("term").alias("tag")).agg(F.sum("n").alias("_n"), F.min(F.struct("_c", F.get("places", F.lit(0)))).alias("_first"))
-    best = counts.groupBy(*key).agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("m"), "_first", "tag"))), 1, tags).alias("_b"))
+    # Captions lie by ranges of (segment, time, text): a segment of any size is in as many tasks as it takes, and of two words the first is the one in the earlier row.
+    words = F.filter(terms(F.col(text)), lambda w: (F.length(w) > 2) & ~w.isin(list(STOP_WORDS)))
+    ranged = captions.select(*key, time, text).repartitionByRange(*key, time, F.substring(text, 1, PREFIX)).sortWithinPartitions(*key, time, text)
+    rows = ranged.select(*key, F.coalesce(words, F.array().cast("array<string>")).alias("_words"), F.monotonically_increasing_id().alias("_row"))
+    kinds = T.StructType([*(rows.schema[k] for k in key), *T._parse_datatype_string("tag string, _n long, _row long, _place long").fields])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = pc.list_value_length(batch.column("_words")).to_numpy(zero_copy_only=False).astype(np.int64)
+            cuts = np.flatnonzero(np.diff((np.cumsum(size) - size) // WORDS, prepend=-1, append=-1)) if len(size) else []
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                yield _run_tags(batch.slice(lo, hi - lo), len(key), tags)
+
+    counts = rows.mapInArrow(run, kinds).groupBy(*key, "tag").agg(F.sum("_n").alias("_n"), F.min(F.struct("_row", "_place")).alias("_first"))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("_n"), "_first"))
+    best = counts.withColumn("_r", place).filter(F.col("_r") <= tags).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_r", "tag"))).alias("_b"))
     return label.join(best, key, "left").withColumn("tags", F.coalesce(F.transform("_b", lambda b: b["tag"]), F.array().cast("array<string>"))).drop("_b")
 
 
+def _run_tags(batch: pa.RecordBatch, n_keys: int, n: int) -> pa.RecordBatch:
+    """(key, tag, n, row, place) of ordered captions' words: a segment that begins and ends inside the batch has its ``n`` most frequent words, the first and the last segment have all, as they may go on elsewhere."""
+    texts, at = batch.column("_words"), batch.column("_row").to_numpy()
+    begins = np.zeros(len(texts), bool)
+    for c in batch.columns[:n_keys]:
+        c = pa.array([repr(v) for v in c.to_pylist()]) if pa.types.is_nested(c.type) else pc.add(c, pa.scalar(0, c.type)) if pa.types.is_floating(c.type) else c  # -0.0 is 0.0
+        code = c.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        begins[1:] |= code[1:] != code[:-1]
+    segment = np.cumsum(begins)
+    flat = texts.flatten().dictionary_encode()
+    names = flat.dictionary
+    size = pc.list_value_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), size)
+    both, first, count = np.unique(segment[row] * max(1, len(names)) + flat.indices.to_numpy(zero_copy_only=False), return_index=True, return_counts=True)
+    of, code = both // max(1, len(names)), both % max(1, len(names))
+    order = np.lexsort((first, -count, of))
+    of, code, first, count = of[order], code[order], first[order], count[order]
+    rank = np.arange(len(of)) - np.searchsorted(of, of)
+    some = np.flatnonzero((rank < n) | (of == 0) | (of == segment[-1]))
+    first, caption = first[some], row[first[some]]
+    keys = [c.take(pa.array(caption)) for c in batch.columns[:n_keys]]
+    columns = [*keys, names.take(pa.array(code[some])), pa.array(count[some], pa.int64()), pa.array(at[caption]), pa.array(first - (np.cumsum(size) - size)[caption])]
+    return pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:n_keys], "tag", "_n", "_row", "_place"])
+
+
 def caption_prompt(captions: DataFrame, key: list[str], time: str, text: str) -> DataFrame:
     """(key, prompt): the captions in order of time, a line each."""
     lines = F.transform(F.array_sort(F.collect_list(F.struct(time, text))), lambda s: F.format_string("- t=%.1fs: %s", s[time], s[text]))

@@ -111,3 +111,48 @@ def test_waiting_rows_lie_in_blocks():
     rows = [(i, None if i % 3 else i, f"v{i}") for i in range(2 * ordered.BLOCK + 5)]
     blocks = ordered._blocks(rows)
     assert len(blocks) == 3 and [r for b in blocks for r in zip(*b, strict=True)] == rows and ordered._blocks([]) == []
+
+
+def _shuffled_rows(plan) -> int:
+    """Rows that a query which has run sent through its shuffles."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _shuffled_rows(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _shuffled_rows(plan.plan())
+    written = plan.metrics().get("shuffleRecordsWritten")
+    children = plan.children()
+    return (written.get().value() if written.isDefined() else 0) + sum(_shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_segment_tags_shuffle_texts_and_few_words(spark):
+    """Words of a segment that lies in one batch are counted and cut there: captions and a segment's tags are shuffled, not all words."""
+    rng = random.Random(3)
+    df = spark.createDataFrame([(i // 5, i % 5, " ".join(f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(60))) for i in range(2000)], "k int, t int, text string")
+    out = search.segment_label(df, ["k"], "t", "text", tags=3).select("k", "tags")
+    assert len(out.collect()) == 400
+    assert _shuffled_rows(out._jdf.queryExecution().executedPlan()) < 10_000  # of 120,000 words
+
+
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_segment_tags_of_segments_of_any_size(spark, batch):
+    """Segments that go on in other batches and ranges, a large one, nulls, and signed zeros in keys."""
+    rng = random.Random(batch)
+    pool = "ant bee cat dog emu fox gnu hen of an".split()
+    sizes = [(None, 4), (-0.0, 9), (0.0, 9), (1.5, 300), (2.5, 1), (float("nan"), 5)] + [(float(k), rng.randrange(1, 6)) for k in range(10, 60)]
+    rows = [(k, [name], rng.choice([None, 0, 1, 2]), rng.choice([None, "", " ".join(rng.choices(pool, k=rng.randrange(1, 9)))])) for k, n in sizes for _ in range(n) for name in (["x", "y"][rng.randrange(2)],)]
+    rng.shuffle(rows)
+    want = {}
+    for k, name, t, text in sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[3] is not None, r[3] or "")):
+        counts = want.setdefault((repr(k + 0.0 if k is not None else k), name[0]), {})
+        for w in (text or "").split():
+            if len(w) > 2:
+                counts[w] = counts.get(w, 0) + 1  # in the order in which words are seen
+    default = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = search.segment_label(spark.createDataFrame(rows, "k double, name array<string>, t int, text string").repartition(3), ["k", "name"], "t", "text", tags=4).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", default)
+    top = {k: sorted(c, key=lambda w: -c[w])[:4] for k, c in want.items()}
+    assert {(repr(r["k"] + 0.0 if r["k"] is not None else None), r["name"][0]): r["tags"] for r in got} == {k: [] if k[0] == "None" else v for k, v in top.items()}
